@@ -29,7 +29,8 @@ def apply_rules(df: DataFrame, rules: RuleSet) -> DataFrame:
     return df.filter(all_pass(drops)) if drops else df
 
 
-def _count_exprs(rules: RuleSet) -> list[Column]:
+def rule_count_exprs(rules: RuleSet) -> list[Column]:
+    """``p<i>`` = rows passing rule i, ``n`` = all rows."""
     return [F.count_if(r.passed()).alias(f"p{i}") for i, r in enumerate(rules)] + \
         [F.count(F.lit(1)).alias("n")]
 
@@ -38,7 +39,7 @@ def rule_metrics(df: DataFrame, rules: RuleSet, dataset: str | None = None) -> D
     """One row per rule: passed and failed record counts over ``df``
     (``passed + failed`` = rows of ``df``)."""
     name = dataset or rules.dataset
-    counts = df.agg(*_count_exprs(rules))
+    counts = df.agg(*rule_count_exprs(rules))
     per_rule = F.array(*[
         F.struct(F.lit(name).alias("dataset"), F.lit(r.name).alias("rule_name"),
                  F.lit(r.action).alias("action"),
@@ -54,7 +55,7 @@ def observe_rules(df: DataFrame, rules: RuleSet, name: str) -> DataFrame:
     Read them back from ``StreamingQueryProgress.observedMetrics[name]``
     (summed over micro-batches) or from an ``Observation``.
     """
-    return df.observe(name, *_count_exprs(rules))
+    return df.observe(name, *rule_count_exprs(rules))
 
 
 def metrics_from_observed(observed: dict, rules: RuleSet, dataset: str | None = None) -> list[dict]:
