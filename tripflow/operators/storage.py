@@ -21,9 +21,10 @@ def clustered(df: DataFrame, cols: list[str], partitions: int | None = None) ->
     """Range-partition then sort by ``cols``: each task writes one contiguous
     key range, so files get tight min/max statistics (row-group skipping on
     those columns) and similar sizes even when a few keys are hot (range
-    bounds come from a sample)."""
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
+    bounds come from a sample). Without ``partitions`` AQE sizes the
+    partition count from the data."""
+    out = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    return out.sortWithinPartitions(*cols)
 
 
 def write_clustered(df: DataFrame, path: str, cols: list[str], mode: str = "overwrite",
@@ -31,15 +32,26 @@ def write_clustered(df: DataFrame, path: str, cols: list[str], mode: str = "over
     clustered(df, cols, partitions).write.mode(mode).parquet(path)
 
 
+def rebalanced(df: DataFrame, partition_cols: list[str], sort_cols: list[str] | None = None) -> DataFrame:
+    """Shuffle rows by their hive partition values with AQE's rebalance:
+    each task then writes into few partition directories (no small-file
+    explosion of tasks x months), small partitions are coalesced and a hot
+    partition value (a month with a third of all rows) is split across
+    several tasks instead of landing in one."""
+    out = df.hint("rebalance", *partition_cols)
+    return out.sortWithinPartitions(*partition_cols, *(sort_cols or []))
+
+
+def write_rebalanced(df: DataFrame, path: str, partition_cols: list[str],
+                     sort_cols: list[str] | None = None, mode: str = "overwrite") -> None:
+    rebalanced(df, partition_cols, sort_cols).write.mode(mode).partitionBy(*partition_cols).parquet(path)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
-                      cluster_cols: list[str] | None = None, mode: str = "overwrite",
-                      partitions: int | None = None) -> None:
-    """Hive-partitioned write. Rows are range-partitioned on the partition
-    columns plus a clustering column, so a hot partition value (one month
-    holding a third of the data) is spread over many tasks instead of one,
-    and each task writes few files."""
-    cols = list(partition_cols) + list(cluster_cols or [])
-    clustered(df, cols, partitions).write.mode(mode).partitionBy(*partition_cols).parquet(path)
+                      cluster_cols: list[str] | None = None, mode: str = "overwrite") -> None:
+    """Hive-partitioned write (``partitionBy``), rebalanced on the partition
+    columns and sorted by ``cluster_cols`` inside each file."""
+    write_rebalanced(df, path, partition_cols, cluster_cols, mode)
 
 
 def compact(spark: SparkSession, src: str, dst: str, files: int,

@@ -49,17 +49,35 @@ def _silver(spark, sf, t):
     return M.silver(_bronze(spark, sf, t), t, AS_OF)
 
 
-def _silver_all(spark, sf):
-    return {t: _silver(spark, sf, t) for t in config.TAXI_TYPES}
+def _silver_all(spark, sf, types=config.TAXI_TYPES):
+    """Silver frames of several sources, all derived from one read of the
+    source table."""
+    raw = fixtures.all_raw_trips(spark, sf, types)
+    return {t: M.silver(M.bronze(raw[t]), t, AS_OF) for t in types}
+
+
+def _bronze_all(spark, sf, types=config.TAXI_TYPES):
+    raw = fixtures.all_raw_trips(spark, sf, types)
+    return {t: M.bronze(raw[t]) for t in types}
 
 
 def _zones(spark, sf):
     return M.silver_zones(fixtures.raw_zones(spark, sf), AS_OF)
 
 
+MART_SOURCES = {
+    "daily_borough_metrics": ("yellow", "green", "fhvheavy"),
+    "hourly_demand": config.TAXI_TYPES,
+    "airport_metrics": config.TAXI_TYPES,
+    "zone_revenue": ("yellow", "green", "fhvheavy"),
+    "payment_trends": ("yellow", "green"),
+    "trip_type_summary": ("green",),
+}
+
+
 def _mart(name):
     def q(spark, sf):
-        s = _silver_all(spark, sf)
+        s = _silver_all(spark, sf, MART_SOURCES[name])
         fn = MARTS[name]
         if name in ("airport_metrics", "payment_trends"):
             return fn(s)
@@ -89,8 +107,9 @@ def q_dedup_batch(spark, sf):
 
 def q_duration_minutes(spark, sf):
     """Trip duration of every raw trip of every source."""
+    b = _bronze_all(spark, sf)
     return union_all([
-        conform_trips(_bronze(spark, sf, t), t, AS_OF)
+        conform_trips(b[t], t, AS_OF)
         .select("taxi_type", "pickup_datetime", "dropoff_datetime", "trip_duration_mins")
         for t in config.TAXI_TYPES])
 
@@ -107,7 +126,8 @@ def q_dq_metrics_bronze(spark, sf):
     """Rescued-data expectation on every bronze table."""
     from tripflow.functions.rules import bronze_rules
     from tripflow.operators.quality import rule_metrics
-    return union_all([rule_metrics(_bronze(spark, sf, t), bronze_rules(t)) for t in config.TAXI_TYPES])
+    b = _bronze_all(spark, sf)
+    return union_all([rule_metrics(b[t], bronze_rules(t)) for t in config.TAXI_TYPES])
 
 
 # --------------------------------------------------------------------------- quarantine
@@ -126,8 +146,14 @@ def q_quarantine_all(spark, sf):
     return ingest.read_quarantine(spark, os.path.join(target, "table"))
 
 
+def _quarantine_all_batch(spark, sf, complete=False, as_of=AS_OF):
+    b = _bronze_all(spark, sf)
+    return union_all([M.quarantine(b[t], t, as_of, complete)
+                      for t in config.TAXI_TYPES])
+
+
 def q_quarantine_complete(spark, sf):
-    return union_all([_quarantine(spark, sf, t, complete=True) for t in config.TAXI_TYPES])
+    return _quarantine_all_batch(spark, sf, complete=True)
 
 
 # --------------------------------------------------------------------------- serving
@@ -143,13 +169,13 @@ def q_top20(spark, sf):
 
 
 def q_smoke_counts(spark, sf):
-    s = _silver_all(spark, sf)
+    s = _silver_all(spark, sf, MART_SOURCES["daily_borough_metrics"])
     z = _zones(spark, sf)
     return serving.smoke_counts({
         "bronze.yellow_trips_raw": _bronze(spark, sf, "yellow"),
         "silver.yellow_trips": s["yellow"],
         "gold.daily_borough_metrics": MARTS["daily_borough_metrics"](s, z),
-        "silver.quarantine_trips": union_all([_quarantine(spark, sf, t) for t in config.TAXI_TYPES]),
+        "silver.quarantine_trips": _quarantine_all_batch(spark, sf),
     })
 
 
@@ -190,8 +216,7 @@ def q_change_feed(spark, sf):
 def q_retention_purge(spark, sf):
     """Quarantine rows kept by the 90-day purge, with each row quarantined
     at its own pickup time (late rows are old; NULL times are kept)."""
-    rows = union_all([
-        M.quarantine(_bronze(spark, sf, t), t, F.col("pickup_datetime")) for t in config.TAXI_TYPES])
+    rows = _quarantine_all_batch(spark, sf, as_of=F.col("pickup_datetime"))
     return storage.purge(rows, "_quarantined_at", PURGE_AS_OF, config.QUARANTINE_RETENTION_DAYS)
 
 

@@ -12,8 +12,8 @@ Two modes share every transformation:
 
 Layout choices for scale: bronze files are sorted by pickup time within each
 task (no ingest shuffle; full clustering is the compaction job's work);
-silver is hive-partitioned and written straight from the dedup shuffle's
-partitions; gold tables are small and range-clustered on their filter
+silver is hive-partitioned and rebalanced on its partition columns before the
+write (AQE splits a hot month, coalesces small ones); gold tables are small and range-clustered on their filter
 columns. Rule metrics are collected with ``observe`` on the write itself,
 so quality accounting never costs a second scan.
 """
@@ -36,7 +36,7 @@ from tripflow.operators.conform import conform_trips, conform_zones
 from tripflow.operators.dedup import dedup_trips
 from tripflow.operators.marts import all_marts
 from tripflow.operators.quality import apply_rules, metrics_from_observed, rule_count_exprs
-from tripflow.operators.storage import write_clustered
+from tripflow.operators.storage import write_clustered, write_rebalanced
 from tripflow.plans import medallion as M
 from tripflow.sources import fixtures
 from tripflow.sources.files import RAW_SCHEMAS, read_stream
@@ -110,9 +110,7 @@ def _timed_write(fn) -> float:
 
 
 def _write_silver(df: DataFrame, taxi_type: str, path: str) -> None:
-    parts = config.SILVER_PARTITIONS[taxi_type]
-    (df.sortWithinPartitions(*parts, "pickup_datetime")
-     .write.mode("overwrite").partitionBy(*parts).parquet(path))
+    write_rebalanced(df, path, config.SILVER_PARTITIONS[taxi_type], ["pickup_datetime"])
 
 
 def _gold_and_audit(spark: SparkSession, paths: dict[str, str], rec: EventRecorder, as_of=None) -> None:

@@ -16,7 +16,12 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Watermark-dedup state lives in RocksDB (off-heap, spills to local disk,
+    # changelog checkpoints): the in-memory provider does not scale to the
+    # state of hundreds of millions of keys. Fixed at a checkpoint's first run.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -77,9 +77,10 @@ def trip_base(events: DataFrame) -> DataFrame:
     )
 
 
-def raw_trips_from_events(events: DataFrame, taxi_type: str) -> DataFrame:
-    """Raw trip rows of one source, in that source's own column names."""
-    b = trip_base(events).filter(F.col("taxi_type") == taxi_type)
+def raw_trips_from_events(events: DataFrame, taxi_type: str, base: DataFrame | None = None) -> DataFrame:
+    """Raw trip rows of one source, in that source's own column names
+    (``base``: an already built ``trip_base(events)`` to share)."""
+    b = (base if base is not None else trip_base(events)).filter(F.col("taxi_type") == taxi_type)
     if taxi_type == "yellow":
         return b.select(
             F.col("pickup").alias("tpep_pickup_datetime"), F.col("dropoff").alias("tpep_dropoff_datetime"),
@@ -113,8 +114,13 @@ def raw_trips(spark: SparkSession, sf_dir: str, taxi_type: str) -> DataFrame:
     return raw_trips_from_events(read_events(spark, sf_dir), taxi_type)
 
 
-def all_raw_trips(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: raw_trips(spark, sf_dir, t) for t in config.TAXI_TYPES}
+def all_raw_trips_from_events(events: DataFrame, types=config.TAXI_TYPES) -> dict[str, DataFrame]:
+    base = trip_base(events)
+    return {t: raw_trips_from_events(events, t, base) for t in types}
+
+
+def all_raw_trips(spark: SparkSession, sf_dir: str, types=config.TAXI_TYPES) -> dict[str, DataFrame]:
+    return all_raw_trips_from_events(read_events(spark, sf_dir), types)
 
 
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
