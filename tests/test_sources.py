@@ -69,3 +69,17 @@ def test_event_stream_reads_whole_table(spark, scratch):
     assert spark.read.parquet(os.path.join(scratch, "out")).count() == \
         spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
     assert F is not None
+
+
+def test_parquet_rescue_keeps_drifted_values(spark, scratch):
+    from tripflow.sources.files import read_parquet_rescued
+    good = spark.createDataFrame([(1, 2.5, "a")], "id BIGINT, amount DOUBLE, s STRING")
+    drifted = spark.createDataFrame([("2", "3.5", "b", "x"), ("n/a", None, "c", None)],
+                                    "id STRING, amount STRING, s STRING, extra STRING")
+    good.write.parquet(os.path.join(scratch, "f1"))
+    drifted.write.parquet(os.path.join(scratch, "f2"))
+    with_schema = "id BIGINT, amount DOUBLE, s STRING"
+    out = {r.s: r for r in read_parquet_rescued(spark, scratch, with_schema).collect()}
+    assert (out["a"].id, out["a"].amount, out["a"]._rescued_data) == (1, 2.5, None)
+    assert (out["b"].id, out["b"].amount, out["b"]._rescued_data) == (2, 3.5, '{"extra":"x"}')
+    assert (out["c"].id, out["c"].amount, out["c"]._rescued_data) == (None, None, '{"id":"n/a"}')

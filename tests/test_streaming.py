@@ -94,3 +94,25 @@ def test_quarantine_flows_share_one_target(spark, scratch):
     ingest.quarantine_flows({t: M.bronze(fixtures.raw_trips_from_events(fixtures.stream_events(spark, SF_SMALL), t))
                              for t in config.TAXI_TYPES}, target, os.path.join(scratch, "ck"), AS_OF)
     assert ingest.read_quarantine(spark, target).count() == batch.count()
+
+
+def test_stream_schema_evolves_between_runs(spark, scratch):
+    from tripflow.sources.files import evolve_stream_schema
+    landing, sink, ck, loc = (os.path.join(scratch, p) for p in ("landing", "bronze", "ck", "_schemas"))
+    raw = fixtures.raw_trips(spark, SF_SMALL, "yellow")
+    early = F.coalesce(F.col("tpep_pickup_datetime") < F.lit("2024-01-15").cast("timestamp_ntz"), F.lit(True))
+    write_landing(raw.filter(early), landing)
+    s1 = evolve_stream_schema(spark, landing, loc)
+    ingest.bronze_flow(spark.readStream.schema(s1).parquet(landing), "yellow", sink, ck)
+    assert "airport_fee" not in spark.read.parquet(sink).columns
+    # upstream adds a column
+    write_landing(raw.filter(~early).withColumn("airport_fee", F.lit(1.75)), landing)
+    s2 = evolve_stream_schema(spark, landing, loc)
+    assert s2.fieldNames()[:len(s1.fieldNames())] == s1.fieldNames() and s2.fieldNames()[-1] == "airport_fee"
+    ingest.bronze_flow(spark.readStream.schema(s2).parquet(landing), "yellow", sink, ck)
+    out = spark.read.option("mergeSchema", True).parquet(sink)
+    assert out.count() == raw.count()
+    assert out.filter("airport_fee IS NOT NULL").count() == raw.filter(~early).count()
+    # no change -> same schema, no new version
+    assert evolve_stream_schema(spark, landing, loc) == s2
+    assert spark.read.text(loc).count() == 2

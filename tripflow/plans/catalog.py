@@ -24,7 +24,7 @@ from tripflow.operators.joins import is_small
 from tripflow.plans import medallion as M
 from tripflow.session import work_path
 from tripflow.sources import fixtures
-from tripflow.sources.files import RAW_SCHEMAS, read_evolving, rescue
+from tripflow.sources.files import RAW_SCHEMAS, read_evolving, read_parquet_rescued, rescue
 from tripflow.streaming import ingest
 
 AS_OF = "2025-01-01 00:00:00"          # _created_at / _quarantined_at
@@ -253,6 +253,34 @@ def q_rescued_data(spark, sf):
     return rescue(text, RAW_SCHEMAS["yellow"])
 
 
+def q_rescued_parquet(spark, sf):
+    """Yellow landing files in two generations; in the later one
+    ``passenger_count`` arrives as text with unparsable tokens. Read with
+    per-file typing and rescue."""
+    base = work_path(spark, "rescued_parquet")
+    b = fixtures.trip_base(fixtures.read_events(spark, sf)).filter(F.col("taxi_type") == "yellow")
+    late = F.coalesce(F.col("pickup") >= F.lit(EVOLVED_FROM).cast("timestamp_ntz"), F.lit(False))
+    cols = [F.col("pickup").alias("tpep_pickup_datetime"), F.col("dropoff").alias("tpep_dropoff_datetime"),
+            F.col("pu").alias("PULocationID"), F.col("dol").alias("DOLocationID"), F.col("k").alias("VendorID")]
+    rest = [F.col("dist").alias("trip_distance"), F.col("fare").alias("fare_amount"),
+            F.col("total").alias("total_amount"), "payment_type"]
+    b.filter(~late).select(*cols, F.col("passengers").alias("passenger_count"), *rest) \
+        .write.parquet(os.path.join(base, "gen=1"))
+    text_count = F.when(F.col("event_id") % 37 == 0, F.lit("n/a")).otherwise(F.col("passengers").cast("string"))
+    b.filter(late).select(*cols, text_count.alias("passenger_count"), *rest) \
+        .write.parquet(os.path.join(base, "gen=2"))
+    return read_parquet_rescued(spark, base, RAW_SCHEMAS["yellow"])
+
+
+def q_pipeline_dq_log(spark, sf):
+    """A full pipeline update; its event log's expectation results (AUD-2
+    over the events the run emitted itself)."""
+    from tripflow.plans.pipeline import run_batch_pipeline
+    paths = run_batch_pipeline(spark, sf, work_path(spark, "pipeline"), as_of=AS_OF)
+    return spark.read.parquet(paths["audit.data_quality_log"]).select(
+        "dataset_name", "expectation_name", "passed_records", "failed_records", "pass_rate_pct", "data_layer")
+
+
 def q_schema_evolution_union(spark, sf):
     """Yellow landing files written in two schema generations (later files
     add ``airport_fee``), read back with merged schemas."""
@@ -297,6 +325,7 @@ def queries() -> dict[str, Query]:
     q["dedup_stream"] = q_dedup_stream
     q["duration_minutes"] = q_duration_minutes
     q["rescued_data"] = q_rescued_data
+    q["rescued_parquet"] = q_rescued_parquet
     q["schema_evolution_union"] = q_schema_evolution_union
     q["dq_metrics_bronze"] = q_dq_metrics_bronze
     for t in config.TAXI_TYPES:
@@ -326,4 +355,5 @@ def queries() -> dict[str, Query]:
     q["retention_purge"] = q_retention_purge
     q["compaction_roundtrip"] = q_compaction_roundtrip
     q["stream_ingest"] = q_stream_ingest
+    q["pipeline_dq_log"] = q_pipeline_dq_log
     return q

@@ -229,6 +229,12 @@ def _final_selects() -> dict[str, str]:
         "CASE WHEN event_id % 37 = 0 THEN '\"passenger_count\":\"n/a\"' END, "
         "CASE WHEN event_id % 43 = 0 THEN '\"payment_type\":\"card\"' END), '}') END AS _rescued_data "
         "FROM base WHERE taxi_type = 'yellow'")
+    q["rescued_parquet"] = (
+        "SELECT pickup AS tpep_pickup_datetime, dropoff AS tpep_dropoff_datetime, pu AS PULocationID, dol AS DOLocationID, "
+        "k AS VendorID, CASE WHEN late AND event_id % 37 = 0 THEN NULL ELSE passengers END AS passenger_count, "
+        "dist AS trip_distance, fare AS fare_amount, total AS total_amount, payment_type, "
+        "CASE WHEN late AND event_id % 37 = 0 THEN '{\"passenger_count\":\"n/a\"}' END AS _rescued_data "
+        f"FROM (SELECT *, coalesce(pickup >= {ts(C.EVOLVED_FROM)}, false) AS late FROM base WHERE taxi_type = 'yellow')")
     q["schema_evolution_union"] = (
         "SELECT *, CASE WHEN coalesce(tpep_pickup_datetime >= " + ts(C.EVOLVED_FROM) + ", false) THEN "
         f"CASE WHEN PULocationID IN ({config.JFK_LOCATION_ID}, {config.LAGUARDIA_LOCATION_ID}) THEN 1.75e0 ELSE 0.0e0 END END AS airport_fee "
@@ -346,6 +352,14 @@ def _final_selects() -> dict[str, str]:
         + f") WHERE _quarantined_at IS NULL OR _quarantined_at >= {ts(C.PURGE_AS_OF)} - INTERVAL {config.QUARANTINE_RETENTION_DAYS} DAYS")
     q["compaction_roundtrip"] = "SELECT * FROM yellow_silver"
     q["stream_ingest"] = "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM yellow_raw"
+    dq_parts = [_metrics_select(f"(SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM {t}_raw)",
+                                bronze_rules(t).rules, f"bronze.{t}_trips_raw") for t in config.TAXI_TYPES]
+    dq_parts.append(_metrics_select("zones_conf", RULES["zone"].rules, "silver.zone_lookup"))
+    dq_parts += [_metrics_select(f"{t}_dedup", RULES[t].rules, f"silver.{t}_trips") for t in config.TAXI_TYPES]
+    q["pipeline_dq_log"] = (
+        "SELECT dataset AS dataset_name, rule_name AS expectation_name, passed_records, failed_records, "
+        + sround("CAST(passed_records AS DOUBLE) / NULLIF(passed_records + failed_records, 0) * 100")
+        + f" AS pass_rate_pct, {_layer_sql('dataset')} AS data_layer FROM (" + " UNION ALL ".join(dq_parts) + ")")
     return q
 
 

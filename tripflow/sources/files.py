@@ -3,6 +3,7 @@ rescued data and the CSV trip sample format."""
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,6 +88,44 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
+    """Latest schema recorded at ``location`` (NULL when none yet)."""
+    try:
+        rows = spark.read.text(location).collect()  # one line per recorded version
+    except Exception:  # noqa: BLE001 - nothing recorded yet
+        return None
+    if not rows:
+        return None
+    latest = max(rows, key=lambda r: int(r.value.split("\t", 1)[0]))
+    return T.StructType.fromJson(json.loads(latest.value.split("\t", 1)[1]))
+
+
+def save_schema(spark: SparkSession, location: str, schema: T.StructType, version: int) -> None:
+    line = f"{version}\t{json.dumps(schema.jsonValue())}"
+    spark.createDataFrame([(line,)], "value STRING").coalesce(1).write.mode("append").text(location)
+
+
+def evolve_stream_schema(spark: SparkSession, landing: str, location: str,
+                         initial=None) -> T.StructType:
+    """Schema for the next start of a file stream over ``landing``.
+
+    The landing files' footers are merged (a distributed Spark job when there
+    are many files) and the result is merged additively into the schema
+    recorded at ``location`` (the stream's schema location, next to its
+    checkpoint). A grown schema is recorded as a new version; the stream is
+    then restarted with it and the same checkpoint: old files read NULL in the
+    new columns, new files carry them.
+    """
+    known = load_schema(spark, location)
+    seen = spark.read.option("mergeSchema", True).parquet(landing).schema
+    base = known or (schema_of(initial) if initial is not None else None)
+    merged = merge_schema(base, seen) if base is not None else seen
+    if known is None or len(merged.fields) != len(known.fields):
+        version = 0 if known is None else len(spark.read.text(location).collect())
+        save_schema(spark, location, merged, version)
+    return merged
+
+
 def union_evolving(frames: list[DataFrame]) -> DataFrame:
     """Union by name of frames with differing (additive) schemas."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -124,3 +163,76 @@ def rescue(df_text: DataFrame, schema) -> DataFrame:
     any_bad = reduce(lambda a, b: a | b, [b for _, b in bad])
     payload = F.to_json(F.struct(*[F.when(b, F.col(c).cast("string")).alias(c) for c, b in bad]))
     return df_text.select(*typed, F.when(any_bad, payload).alias("_rescued_data"))
+
+
+def _type_and_rescue(raw, fields: list[tuple[str, str]]):
+    """pandas helper for one batch: cast each declared column (NULL where a
+    non-NULL value does not fit) and collect the misfits, plus columns not
+    declared, as a JSON object per row."""
+    import pandas as pd
+
+    lower = {c.lower(): c for c in raw.columns}
+    declared = {n.lower() for n, _ in fields}
+    out = {}
+    bad_cols = []
+    for name, typ in fields:
+        src = lower.get(name.lower())
+        if src is None:
+            out[name] = pd.Series([None] * len(raw), dtype="object")
+            continue
+        col = raw[src]
+        if typ in ("bigint", "int", "smallint", "tinyint"):
+            num = pd.to_numeric(col, errors="coerce")
+            fits = num.notna() & (num == num.round())
+            typed = num.where(fits).astype("Int64")
+        elif typ in ("double", "float"):
+            typed = pd.to_numeric(col, errors="coerce").astype("float64")
+        elif typ.startswith("timestamp"):
+            typed = pd.to_datetime(col, errors="coerce")
+        else:
+            typed = col.where(col.isna(), col.astype(str))
+        out[name] = typed
+        bad_cols.append((src, col.notna() & typed.isna()))
+    for c in raw.columns:
+        if c.lower() not in declared:
+            bad_cols.append((c, raw[c].notna()))
+    frame = pd.DataFrame(out)
+    rescued = [None] * len(raw)
+    if bad_cols:
+        any_bad = bad_cols[0][1].copy()
+        for _, m in bad_cols[1:]:
+            any_bad |= m
+        for i in any_bad[any_bad].index:
+            rescued[i] = json.dumps({c: str(raw.at[i, c]) for c, m in bad_cols if m.at[i]},
+                                    separators=(",", ":"))
+    frame["_rescued_data"] = rescued
+    return frame
+
+
+def read_parquet_rescued(spark: SparkSession, path: str, schema, batch_rows: int = 65536) -> DataFrame:
+    """Read parquet files whose column types drifted from ``schema`` without
+    failing and without losing values (``_rescued_data``).
+
+    Spark's vectorized reader rejects a file whose footer type differs from
+    the declared one, so here each task opens its own share of the files
+    (listed by Spark's ``binaryFile`` source, which packs them into
+    partitions by size and reads no content) with pyarrow, casts batch by
+    batch and rescues misfits. Use it for landing zones that need rescue;
+    typed, conforming tables go through ``spark.read.parquet``.
+    """
+    schema = schema_of(schema)
+    fields = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    out_schema = T.StructType(list(schema.fields) + [T.StructField("_rescued_data", T.StringType())])
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.parquet").load(path).select("path"))
+
+    def read(batches):
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+        for pdf in batches:
+            for p in pdf["path"]:
+                fs, local = pafs.FileSystem.from_uri(p)
+                for rb in pq.ParquetFile(local, filesystem=fs).iter_batches(batch_size=batch_rows):
+                    yield _type_and_rescue(rb.to_pandas(), fields)
+
+    return files.mapInPandas(read, out_schema)
