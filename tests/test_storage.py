@@ -83,3 +83,12 @@ def test_partitioned_silver_prunes_partitions(spark, scratch):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(pickup_year" in plan
     assert q.count() == C._silver(spark, SF_SMALL, "yellow").filter("pickup_month = 1").count()
+
+
+def test_compaction_sized_by_target_file_size(spark, scratch):
+    src, dst = os.path.join(scratch, "v0"), os.path.join(scratch, "v1")
+    df = C._silver(spark, SF_SMALL, "fhvheavy")
+    df.repartition(24).write.parquet(src)
+    out = storage.compact(spark, src, dst, cluster_cols=["pickup_datetime"])
+    assert len(glob.glob(f"{dst}/*.parquet")) < len(glob.glob(f"{src}/*.parquet"))
+    assert _same(out, spark.read.parquet(src))

@@ -54,20 +54,40 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
     write_rebalanced(df, path, partition_cols, cluster_cols, mode)
 
 
-def compact(spark: SparkSession, src: str, dst: str, files: int,
-            cluster_cols: list[str] | None = None, partition_cols: list[str] | None = None) -> DataFrame:
-    """Rewrite the table at ``src`` into ``files`` files per partition value
-    (range-clustered when ``cluster_cols`` is given) at ``dst``. Invariant:
-    the same multiset of rows."""
+def compact(spark: SparkSession, src: str, dst: str, files: int | None = None,
+            cluster_cols: list[str] | None = None, partition_cols: list[str] | None = None,
+            target_file_mb: int = 256) -> DataFrame:
+    """Rewrite the table at ``src`` into fewer, larger files at ``dst``.
+
+    By default the file size drives the layout: rows are range-clustered on
+    ``cluster_cols`` (or rebalanced on ``partition_cols``) and AQE coalesces
+    the shuffle into partitions of about ``target_file_mb``, so nothing has
+    to list or size the input on the driver. ``files`` forces an exact
+    count instead. Invariant: the same multiset of rows.
+    """
     df = spark.read.parquet(src)
-    if cluster_cols:
-        out = df.repartitionByRange(files, *cluster_cols).sortWithinPartitions(*cluster_cols)
+    keys = list(partition_cols or []) + list(cluster_cols or [])
+    if files:
+        out = df.repartitionByRange(files, *keys) if keys else df.repartition(files)
+    elif keys:
+        out = df.repartitionByRange(*keys)
     else:
-        out = df.repartition(files)
+        out = df.hint("rebalance")
+    if keys:
+        out = out.sortWithinPartitions(*keys)
     w = out.write.mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    w.parquet(dst)
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{int(target_file_mb)}m",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        w.parquet(dst)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.parquet(dst)
 
 
