@@ -16,8 +16,10 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-LAZY = [k for k in C.queries() if k not in ("quarantine_all", "compaction_roundtrip", "schema_evolution_union",
-                                             "stream_ingest", "dedup_stream")]
+# queries that write files first, and the one Arrow-batched reader (parquet rescue)
+EAGER = ("quarantine_all", "compaction_roundtrip", "schema_evolution_union", "stream_ingest", "dedup_stream",
+         "rescued_parquet", "pipeline_dq_log")
+LAZY = [k for k in C.queries() if k not in EAGER]
 
 
 @pytest.mark.parametrize("name", LAZY)
@@ -71,3 +73,9 @@ def test_filters_reach_the_silver_scan(spark, scratch):
     assert "PushedFilters: [Or(In(pickup_location_id" in fmt
     # only the four columns the mart needs are read (+ partition columns)
     assert "ReadSchema: struct<pickup_datetime:timestamp_ntz,pickup_location_id:bigint,dropoff_location_id:bigint>" in fmt
+
+
+def test_parquet_rescue_is_arrow_batched_over_spark_listed_files(spark):
+    p = plan(C.queries()["rescued_parquet"](spark, SF_SMALL))
+    assert "MapInPandas" in p and "BatchEvalPython" not in p
+    assert "FileScan binaryFile" in p
