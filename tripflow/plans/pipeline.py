@@ -24,7 +24,9 @@ import contextlib
 import datetime as dt
 import os
 import time
+import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -83,10 +85,14 @@ class EventRecorder:
         self.update_id = update_id
         self.records: list[dict] = []
         self.started = time.time()
+        self.run_type = "full_refresh"
+        self._lock = threading.Lock()
 
     def _add(self, event_type: str, details: str, level: str = "INFO", message: str = ""):
-        self.records.append({"id": uuid.uuid4().hex, "timestamp": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-                             "event_type": event_type, "level": level, "message": message, "details": details})
+        with self._lock:
+            self.records.append({"id": uuid.uuid4().hex, "timestamp": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+                                 "event_type": event_type, "level": level, "message": message,
+                                 "details": details})
 
     def flow(self, name: str, rows: int | None, seconds: float, metrics: list[dict] | None = None,
              status: str = "COMPLETED"):
@@ -116,30 +122,76 @@ def _write_silver(df: DataFrame, taxi_type: str, path: str) -> None:
 def _gold_and_audit(spark: SparkSession, paths: dict[str, str], rec: EventRecorder, as_of=None) -> None:
     silver = {t: spark.read.parquet(paths[f"silver.{t}_trips"]) for t in config.TAXI_TYPES}
     zones = spark.read.parquet(paths["silver.zone_lookup"])
-    for name, df in all_marts(silver, zones).items():
+    gold = all_marts(silver, zones)
+
+    def write_mart(name: str) -> None:
         obs = Observation(f"gold_{name}")
-        out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        out = gold[name].observe(obs, F.count(F.lit(1)).alias("rows"))
         secs = _timed_write(lambda: write_clustered(out, paths[f"gold.{name}"], config.MART_CLUSTER[name]))
         rec.flow(f"gold.{name}", obs.get["rows"], secs)
+
+    _run_all(write_mart, gold, concurrent=True)
     rec.update("COMPLETED", rec.run_type)
     audit.events_from_records(spark, rec.records).write.mode("append").parquet(paths["audit.event_log"])
     ev = spark.read.parquet(paths["audit.event_log"])
     views = dict(audit.AUDIT_VIEWS)
     views["sla_monitoring"] = lambda e: audit.sla_monitoring(e, as_of)
-    for name, fn in views.items():
-        fn(ev).coalesce(1).write.mode("overwrite").parquet(paths[f"audit.{name}"])
+    _run_all(lambda name: views[name](ev).coalesce(1).write.mode("overwrite").parquet(paths[f"audit.{name}"]),
+             views, concurrent=True)
+
+
+def flow_session(spark: SparkSession, conf: dict[str, str] | None = None) -> SparkSession:
+    """A session for one flow: same SparkContext (executors, cache), its own
+    SQL confs (the parent's plus the flow's), so concurrent flows don't see
+    each other's settings (e.g. the largest source's shuffle partitions)."""
+    s = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if k.startswith("spark.sql.") and s.conf.isModifiable(k):
+            s.conf.set(k, v)
+    for k, v in (conf or {}).items():
+        s.conf.set(k, v)
+    return s
+
+
+def _source_flows(s: SparkSession, t: str, raw_t: DataFrame, paths: dict[str, str], as_of,
+                  rec: EventRecorder) -> None:
+    """bronze -> silver and the quarantine flow of one source."""
+    # bronze: raw + rescued column, locally sorted by pickup time (no ingest shuffle)
+    bobs = Observation(f"bronze_{t}")
+    b = M.bronze(raw_t).observe(bobs, *rule_count_exprs(bronze_rules(t)))
+    secs = _timed_write(lambda: b.sortWithinPartitions(config.BRONZE_CLUSTER[t])
+                        .write.mode("overwrite").parquet(paths[f"bronze.{t}_trips_raw"]))
+    rec.flow(f"bronze.{t}_trips_raw", bobs.get.get("n"), secs, metrics_from_observed(bobs.get, bronze_rules(t)))
+    bronze_t = s.read.parquet(paths[f"bronze.{t}_trips_raw"])
+    # silver: conform -> dedup -> (observe rules) -> drop -> rebalanced partitioned write
+    sobs, oobs = Observation(f"silver_{t}"), Observation(f"silver_{t}_out")
+    deduped = dedup_trips(conform_trips(bronze_t, t, as_of), t)
+    kept = apply_rules(deduped.observe(sobs, *rule_count_exprs(RULES[t])), RULES[t])
+    kept = kept.observe(oobs, F.count(F.lit(1)).alias("rows"))
+    secs = _timed_write(lambda: _write_silver(kept, t, paths[f"silver.{t}_trips"]))
+    rec.flow(f"silver.{t}_trips", oobs.get["rows"], secs, metrics_from_observed(sobs.get, RULES[t]))
+    # quarantine flow, from the same raw rows as bronze
+    qobs = Observation(f"quarantine_{t}")
+    q = M.quarantine(bronze_t, t, as_of).observe(qobs, F.count(F.lit(1)).alias("rows"))
+    qpath = os.path.join(paths["silver.quarantine_trips"], f"flow={t}")
+    secs = _timed_write(lambda: q.write.mode("overwrite").parquet(qpath))
+    rec.flow(f"silver.quarantine_{t}", qobs.get["rows"], secs)
 
 
 def run_batch_pipeline(spark: SparkSession, sf_dir: str | None, root: str,
                        raw: dict[str, DataFrame] | None = None, raw_zones: DataFrame | None = None,
-                       as_of=None, flow_confs: dict | None = None) -> dict[str, str]:
+                       as_of=None, flow_confs: dict | None = None, concurrent: bool = True) -> dict[str, str]:
     """Backfill every table under ``root`` from raw frames (default: the
-    test-data fixtures of ``sf_dir``). Returns the table paths."""
+    test-data fixtures of ``sf_dir``, read in each flow's own session).
+
+    The four source flows are independent and run as concurrent Spark jobs
+    (one thread and one session each), so small sources don't leave the
+    cluster idle while the largest one runs. Returns the table paths.
+    """
     paths = table_paths(root)
     rec = EventRecorder(uuid.uuid4().hex[:12])
     rec.run_type = "full_refresh"
     rec.update("RUNNING", rec.run_type)
-    raw = raw or fixtures.all_raw_trips(spark, sf_dir)
     raw_zones = raw_zones if raw_zones is not None else fixtures.raw_zones(spark, sf_dir)
     confs = config.FLOW_CONF if flow_confs is None else flow_confs
 
@@ -152,34 +204,32 @@ def run_batch_pipeline(spark: SparkSession, sf_dir: str | None, root: str,
     secs = _timed_write(lambda: zout.coalesce(1).write.mode("overwrite").parquet(paths["silver.zone_lookup"]))
     rec.flow("silver.zone_lookup", None, secs, metrics_from_observed(zobs.get, RULES["zone"]))
 
-    for t in config.TAXI_TYPES:
-        with flow_conf(spark, confs.get(t)):
-            # bronze: raw + rescued column, locally sorted by pickup time
-            bobs = Observation(f"bronze_{t}")
-            b = M.bronze(raw[t]).observe(bobs, *rule_count_exprs(bronze_rules(t)))
-            secs = _timed_write(lambda: b.sortWithinPartitions(config.BRONZE_CLUSTER[t])
-                                .write.mode("overwrite").parquet(paths[f"bronze.{t}_trips_raw"]))
-            rec.flow(f"bronze.{t}_trips_raw", bobs.get.get("n"), secs,
-                     metrics_from_observed(bobs.get, bronze_rules(t)))
-            bronze_t = spark.read.parquet(paths[f"bronze.{t}_trips_raw"])
-            # silver: conform -> dedup -> (observe rules) -> drop -> partitioned write
-            sobs = Observation(f"silver_{t}")
-            oobs = Observation(f"silver_{t}_out")
-            deduped = dedup_trips(conform_trips(bronze_t, t, as_of), t)
-            kept = apply_rules(deduped.observe(sobs, *rule_count_exprs(RULES[t])), RULES[t])
-            kept = kept.observe(oobs, F.count(F.lit(1)).alias("rows"))
-            secs = _timed_write(lambda: _write_silver(kept, t, paths[f"silver.{t}_trips"]))
-            rec.flow(f"silver.{t}_trips", oobs.get["rows"], secs, metrics_from_observed(sobs.get, RULES[t]))
-            # quarantine flow (from the same raw rows as bronze)
-            qpath = os.path.join(paths["silver.quarantine_trips"], f"flow={t}")
-            q = M.quarantine(bronze_t, t, as_of)
-            secs = _timed_write(lambda: q.write.mode("overwrite").parquet(qpath))
-            rec.flow(f"silver.quarantine_{t}", None, secs)
+    def run(t: str) -> None:
+        if raw is not None:  # caller's frames run under their own session
+            with flow_conf(raw[t].sparkSession, confs.get(t)):
+                _source_flows(raw[t].sparkSession, t, raw[t], paths, as_of, rec)
+        else:
+            s = flow_session(spark, confs.get(t))
+            _source_flows(s, t, fixtures.raw_trips(s, sf_dir, t), paths, as_of, rec)
 
+    _run_all(run, config.TAXI_TYPES, concurrent and raw is None)
     _gold_and_audit(spark, paths, rec, as_of)
     return paths
 
 
+def _run_all(fn, items, concurrent: bool) -> None:
+    """Run ``fn`` over ``items`` (as concurrent Spark jobs when asked);
+    re-raise the first failure."""
+    items = list(items)
+    if not concurrent or len(items) < 2:
+        for it in items:
+            fn(it)
+        return
+    with ThreadPoolExecutor(max_workers=len(items)) as ex:
+        for f in [ex.submit(fn, it) for it in items]:
+            f.result()
+
+
 # --------------------------------------------------------------------------- streaming
 
 
@@ -201,16 +251,18 @@ def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw:
     zones_raw.write.mode("overwrite").parquet(paths["bronze.zone_lookup_raw"])
     zconf = conform_zones(spark.read.parquet(paths["bronze.zone_lookup_raw"]), as_of)
     apply_rules(zconf, RULES["zone"]).coalesce(1).write.mode("overwrite").parquet(paths["silver.zone_lookup"])
-    for t in config.TAXI_TYPES:
-        with flow_conf(spark, config.FLOW_CONF.get(t)):
-            raw = read_stream(spark, landing[t], RAW_SCHEMAS[t], max_files_per_trigger=max_files_per_trigger)
-            r = ingest.bronze_flow(raw, t, paths[f"bronze.{t}_trips_raw"], os.path.join(ck, f"bronze_{t}"))
-            rec.flow(f"bronze.{t}_trips_raw", r.num_output_rows, r.seconds,
-                     metrics_from_observed(r.observed, bronze_rules(t)))
-            bronze_stream = spark.readStream.schema(
-                spark.read.parquet(paths[f"bronze.{t}_trips_raw"]).schema).parquet(paths[f"bronze.{t}_trips_raw"])
-            r = ingest.silver_flow(bronze_stream, t, paths[f"silver.{t}_trips"], os.path.join(ck, f"silver_{t}"), as_of)
-            rec.flow(f"silver.{t}_trips", r.num_output_rows, r.seconds, r.observed.get("metrics"))
+    def run(t: str) -> None:
+        s = flow_session(spark, config.FLOW_CONF.get(t))
+        raw = read_stream(s, landing[t], RAW_SCHEMAS[t], max_files_per_trigger=max_files_per_trigger)
+        r = ingest.bronze_flow(raw, t, paths[f"bronze.{t}_trips_raw"], os.path.join(ck, f"bronze_{t}"))
+        rec.flow(f"bronze.{t}_trips_raw", r.num_output_rows, r.seconds,
+                 metrics_from_observed(r.observed, bronze_rules(t)))
+        bronze_path = paths[f"bronze.{t}_trips_raw"]
+        bronze_stream = s.readStream.schema(s.read.parquet(bronze_path).schema).parquet(bronze_path)
+        r = ingest.silver_flow(bronze_stream, t, paths[f"silver.{t}_trips"], os.path.join(ck, f"silver_{t}"), as_of)
+        rec.flow(f"silver.{t}_trips", r.num_output_rows, r.seconds, r.observed.get("metrics"))
+
+    _run_all(run, config.TAXI_TYPES, concurrent=True)
     qraw = {t: read_stream(spark, landing[t], RAW_SCHEMAS[t], max_files_per_trigger=max_files_per_trigger)
             for t in config.TAXI_TYPES}
     for t, r in ingest.quarantine_flows(qraw, paths["silver.quarantine_trips"], ck, as_of).items():
