@@ -84,3 +84,22 @@ def test_stream_pipeline_matches_batch(spark, batch, scratch):
     run_stream_pipeline(spark, landing, fixtures.raw_zones(spark, SF_SMALL), os.path.join(scratch, "tables"), AS_OF)
     assert _t(spark, paths, "silver.yellow_trips").count() == before
     assert read_quarantine_table(spark, paths).count() == read_quarantine_table(spark, batch).count()
+
+
+def test_maintenance_compacts_and_purges(spark, batch):
+    import glob
+    from tripflow.plans.maintenance import maintained_tables, run_maintenance
+    new = run_maintenance(spark, batch, as_of="2024-03-15 00:00:00")
+    assert len(maintained_tables()) == 15
+    for name in maintained_tables():
+        assert new[name] != batch[name]
+        if name == "silver.quarantine_trips":
+            continue
+        a, b = spark.read.parquet(new[name]), spark.read.parquet(batch[name])
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+        assert len(glob.glob(f"{new[name]}/**/*.parquet", recursive=True)) <= \
+            len(glob.glob(f"{batch[name]}/**/*.parquet", recursive=True))
+    # quarantine rows were stamped 2025-01-01 (as_of of the run): none is older than 90 days before 2024-03-15
+    assert read_quarantine_table(spark, new).count() == read_quarantine_table(spark, batch).count()
+    later = run_maintenance(spark, batch, as_of="2025-06-01 00:00:00")
+    assert read_quarantine_table(spark, later).count() == 0
