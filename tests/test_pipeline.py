@@ -103,3 +103,36 @@ def test_maintenance_compacts_and_purges(spark, batch):
     assert read_quarantine_table(spark, new).count() == read_quarantine_table(spark, batch).count()
     later = run_maintenance(spark, batch, as_of="2025-06-01 00:00:00")
     assert read_quarantine_table(spark, later).count() == 0
+
+
+def test_incremental_gold_refresh_touches_only_new_months(spark, scratch):
+    """Second stream run brings February trips: only February partials are
+    rebuilt, January's files stay as they were, marts equal a full rebuild."""
+    import datetime as dt
+    import glob
+    from tripflow.plans.pipeline import refresh_gold, table_paths
+    from tripflow.sources.files import RAW_SCHEMAS
+    landing = {t: os.path.join(scratch, "landing", t) for t in config.TAXI_TYPES}
+    for t in config.TAXI_TYPES:
+        write_landing(fixtures.raw_trips(spark, SF_SMALL, t), landing[t], files=1)
+    root = os.path.join(scratch, "tables")
+    zones = fixtures.raw_zones(spark, SF_SMALL)
+    paths = run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF)
+    jan = sorted(glob.glob(f"{paths['gold._partials.daily_borough_metrics']}/pickup_year=2024/pickup_month=1/*.parquet"))
+    mtimes = {f: os.path.getmtime(f) for f in jan}
+    feb = dt.datetime(2024, 2, 3, 9, 30)
+    rows = [(feb + dt.timedelta(minutes=i), feb + dt.timedelta(minutes=i + 12), 10 + i, 20, 1, 1, 2.0, 9.0, 11.0, 1)
+            for i in range(5)]
+    spark.createDataFrame(rows, RAW_SCHEMAS["yellow"]).coalesce(1).write.mode("append").parquet(landing["yellow"])
+    run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF)
+    assert {f: os.path.getmtime(f) for f in jan} == mtimes           # January untouched
+    assert glob.glob(f"{paths['gold._partials.daily_borough_metrics']}/pickup_year=2024/pickup_month=2/*.parquet")
+    incremental = {m: _t(spark, paths, f"gold.{m}") for m in config.MART_DDL}
+    incremental = {m: df.collect() for m, df in incremental.items()}
+    refresh_gold(spark, paths)                                         # full rebuild for comparison
+    for m in config.MART_DDL:
+        full = _t(spark, paths, f"gold.{m}")
+        inc = spark.createDataFrame(incremental[m], full.schema)
+        assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0, m
+    daily = _t(spark, paths, "gold.daily_borough_metrics")
+    assert daily.filter("trip_date = DATE'2024-02-03' AND taxi_type = 'yellow'").agg(F.sum("trip_count")).first()[0] == 5

@@ -1,23 +1,30 @@
 """Gold marts: union of silver sources -> zone join -> grouped measures.
 
-Plan shape. Zones are a small dimension: when a bounded count proves it
-small, it is broadcast and each mart is one map-side join + partial
-aggregate + one shuffle of partial rows + final aggregate. When it is not
-provably small, trips are first aggregated per pickup location (map-side
-combine, then one shuffle of partial rows), and only that pre-aggregate (at
-most one row per group key and location) is shuffle-joined to zones and
-rolled up; the trip volume then never meets the join, and no hot pickup
-location can skew it.
+Each mart is a ``MartSpec``: per-source projection, row filter, group keys,
+mergeable measures (count / exact sum / non-NULL count / min / max) and the
+finishing projection. One spec drives three plans:
+
+* ``build``: the full recompute. Zones are a small dimension: when a bounded
+  count proves it small, it is broadcast and the mart is one map-side join
+  + partial aggregate + one shuffle of partial rows + final aggregate. When
+  it is not provably small, trips are first aggregated per pickup location
+  (map-side combine) and only that pre-aggregate is shuffle-joined to zones,
+  so the trip volume never meets the join and a hot location can't skew it.
+* ``partials``: the same measures per (key without zone columns, pickup
+  location, pickup month), computed only for the given months of silver (a
+  partition-pruned scan) -> a small table refreshed month by month.
+* ``from_partials``: partials ⋈ zones -> merged measures -> the mart. Zone
+  edits are picked up here without touching trips.
 
 Measures are summed exactly (decimal) and returned as DOUBLE; averages are
 that exact sum divided by the count of non-NULL values, NULL when there is
-none. Column pruning: each mart projects only its columns before the union,
-so each silver scan reads only those columns.
+none. Each mart projects only its columns, so silver scans are pruned.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +35,8 @@ from tripflow.functions.expressions import exact, trip_type_desc
 from tripflow.operators.joins import attach_zones, is_small, zone_side
 
 PRICED = ("yellow", "green", "fhvheavy")
+MONTH = ["pickup_year", "pickup_month"]
+ZONE_COLS = ("borough", "zone_name")
 
 
 @dataclass(frozen=True)
@@ -42,23 +51,27 @@ class Measure:
         return fn(F.col(self.name)).alias(self.name)
 
 
-def _count() -> Measure:
+def count_all() -> Measure:
     return Measure("_n", F.count(F.lit(1)))
 
 
-def _sum(c: str) -> Measure:
+def exact_total(c: str) -> Measure:
     return Measure(f"_sum_{c}", F.sum(exact(c)))
 
 
-def _nonnull(c: str) -> Measure:
+def nonnull(c: str) -> Measure:
     return Measure(f"_cnt_{c}", F.count(exact(c)))
 
 
-def _finish_sum(c: str) -> Column:
+def count_when(name: str, cond: Column) -> Measure:
+    return Measure(name, F.sum(F.when(cond, 1).otherwise(0)))
+
+
+def finish_sum(c: str) -> Column:
     return F.col(f"_sum_{c}").cast("double")
 
 
-def _finish_avg(c: str) -> Column:
+def finish_avg(c: str) -> Column:
     return F.try_divide(F.col(f"_sum_{c}").cast("double"), F.col(f"_cnt_{c}"))
 
 
@@ -75,139 +88,197 @@ def conform_to_ddl(df: DataFrame, ddl: str) -> DataFrame:
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in fields])
 
 
-def zone_rollup(trips: DataFrame, zones: DataFrame, keys: list[str], measures: list[Measure],
-                how: str = "left", require_borough: bool = True,
-                zones_small: bool | None = None) -> DataFrame:
-    """Group ``trips`` ⟕ zones by ``keys`` (which may name zone columns).
-
-    ``require_borough`` keeps only matched rows (left join + ``borough IS NOT
-    NULL``, which Catalyst turns into an inner join).
-    """
+@dataclass(frozen=True)
+class MartSpec:
+    name: str
+    sources: tuple[str, ...]
+    project: Callable[[str, DataFrame], list]      # source -> columns of the common trip shape
+    keys: list[str]                                # output keys (may name zone columns)
+    measures: list[Measure]
+    finish: list[Column]                           # output columns after merging
+    where: Callable[[], Column] | None = None      # row filter before aggregation
+    zones: str | None = None                       # None, "matched" (left + borough not null) or "left"
+    extra: Callable[[DataFrame], DataFrame] = field(default=lambda df: df)
+
+    @property
+    def pre_keys(self) -> list[str]:
+        """Keys without zone columns, plus the pickup location when zones join."""
+        ks = [k for k in self.keys if k not in ZONE_COLS]
+        if self.zones and "pickup_location_id" not in ks:
+            ks.append("pickup_location_id")
+        return ks
+
+    def trips(self, silver: dict[str, DataFrame], months: list[tuple[int, int]] | None = None,
+              with_month: bool = False) -> DataFrame:
+        parts = []
+        for t in self.sources:
+            s = silver[t] if months is None else silver[t].filter(month_filter(months))
+            cols = self.project(t, s) + (MONTH if with_month else [])
+            parts.append(s.select(*cols))
+        out = union_all(parts)
+        return out.filter(self.where()) if self.where else out
+
+    def _finish(self, grouped: DataFrame) -> DataFrame:
+        return conform_to_ddl(self.extra(grouped.select(*self.keys, *self.finish)),
+                              config.MART_DDL[self.name])
+
+
+def month_filter(months: list[tuple[int, int]]) -> Column:
+    """(pickup_year, pickup_month) in ``months``, as literals on the silver
+    partition columns: the scan prunes every other month's directory."""
+    if not months:
+        return F.lit(False)
+    return reduce(lambda a, b: a | b, [(F.col("pickup_year") == y) & (F.col("pickup_month") == m)
+                                       for y, m in sorted(set(months))])
+
+
+def _zone_filter(df: DataFrame, spec: MartSpec) -> DataFrame:
+    return df.filter(F.col("borough").isNotNull()) if spec.zones == "matched" else df
+
+
+def build(spec: MartSpec, silver: dict[str, DataFrame], zones: DataFrame | None = None,
+          zones_small: bool | None = None) -> DataFrame:
+    """Full recompute of one mart from silver."""
+    trips = spec.trips(silver)
+    if not spec.zones:
+        g = trips.groupBy(*spec.keys).agg(*[m.partial.alias(m.name) for m in spec.measures])
+        return spec._finish(g)
     small = is_small(zones) if zones_small is None else zones_small
     z = zone_side(zones, small)
     if small:
-        joined = attach_zones(trips, z, how)
-        if require_borough:
-            joined = joined.filter(F.col("borough").isNotNull())
-        return joined.groupBy(*keys).agg(*[m.partial.alias(m.name) for m in measures])
-    zone_cols = {"borough", "zone_name"}
-    pre_keys = [k for k in keys if k not in zone_cols]
-    if "pickup_location_id" not in pre_keys:
-        pre_keys.append("pickup_location_id")
-    pre = trips.groupBy(*pre_keys).agg(*[m.partial.alias(m.name) for m in measures])
-    joined = attach_zones(pre, z, how)
-    if require_borough:
-        joined = joined.filter(F.col("borough").isNotNull())
-    return joined.groupBy(*keys).agg(*[m.merged() for m in measures])
-
-
-# --------------------------------------------------------------------------- marts
-
-
-def daily_borough_metrics(silver: dict[str, DataFrame], zones: DataFrame,
-                          zones_small: bool | None = None) -> DataFrame:
-    def part(t: str) -> DataFrame:
-        s = silver[t]
-        rev, dist = ("base_passenger_fare", "trip_miles") if t == "fhvheavy" else ("total_amount", "trip_distance")
-        return s.select(F.col("pickup_datetime").cast("date").alias("trip_date"), "pickup_location_id",
-                        "taxi_type", F.col(rev).alias("revenue"), F.col(dist).alias("trip_distance"))
-    trips = union_all([part(t) for t in PRICED])
-    g = zone_rollup(trips, zones, ["trip_date", "borough", "taxi_type"],
-                    [_count(), _sum("revenue"), _sum("trip_distance"), _nonnull("trip_distance")],
-                    zones_small=zones_small)
-    out = g.select("trip_date", "borough", "taxi_type", F.col("_n").alias("trip_count"),
-                   _finish_sum("revenue").alias("total_revenue"),
-                   _finish_avg("trip_distance").alias("avg_distance"))
-    return conform_to_ddl(out, config.MART_DDL["daily_borough_metrics"])
-
-
-def hourly_demand(silver: dict[str, DataFrame], zones: DataFrame, zones_small: bool | None = None) -> DataFrame:
-    trips = union_all([
-        silver[t].select(F.hour("pickup_datetime").alias("hour_of_day"),
-                         F.dayofweek("pickup_datetime").alias("day_of_week"),
-                         "pickup_location_id", "taxi_type")
-        for t in config.TAXI_TYPES])
-    g = zone_rollup(trips, zones, ["hour_of_day", "day_of_week", "borough", "taxi_type"], [_count()],
-                    zones_small=zones_small)
-    out = g.withColumnRenamed("_n", "trip_count")
-    return conform_to_ddl(out, config.MART_DDL["hourly_demand"])
-
-
-def airport_metrics(silver: dict[str, DataFrame]) -> DataFrame:
-    ids = [config.JFK_LOCATION_ID, config.LAGUARDIA_LOCATION_ID, config.NEWARK_LOCATION_ID]
-    trips = union_all([
-        silver[t].select("pickup_datetime", "pickup_location_id", "dropoff_location_id", "taxi_type")
-        for t in config.TAXI_TYPES])
-    airport = trips.filter(F.col("pickup_location_id").isin(ids) | F.col("dropoff_location_id").isin(ids))
-
-    def hits(c: str, loc: int) -> Column:
-        return F.sum(F.when(F.col(c) == loc, 1).otherwise(0))
-
-    out = (airport.withColumn("trip_date", F.col("pickup_datetime").cast("date"))
-           .groupBy("trip_date", "taxi_type")
-           .agg(hits("pickup_location_id", config.JFK_LOCATION_ID).alias("jfk_pickups"),
-                hits("dropoff_location_id", config.JFK_LOCATION_ID).alias("jfk_dropoffs"),
-                hits("pickup_location_id", config.LAGUARDIA_LOCATION_ID).alias("laguardia_pickups"),
-                hits("dropoff_location_id", config.LAGUARDIA_LOCATION_ID).alias("laguardia_dropoffs"),
-                hits("pickup_location_id", config.NEWARK_LOCATION_ID).alias("newark_pickups"),
-                hits("dropoff_location_id", config.NEWARK_LOCATION_ID).alias("newark_dropoffs"),
-                F.count(F.lit(1)).alias("total_airport_trips")))
-    return conform_to_ddl(out, config.MART_DDL["airport_metrics"])
-
-
-def zone_revenue(silver: dict[str, DataFrame], zones: DataFrame, zones_small: bool | None = None) -> DataFrame:
-    def part(t: str) -> DataFrame:
-        rev = "base_passenger_fare" if t == "fhvheavy" else "total_amount"
-        return silver[t].select("pickup_location_id", "taxi_type", F.col(rev).alias("revenue"))
-    trips = union_all([part(t) for t in PRICED])
-    g = zone_rollup(trips, zones, ["pickup_location_id", "zone_name", "borough", "taxi_type"],
-                    [_count(), _sum("revenue"), _nonnull("revenue"),
-                     Measure("_min", F.min("revenue"), "min"), Measure("_max", F.max("revenue"), "max")],
-                    how="left", require_borough=False, zones_small=zones_small)
-    out = g.select("pickup_location_id", "zone_name", "borough", "taxi_type",
-                   F.col("_n").alias("trip_count"), _finish_sum("revenue").alias("total_revenue"),
-                   _finish_avg("revenue").alias("avg_revenue"),
-                   F.col("_min").alias("min_revenue"), F.col("_max").alias("max_revenue"))
-    return conform_to_ddl(out, config.MART_DDL["zone_revenue"])
-
-
-def payment_trends(silver: dict[str, DataFrame]) -> DataFrame:
-    trips = union_all([
-        silver[t].select(F.col("pickup_datetime").cast("date").alias("trip_date"),
-                         "payment_type", "taxi_type", "total_amount", "fare_amount")
-        for t in ("yellow", "green")])
-    out = (trips.filter(F.col("payment_type").isNotNull())
-           .filter(F.col("trip_date").isNotNull())
-           .groupBy("trip_date", "payment_type", "taxi_type")
-           .agg(F.count(F.lit(1)).alias("trip_count"),
-                F.sum(exact("total_amount")).cast("double").alias("total_revenue"),
-                F.try_divide(F.sum(exact("fare_amount")).cast("double"),
-                             F.count(exact("fare_amount"))).alias("avg_fare")))
-    return conform_to_ddl(out, config.MART_DDL["payment_trends"])
-
-
-def trip_type_summary(silver: dict[str, DataFrame], zones: DataFrame, zones_small: bool | None = None) -> DataFrame:
-    green = (silver["green"].filter(F.col("trip_type").isNotNull())
-             .select(F.col("pickup_datetime").cast("date").alias("trip_date"),
-                     "pickup_location_id", "trip_type"))
-    g = zone_rollup(green, zones, ["trip_date", "borough", "trip_type"], [_count()], zones_small=zones_small)
-    out = (g.withColumnRenamed("_n", "trip_count")
-           .withColumn("trip_type_desc", trip_type_desc("trip_type")))
-    return conform_to_ddl(out, config.MART_DDL["trip_type_summary"])
+        joined = _zone_filter(attach_zones(trips, z, "left"), spec)
+        g = joined.groupBy(*spec.keys).agg(*[m.partial.alias(m.name) for m in spec.measures])
+        return spec._finish(g)
+    pre = trips.groupBy(*spec.pre_keys).agg(*[m.partial.alias(m.name) for m in spec.measures])
+    return from_partials(spec, pre, zones, small=False)
 
 
-def all_marts(silver: dict[str, DataFrame], zones: DataFrame) -> dict[str, DataFrame]:
-    small = is_small(zones)
+def partials(spec: MartSpec, silver: dict[str, DataFrame],
+             months: list[tuple[int, int]] | None = None) -> DataFrame:
+    """Partial measures per (pre-keys, pickup month) for ``months`` (list of
+    (year, month); all months when None)."""
+    trips = spec.trips(silver, months, with_month=True)
+    return trips.groupBy(*spec.pre_keys, *MONTH).agg(*[m.partial.alias(m.name) for m in spec.measures])
+
+
+def from_partials(spec: MartSpec, parts: DataFrame, zones: DataFrame | None = None,
+                  small: bool | None = None) -> DataFrame:
+    """Merge partial measures (any grouping finer than the mart's) into the mart."""
+    if spec.zones:
+        z = zone_side(zones, small)
+        parts = _zone_filter(attach_zones(parts, z, "left"), spec)
+    g = parts.groupBy(*spec.keys).agg(*[m.merged() for m in spec.measures])
+    return spec._finish(g)
+
+
+# --------------------------------------------------------------------------- the six marts
+
+
+def _date() -> Column:
+    return F.col("pickup_datetime").cast("date").alias("trip_date")
+
+
+def _rev(t: str) -> str:
+    return "base_passenger_fare" if t == "fhvheavy" else "total_amount"
+
+
+def _dist(t: str) -> str:
+    return "trip_miles" if t == "fhvheavy" else "trip_distance"
+
+
+def _hits(c: str, loc: int) -> Column:
+    return F.col(c) == loc
+
+
+def specs() -> dict[str, MartSpec]:
+    """The six mart specs (built on demand: columns need an active session)."""
     return {
-        "daily_borough_metrics": daily_borough_metrics(silver, zones, small),
-        "hourly_demand": hourly_demand(silver, zones, small),
-        "airport_metrics": airport_metrics(silver),
-        "zone_revenue": zone_revenue(silver, zones, small),
-        "payment_trends": payment_trends(silver),
-        "trip_type_summary": trip_type_summary(silver, zones, small),
+        "daily_borough_metrics": MartSpec(
+            "daily_borough_metrics", PRICED,
+            lambda t, s: [_date(), "pickup_location_id", "taxi_type",
+                          F.col(_rev(t)).alias("revenue"), F.col(_dist(t)).alias("trip_distance")],
+            ["trip_date", "borough", "taxi_type"],
+            [count_all(), exact_total("revenue"), exact_total("trip_distance"), nonnull("trip_distance")],
+            [F.col("_n").alias("trip_count"), finish_sum("revenue").alias("total_revenue"),
+             finish_avg("trip_distance").alias("avg_distance")],
+            zones="matched"),
+        "hourly_demand": MartSpec(
+            "hourly_demand", config.TAXI_TYPES,
+            lambda t, s: [F.hour("pickup_datetime").alias("hour_of_day"),
+                          F.dayofweek("pickup_datetime").alias("day_of_week"), "pickup_location_id", "taxi_type"],
+            ["hour_of_day", "day_of_week", "borough", "taxi_type"],
+            [count_all()], [F.col("_n").alias("trip_count")],
+            zones="matched"),
+        "airport_metrics": MartSpec(
+            "airport_metrics", config.TAXI_TYPES,
+            lambda t, s: [_date(), "pickup_location_id", "dropoff_location_id", "taxi_type"],
+            ["trip_date", "taxi_type"],
+            [count_when("jfk_pickups", _hits("pickup_location_id", config.JFK_LOCATION_ID)),
+             count_when("jfk_dropoffs", _hits("dropoff_location_id", config.JFK_LOCATION_ID)),
+             count_when("laguardia_pickups", _hits("pickup_location_id", config.LAGUARDIA_LOCATION_ID)),
+             count_when("laguardia_dropoffs", _hits("dropoff_location_id", config.LAGUARDIA_LOCATION_ID)),
+             count_when("newark_pickups", _hits("pickup_location_id", config.NEWARK_LOCATION_ID)),
+             count_when("newark_dropoffs", _hits("dropoff_location_id", config.NEWARK_LOCATION_ID)),
+             count_all()],
+            [F.col(c) for c in ("jfk_pickups", "jfk_dropoffs", "laguardia_pickups", "laguardia_dropoffs",
+                                "newark_pickups", "newark_dropoffs")] + [F.col("_n").alias("total_airport_trips")],
+            where=lambda: (F.col("pickup_location_id").isin(config.JFK_LOCATION_ID, config.LAGUARDIA_LOCATION_ID,
+                                                            config.NEWARK_LOCATION_ID)
+                           | F.col("dropoff_location_id").isin(config.JFK_LOCATION_ID, config.LAGUARDIA_LOCATION_ID,
+                                                               config.NEWARK_LOCATION_ID))),
+        "zone_revenue": MartSpec(
+            "zone_revenue", PRICED,
+            lambda t, s: ["pickup_location_id", "taxi_type", F.col(_rev(t)).alias("revenue")],
+            ["pickup_location_id", "zone_name", "borough", "taxi_type"],
+            [count_all(), exact_total("revenue"), nonnull("revenue"),
+             Measure("_min", F.min("revenue"), "min"), Measure("_max", F.max("revenue"), "max")],
+            [F.col("_n").alias("trip_count"), finish_sum("revenue").alias("total_revenue"),
+             finish_avg("revenue").alias("avg_revenue"), F.col("_min").alias("min_revenue"),
+             F.col("_max").alias("max_revenue")],
+            zones="left"),
+        "payment_trends": MartSpec(
+            "payment_trends", ("yellow", "green"),
+            lambda t, s: [_date(), "payment_type", "taxi_type", "total_amount", "fare_amount"],
+            ["trip_date", "payment_type", "taxi_type"],
+            [count_all(), exact_total("total_amount"), exact_total("fare_amount"), nonnull("fare_amount")],
+            [F.col("_n").alias("trip_count"), finish_sum("total_amount").alias("total_revenue"),
+             finish_avg("fare_amount").alias("avg_fare")],
+            where=lambda: F.col("payment_type").isNotNull() & F.col("trip_date").isNotNull()),
+        "trip_type_summary": MartSpec(
+            "trip_type_summary", ("green",),
+            lambda t, s: [_date(), "pickup_location_id", "trip_type"],
+            ["trip_date", "borough", "trip_type"],
+            [count_all()], [F.col("_n").alias("trip_count")],
+            where=lambda: F.col("trip_type").isNotNull(),
+            zones="matched",
+            extra=lambda df: df.withColumn("trip_type_desc", trip_type_desc("trip_type"))),
     }
 
 
+def daily_borough_metrics(silver, zones, zones_small=None) -> DataFrame:
+    return build(specs()["daily_borough_metrics"], silver, zones, zones_small)
+
+
+def hourly_demand(silver, zones, zones_small=None) -> DataFrame:
+    return build(specs()["hourly_demand"], silver, zones, zones_small)
+
+
+def airport_metrics(silver) -> DataFrame:
+    return build(specs()["airport_metrics"], silver)
+
+
+def zone_revenue(silver, zones, zones_small=None) -> DataFrame:
+    return build(specs()["zone_revenue"], silver, zones, zones_small)
+
+
+def payment_trends(silver) -> DataFrame:
+    return build(specs()["payment_trends"], silver)
+
+
+def trip_type_summary(silver, zones, zones_small=None) -> DataFrame:
+    return build(specs()["trip_type_summary"], silver, zones, zones_small)
+
+
 MARTS = {
     "daily_borough_metrics": daily_borough_metrics,
     "hourly_demand": hourly_demand,
@@ -216,3 +287,9 @@ MARTS = {
     "payment_trends": payment_trends,
     "trip_type_summary": trip_type_summary,
 }
+
+
+def all_marts(silver: dict[str, DataFrame], zones: DataFrame) -> dict[str, DataFrame]:
+    small = is_small(zones)
+    return {n: build(spec, silver, zones if spec.zones else None, small if spec.zones else None)
+            for n, spec in specs().items()}

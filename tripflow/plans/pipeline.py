@@ -29,6 +29,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tripflow import config
@@ -36,7 +37,10 @@ from tripflow.functions.rules import RULES, bronze_rules
 from tripflow.operators import audit
 from tripflow.operators.conform import conform_trips, conform_zones
 from tripflow.operators.dedup import dedup_trips
-from tripflow.operators.marts import all_marts
+from tripflow.operators.joins import is_small
+from tripflow.operators.marts import from_partials
+from tripflow.operators.marts import partials as mart_partials
+from tripflow.operators.marts import specs as mart_specs
 from tripflow.operators.quality import apply_rules, metrics_from_observed, rule_count_exprs
 from tripflow.operators.storage import write_clustered, write_rebalanced
 from tripflow.plans import medallion as M
@@ -55,6 +59,7 @@ def table_paths(root: str) -> dict[str, str]:
     p["silver.quarantine_trips"] = os.path.join(root, "silver", "quarantine_trips")
     for m in config.MART_DDL:
         p[f"gold.{m}"] = os.path.join(root, "gold", m)
+        p[f"gold._partials.{m}"] = os.path.join(root, "gold", "_partials", m)
     p["audit.event_log"] = os.path.join(root, "audit", "event_log")
     for v in ("pipeline_run_log", "data_quality_log", "row_count_log", "sla_monitoring", "error_log"):
         p[f"audit.{v}"] = os.path.join(root, "audit", v)
@@ -119,18 +124,63 @@ def _write_silver(df: DataFrame, taxi_type: str, path: str) -> None:
     write_rebalanced(df, path, config.SILVER_PARTITIONS[taxi_type], ["pickup_datetime"])
 
 
-def _gold_and_audit(spark: SparkSession, paths: dict[str, str], rec: EventRecorder, as_of=None) -> None:
-    silver = {t: spark.read.parquet(paths[f"silver.{t}_trips"]) for t in config.TAXI_TYPES}
+def months_between(lo: dt.datetime | None, hi: dt.datetime | None) -> list[tuple[int, int]]:
+    """Every (year, month) from ``lo`` to ``hi`` inclusive (empty if unset)."""
+    if lo is None or hi is None:
+        return []
+    lo, hi = (dt.datetime.fromisoformat(str(v).replace("Z", "")) if not isinstance(v, dt.datetime) else v
+              for v in (lo, hi))
+    out, (y, m) = [], (lo.year, lo.month)
+    while (y, m) <= (hi.year, hi.month):
+        out.append((y, m))
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return out
+
+
+def refresh_gold(spark: SparkSession, paths: dict[str, str], rec: EventRecorder | None = None,
+                 months: list[tuple[int, int]] | None = None) -> None:
+    """Refresh the marts through per-month partial aggregates.
+
+    ``months=None`` rebuilds all partials; otherwise only the partial
+    partitions of ``months`` are recomputed (silver scans prune every other
+    month) and replaced (dynamic partition overwrite). The marts are then
+    re-aggregated from the partials, which are small (per day / hour x pickup
+    location x source), joined to the current zones.
+    """
     zones = spark.read.parquet(paths["silver.zone_lookup"])
-    gold = all_marts(silver, zones)
-
-    def write_mart(name: str) -> None:
+    small = is_small(zones)
+    specs = mart_specs()
+    s = flow_session(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"} if months else None)
+    silver_s = {t: s.read.parquet(paths[f"silver.{t}_trips"]) for t in config.TAXI_TYPES}
+
+    def one(name: str) -> None:
+        spec = specs[name]
+        t0 = time.time()
+        if months is None or months:
+            parts = mart_partials(spec, silver_s, months)
+            write_rebalanced(parts, paths[f"gold._partials.{name}"], ["pickup_year", "pickup_month"])
+        parts_all = spark.read.parquet(paths[f"gold._partials.{name}"])
         obs = Observation(f"gold_{name}")
-        out = gold[name].observe(obs, F.count(F.lit(1)).alias("rows"))
-        secs = _timed_write(lambda: write_clustered(out, paths[f"gold.{name}"], config.MART_CLUSTER[name]))
-        rec.flow(f"gold.{name}", obs.get["rows"], secs)
+        out = from_partials(spec, parts_all, zones if spec.zones else None, small).observe(
+            obs, F.count(F.lit(1)).alias("rows"))
+        write_clustered(out, paths[f"gold.{name}"], config.MART_CLUSTER[name])
+        if rec is not None:
+            rec.flow(f"gold.{name}", obs.get["rows"], time.time() - t0)
+
+    _run_all(one, specs, concurrent=True)
+
 
-    _run_all(write_mart, gold, concurrent=True)
+def table_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
+
+
+def _gold_and_audit(spark: SparkSession, paths: dict[str, str], rec: EventRecorder, as_of=None,
+                    months: list[tuple[int, int]] | None = None) -> None:
+    refresh_gold(spark, paths, rec, months)
     rec.update("COMPLETED", rec.run_type)
     audit.events_from_records(spark, rec.records).write.mode("append").parquet(paths["audit.event_log"])
     ev = spark.read.parquet(paths["audit.event_log"])
@@ -261,13 +311,19 @@ def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw:
         bronze_stream = s.readStream.schema(s.read.parquet(bronze_path).schema).parquet(bronze_path)
         r = ingest.silver_flow(bronze_stream, t, paths[f"silver.{t}_trips"], os.path.join(ck, f"silver_{t}"), as_of)
         rec.flow(f"silver.{t}_trips", r.num_output_rows, r.seconds, r.observed.get("metrics"))
+        with lock:
+            touched.update(months_between(r.min_pickup, r.max_pickup))
 
+    touched: set[tuple[int, int]] = set()
+    lock = threading.Lock()
     _run_all(run, config.TAXI_TYPES, concurrent=True)
     qraw = {t: read_stream(spark, landing[t], RAW_SCHEMAS[t], max_files_per_trigger=max_files_per_trigger)
             for t in config.TAXI_TYPES}
     for t, r in ingest.quarantine_flows(qraw, paths["silver.quarantine_trips"], ck, as_of).items():
         rec.flow(f"silver.quarantine_{t}", r.num_output_rows, r.seconds)
-    _gold_and_audit(spark, paths, rec, as_of)
+    # first run: build every partial; later runs: only the months new rows fell in
+    first = not all(table_exists(spark, paths[f"gold._partials.{m}"]) for m in config.MART_DDL)
+    _gold_and_audit(spark, paths, rec, as_of, None if first else sorted(touched))
     return paths
 
 

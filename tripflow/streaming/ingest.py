@@ -38,6 +38,8 @@ class FlowResult:
     dropped_by_watermark: int = 0
     dropped_duplicates: int = 0
     progresses: list = field(default_factory=list, repr=False)
+    min_pickup: object = None
+    max_pickup: object = None
 
 
 def _sum_observed(progresses, name: str) -> dict:
@@ -47,7 +49,8 @@ def _sum_observed(progresses, name: str) -> dict:
         if row is None:
             continue
         for k, v in row.asDict().items():
-            total[k] = total.get(k, 0) + (v or 0)
+            if isinstance(v, (int, float)) or v is None:
+                total[k] = total.get(k, 0) + (v or 0)
     return total
 
 
@@ -112,7 +115,9 @@ def silver_stream_frame(bronze_stream: DataFrame, taxi_type: str, as_of=None,
     deduped = dedup_stream(conf, config.DEDUP_KEYS[taxi_type], "pickup_datetime", delay)
     observed = observe_rules(deduped, rules, f"silver_{taxi_type}")
     kept = apply_rules(observed, rules)
-    return kept.observe(f"silver_{taxi_type}_out", F.count(F.lit(1)).alias("rows")), rules
+    return kept.observe(f"silver_{taxi_type}_out", F.count(F.lit(1)).alias("rows"),
+                        F.min("pickup_datetime").alias("min_pickup"),
+                        F.max("pickup_datetime").alias("max_pickup")), rules
 
 
 def silver_flow(bronze_stream: DataFrame, taxi_type: str, sink: str, checkpoint: str,
@@ -122,7 +127,12 @@ def silver_flow(bronze_stream: DataFrame, taxi_type: str, sink: str, checkpoint:
                             partition_cols=config.SILVER_PARTITIONS[taxi_type] if partitioned else None,
                             observe_name=f"silver_{taxi_type}")
     res.observed["metrics"] = metrics_from_observed(res.observed, rules)
-    res.num_output_rows = int(_sum_observed(res.progresses, f"silver_{taxi_type}_out").get("rows", 0))
+    out_name = f"silver_{taxi_type}_out"
+    res.num_output_rows = int(_sum_observed(res.progresses, out_name).get("rows", 0))
+    rows = [p.observedMetrics[out_name] for p in res.progresses if out_name in (p.observedMetrics or {})]
+    lows = [r["min_pickup"] for r in rows if r["min_pickup"] is not None]
+    highs = [r["max_pickup"] for r in rows if r["max_pickup"] is not None]
+    res.min_pickup, res.max_pickup = (min(lows) if lows else None), (max(highs) if highs else None)
     return res
 
 
