@@ -136,3 +136,12 @@ def test_incremental_gold_refresh_touches_only_new_months(spark, scratch):
         assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0, m
     daily = _t(spark, paths, "gold.daily_borough_metrics")
     assert daily.filter("trip_date = DATE'2024-02-03' AND taxi_type = 'yellow'").agg(F.sum("trip_count")).first()[0] == 5
+
+
+def test_silver_rows_are_conformed_bronze_rows(spark, batch):
+    from tripflow.operators.conform import conform_trips
+    for t in config.TAXI_TYPES:
+        silver = _t(spark, batch, f"silver.{t}_trips").drop("_created_at")
+        conformed = conform_trips(_t(spark, batch, f"bronze.{t}_trips_raw"), t).drop("_created_at")
+        cols = sorted(silver.columns)
+        assert silver.select(cols).exceptAll(conformed.select(cols)).count() == 0, t

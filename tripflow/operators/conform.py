@@ -25,14 +25,19 @@ def conform_trips(df: DataFrame, taxi_type: str, as_of=None) -> DataFrame:
     ``trip_duration_mins`` and ``_created_at``; every raw column passes
     through under its conformed name.
     """
-    out = rename(df, config.RENAMES[taxi_type])
-    return out.withColumns({
-        "taxi_type": F.lit(taxi_type),
-        "pickup_year": F.year("pickup_datetime"),
-        "pickup_month": F.month("pickup_datetime"),
-        "trip_duration_mins": duration_minutes("dropoff_datetime", "pickup_datetime"),
-        "_created_at": processing_time(as_of),
-    })
+    lower = {k.lower(): v for k, v in config.RENAMES[taxi_type].items()}
+    names = {c: lower.get(c.lower(), c) for c in df.columns}   # raw -> conformed
+    raw = {v: k for k, v in names.items()}                      # conformed -> raw
+    pickup, dropoff = F.col(raw["pickup_datetime"]), F.col(raw["dropoff_datetime"])
+    # one projection: renames and derived columns together
+    return df.select(
+        *[F.col(c).alias(n) for c, n in names.items()],
+        F.lit(taxi_type).alias("taxi_type"),
+        F.year(pickup).alias("pickup_year"),
+        F.month(pickup).alias("pickup_month"),
+        duration_minutes(dropoff, pickup).alias("trip_duration_mins"),
+        processing_time(as_of).alias("_created_at"),
+    )
 
 
 def conform_for_quarantine(df: DataFrame, taxi_type: str) -> DataFrame:

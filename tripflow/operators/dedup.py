@@ -7,7 +7,9 @@ aggregate runs partially on the map side before the shuffle, so a hot key
 (even a third of all rows) reaches the reducer as one row per map task; a
 window ``row_number`` would instead sort the whole hot group in one task.
 Every key contains the event time itself, so on data that is not late the
-batch result equals the streaming result.
+batch result equals the streaming result. (Spark plans its own
+``dropDuplicates(keys)`` the same way, partial + final sort aggregate, but
+keeps an arbitrary survivor; ours is deterministic.)
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ def dedup_batch(df: DataFrame, keys: list[str], tie_break: list[str] | None = No
     rest = [c for c in df.columns if c not in keys]
     order = list(tie_break or []) + [c for c in rest if c not in (tie_break or [])]
     survivors = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias(_ROW))
-    return survivors.select(*keys, *[F.col(f"{_ROW}.{c}").alias(c) for c in order]).select(*df.columns)
+    return survivors.select(*[F.col(c) if c in keys else F.col(f"{_ROW}.{c}").alias(c) for c in df.columns])
 
 
 def dedup_stream(df: DataFrame, keys: list[str], event_time: str = "pickup_datetime",
