@@ -121,7 +121,7 @@ def evolve_stream_schema(spark: SparkSession, landing: str, location: str,
     base = known or (schema_of(initial) if initial is not None else None)
     merged = merge_schema(base, seen) if base is not None else seen
     if known is None or len(merged.fields) != len(known.fields):
-        version = 0 if known is None else len(spark.read.text(location).collect())
+        version = 0 if known is None else spark.read.text(location).count()
         save_schema(spark, location, merged, version)
     return merged
 
