@@ -83,3 +83,21 @@ def test_parquet_rescue_keeps_drifted_values(spark, scratch):
     assert (out["a"].id, out["a"].amount, out["a"]._rescued_data) == (1, 2.5, None)
     assert (out["b"].id, out["b"].amount, out["b"]._rescued_data) == (2, 3.5, '{"extra":"x"}')
     assert (out["c"].id, out["c"].amount, out["c"]._rescued_data) == (None, None, '{"id":"n/a"}')
+
+
+def test_task_code_needs_no_package_on_executors(tmp_path):
+    """Python run inside tasks (the parquet rescue reader) must not import
+    tripflow on the workers: run from a directory where it isn't importable."""
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
+        "import __spark_entry__ as E\n"
+        "print('ROWS', E.queries()['rescued_parquet'](s, %r).count())\n" % (repo, SF_SMALL))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True,
+                         text=True, timeout=600)
+    assert "ROWS 214" in out.stdout, out.stderr[-3000:]

@@ -165,50 +165,6 @@ def rescue(df_text: DataFrame, schema) -> DataFrame:
     return df_text.select(*typed, F.when(any_bad, payload).alias("_rescued_data"))
 
 
-def _type_and_rescue(raw, fields: list[tuple[str, str]]):
-    """pandas helper for one batch: cast each declared column (NULL where a
-    non-NULL value does not fit) and collect the misfits, plus columns not
-    declared, as a JSON object per row."""
-    import pandas as pd
-
-    lower = {c.lower(): c for c in raw.columns}
-    declared = {n.lower() for n, _ in fields}
-    out = {}
-    bad_cols = []
-    for name, typ in fields:
-        src = lower.get(name.lower())
-        if src is None:
-            out[name] = pd.Series([None] * len(raw), dtype="object")
-            continue
-        col = raw[src]
-        if typ in ("bigint", "int", "smallint", "tinyint"):
-            num = pd.to_numeric(col, errors="coerce")
-            fits = num.notna() & (num == num.round())
-            typed = num.where(fits).astype("Int64")
-        elif typ in ("double", "float"):
-            typed = pd.to_numeric(col, errors="coerce").astype("float64")
-        elif typ.startswith("timestamp"):
-            typed = pd.to_datetime(col, errors="coerce")
-        else:
-            typed = col.where(col.isna(), col.astype(str))
-        out[name] = typed
-        bad_cols.append((src, col.notna() & typed.isna()))
-    for c in raw.columns:
-        if c.lower() not in declared:
-            bad_cols.append((c, raw[c].notna()))
-    frame = pd.DataFrame(out)
-    rescued = [None] * len(raw)
-    if bad_cols:
-        any_bad = bad_cols[0][1].copy()
-        for _, m in bad_cols[1:]:
-            any_bad |= m
-        for i in any_bad[any_bad].index:
-            rescued[i] = json.dumps({c: str(raw.at[i, c]) for c, m in bad_cols if m.at[i]},
-                                    separators=(",", ":"))
-    frame["_rescued_data"] = rescued
-    return frame
-
-
 def read_parquet_rescued(spark: SparkSession, path: str, schema, batch_rows: int = 65536) -> DataFrame:
     """Read parquet files whose column types drifted from ``schema`` without
     failing and without losing values (``_rescued_data``).
@@ -226,13 +182,61 @@ def read_parquet_rescued(spark: SparkSession, path: str, schema, batch_rows: int
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", "*.parquet").load(path).select("path"))
 
+    # Everything the tasks run is nested here, so it is shipped by value:
+    # executors need pandas and pyarrow, not this package.
     def read(batches):
+        import json
+
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
+
+        def type_and_rescue(raw):
+            """pandas helper for one batch: cast each declared column (NULL where a
+            non-NULL value does not fit) and collect the misfits, plus columns not
+            declared, as a JSON object per row."""
+            import pandas as pd
+
+            lower = {c.lower(): c for c in raw.columns}
+            declared = {n.lower() for n, _ in fields}
+            out = {}
+            bad_cols = []
+            for name, typ in fields:
+                src = lower.get(name.lower())
+                if src is None:
+                    out[name] = pd.Series([None] * len(raw), dtype="object")
+                    continue
+                col = raw[src]
+                if typ in ("bigint", "int", "smallint", "tinyint"):
+                    num = pd.to_numeric(col, errors="coerce")
+                    fits = num.notna() & (num == num.round())
+                    typed = num.where(fits).astype("Int64")
+                elif typ in ("double", "float"):
+                    typed = pd.to_numeric(col, errors="coerce").astype("float64")
+                elif typ.startswith("timestamp"):
+                    typed = pd.to_datetime(col, errors="coerce")
+                else:
+                    typed = col.where(col.isna(), col.astype(str))
+                out[name] = typed
+                bad_cols.append((src, col.notna() & typed.isna()))
+            for c in raw.columns:
+                if c.lower() not in declared:
+                    bad_cols.append((c, raw[c].notna()))
+            frame = pd.DataFrame(out)
+            rescued = [None] * len(raw)
+            if bad_cols:
+                any_bad = bad_cols[0][1].copy()
+                for _, m in bad_cols[1:]:
+                    any_bad |= m
+                for i in any_bad[any_bad].index:
+                    rescued[i] = json.dumps({c: str(raw.at[i, c]) for c, m in bad_cols if m.at[i]},
+                                            separators=(",", ":"))
+            frame["_rescued_data"] = rescued
+            return frame
+
         for pdf in batches:
             for p in pdf["path"]:
                 fs, local = pafs.FileSystem.from_uri(p)
                 for rb in pq.ParquetFile(local, filesystem=fs).iter_batches(batch_size=batch_rows):
-                    yield _type_and_rescue(rb.to_pandas(), fields)
+                    yield type_and_rescue(rb.to_pandas())
 
     return files.mapInPandas(read, out_schema)
