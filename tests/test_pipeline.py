@@ -117,14 +117,14 @@ def test_incremental_gold_refresh_touches_only_new_months(spark, scratch):
         write_landing(fixtures.raw_trips(spark, SF_SMALL, t), landing[t], files=1)
     root = os.path.join(scratch, "tables")
     zones = fixtures.raw_zones(spark, SF_SMALL)
-    paths = run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF)
+    paths = run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF, flow_confs={})
     jan = sorted(glob.glob(f"{paths['gold._partials.daily_borough_metrics']}/pickup_year=2024/pickup_month=1/*.parquet"))
     mtimes = {f: os.path.getmtime(f) for f in jan}
     feb = dt.datetime(2024, 2, 3, 9, 30)
     rows = [(feb + dt.timedelta(minutes=i), feb + dt.timedelta(minutes=i + 12), 10 + i, 20, 1, 1, 2.0, 9.0, 11.0, 1)
             for i in range(5)]
     spark.createDataFrame(rows, RAW_SCHEMAS["yellow"]).coalesce(1).write.mode("append").parquet(landing["yellow"])
-    run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF)
+    run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF, flow_confs={})
     assert {f: os.path.getmtime(f) for f in jan} == mtimes           # January untouched
     assert glob.glob(f"{paths['gold._partials.daily_borough_metrics']}/pickup_year=2024/pickup_month=2/*.parquet")
     incremental = {m: _t(spark, paths, f"gold.{m}") for m in config.MART_DDL}

@@ -18,11 +18,6 @@ def is_small(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def zone_side(zones: DataFrame, small: bool | None = None) -> DataFrame:
     """The zone columns marts need, broadcast when proven small."""
     z = zones.select("location_id", "borough", "zone_name")

@@ -34,6 +34,9 @@ CHANGE_OLD_BEFORE = "2024-01-20 12:00:00"  # earlier version saw trips before th
 CHANGE_NEW_FROM = "2024-01-02 00:00:00"    # later version no longer has the first day
 EVOLVED_FROM = "2024-01-16 00:00:00"   # files from here on carry an extra column
 TOP_N = 20
+# State partitions of the registered stream runs: the session's shuffle
+# partitions (the production flow conf pins 800, sized for a cluster).
+STREAM_FLOW_CONF: dict = {}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -281,6 +284,25 @@ def q_pipeline_dq_log(spark, sf):
         "dataset_name", "expectation_name", "passed_records", "failed_records", "pass_rate_pct", "data_layer")
 
 
+def q_gold_daily_incremental(spark, sf):
+    """Daily mart after two incremental stream updates: trips land in two
+    batches (before / from EVOLVED_FROM); the second update refreshes only
+    the months it touched through the monthly partials."""
+    from tripflow.plans.pipeline import run_stream_pipeline, write_landing
+    base = work_path(spark, "incremental")
+    raw = fixtures.all_raw_trips(spark, sf)
+    landing = {t: os.path.join(base, "landing", t) for t in config.TAXI_TYPES}
+    early = {t: F.coalesce(F.col(config.BRONZE_CLUSTER[t]) < F.lit(EVOLVED_FROM).cast("timestamp_ntz"),
+                           F.lit(True)) for t in config.TAXI_TYPES}
+    zones = fixtures.raw_zones(spark, sf)
+    root = os.path.join(base, "tables")
+    for stage in (True, False):
+        for t in config.TAXI_TYPES:
+            write_landing(raw[t].filter(early[t] if stage else ~early[t]), landing[t])
+        paths = run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF, flow_confs=STREAM_FLOW_CONF)
+    return spark.read.parquet(paths["gold.daily_borough_metrics"])
+
+
 def q_schema_evolution_union(spark, sf):
     """Yellow landing files written in two schema generations (later files
     add ``airport_fee``), read back with merged schemas."""
@@ -356,4 +378,5 @@ def queries() -> dict[str, Query]:
     q["compaction_roundtrip"] = q_compaction_roundtrip
     q["stream_ingest"] = q_stream_ingest
     q["pipeline_dq_log"] = q_pipeline_dq_log
+    q["gold_daily_incremental"] = q_gold_daily_incremental
     return q

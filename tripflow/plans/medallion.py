@@ -11,11 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow import config
 from tripflow.functions.rules import RULES
 from tripflow.operators.conform import conform_for_quarantine, conform_trips, conform_zones
 from tripflow.operators.dedup import dedup_trips
-from tripflow.operators.marts import all_marts
 from tripflow.operators.quality import apply_rules, rule_metrics
 from tripflow.operators.quarantine import quarantine_trips
 
@@ -60,10 +58,3 @@ def quarantine(bronze_df: DataFrame, taxi_type: str, as_of=None, complete: bool
     conf = conform_trips(bronze_df, taxi_type) if complete else conform_for_quarantine(bronze_df, taxi_type)
     return quarantine_trips(conf, taxi_type, as_of, complete)
 
-
-def silver_all(raw: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
-    return {t: silver(bronze(raw[t]), t, as_of) for t in config.TAXI_TYPES}
-
-
-def gold_all(silver_tables: dict[str, DataFrame], zones: DataFrame) -> dict[str, DataFrame]:
-    return all_marts(silver_tables, zones)

@@ -252,6 +252,7 @@ def _final_selects() -> dict[str, str]:
         _quarantine_select(t, reasons_from_rules(RULES[t]), ts(C.AS_OF), complete=True) for t in config.TAXI_TYPES)
     q["gold_daily_borough"] = "SELECT * FROM daily"
     q["gold_hourly_demand"] = "SELECT * FROM hourly"
+    q["gold_daily_incremental"] = "SELECT * FROM daily"
     q["gold_airport"] = "SELECT * FROM airport"
     q["gold_zone_revenue"] = "SELECT * FROM zonerev"
     q["gold_payment_trends"] = "SELECT * FROM payment"

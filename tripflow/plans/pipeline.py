@@ -100,10 +100,10 @@ class EventRecorder:
                                  "details": details})
 
     def flow(self, name: str, rows: int | None, seconds: float, metrics: list[dict] | None = None,
-             status: str = "COMPLETED"):
+             status: str = "COMPLETED", extra_metrics: dict | None = None):
         exps = [{"name": m["rule_name"], "dataset": m["dataset"], "passed_records": m["passed_records"],
                  "failed_records": m["failed_records"]} for m in (metrics or [])]
-        self._add("flow_progress", audit.flow_details(name, status, rows, round(seconds, 3), exps))
+        self._add("flow_progress", audit.flow_details(name, status, rows, round(seconds, 3), exps, extra_metrics))
 
     def error(self, name: str, message: str):
         self._add("flow_progress", audit.flow_details(name, "FAILED"), level="ERROR", message=message)
@@ -290,9 +290,17 @@ def write_landing(df: DataFrame, path: str, files: int = 1, mode: str = "append"
 
 
 def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw: DataFrame, root: str,
-                        as_of=None, max_files_per_trigger: int | None = None) -> dict[str, str]:
+                        as_of=None, max_files_per_trigger: int | None = None,
+                        flow_confs: dict | None = None) -> dict[str, str]:
     """Incremental update: each flow consumes only files it has not seen
-    (checkpointed), then gold and audit are recomputed from silver."""
+    (checkpointed), then gold and audit are refreshed from silver.
+
+    ``flow_confs`` (default ``config.FLOW_CONF``) are per-flow cluster
+    settings. In a stateful stream the shuffle partition count is fixed at the
+    checkpoint's first run and is the number of state-store partitions, so
+    choose it for the target cluster before the first run (AQE does not
+    resize streaming shuffles)."""
+    confs = config.FLOW_CONF if flow_confs is None else flow_confs
     paths = table_paths(root)
     ck = paths["_checkpoints"]
     rec = EventRecorder(uuid.uuid4().hex[:12])
@@ -302,7 +310,7 @@ def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw:
     zconf = conform_zones(spark.read.parquet(paths["bronze.zone_lookup_raw"]), as_of)
     apply_rules(zconf, RULES["zone"]).coalesce(1).write.mode("overwrite").parquet(paths["silver.zone_lookup"])
     def run(t: str) -> None:
-        s = flow_session(spark, config.FLOW_CONF.get(t))
+        s = flow_session(spark, confs.get(t))
         raw = read_stream(s, landing[t], RAW_SCHEMAS[t], max_files_per_trigger=max_files_per_trigger)
         r = ingest.bronze_flow(raw, t, paths[f"bronze.{t}_trips_raw"], os.path.join(ck, f"bronze_{t}"))
         rec.flow(f"bronze.{t}_trips_raw", r.num_output_rows, r.seconds,
@@ -310,7 +318,9 @@ def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw:
         bronze_path = paths[f"bronze.{t}_trips_raw"]
         bronze_stream = s.readStream.schema(s.read.parquet(bronze_path).schema).parquet(bronze_path)
         r = ingest.silver_flow(bronze_stream, t, paths[f"silver.{t}_trips"], os.path.join(ck, f"silver_{t}"), as_of)
-        rec.flow(f"silver.{t}_trips", r.num_output_rows, r.seconds, r.observed.get("metrics"))
+        rec.flow(f"silver.{t}_trips", r.num_output_rows, r.seconds, r.observed.get("metrics"),
+                 extra_metrics={"num_rows_dropped_by_watermark": r.dropped_by_watermark,
+                                "num_dropped_duplicate_rows": r.dropped_duplicates})
         with lock:
             touched.update(months_between(r.min_pickup, r.max_pickup))
 
