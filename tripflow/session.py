@@ -25,6 +25,23 @@ BASE_CONF = {
 }
 
 
+# Starting point for a large cluster (~100 TB input, ~1000 executors): plenty
+# of initial shuffle partitions that AQE coalesces to ~256 MB each, skewed
+# partitions split, 256 MB scan splits, Kryo, and a bigger broadcast bound
+# only for tables proven small by tripflow's own check.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.aggregatePushdown": "true",
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tripflow", extra: dict | None = None) -> SparkSession:
     """Return (or create) a session with tripflow's base configuration.
