@@ -2,8 +2,10 @@
 
 All rules of a set are evaluated in one projection; metrics come from one
 aggregate pass (``count_if`` per rule), unpivoted to one row per rule, so
-their cost is one scan regardless of the number of rules. In streams the same
-counts are collected with ``observe`` per micro-batch.
+their cost is one scan regardless of the number of rules. In streams and on
+pipeline writes the same counts ride along with ``observe`` (no extra scan).
+Observed counts are monitoring figures: a stage re-run after a lost executor
+may count some rows twice. ``rule_metrics`` is the exact, auditable form.
 """
 
 from __future__ import annotations

@@ -3,9 +3,12 @@ rescued data and the CSV trip sample format."""
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from functools import reduce
 
+from pyspark.errors import AnalysisException
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,41 +91,56 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    """Latest schema recorded at ``location`` (NULL when none yet)."""
+def _schema_log(spark: SparkSession, location: str) -> list[tuple[int, str, T.StructType]]:
+    """Entries (version, checked_at, schema) recorded at ``location``."""
     try:
-        rows = spark.read.text(location).collect()  # one line per recorded version
-    except Exception:  # noqa: BLE001 - nothing recorded yet
-        return None
-    if not rows:
-        return None
-    latest = max(rows, key=lambda r: int(r.value.split("\t", 1)[0]))
-    return T.StructType.fromJson(json.loads(latest.value.split("\t", 1)[1]))
+        lines = [r.value for r in spark.read.text(location).collect()]  # one short line per check
+    except AnalysisException:  # nothing recorded yet
+        return []
+    out = []
+    for line in lines:
+        version, checked_at, js = line.split("\t", 2)
+        out.append((int(version), checked_at, T.StructType.fromJson(json.loads(js))))
+    return sorted(out, key=lambda e: (e[0], e[1]))
 
 
-def save_schema(spark: SparkSession, location: str, schema: T.StructType, version: int) -> None:
-    line = f"{version}\t{json.dumps(schema.jsonValue())}"
-    spark.createDataFrame([(line,)], "value STRING").coalesce(1).write.mode("append").text(location)
+def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
+    """Latest schema recorded at ``location`` (None when none yet)."""
+    log = _schema_log(spark, location)
+    return log[-1][2] if log else None
 
 
-def evolve_stream_schema(spark: SparkSession, landing: str, location: str,
-                         initial=None) -> T.StructType:
+def evolve_stream_schema(spark: SparkSession, landing: str, location: str, initial=None,
+                         margin_minutes: int = 30) -> T.StructType:
     """Schema for the next start of a file stream over ``landing``.
 
-    The landing files' footers are merged (a distributed Spark job when there
-    are many files) and the result is merged additively into the schema
-    recorded at ``location`` (the stream's schema location, next to its
-    checkpoint). A grown schema is recorded as a new version; the stream is
-    then restarted with it and the same checkpoint: old files read NULL in the
-    new columns, new files carry them.
+    Footers are merged (a distributed Spark job) only for files modified since
+    the previous check (minus a margin for clock skew), and the result is
+    merged additively into the schema recorded at ``location`` (the stream's
+    schema location, next to its checkpoint). Each check appends one line
+    (version, time, schema); the version grows only with the schema. The
+    stream is then restarted with the returned schema and the same
+    checkpoint: old files read NULL in new columns, new files carry them.
     """
-    known = load_schema(spark, location)
-    seen = spark.read.option("mergeSchema", True).parquet(landing).schema
-    base = known or (schema_of(initial) if initial is not None else None)
-    merged = merge_schema(base, seen) if base is not None else seen
-    if known is None or len(merged.fields) != len(known.fields):
-        version = 0 if known is None else spark.read.text(location).count()
-        save_schema(spark, location, merged, version)
+    log = _schema_log(spark, location)
+    known = log[-1][2] if log else (schema_of(initial) if initial is not None else None)
+    version = log[-1][0] if log else 0
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    reader = spark.read.option("mergeSchema", True)
+    if log:
+        since = dt.datetime.fromisoformat(log[-1][1]) - dt.timedelta(minutes=margin_minutes)
+        reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
+    try:
+        seen = reader.parquet(landing).schema
+    except AnalysisException:  # no new files since the last check
+        seen = None
+    merged = known if seen is None else (merge_schema(known, seen) if known is not None else seen)
+    if merged is None:
+        raise ValueError(f"no schema known or inferable for {landing}")
+    if log and len(merged.fields) != len(known.fields):
+        version += 1
+    line = f"{version}\t{now.isoformat()}\t{json.dumps(merged.jsonValue())}"
+    spark.createDataFrame([(line,)], "value STRING").coalesce(1).write.mode("append").text(location)
     return merged
 
 
