@@ -212,3 +212,17 @@ def test_error_classification(spark):
                      ("2", T0, "flow_progress", "ERROR", "Schema permission", "{}")])
     got = {r.event_id: (r.error_category, r.severity) for r in audit.error_log(ev).collect()}
     assert got == {"1": ("SCHEMA", "CRITICAL"), "2": ("PERMISSION", "HIGH")}
+
+
+def test_null_codes_excluded_from_code_marts(spark):
+    green_schema = RAW_SCHEMAS["green"]
+    rows = [(T0, T0 + dt.timedelta(minutes=5), 10, 20, 1, 1, 1.0, 5.0, 6.0, pay, tt)
+            for pay, tt in [(0, 1), (5, 2), (None, 3), (1, None)]]
+    silver = {t: M.silver(M.bronze(spark.createDataFrame([], RAW_SCHEMAS[t])), t) for t in config.TAXI_TYPES}
+    green = spark.createDataFrame([(r[0] + dt.timedelta(seconds=i),) + r[1:] for i, r in enumerate(rows)],
+                                  green_schema)
+    silver["green"] = M.silver(M.bronze(green), "green")
+    pay = {r.payment_type: r.trip_count for r in marts.payment_trends(silver).collect()}
+    assert pay == {0: 1, 5: 1, 1: 1}                                   # NULL payment excluded
+    tt = {r.trip_type: r.trip_type_desc for r in marts.trip_type_summary(silver, _zones(spark)).collect()}
+    assert tt == {1: "Street-hail", 2: "Dispatch", 3: "Unknown"}      # NULL trip_type excluded
