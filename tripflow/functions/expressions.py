@@ -78,5 +78,7 @@ def exact_sum(c: str | Column, decimal_type: str = config.EXACT_MEASURE) -> Colu
 
 
 def reasons_vector(reasons: dict[str, str]) -> Column:
-    """Ordered ', '-joined names of every reason whose condition is TRUE."""
-    return F.concat_ws(", ", *[F.when(F.expr(cond), F.lit(name)) for name, cond in reasons.items()])
+    """Ordered ', '-joined names of every reason whose condition is TRUE
+    (a NULL condition adds nothing)."""
+    parts = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in reasons.items())
+    return F.expr(f"concat_ws(', ', {parts})")

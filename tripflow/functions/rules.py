@@ -23,9 +23,13 @@ class Rule:
     predicate: str
     action: str = WARN
 
+    @property
+    def passed_sql(self) -> str:
+        return f"coalesce(({self.predicate}), false)"
+
     def passed(self) -> Column:
         """TRUE iff the row satisfies the rule (NULL predicate -> FALSE)."""
-        return F.coalesce(F.expr(self.predicate), F.lit(False))
+        return F.expr(self.passed_sql)
 
 
 @dataclass(frozen=True)

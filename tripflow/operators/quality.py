@@ -19,10 +19,9 @@ METRIC_SCHEMA = "dataset STRING, rule_name STRING, action STRING, passed_records
 
 
 def all_pass(rules) -> Column:
-    cond = F.lit(True)
-    for r in rules:
-        cond = cond & r.passed()
-    return cond
+    """TRUE iff every rule is TRUE (one expression for the whole set)."""
+    rules = list(rules)
+    return F.expr(" AND ".join(r.passed_sql for r in rules)) if rules else F.lit(True)
 
 
 def apply_rules(df: DataFrame, rules: RuleSet) -> DataFrame:
