@@ -303,6 +303,17 @@ def q_gold_daily_incremental(spark, sf):
     return spark.read.parquet(paths["gold.daily_borough_metrics"])
 
 
+def q_csv_trip_scan(spark, sf):
+    """Yellow raw trips as a headered CSV in the 9-column sample format (ISO
+    timestamps), read back with the declared schema."""
+    from tripflow.sources.files import SAMPLE_CSV_SCHEMA, read_trip_csv
+    path = work_path(spark, "csv_trips")
+    cols = [f.split(" ")[0] for f in SAMPLE_CSV_SCHEMA.split(", ")]
+    (fixtures.raw_trips(spark, sf, "yellow").select(*cols).write.option("header", True)
+     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path))
+    return read_trip_csv(spark, path)
+
+
 def q_schema_evolution_union(spark, sf):
     """Yellow landing files written in two schema generations (later files
     add ``airport_fee``), read back with merged schemas."""
@@ -348,6 +359,7 @@ def queries() -> dict[str, Query]:
     q["duration_minutes"] = q_duration_minutes
     q["rescued_data"] = q_rescued_data
     q["rescued_parquet"] = q_rescued_parquet
+    q["csv_trip_scan"] = q_csv_trip_scan
     q["schema_evolution_union"] = q_schema_evolution_union
     q["dq_metrics_bronze"] = q_dq_metrics_bronze
     for t in config.TAXI_TYPES:

@@ -235,6 +235,9 @@ def _final_selects() -> dict[str, str]:
         "dist AS trip_distance, fare AS fare_amount, total AS total_amount, payment_type, "
         "CASE WHEN late AND event_id % 37 = 0 THEN '{\"passenger_count\":\"n/a\"}' END AS _rescued_data "
         f"FROM (SELECT *, coalesce(pickup >= {ts(C.EVOLVED_FROM)}, false) AS late FROM base WHERE taxi_type = 'yellow')")
+    q["csv_trip_scan"] = (
+        "SELECT tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID, VendorID, passenger_count, "
+        "trip_distance, fare_amount, total_amount FROM yellow_raw")
     q["schema_evolution_union"] = (
         "SELECT *, CASE WHEN coalesce(tpep_pickup_datetime >= " + ts(C.EVOLVED_FROM) + ", false) THEN "
         f"CASE WHEN PULocationID IN ({config.JFK_LOCATION_ID}, {config.LAGUARDIA_LOCATION_ID}) THEN 1.75e0 ELSE 0.0e0 END END AS airport_fee "
