@@ -77,6 +77,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root:  # set through SparkContext.setCheckpointDir
+        root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tripflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
