@@ -86,13 +86,36 @@ TRIP_TYPE_OTHER = "Unknown"
 PAYMENT_LABELS = {1: "Credit Card", 2: "Cash", 3: "No Charge", 4: "Dispute"}
 PAYMENT_OTHER = "Unknown"
 
+# Layer of a dataset name: first substring that matches, else the fallback.
+LAYERS = ("bronze", "silver", "gold")
+LAYER_OTHER = "other"
+
 # Freshness SLA in hours by layer; the fallback is the last value.
 SLA_HOURS = {"bronze": 6, "silver": 12, "gold": 24}
 SLA_DEFAULT_HOURS = 24
+# Freshness severity: above 2x the threshold, above 1x, otherwise.
+SLA_SEVERITY = ("CRITICAL", "WARNING", "OK")
+
+# Event log vocabulary.
+EVENT_UPDATE = "update_progress"
+EVENT_FLOW = "flow_progress"
+LEVEL_ERROR = "ERROR"
+STATUS_COMPLETED = "COMPLETED"
 
 # Update states that end a run.
 TERMINAL_STATES = ("COMPLETED", "FAILED", "CANCELED")
 
+# Error category by message substring (case-sensitive), first match wins.
+ERROR_CATEGORIES = {"schema": "SCHEMA", "permission": "PERMISSION", "resource": "RESOURCE", "data": "DATA"}
+ERROR_CATEGORY_OTHER = "OTHER"
+# Error severity: any of these substrings -> CRITICAL; else any of these -> HIGH; else LOW.
+ERROR_CRITICAL_WORDS = ("FATAL", "critical")
+ERROR_HIGH_WORDS = ("schema", "permission")
+ERROR_SEVERITY = ("CRITICAL", "HIGH", "LOW")
+
+# Separator of quarantine reasons.
+REASON_SEPARATOR = ", "
+
 # Quarantine retention.
 QUARANTINE_RETENTION_DAYS = 90
 

@@ -32,10 +32,22 @@ def processing_time(as_of=None) -> Column:
 def layer_of(name: str | Column) -> Column:
     """bronze / silver / gold / other by substring, first match wins."""
     c = col_or_name(name)
-    return (F.when(c.contains("bronze"), "bronze")
-            .when(c.contains("silver"), "silver")
-            .when(c.contains("gold"), "gold")
-            .otherwise("other"))
+    return first_match(c, {layer: layer for layer in config.LAYERS}, config.LAYER_OTHER)
+
+
+def first_match(c: Column, substrings: dict[str, str], other: str) -> Column:
+    """Value of the first substring contained in ``c`` (dict order), else ``other``."""
+    out = None
+    for sub, value in substrings.items():
+        out = F.when(c.contains(sub), value) if out is None else out.when(c.contains(sub), value)
+    return out.otherwise(other)
+
+
+def contains_any(c: Column, words) -> Column:
+    cond = None
+    for w in words:
+        cond = c.contains(w) if cond is None else cond | c.contains(w)
+    return cond
 
 
 def sla_threshold_hours(name: str | Column) -> Column:
@@ -81,4 +93,4 @@ def reasons_vector(reasons: dict[str, str]) -> Column:
     """Ordered ', '-joined names of every reason whose condition is TRUE
     (a NULL condition adds nothing)."""
     parts = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in reasons.items())
-    return F.expr(f"concat_ws(', ', {parts})")
+    return F.expr(f"concat_ws('{config.REASON_SEPARATOR}', {parts})")

@@ -275,7 +275,7 @@ def q_rescued_parquet(spark, sf):
     return read_parquet_rescued(spark, base, RAW_SCHEMAS["yellow"])
 
 
-def q_pipeline_dq_log(spark, sf):
+def q_update_dq_log(spark, sf):
     """A full pipeline update; its event log's expectation results (AUD-2
     over the events the run emitted itself)."""
     from tripflow.plans.pipeline import run_batch_pipeline
@@ -389,6 +389,6 @@ def queries() -> dict[str, Query]:
     q["retention_purge"] = q_retention_purge
     q["compaction_roundtrip"] = q_compaction_roundtrip
     q["stream_ingest"] = q_stream_ingest
-    q["pipeline_dq_log"] = q_pipeline_dq_log
+    q["update_dq_log"] = q_update_dq_log
     q["gold_daily_incremental"] = q_gold_daily_incremental
     return q

@@ -360,7 +360,7 @@ def _final_selects() -> dict[str, str]:
                                 bronze_rules(t).rules, f"bronze.{t}_trips_raw") for t in config.TAXI_TYPES]
     dq_parts.append(_metrics_select("zones_conf", RULES["zone"].rules, "silver.zone_lookup"))
     dq_parts += [_metrics_select(f"{t}_dedup", RULES[t].rules, f"silver.{t}_trips") for t in config.TAXI_TYPES]
-    q["pipeline_dq_log"] = (
+    q["update_dq_log"] = (
         "SELECT dataset AS dataset_name, rule_name AS expectation_name, passed_records, failed_records, "
         + sround("CAST(passed_records AS DOUBLE) / NULLIF(passed_records + failed_records, 0) * 100")
         + f" AS pass_rate_pct, {_layer_sql('dataset')} AS data_layer FROM (" + " UNION ALL ".join(dq_parts) + ")")

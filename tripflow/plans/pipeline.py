@@ -100,16 +100,16 @@ class EventRecorder:
                                  "details": details})
 
     def flow(self, name: str, rows: int | None, seconds: float, metrics: list[dict] | None = None,
-             status: str = "COMPLETED", extra_metrics: dict | None = None):
+             status: str = config.STATUS_COMPLETED, extra_metrics: dict | None = None):
         exps = [{"name": m["rule_name"], "dataset": m["dataset"], "passed_records": m["passed_records"],
                  "failed_records": m["failed_records"]} for m in (metrics or [])]
-        self._add("flow_progress", audit.flow_details(name, status, rows, round(seconds, 3), exps, extra_metrics))
+        self._add(config.EVENT_FLOW, audit.flow_details(name, status, rows, round(seconds, 3), exps, extra_metrics))
 
     def error(self, name: str, message: str):
-        self._add("flow_progress", audit.flow_details(name, "FAILED"), level="ERROR", message=message)
+        self._add(config.EVENT_FLOW, audit.flow_details(name, "FAILED"), level=config.LEVEL_ERROR, message=message)
 
     def update(self, state: str, run_type: str):
-        self._add("update_progress", audit.update_details(
+        self._add(config.EVENT_UPDATE, audit.update_details(
             self.update_id, state, run_type, "API_CALL",
             dt.datetime.fromtimestamp(self.started, dt.timezone.utc).isoformat(), round(time.time() - self.started, 3)))
 
@@ -181,7 +181,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def _gold_and_audit(spark: SparkSession, paths: dict[str, str], rec: EventRecorder, as_of=None,
                     months: list[tuple[int, int]] | None = None) -> None:
     refresh_gold(spark, paths, rec, months)
-    rec.update("COMPLETED", rec.run_type)
+    rec.update(config.STATUS_COMPLETED, rec.run_type)
     audit.events_from_records(spark, rec.records).write.mode("append").parquet(paths["audit.event_log"])
     ev = spark.read.parquet(paths["audit.event_log"])
     views = dict(audit.AUDIT_VIEWS)
