@@ -110,7 +110,7 @@ def test_incremental_gold_refresh_touches_only_new_months(spark, scratch):
     rebuilt, January's files stay as they were, marts equal a full rebuild."""
     import datetime as dt
     import glob
-    from tripflow.plans.pipeline import refresh_gold, table_paths
+    from tripflow.plans.pipeline import refresh_gold
     from tripflow.sources.files import RAW_SCHEMAS
     landing = {t: os.path.join(scratch, "landing", t) for t in config.TAXI_TYPES}
     for t in config.TAXI_TYPES:

@@ -15,10 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow import config
-from tripflow.functions.rules import RULES
 from tripflow.operators import audit, serving, storage
 from tripflow.operators.conform import conform_trips
-from tripflow.operators.dedup import dedup_trips
 from tripflow.operators.marts import MARTS, all_marts, union_all
 from tripflow.operators.joins import is_small
 from tripflow.plans import medallion as M
