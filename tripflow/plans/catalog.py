@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripflow import config
 from tripflow.operators import audit, serving, storage
 from tripflow.operators.conform import conform_trips
-from tripflow.operators.marts import MARTS, all_marts, union_all
+from tripflow.operators.marts import MARTS, all_marts, build, specs, union_all
 from tripflow.operators.joins import is_small
 from tripflow.plans import medallion as M
 from tripflow.session import work_path
@@ -66,23 +66,11 @@ def _zones(spark, sf):
     return M.silver_zones(fixtures.raw_zones(spark, sf), AS_OF)
 
 
-MART_SOURCES = {
-    "daily_borough_metrics": ("yellow", "green", "fhvheavy"),
-    "hourly_demand": config.TAXI_TYPES,
-    "airport_metrics": config.TAXI_TYPES,
-    "zone_revenue": ("yellow", "green", "fhvheavy"),
-    "payment_trends": ("yellow", "green"),
-    "trip_type_summary": ("green",),
-}
-
-
 def _mart(name):
     def q(spark, sf):
-        s = _silver_all(spark, sf, MART_SOURCES[name])
-        fn = MARTS[name]
-        if name in ("airport_metrics", "payment_trends"):
-            return fn(s)
-        return fn(s, _zones(spark, sf))
+        spec = specs()[name]
+        s = _silver_all(spark, sf, spec.sources)   # only the sources the mart reads
+        return build(spec, s, _zones(spark, sf) if spec.zones else None)
     return q
 
 
@@ -170,7 +158,7 @@ def q_top20(spark, sf):
 
 
 def q_smoke_counts(spark, sf):
-    s = _silver_all(spark, sf, MART_SOURCES["daily_borough_metrics"])
+    s = _silver_all(spark, sf, specs()["daily_borough_metrics"].sources)
     z = _zones(spark, sf)
     return serving.smoke_counts({
         "bronze.yellow_trips_raw": _bronze(spark, sf, "yellow"),
