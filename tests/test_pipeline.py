@@ -145,3 +145,20 @@ def test_silver_rows_are_conformed_bronze_rows(spark, batch):
         conformed = conform_trips(_t(spark, batch, f"bronze.{t}_trips_raw"), t).drop("_created_at")
         cols = sorted(silver.columns)
         assert silver.select(cols).exceptAll(conformed.select(cols)).count() == 0, t
+
+
+def test_failed_flow_is_logged_as_error(spark, scratch):
+    """A source whose raw frame lacks a required column fails its flow; the
+    update is recorded FAILED with an ERROR event the error view classifies."""
+    from tripflow.operators import audit
+    from tripflow.plans.pipeline import table_paths
+    raw = fixtures.all_raw_trips(spark, SF_SMALL)
+    raw["green"] = raw["green"].drop("lpep_dropoff_datetime")
+    root = os.path.join(scratch, "tables")
+    with pytest.raises(Exception):
+        run_batch_pipeline(spark, SF_SMALL, root, raw=raw, as_of=AS_OF, concurrent=False)
+    ev = spark.read.parquet(table_paths(root)["audit.event_log"])
+    errors = audit.error_log(ev).collect()
+    assert len(errors) == 1 and "silver.green_trips" in errors[0].details
+    states = {r.state for r in audit.run_log(ev).collect()}
+    assert states == {"RUNNING", "FAILED"}

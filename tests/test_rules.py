@@ -226,3 +226,18 @@ def test_null_codes_excluded_from_code_marts(spark):
     assert pay == {0: 1, 5: 1, 1: 1}                                   # NULL payment excluded
     tt = {r.trip_type: r.trip_type_desc for r in marts.trip_type_summary(silver, _zones(spark)).collect()}
     assert tt == {1: "Street-hail", 2: "Dispatch", 3: "Unknown"}      # NULL trip_type excluded
+
+
+def test_hot_key_dedup_collapses_map_side(spark):
+    """One key with 300k rows (plus a few others): one survivor per key, the
+    minimum fare; the plan pre-aggregates before the shuffle."""
+    from pyspark.sql import functions as F
+    from tripflow.operators.dedup import dedup_batch
+    hot = (spark.range(300_000)
+           .select(F.lit(1).alias("k"), (F.col("id") % 997).cast("double").alias("fare"), F.col("id")))
+    cold = spark.range(5).select((F.col("id") + 2).alias("k"), F.lit(1.0).alias("fare"), F.col("id"))
+    out = dedup_batch(hot.unionByName(cold), ["k"], ["fare", "id"])
+    got = {r.k: (r.fare, r.id) for r in out.collect()}
+    assert got[1] == (0.0, 0) and len(got) == 6
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_min") > plan.index("Exchange")   # partial below the exchange

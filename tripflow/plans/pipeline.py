@@ -108,12 +108,34 @@ class EventRecorder:
     def error(self, name: str, message: str):
         self._add(config.EVENT_FLOW, audit.flow_details(name, "FAILED"), level=config.LEVEL_ERROR, message=message)
 
+    def guard(self, fn, flow_pattern: str):
+        """``fn(item)`` that records an ERROR flow event before re-raising."""
+        def run(item):
+            try:
+                return fn(item)
+            except Exception as e:  # noqa: BLE001 - recorded, then re-raised
+                self.error(flow_pattern.format(item), f"{type(e).__name__}: {e}"[:2000])
+                raise
+        return run
+
     def update(self, state: str, run_type: str):
         self._add(config.EVENT_UPDATE, audit.update_details(
             self.update_id, state, run_type, "API_CALL",
             dt.datetime.fromtimestamp(self.started, dt.timezone.utc).isoformat(), round(time.time() - self.started, 3)))
 
 
+@contextlib.contextmanager
+def recorded_failure(spark: SparkSession, paths: dict[str, str], rec: EventRecorder):
+    """On failure: mark the update FAILED, append its events (the error
+    events included) to the event log, re-raise."""
+    try:
+        yield
+    except Exception:
+        rec.update("FAILED", rec.run_type)
+        audit.events_from_records(spark, rec.records).write.mode("append").parquet(paths["audit.event_log"])
+        raise
+
+
 def _timed_write(fn) -> float:
     t = time.time()
     fn()
@@ -262,8 +284,9 @@ def run_batch_pipeline(spark: SparkSession, sf_dir: str | None, root: str,
             s = flow_session(spark, confs.get(t))
             _source_flows(s, t, fixtures.raw_trips(s, sf_dir, t), paths, as_of, rec)
 
-    _run_all(run, config.TAXI_TYPES, concurrent and raw is None)
-    _gold_and_audit(spark, paths, rec, as_of)
+    with recorded_failure(spark, paths, rec):
+        _run_all(rec.guard(run, "silver.{}_trips"), config.TAXI_TYPES, concurrent and raw is None)
+        _gold_and_audit(spark, paths, rec, as_of)
     return paths
 
 
@@ -309,6 +332,7 @@ def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw:
     zones_raw.write.mode("overwrite").parquet(paths["bronze.zone_lookup_raw"])
     zconf = conform_zones(spark.read.parquet(paths["bronze.zone_lookup_raw"]), as_of)
     apply_rules(zconf, RULES["zone"]).coalesce(1).write.mode("overwrite").parquet(paths["silver.zone_lookup"])
+
     def run(t: str) -> None:
         s = flow_session(spark, confs.get(t))
         raw = read_stream(s, landing[t], RAW_SCHEMAS[t], max_files_per_trigger=max_files_per_trigger)
@@ -326,14 +350,15 @@ def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw:
 
     touched: set[tuple[int, int]] = set()
     lock = threading.Lock()
-    _run_all(run, config.TAXI_TYPES, concurrent=True)
-    qraw = {t: read_stream(spark, landing[t], RAW_SCHEMAS[t], max_files_per_trigger=max_files_per_trigger)
-            for t in config.TAXI_TYPES}
-    for t, r in ingest.quarantine_flows(qraw, paths["silver.quarantine_trips"], ck, as_of).items():
-        rec.flow(f"silver.quarantine_{t}", r.num_output_rows, r.seconds)
-    # first run: build every partial; later runs: only the months new rows fell in
-    first = not all(table_exists(spark, paths[f"gold._partials.{m}"]) for m in config.MART_DDL)
-    _gold_and_audit(spark, paths, rec, as_of, None if first else sorted(touched))
+    with recorded_failure(spark, paths, rec):
+        _run_all(rec.guard(run, "silver.{}_trips"), config.TAXI_TYPES, concurrent=True)
+        qraw = {t: read_stream(spark, landing[t], RAW_SCHEMAS[t], max_files_per_trigger=max_files_per_trigger)
+                for t in config.TAXI_TYPES}
+        for t, r in ingest.quarantine_flows(qraw, paths["silver.quarantine_trips"], ck, as_of).items():
+            rec.flow(f"silver.quarantine_{t}", r.num_output_rows, r.seconds)
+        # first run: build every partial; later runs: only the months new rows fell in
+        first = not all(table_exists(spark, paths[f"gold._partials.{m}"]) for m in config.MART_DDL)
+        _gold_and_audit(spark, paths, rec, as_of, None if first else sorted(touched))
     return paths
 
 
