@@ -162,3 +162,15 @@ def test_failed_flow_is_logged_as_error(spark, scratch):
     assert len(errors) == 1 and "silver.green_trips" in errors[0].details
     states = {r.state for r in audit.run_log(ev).collect()}
     assert states == {"RUNNING", "FAILED"}
+
+
+def test_flow_sessions_isolate_per_flow_confs(spark):
+    from tripflow.plans.pipeline import flow_session
+    parent = spark.conf.get("spark.sql.shuffle.partitions")
+    heavy = flow_session(spark, config.FLOW_CONF["fhvheavy"])
+    light = flow_session(spark, config.FLOW_CONF.get("green"))
+    assert heavy.conf.get("spark.sql.shuffle.partitions") == "800"
+    assert light.conf.get("spark.sql.shuffle.partitions") == parent
+    assert spark.conf.get("spark.sql.shuffle.partitions") == parent
+    assert heavy.conf.get("spark.sql.session.timeZone") == "UTC"      # parent's SQL confs carried over
+    assert heavy.sparkContext is spark.sparkContext                   # same executors
