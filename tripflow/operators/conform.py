@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow import config
-from tripflow.functions.expressions import duration_minutes, processing_time
+from tripflow.functions.expressions import processing_time
 
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -28,16 +28,17 @@ def conform_trips(df: DataFrame, taxi_type: str, as_of=None) -> DataFrame:
     lower = {k.lower(): v for k, v in config.RENAMES[taxi_type].items()}
     names = {c: lower.get(c.lower(), c) for c in df.columns}   # raw -> conformed
     raw = {v: k for k, v in names.items()}                      # conformed -> raw
-    pickup, dropoff = F.col(raw["pickup_datetime"]), F.col(raw["dropoff_datetime"])
-    # one projection: renames and derived columns together
-    return df.select(
-        *[F.col(c).alias(n) for c, n in names.items()],
-        F.lit(taxi_type).alias("taxi_type"),
-        F.year(pickup).alias("pickup_year"),
-        F.month(pickup).alias("pickup_month"),
-        duration_minutes(dropoff, pickup).alias("trip_duration_mins"),
-        processing_time(as_of).alias("_created_at"),
+    pickup, dropoff = f"`{raw['pickup_datetime']}`", f"`{raw['dropoff_datetime']}`"
+    # one projection: renames and derived columns together (duration as in
+    # functions.expressions.duration_minutes)
+    out = df.selectExpr(
+        *[f"`{c}` AS `{n}`" for c, n in names.items()],
+        f"'{taxi_type}' AS taxi_type",
+        f"year({pickup}) AS pickup_year",
+        f"month({pickup}) AS pickup_month",
+        f"round((unix_timestamp({dropoff}) - unix_timestamp({pickup})) / 60, 2) AS trip_duration_mins",
     )
+    return out.withColumn("_created_at", processing_time(as_of))
 
 
 def conform_for_quarantine(df: DataFrame, taxi_type: str) -> DataFrame:

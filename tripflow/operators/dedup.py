@@ -31,8 +31,9 @@ def dedup_batch(df: DataFrame, keys: list[str], tie_break: list[str] | None = No
     """
     rest = [c for c in df.columns if c not in keys]
     order = list(tie_break or []) + [c for c in rest if c not in (tie_break or [])]
-    survivors = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias(_ROW))
-    return survivors.select(*[F.col(c) if c in keys else F.col(f"{_ROW}.{c}").alias(c) for c in df.columns])
+    fields = ", ".join(f"`{c}`" for c in order)
+    survivors = df.groupBy(*keys).agg(F.expr(f"min(struct({fields}))").alias(_ROW))
+    return survivors.selectExpr(*[f"`{c}`" if c in keys else f"`{_ROW}`.`{c}` AS `{c}`" for c in df.columns])
 
 
 def dedup_stream(df: DataFrame, keys: list[str], event_time: str = "pickup_datetime",

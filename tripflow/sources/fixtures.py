@@ -39,7 +39,7 @@ def stream_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: int |
 
 
 def _m(n: int) -> Column:
-    return F.col("event_id") % n == 0
+    return F.expr(f"event_id % {n} = 0")
 
 
 def trip_base(events: DataFrame) -> DataFrame:
