@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow import config
-from tripflow.functions.expressions import exact, trip_type_desc
+from tripflow.functions.expressions import trip_type_desc
 from tripflow.operators.joins import attach_zones, is_small, zone_side
 
 PRICED = ("yellow", "green", "fhvheavy")
@@ -47,32 +47,38 @@ class Measure:
     merge: str = "sum"  # sum | min | max
 
     def merged(self) -> Column:
-        fn = {"sum": F.sum, "min": F.min, "max": F.max}[self.merge]
-        return fn(F.col(self.name)).alias(self.name)
+        return F.expr(f"{self.merge}(`{self.name}`)").alias(self.name)
 
 
+# Measures and finishing expressions are SQL text: one JVM call per column.
+
 def count_all() -> Measure:
-    return Measure("_n", F.count(F.lit(1)))
+    return Measure("_n", F.expr("count(1)"))
 
 
 def exact_total(c: str) -> Measure:
-    return Measure(f"_sum_{c}", F.sum(exact(c)))
+    """Exact (decimal) sum; see functions.expressions.exact."""
+    return Measure(f"_sum_{c}", F.expr(f"sum(try_cast(`{c}` AS {config.EXACT_MEASURE}))"))
 
 
 def nonnull(c: str) -> Measure:
-    return Measure(f"_cnt_{c}", F.count(exact(c)))
+    return Measure(f"_cnt_{c}", F.expr(f"count(try_cast(`{c}` AS {config.EXACT_MEASURE}))"))
+
+
+def count_when(name: str, cond_sql: str) -> Measure:
+    return Measure(name, F.expr(f"sum(CASE WHEN {cond_sql} THEN 1 ELSE 0 END)"))
 
 
-def count_when(name: str, cond: Column) -> Measure:
-    return Measure(name, F.sum(F.when(cond, 1).otherwise(0)))
+def extreme(name: str, fn: str, c: str) -> Measure:
+    return Measure(name, F.expr(f"{fn}(`{c}`)"), fn)
 
 
 def finish_sum(c: str) -> Column:
-    return F.col(f"_sum_{c}").cast("double")
+    return F.expr(f"CAST(`_sum_{c}` AS DOUBLE)")
 
 
 def finish_avg(c: str) -> Column:
-    return F.try_divide(F.col(f"_sum_{c}").cast("double"), F.col(f"_cnt_{c}"))
+    return F.expr(f"try_divide(CAST(`_sum_{c}` AS DOUBLE), `_cnt_{c}`)")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -85,7 +91,7 @@ def conform_to_ddl(df: DataFrame, ddl: str) -> DataFrame:
     missing = [n for n, _ in fields if n not in df.columns]
     if missing:
         raise ValueError(f"columns missing for declared schema: {missing}")
-    return df.select(*[F.col(n).cast(t).alias(n) for n, t in fields])
+    return df.selectExpr(*[f"CAST(`{n}` AS {t}) AS `{n}`" for n, t in fields])
 
 
 @dataclass(frozen=True)
@@ -186,97 +192,103 @@ def _dist(t: str) -> str:
     return "trip_miles" if t == "fhvheavy" else "trip_distance"
 
 
-def _hits(c: str, loc: int) -> Column:
-    return F.col(c) == loc
+def _hits(c: str, loc: int) -> str:
+    return f"{c} = {loc}"
+
+
+AIRPORTS = f"({config.JFK_LOCATION_ID}, {config.LAGUARDIA_LOCATION_ID}, {config.NEWARK_LOCATION_ID})"
+
+_SPECS = {
+    "daily_borough_metrics": lambda: MartSpec(
+        "daily_borough_metrics", PRICED,
+        lambda t, s: [_date(), "pickup_location_id", "taxi_type",
+                      F.col(_rev(t)).alias("revenue"), F.col(_dist(t)).alias("trip_distance")],
+        ["trip_date", "borough", "taxi_type"],
+        [count_all(), exact_total("revenue"), exact_total("trip_distance"), nonnull("trip_distance")],
+        [F.col("_n").alias("trip_count"), finish_sum("revenue").alias("total_revenue"),
+         finish_avg("trip_distance").alias("avg_distance")],
+        zones="matched"),
+    "hourly_demand": lambda: MartSpec(
+        "hourly_demand", config.TAXI_TYPES,
+        lambda t, s: [F.hour("pickup_datetime").alias("hour_of_day"),
+                      F.dayofweek("pickup_datetime").alias("day_of_week"), "pickup_location_id", "taxi_type"],
+        ["hour_of_day", "day_of_week", "borough", "taxi_type"],
+        [count_all()], [F.col("_n").alias("trip_count")],
+        zones="matched"),
+    "airport_metrics": lambda: MartSpec(
+        "airport_metrics", config.TAXI_TYPES,
+        lambda t, s: [_date(), "pickup_location_id", "dropoff_location_id", "taxi_type"],
+        ["trip_date", "taxi_type"],
+        [count_when("jfk_pickups", _hits("pickup_location_id", config.JFK_LOCATION_ID)),
+         count_when("jfk_dropoffs", _hits("dropoff_location_id", config.JFK_LOCATION_ID)),
+         count_when("laguardia_pickups", _hits("pickup_location_id", config.LAGUARDIA_LOCATION_ID)),
+         count_when("laguardia_dropoffs", _hits("dropoff_location_id", config.LAGUARDIA_LOCATION_ID)),
+         count_when("newark_pickups", _hits("pickup_location_id", config.NEWARK_LOCATION_ID)),
+         count_when("newark_dropoffs", _hits("dropoff_location_id", config.NEWARK_LOCATION_ID)),
+         count_all()],
+        [F.col(c) for c in ("jfk_pickups", "jfk_dropoffs", "laguardia_pickups", "laguardia_dropoffs",
+                            "newark_pickups", "newark_dropoffs")] + [F.col("_n").alias("total_airport_trips")],
+        where=lambda: F.expr(f"pickup_location_id IN {AIRPORTS} OR dropoff_location_id IN {AIRPORTS}")),
+    "zone_revenue": lambda: MartSpec(
+        "zone_revenue", PRICED,
+        lambda t, s: ["pickup_location_id", "taxi_type", F.col(_rev(t)).alias("revenue")],
+        ["pickup_location_id", "zone_name", "borough", "taxi_type"],
+        [count_all(), exact_total("revenue"), nonnull("revenue"),
+         extreme("_min", "min", "revenue"), extreme("_max", "max", "revenue")],
+        [F.col("_n").alias("trip_count"), finish_sum("revenue").alias("total_revenue"),
+         finish_avg("revenue").alias("avg_revenue"), F.col("_min").alias("min_revenue"),
+         F.col("_max").alias("max_revenue")],
+        zones="left"),
+    "payment_trends": lambda: MartSpec(
+        "payment_trends", ("yellow", "green"),
+        lambda t, s: [_date(), "payment_type", "taxi_type", "total_amount", "fare_amount"],
+        ["trip_date", "payment_type", "taxi_type"],
+        [count_all(), exact_total("total_amount"), exact_total("fare_amount"), nonnull("fare_amount")],
+        [F.col("_n").alias("trip_count"), finish_sum("total_amount").alias("total_revenue"),
+         finish_avg("fare_amount").alias("avg_fare")],
+        where=lambda: F.col("payment_type").isNotNull() & F.col("trip_date").isNotNull()),
+    "trip_type_summary": lambda: MartSpec(
+        "trip_type_summary", ("green",),
+        lambda t, s: [_date(), "pickup_location_id", "trip_type"],
+        ["trip_date", "borough", "trip_type"],
+        [count_all()], [F.col("_n").alias("trip_count")],
+        where=lambda: F.col("trip_type").isNotNull(),
+        zones="matched",
+        extra=lambda df: df.withColumn("trip_type_desc", trip_type_desc("trip_type"))),
+}
+
+
+def spec(name: str) -> MartSpec:
+    """One mart spec (built on demand: columns need an active session)."""
+    return _SPECS[name]()
 
 
 def specs() -> dict[str, MartSpec]:
-    """The six mart specs (built on demand: columns need an active session)."""
-    return {
-        "daily_borough_metrics": MartSpec(
-            "daily_borough_metrics", PRICED,
-            lambda t, s: [_date(), "pickup_location_id", "taxi_type",
-                          F.col(_rev(t)).alias("revenue"), F.col(_dist(t)).alias("trip_distance")],
-            ["trip_date", "borough", "taxi_type"],
-            [count_all(), exact_total("revenue"), exact_total("trip_distance"), nonnull("trip_distance")],
-            [F.col("_n").alias("trip_count"), finish_sum("revenue").alias("total_revenue"),
-             finish_avg("trip_distance").alias("avg_distance")],
-            zones="matched"),
-        "hourly_demand": MartSpec(
-            "hourly_demand", config.TAXI_TYPES,
-            lambda t, s: [F.hour("pickup_datetime").alias("hour_of_day"),
-                          F.dayofweek("pickup_datetime").alias("day_of_week"), "pickup_location_id", "taxi_type"],
-            ["hour_of_day", "day_of_week", "borough", "taxi_type"],
-            [count_all()], [F.col("_n").alias("trip_count")],
-            zones="matched"),
-        "airport_metrics": MartSpec(
-            "airport_metrics", config.TAXI_TYPES,
-            lambda t, s: [_date(), "pickup_location_id", "dropoff_location_id", "taxi_type"],
-            ["trip_date", "taxi_type"],
-            [count_when("jfk_pickups", _hits("pickup_location_id", config.JFK_LOCATION_ID)),
-             count_when("jfk_dropoffs", _hits("dropoff_location_id", config.JFK_LOCATION_ID)),
-             count_when("laguardia_pickups", _hits("pickup_location_id", config.LAGUARDIA_LOCATION_ID)),
-             count_when("laguardia_dropoffs", _hits("dropoff_location_id", config.LAGUARDIA_LOCATION_ID)),
-             count_when("newark_pickups", _hits("pickup_location_id", config.NEWARK_LOCATION_ID)),
-             count_when("newark_dropoffs", _hits("dropoff_location_id", config.NEWARK_LOCATION_ID)),
-             count_all()],
-            [F.col(c) for c in ("jfk_pickups", "jfk_dropoffs", "laguardia_pickups", "laguardia_dropoffs",
-                                "newark_pickups", "newark_dropoffs")] + [F.col("_n").alias("total_airport_trips")],
-            where=lambda: (F.col("pickup_location_id").isin(config.JFK_LOCATION_ID, config.LAGUARDIA_LOCATION_ID,
-                                                            config.NEWARK_LOCATION_ID)
-                           | F.col("dropoff_location_id").isin(config.JFK_LOCATION_ID, config.LAGUARDIA_LOCATION_ID,
-                                                               config.NEWARK_LOCATION_ID))),
-        "zone_revenue": MartSpec(
-            "zone_revenue", PRICED,
-            lambda t, s: ["pickup_location_id", "taxi_type", F.col(_rev(t)).alias("revenue")],
-            ["pickup_location_id", "zone_name", "borough", "taxi_type"],
-            [count_all(), exact_total("revenue"), nonnull("revenue"),
-             Measure("_min", F.min("revenue"), "min"), Measure("_max", F.max("revenue"), "max")],
-            [F.col("_n").alias("trip_count"), finish_sum("revenue").alias("total_revenue"),
-             finish_avg("revenue").alias("avg_revenue"), F.col("_min").alias("min_revenue"),
-             F.col("_max").alias("max_revenue")],
-            zones="left"),
-        "payment_trends": MartSpec(
-            "payment_trends", ("yellow", "green"),
-            lambda t, s: [_date(), "payment_type", "taxi_type", "total_amount", "fare_amount"],
-            ["trip_date", "payment_type", "taxi_type"],
-            [count_all(), exact_total("total_amount"), exact_total("fare_amount"), nonnull("fare_amount")],
-            [F.col("_n").alias("trip_count"), finish_sum("total_amount").alias("total_revenue"),
-             finish_avg("fare_amount").alias("avg_fare")],
-            where=lambda: F.col("payment_type").isNotNull() & F.col("trip_date").isNotNull()),
-        "trip_type_summary": MartSpec(
-            "trip_type_summary", ("green",),
-            lambda t, s: [_date(), "pickup_location_id", "trip_type"],
-            ["trip_date", "borough", "trip_type"],
-            [count_all()], [F.col("_n").alias("trip_count")],
-            where=lambda: F.col("trip_type").isNotNull(),
-            zones="matched",
-            extra=lambda df: df.withColumn("trip_type_desc", trip_type_desc("trip_type"))),
-    }
+    return {n: b() for n, b in _SPECS.items()}
 
 
 def daily_borough_metrics(silver, zones, zones_small=None) -> DataFrame:
-    return build(specs()["daily_borough_metrics"], silver, zones, zones_small)
+    return build(spec("daily_borough_metrics"), silver, zones, zones_small)
 
 
 def hourly_demand(silver, zones, zones_small=None) -> DataFrame:
-    return build(specs()["hourly_demand"], silver, zones, zones_small)
+    return build(spec("hourly_demand"), silver, zones, zones_small)
 
 
 def airport_metrics(silver) -> DataFrame:
-    return build(specs()["airport_metrics"], silver)
+    return build(spec("airport_metrics"), silver)
 
 
 def zone_revenue(silver, zones, zones_small=None) -> DataFrame:
-    return build(specs()["zone_revenue"], silver, zones, zones_small)
+    return build(spec("zone_revenue"), silver, zones, zones_small)
 
 
 def payment_trends(silver) -> DataFrame:
-    return build(specs()["payment_trends"], silver)
+    return build(spec("payment_trends"), silver)
 
 
 def trip_type_summary(silver, zones, zones_small=None) -> DataFrame:
-    return build(specs()["trip_type_summary"], silver, zones, zones_small)
+    return build(spec("trip_type_summary"), silver, zones, zones_small)
 
 
 MARTS = {

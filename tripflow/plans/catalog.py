@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripflow import config
 from tripflow.operators import audit, serving, storage
 from tripflow.operators.conform import conform_trips
-from tripflow.operators.marts import MARTS, all_marts, build, specs, union_all
+from tripflow.operators.marts import MARTS, all_marts, build, spec, union_all
 from tripflow.operators.joins import is_small
 from tripflow.plans import medallion as M
 from tripflow.session import work_path
@@ -68,9 +68,9 @@ def _zones(spark, sf):
 
 def _mart(name):
     def q(spark, sf):
-        spec = specs()[name]
-        s = _silver_all(spark, sf, spec.sources)   # only the sources the mart reads
-        return build(spec, s, _zones(spark, sf) if spec.zones else None)
+        sp = spec(name)
+        s = _silver_all(spark, sf, sp.sources)   # only the sources the mart reads
+        return build(sp, s, _zones(spark, sf) if sp.zones else None)
     return q
 
 
@@ -158,7 +158,7 @@ def q_top20(spark, sf):
 
 
 def q_smoke_counts(spark, sf):
-    s = _silver_all(spark, sf, specs()["daily_borough_metrics"].sources)
+    s = _silver_all(spark, sf, spec("daily_borough_metrics").sources)
     z = _zones(spark, sf)
     return serving.smoke_counts({
         "bronze.yellow_trips_raw": _bronze(spark, sf, "yellow"),

@@ -29,7 +29,6 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tripflow import config
@@ -46,6 +45,7 @@ from tripflow.operators.storage import write_clustered, write_rebalanced
 from tripflow.plans import medallion as M
 from tripflow.sources import fixtures
 from tripflow.sources.files import RAW_SCHEMAS, read_stream
+from tripflow.session import path_exists
 from tripflow.streaming import ingest
 
 
@@ -193,11 +193,7 @@ def refresh_gold(spark: SparkSession, paths: dict[str, str], rec: EventRecorder
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+    return path_exists(spark, path)
 
 
 def _gold_and_audit(spark: SparkSession, paths: dict[str, str], rec: EventRecorder, as_of=None,

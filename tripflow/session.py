@@ -86,6 +86,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever filesystem it names (local, HDFS,
+    object stores), without running a failing read."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath))
+
+
 def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A fresh path under the shared checkpoint folder for tables, stream
     sinks and stream checkpoints written by a job."""

@@ -93,10 +93,10 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
 
 def _schema_log(spark: SparkSession, location: str) -> list[tuple[int, str, T.StructType]]:
     """Entries (version, checked_at, schema) recorded at ``location``."""
-    try:
-        lines = [r.value for r in spark.read.text(location).collect()]  # one short line per check
-    except AnalysisException:  # nothing recorded yet
+    from tripflow.session import path_exists
+    if not path_exists(spark, location):  # nothing recorded yet
         return []
+    lines = [r.value for r in spark.read.text(location).collect()]  # one short line per check
     out = []
     for line in lines:
         version, checked_at, js = line.split("\t", 2)
