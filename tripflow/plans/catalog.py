@@ -300,6 +300,22 @@ def q_csv_trip_scan(spark, sf):
     return read_trip_csv(spark, path)
 
 
+MAINTENANCE_AS_OF = "2025-02-01 00:00:00"  # purge cutoff 90 days earlier: every quarantine row is kept
+
+
+def q_maintenance_counts(spark, sf):
+    """A full update, then the maintenance job (compact the 15 tables into
+    new directories, purge quarantine): row counts of every maintained table."""
+    from tripflow.plans.maintenance import maintained_tables, run_maintenance
+    from tripflow.plans.pipeline import read_quarantine_table, run_batch_pipeline
+    paths = run_batch_pipeline(spark, sf, work_path(spark, "maintenance"), as_of=AS_OF)
+    new = run_maintenance(spark, paths, as_of=MAINTENANCE_AS_OF)
+    tables = {name: (read_quarantine_table(spark, new) if name == "silver.quarantine_trips"
+                     else spark.read.parquet(new[name]))
+              for name in maintained_tables()}
+    return serving.smoke_counts(tables)
+
+
 def q_schema_evolution_union(spark, sf):
     """Yellow landing files written in two schema generations (later files
     add ``airport_fee``), read back with merged schemas."""
@@ -376,5 +392,6 @@ def queries() -> dict[str, Query]:
     q["compaction_roundtrip"] = q_compaction_roundtrip
     q["stream_ingest"] = q_stream_ingest
     q["update_dq_log"] = q_update_dq_log
+    q["maintenance_counts"] = q_maintenance_counts
     q["gold_daily_incremental"] = q_gold_daily_incremental
     return q

@@ -355,6 +355,13 @@ def _final_selects() -> dict[str, str]:
             _quarantine_select(t, REASONS[t], "pickup_datetime") for t in config.TAXI_TYPES)
         + f") WHERE _quarantined_at IS NULL OR _quarantined_at >= {ts(C.PURGE_AS_OF)} - INTERVAL {config.QUARANTINE_RETENTION_DAYS} DAYS")
     q["compaction_roundtrip"] = "SELECT * FROM yellow_silver"
+    counts = [f"SELECT 'bronze.{t}_trips_raw' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM {t}_raw"
+              for t in config.TAXI_TYPES]
+    counts += [f"SELECT 'silver.{t}_trips', COUNT(*) FROM {t}_silver" for t in config.TAXI_TYPES]
+    counts.append("SELECT 'silver.quarantine_trips', COUNT(*) FROM ("
+                  + " UNION ALL ".join(_quarantine_select(t, REASONS[t], ts(C.AS_OF)) for t in config.TAXI_TYPES) + ")")
+    counts += [f"SELECT 'gold.{m}', COUNT(*) FROM {cte}" for m, cte in mart_cte.items()]
+    q["maintenance_counts"] = " UNION ALL ".join(counts)
     q["stream_ingest"] = "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM yellow_raw"
     dq_parts = [_metrics_select(f"(SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM {t}_raw)",
                                 bronze_rules(t).rules, f"bronze.{t}_trips_raw") for t in config.TAXI_TYPES]
