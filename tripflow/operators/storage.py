@@ -63,7 +63,8 @@ def compact(spark: SparkSession, src: str, dst: str, files: int | None = None,
     ``cluster_cols`` (or rebalanced on ``partition_cols``) and AQE coalesces
     the shuffle into partitions of about ``target_file_mb``, so nothing has
     to list or size the input on the driver. ``files`` forces an exact
-    count instead. Invariant: the same multiset of rows.
+    count instead (small tables only: each file is one task's output).
+    Invariant: the same multiset of rows.
     """
     df = spark.read.parquet(src)
     keys = list(partition_cols or []) + list(cluster_cols or [])

@@ -204,7 +204,7 @@ def _gold_and_audit(spark: SparkSession, paths: dict[str, str], rec: EventRecord
     ev = spark.read.parquet(paths["audit.event_log"])
     views = dict(audit.AUDIT_VIEWS)
     views["sla_monitoring"] = lambda e: audit.sla_monitoring(e, as_of)
-    _run_all(lambda name: views[name](ev).coalesce(1).write.mode("overwrite").parquet(paths[f"audit.{name}"]),
+    _run_all(lambda name: views[name](ev).write.mode("overwrite").parquet(paths[f"audit.{name}"]),
              views, concurrent=True)
 
 
@@ -269,7 +269,7 @@ def run_batch_pipeline(spark: SparkSession, sf_dir: str | None, root: str,
     zobs = Observation("silver_zone")
     zconf = conform_zones(spark.read.parquet(paths["bronze.zone_lookup_raw"]), as_of)
     zout = apply_rules(zconf.observe(zobs, *rule_count_exprs(RULES["zone"])), RULES["zone"])
-    secs = _timed_write(lambda: zout.coalesce(1).write.mode("overwrite").parquet(paths["silver.zone_lookup"]))
+    secs = _timed_write(lambda: zout.write.mode("overwrite").parquet(paths["silver.zone_lookup"]))
     rec.flow("silver.zone_lookup", None, secs, metrics_from_observed(zobs.get, RULES["zone"]))
 
     def run(t: str) -> None:
@@ -302,10 +302,11 @@ def _run_all(fn, items, concurrent: bool) -> None:
 # --------------------------------------------------------------------------- streaming
 
 
-def write_landing(df: DataFrame, path: str, files: int = 1, mode: str = "append") -> None:
-    """Drop raw rows into a landing directory as ``files`` new parquet files
-    (test helper standing in for the upstream producer)."""
-    df.repartition(files).write.mode(mode).parquet(path)
+def write_landing(df: DataFrame, path: str, files: int | None = None, mode: str = "append") -> None:
+    """Drop raw rows into a landing directory as new parquet files, one per
+    input partition (stand-in for the upstream producer); ``files`` asks for
+    an exact file count (tests of file-by-file streaming)."""
+    (df.repartition(files) if files else df).write.mode(mode).parquet(path)
 
 
 def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw: DataFrame, root: str,
@@ -327,7 +328,7 @@ def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw:
     rec.update("RUNNING", rec.run_type)
     zones_raw.write.mode("overwrite").parquet(paths["bronze.zone_lookup_raw"])
     zconf = conform_zones(spark.read.parquet(paths["bronze.zone_lookup_raw"]), as_of)
-    apply_rules(zconf, RULES["zone"]).coalesce(1).write.mode("overwrite").parquet(paths["silver.zone_lookup"])
+    apply_rules(zconf, RULES["zone"]).write.mode("overwrite").parquet(paths["silver.zone_lookup"])
 
     def run(t: str) -> None:
         s = flow_session(spark, confs.get(t))
