@@ -92,3 +92,16 @@ def test_compaction_sized_by_target_file_size(spark, scratch):
     out = storage.compact(spark, src, dst, cluster_cols=["pickup_datetime"])
     assert len(glob.glob(f"{dst}/*.parquet")) < len(glob.glob(f"{src}/*.parquet"))
     assert _same(out, spark.read.parquet(src))
+
+
+def test_clustered_write_splits_a_hot_cluster_value(spark, scratch):
+    """A third of the rows share one cluster value: range partitioning with
+    the row-hash tie-break spreads it over several files."""
+    from pyspark.sql import functions as F
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id"))
+    out = storage.clustered(df, ["k"], partitions=12)
+    sizes = [r[1] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    hot = out.filter("k = 0").groupBy(F.spark_partition_id()).count().count()
+    assert hot >= 3 and max(sizes) < 20_000
+    assert out.columns == ["k", "id"]

@@ -17,14 +17,20 @@ from pyspark.sql import functions as F
 from tripflow.functions.expressions import processing_time
 
 
+_SALT = "__cluster_tiebreak"
+
+
 def clustered(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
     """Range-partition then sort by ``cols``: each task writes one contiguous
     key range, so files get tight min/max statistics (row-group skipping on
-    those columns) and similar sizes even when a few keys are hot (range
-    bounds come from a sample). Without ``partitions`` AQE sizes the
-    partition count from the data."""
-    out = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
-    return out.sortWithinPartitions(*cols)
+    those columns). A row hash is the last range key: a single hot value of
+    ``cols`` (a third of all rows) is then cut into several ranges by the
+    sampler instead of landing in one task. Without ``partitions`` AQE sizes
+    the partition count from the data."""
+    salted = df.withColumn(_SALT, F.xxhash64(*[F.col(c) for c in df.columns]))
+    keys = [*cols, _SALT]
+    out = salted.repartitionByRange(partitions, *keys) if partitions else salted.repartitionByRange(*keys)
+    return out.sortWithinPartitions(*cols).drop(_SALT)
 
 
 def write_clustered(df: DataFrame, path: str, cols: list[str], mode: str = "overwrite",
@@ -68,14 +74,10 @@ def compact(spark: SparkSession, src: str, dst: str, files: int | None = None,
     """
     df = spark.read.parquet(src)
     keys = list(partition_cols or []) + list(cluster_cols or [])
-    if files:
-        out = df.repartitionByRange(files, *keys) if keys else df.repartition(files)
-    elif keys:
-        out = df.repartitionByRange(*keys)
-    else:
-        out = df.hint("rebalance")
     if keys:
-        out = out.sortWithinPartitions(*keys)
+        out = clustered(df, keys, files)
+    else:
+        out = df.repartition(files) if files else df.hint("rebalance")
     w = out.write.mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
