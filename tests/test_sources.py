@@ -101,3 +101,18 @@ def test_task_code_needs_no_package_on_executors(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True,
                          text=True, timeout=600)
     assert "ROWS 214" in out.stdout, out.stderr[-3000:]
+
+
+def test_parquet_rescue_reads_row_groups_in_parallel(spark, scratch):
+    """One file with many row groups is read by several tasks, every row once."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+    from tripflow.sources.files import read_parquet_rescued
+    os.makedirs(scratch, exist_ok=True)
+    table = pa.table({"id": pa.array(range(20_000), pa.int64()), "s": pa.array([str(i) for i in range(20_000)])})
+    pq.write_table(table, os.path.join(scratch, "big.parquet"), row_group_size=1_000)
+    out = read_parquet_rescued(spark, scratch, "id BIGINT, s STRING", tasks=8)
+    assert out.count() == 20_000 and out.select("id").distinct().count() == 20_000
+    per_task = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) >= 4

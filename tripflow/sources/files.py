@@ -183,16 +183,21 @@ def rescue(df_text: DataFrame, schema) -> DataFrame:
     return df_text.select(*typed, F.when(any_bad, payload).alias("_rescued_data"))
 
 
-def read_parquet_rescued(spark: SparkSession, path: str, schema, batch_rows: int = 65536) -> DataFrame:
+def read_parquet_rescued(spark: SparkSession, path: str, schema, batch_rows: int = 65536,
+                         tasks: int | None = None) -> DataFrame:
     """Read parquet files whose column types drifted from ``schema`` without
     failing and without losing values (``_rescued_data``).
 
     Spark's vectorized reader rejects a file whose footer type differs from
-    the declared one, so here each task opens its own share of the files
-    (listed by Spark's ``binaryFile`` source, which packs them into
-    partitions by size and reads no content) with pyarrow, casts batch by
-    batch and rescues misfits. Use it for landing zones that need rescue;
-    typed, conforming tables go through ``spark.read.parquet``.
+    the declared one, so the files are read with pyarrow inside tasks, in two
+    stages: (1) files listed by Spark's ``binaryFile`` source (no content
+    read) are expanded into their row groups from the footers; (2) row groups
+    are spread over ``tasks`` partitions (default: twice the default
+    parallelism; explicit because AQE would coalesce this tiny shuffle into
+    one partition) and each task reads, casts and rescues its row groups
+    batch by batch. A single huge file is thus read by many tasks. Use it for
+    landing zones that need rescue; typed, conforming tables go through
+    ``spark.read.parquet``.
     """
     schema = schema_of(schema)
     fields = [(f.name, f.dataType.simpleString()) for f in schema.fields]
@@ -200,6 +205,24 @@ def read_parquet_rescued(spark: SparkSession, path: str, schema, batch_rows: int
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", "*.parquet").load(path).select("path"))
 
+    def row_groups(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+        for pdf in batches:
+            paths, groups = [], []
+            for p in pdf["path"]:
+                fs, local = pafs.FileSystem.from_uri(p)
+                n = pq.ParquetFile(local, filesystem=fs).metadata.num_row_groups
+                paths += [p] * n
+                groups += list(range(n))
+            if paths:  # an empty object column would not convert to Arrow
+                yield pd.DataFrame({"path": pd.Series(paths, dtype="object"),
+                                    "row_group": pd.Series(groups, dtype="int32")})
+
+    n_tasks = tasks or 2 * spark.sparkContext.defaultParallelism
+    units = files.mapInPandas(row_groups, "path STRING, row_group INT").repartition(n_tasks, "path", "row_group")
+
     # Everything the tasks run is nested here, so it is shipped by value:
     # executors need pandas and pyarrow, not this package.
     def read(batches):
@@ -252,9 +275,11 @@ def read_parquet_rescued(spark: SparkSession, path: str, schema, batch_rows: int
             return frame
 
         for pdf in batches:
-            for p in pdf["path"]:
+            for p, g in zip(pdf["path"], pdf["row_group"]):
                 fs, local = pafs.FileSystem.from_uri(p)
-                for rb in pq.ParquetFile(local, filesystem=fs).iter_batches(batch_size=batch_rows):
-                    yield type_and_rescue(rb.to_pandas())
+                for rb in pq.ParquetFile(local, filesystem=fs).iter_batches(batch_size=batch_rows,
+                                                                            row_groups=[int(g)]):
+                    if rb.num_rows:
+                        yield type_and_rescue(rb.to_pandas())
 
-    return files.mapInPandas(read, out_schema)
+    return units.mapInPandas(read, out_schema)
