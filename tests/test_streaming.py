@@ -160,3 +160,10 @@ def test_stateful_dedup_recovers_state_after_crash(spark, scratch):
     cols = sorted(want.columns)
     assert got.count() == want.count()
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
+
+
+def test_read_quarantine_skips_flows_not_written(spark, scratch):
+    target = os.path.join(scratch, "q")
+    spark.createDataFrame([], "pickup_datetime TIMESTAMP").write.parquet(os.path.join(target, "flow=yellow"))
+    assert ingest.read_quarantine(spark, target).count() == 0
+    assert ingest.read_quarantine(spark, os.path.join(scratch, "none")).columns[-1] == "_quarantined_at"

@@ -201,11 +201,16 @@ def _gold_and_audit(spark: SparkSession, paths: dict[str, str], rec: EventRecord
     refresh_gold(spark, paths, rec, months)
     rec.update(config.STATUS_COMPLETED, rec.run_type)
     audit.events_from_records(spark, rec.records).write.mode("append").parquet(paths["audit.event_log"])
-    ev = spark.read.parquet(paths["audit.event_log"])
+    # the shared event view: one scan serves the five audit views (the log
+    # holds a few dozen events per update, so caching it is cheap)
+    ev = spark.read.parquet(paths["audit.event_log"]).cache()
     views = dict(audit.AUDIT_VIEWS)
     views["sla_monitoring"] = lambda e: audit.sla_monitoring(e, as_of)
-    _run_all(lambda name: views[name](ev).write.mode("overwrite").parquet(paths[f"audit.{name}"]),
-             views, concurrent=True)
+    try:
+        _run_all(lambda name: views[name](ev).write.mode("overwrite").parquet(paths[f"audit.{name}"]),
+                 views, concurrent=True)
+    finally:
+        ev.unpersist()
 
 
 def flow_session(spark: SparkSession, conf: dict[str, str] | None = None) -> SparkSession:

@@ -154,8 +154,13 @@ def quarantine_flows(raw_streams: dict[str, DataFrame], target: str, checkpoint_
 
 
 def read_quarantine(spark: SparkSession, target: str, flows=config.TAXI_TYPES) -> DataFrame:
-    """Union of the flow subdirectories, each read through its sink log."""
-    frames = [spark.read.parquet(os.path.join(target, f"flow={t}")) for t in flows]
+    """Union of the flow subdirectories, each read through its sink log; a
+    flow that has not written yet is skipped."""
+    from tripflow.session import path_exists
+    frames = [spark.read.parquet(os.path.join(target, f"flow={t}")) for t in flows
+              if path_exists(spark, os.path.join(target, f"flow={t}"))]
+    if not frames:
+        return spark.createDataFrame([], config.QUARANTINE_DDL)
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
