@@ -1,0 +1,2 @@
+"""Inputs: test-table fixtures mapped onto the trip domain, parquet/CSV scans,
+file streams, schema evolution and rescued data."""
