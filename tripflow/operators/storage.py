@@ -121,19 +121,24 @@ def pk_summary(df: DataFrame, pk: list[str], table: str) -> DataFrame:
     ).select(F.lit(table).alias("table_name"), "duplicate_keys", "null_key_rows")
 
 
-def change_feed(old: DataFrame, new: DataFrame, pk: list[str]) -> DataFrame:
+def change_feed(old: DataFrame, new: DataFrame, pk: list[str], null_safe_keys: bool = False) -> DataFrame:
     """Row-level changes from ``old`` to ``new`` keyed by ``pk``:
     ``insert``, ``delete``, ``update_preimage`` + ``update_postimage``.
 
-    One full outer join on the key (null-safe), then each joined row emits
-    0, 1 or 2 change rows through ``inline``; values are compared null-safely.
+    One full outer join on the key, then each joined row emits 0, 1 or 2
+    change rows through ``inline``; values are compared null-safely. Keys are
+    non-NULL by contract (``pk_violations``), so the join uses plain
+    equality: when both versions come out of an aggregate on ``pk`` (marts),
+    the join reuses that hash partitioning instead of shuffling again.
+    ``null_safe_keys`` matches NULL keys too (at the price of that shuffle).
     """
     values = [c for c in new.columns if c not in pk]
     o = old.select(*pk, *values).select(*[F.col(c).alias(f"o_{c}") for c in pk + values],
                                         F.lit(True).alias("o_present"))
     n = new.select(*pk, *values).select(*[F.col(c).alias(f"n_{c}") for c in pk + values],
                                         F.lit(True).alias("n_present"))
-    cond = reduce(lambda a, b: a & b, [F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}")) for c in pk])
+    eq = (lambda a, b: a.eqNullSafe(b)) if null_safe_keys else (lambda a, b: a == b)
+    cond = reduce(lambda a, b: a & b, [eq(F.col(f"o_{c}"), F.col(f"n_{c}")) for c in pk])
     j = o.join(n, cond, "full_outer")
     in_old = F.col("o_present").isNotNull()
     in_new = F.col("n_present").isNotNull()
