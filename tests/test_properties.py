@@ -98,3 +98,58 @@ def test_fare_total_location_rules_match_brute_force(spark, vals):
         if total is not None and total >= 50000:
             want.append("excessive_total")
         assert q.get(t0 + dt.timedelta(seconds=i)) == (", ".join(want) or None)
+
+
+silver_vals = st.lists(st.tuples(st.sampled_from([1, 2, 3, 99]),                 # pickup location (99: no zone)
+                                 st.sampled_from([0, 1]),                         # day offset
+                                 st.one_of(st.none(), st.sampled_from([1.25, 2.5, 10.0, 0.1])),   # revenue
+                                 st.one_of(st.none(), st.sampled_from([0.5, 3.0, 7.25]))),        # distance
+                       min_size=1, max_size=15)
+
+
+@SETTINGS
+@given(silver_vals, st.booleans())
+def test_marts_match_brute_force(spark, vals, small):
+    """daily_borough_metrics and zone_revenue on random silver rows with NULL
+    measures and unmatched locations, through both zone-join plans."""
+    import datetime as dt
+    from decimal import Decimal
+    from tripflow import config
+    from tripflow.operators import marts
+    from tripflow.plans import medallion as M
+    from tripflow.sources.files import RAW_SCHEMAS
+    d0 = dt.datetime(2024, 3, 4, 8)
+    rows = [(d0 + dt.timedelta(days=day, seconds=i), d0 + dt.timedelta(days=day, seconds=i + 300), pu, 5, 1, 1,
+             dist, 5.0, rev, 1) for i, (pu, day, rev, dist) in enumerate(vals)]
+    silver = {t: M.silver(M.bronze(spark.createDataFrame([], RAW_SCHEMAS[t])), t) for t in config.TAXI_TYPES}
+    silver["yellow"] = M.bronze(spark.createDataFrame(rows, RAW_SCHEMAS["yellow"]))
+    silver["yellow"] = M.conformed(silver["yellow"], "yellow")   # keep NULL totals: bypass the drop rules
+    zones = spark.createDataFrame([(1, "A", "z1"), (2, "A", "z2"), (3, "B", "z3")],
+                                  "location_id INT, borough STRING, zone_name STRING")
+    borough = {1: "A", 2: "A", 3: "B"}
+
+    daily = {(r.trip_date, r.borough): r for r in marts.daily_borough_metrics(silver, zones, small).collect()}
+    want = {}
+    for pu, day, rev, dist in vals:
+        if pu not in borough:
+            continue
+        g = want.setdefault(((d0 + dt.timedelta(days=day)).date(), borough[pu]), [0, [], []])
+        g[0] += 1
+        g[1].append(rev)
+        g[2].append(dist)
+    assert set(daily) == set(want)
+    for k, (n, revs, dists) in want.items():
+        r = daily[k]
+        revs_nn = [Decimal(str(x)) for x in revs if x is not None]
+        dists_nn = [Decimal(str(x)) for x in dists if x is not None]
+        assert r.trip_count == n
+        assert r.total_revenue == (float(sum(revs_nn)) if revs_nn else None)
+        assert r.avg_distance == (float(sum(dists_nn)) / len(dists_nn) if dists_nn else None)
+
+    zr = {r.pickup_location_id: r for r in marts.zone_revenue(silver, zones, small).collect()}
+    assert set(zr) == {pu for pu, *_ in vals}                       # unmatched location 99 kept
+    for pu, r in zr.items():
+        revs = [rev for p, _, rev, _ in vals if p == pu and rev is not None]
+        assert r.trip_count == sum(1 for p, *_ in vals if p == pu)
+        assert r.borough == borough.get(pu)
+        assert r.min_revenue == (min(revs) if revs else None) and r.max_revenue == (max(revs) if revs else None)
