@@ -116,3 +116,15 @@ def test_parquet_rescue_reads_row_groups_in_parallel(spark, scratch):
     assert out.count() == 20_000 and out.select("id").distinct().count() == 20_000
     per_task = out.groupBy(F.spark_partition_id()).count().collect()
     assert len(per_task) >= 4
+
+
+def test_schema_check_without_new_files_keeps_version(spark, scratch):
+    from tripflow.sources.files import evolve_stream_schema, load_schema
+    landing, loc = os.path.join(scratch, "landing"), os.path.join(scratch, "_schemas")
+    spark.createDataFrame([(1, "a")], "id BIGINT, s STRING").write.parquet(landing)
+    first = evolve_stream_schema(spark, landing, loc)
+    # a cutoff in the future: no file counts as new, the recorded schema stands
+    again = evolve_stream_schema(spark, landing, loc, margin_minutes=-60)
+    assert again == first == load_schema(spark, loc)
+    versions = sorted(int(r.value.split("\t")[0]) for r in spark.read.text(loc).collect())
+    assert versions == [0, 0]
