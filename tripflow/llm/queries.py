@@ -7,9 +7,11 @@ from tripflow.llm import common
 
 def queries() -> dict:
     from tripflow.llm.packing import op7_packing
+    from tripflow.llm.pii import op5_pii
+    from tripflow.llm.secret_scan import op9_secret_scan
     from tripflow.llm.sharding import op2_jump_shards
     from tripflow.llm.token_files import op1_token_files
-    found = [op1_token_files, op2_jump_shards, op7_packing]
+    found = [op1_token_files, op2_jump_shards, op5_pii, op7_packing, op9_secret_scan]
     return {f.__name__: _prepared(f) for f in found}
 
 

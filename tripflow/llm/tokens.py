@@ -15,6 +15,7 @@ import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
+_STOPS = frozenset(".,!?;:")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -25,7 +26,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class Encoder:
     """Texts to arrays of ids, the end id last. Null is the empty text."""
 
-    def __init__(self, path: str, end_id: int = END_ID, memo_chars: int = 4_000_000):
+    def __init__(self, path: str, end_id: int = END_ID, memo_chars: int = 12_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
@@ -40,11 +41,10 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned integers of ``dtype``."""
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*split).difference(self._memo)) if split else []
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for chunk, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self._memo[chunk] = np.array(e.ids, self.dtype).tobytes()
+        new = {chunk: _parts(chunk) for chunk in set().union(*split).difference(self._memo)}
+        self._learn(list({part for parts in new.values() for part in parts}.difference(self._memo)))
+        for chunk, (stem, tail) in new.items():
+            self._memo[chunk] = self._memo[stem] + self._memo[tail]
         self._chars += sum(map(len, new))
         ids = [b"".join(map(self._memo.__getitem__, chunks)) + self._end for chunks in split]
         if self._chars > self._most:
@@ -52,6 +52,20 @@ class Encoder:
             self._chars = 0
         return ids
 
+    def _learn(self, chunks: list[str]) -> None:
+        for at in range(0, len(chunks), 4096):
+            some = chunks[at:at + 4096]
+            for chunk, e in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self._memo[chunk] = np.array(e.ids, self.dtype).tobytes()
+        self._chars += sum(map(len, chunks))
+
+
+def _parts(chunk: str) -> tuple[str, str]:
+    """A chunk as two with the same ids: a stop after a word is a token of its
+    own, and the vocabulary is lower case."""
+    stem, tail = (chunk[:-1], chunk[-1]) if chunk[-1:] in _STOPS and chunk[:-1].isalpha() else (chunk, "")
+    return (stem.lower() if stem.isascii() and stem.isalpha() else stem), tail
+
 
 @lru_cache(maxsize=1)
 def encoder(path: str, end_id: int = END_ID) -> Encoder:
