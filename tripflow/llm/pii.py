@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import staged
-from tripflow.llm.spans import masked, matches, replaced
+from tripflow.llm.spans import count_of, joined, masked, matches, replaced
 
 ALPHA = 0.8
 MIN_TEXTS = 5
@@ -109,12 +109,13 @@ def detect(docs: DataFrame, alpha: float = ALPHA, min_texts: int = MIN_TEXTS) ->
     """One row per text with spans: ``key`` (md5 of the text) and ``found``, its
     spans by kind, then start; a span of kind ``term`` has its action as value."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    spans = docs.select(F.md5(text).alias("key"), text.alias("text")).withColumn("spans", base_spans(F.col("text")))
+    hinted = F.greatest(*[text.rlike(p) for p in PATTERNS.values()])
+    spans = docs.filter(hinted).select(F.md5(text).alias("key"), text.alias("text"))
     tokens = F.transform(matches(masked(F.col("text"), PATTERNS["email"]), TERM), lambda m: F.struct(
         m["start"].alias("start"), m["end"].alias("end"), F.lower(m["value"]).alias("term")))
-    held = staged(spans.filter(F.size("spans") > 0).select("key", "spans", tokens.alias("tokens"))
+    held = staged(spans.select("key", base_spans(F.col("text")).alias("spans"), tokens.alias("tokens"))
                   .groupBy("key").agg(F.first("spans").alias("spans"), F.first("tokens").alias("tokens"),
-                                      F.count("*").alias("copies")), "pii")
+                                      F.count("*").alias("copies")).filter(F.size("spans") > 0), "pii")
 
     known = held.select("key", "copies", F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity"))
     support = known.groupBy("entity").agg(F.count("*").alias("n_texts"), F.sum("copies").alias("n_entity"))
@@ -154,15 +155,10 @@ def sanitise(docs: DataFrame, alpha: float = ALPHA, min_texts: int = MIN_TEXTS)
     return found.withColumn("text", replaced(F.col("text"), labelled)).select(*docs.columns)
 
 
-def joined(spans: Column) -> Column:
-    """``kind:start:end``, comma-joined."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text of ``documents``."""
     found = find(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).drop("text")
-    count = {f"n_{k}": F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long") for k in KINDS}
+    count = {f"n_{k}": count_of("found", k) for k in KINDS}
     base = F.filter("found", lambda s: s["kind"] != "term")
     return found.select("doc_id", *[c.alias(k) for k, c in count.items()],
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))

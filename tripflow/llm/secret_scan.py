@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.spans import matches
+from tripflow.llm.spans import count_of, joined, matches
 
 
 @dataclass(frozen=True)
@@ -146,16 +146,11 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
     return keyed.withColumn("found", found).drop("_key", "_kinds")
 
 
-def joined(spans: Column) -> Column:
-    """``kind:start:end``, comma-joined."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text of ``documents``."""
     found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).drop("text")
     base = [r.kind for r in BASE]
-    count = {f"n_{k}": F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long") for k in base}
+    count = {f"n_{k}": count_of("found", k) for k in base}
     kept = F.filter("found", lambda s: s["kind"].isin(base))
     return found.select("doc_id", *[c.alias(k) for k, c in count.items()],
                         F.sha2(joined(kept), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
