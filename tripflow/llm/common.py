@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -45,3 +48,24 @@ def prefix_sums(totals: DataFrame, order: str, total: str, base: str) -> DataFra
     window holds at most as many rows as the job has tasks."""
     before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return totals.withColumn(base, F.coalesce(F.sum(total).over(before), F.lit(0)).cast("long"))
+
+
+def groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table]:
+    """Runs of rows that are equal in their first ``width`` columns, whole."""
+    rest = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = t if rest is None else pa.concat_tables([rest, t]).combine_chunks()
+        new = np.zeros(len(t), bool)
+        for i in range(width):
+            x = t.column(i).to_numpy()
+            new[1:] |= x[1:] != x[:-1]
+        cuts = np.flatnonzero(new)
+        at = 0
+        for c in cuts:
+            if c - at > 1:
+                yield t.slice(at, c - at)
+            at = c
+        rest = t.slice(at)
+    if rest is not None and len(rest) > 1:
+        yield rest

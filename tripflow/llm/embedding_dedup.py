@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import shuffle_partitions, staged
+from tripflow.llm.common import groups, shuffle_partitions, staged
 from tripflow.llm.components import components
 from tripflow.llm.vectors import doubles, matrix, usable
 
@@ -135,7 +135,7 @@ def links(classes: DataFrame, cosine: float, caps: int, slack: float, words: int
             .select(*group, "chunk", "cid", "size", "vector", "caps"))
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups(batches, len(group)):
+        for t in groups(batches, len(group)):
             v = matrix(t.column("vector").combine_chunks())
             v = v / np.abs(v).max(1, keepdims=True)
             c1, c2, chunk_ = (t.column(c).to_numpy() for c in ("c1", "c2", "chunk"))
@@ -149,27 +149,6 @@ def links(classes: DataFrame, cosine: float, caps: int, slack: float, words: int
     return full.mapInArrow(verified, "cid long, n_links long, root long")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table]:
-    """Runs of rows that are equal in their first ``width`` columns, whole."""
-    rest = None
-    for b in batches:
-        t = pa.Table.from_batches([b])
-        t = t if rest is None else pa.concat_tables([rest, t]).combine_chunks()
-        new = np.zeros(len(t), bool)
-        for i in range(width):
-            x = t.column(i).to_numpy()
-            new[1:] |= x[1:] != x[:-1]
-        cuts = np.flatnonzero(new)
-        at = 0
-        for c in cuts:
-            if c - at > 1:
-                yield t.slice(at, c - at)
-            at = c
-        rest = t.slice(at)
-    if rest is not None and len(rest) > 1:
-        yield rest
-
-
 def deduplicate(df: DataFrame, cosine: float = COSINE, caps: int = 12, slack: float = 0.1, chunk: int = CHUNK) -> DataFrame:
     """``df`` (``vec_id``, ``embedding``, ``label``) with ``n_links``,
     ``component_id`` and ``kept``."""

@@ -7,13 +7,15 @@ from tripflow.llm import common
 
 def queries() -> dict:
     from tripflow.llm.embedding_dedup import op8_cap_filters
+    from tripflow.llm.minhash import op10_dart_minhash
     from tripflow.llm.neighbours import op3_multi_index
     from tripflow.llm.packing import op7_packing
     from tripflow.llm.pii import op5_pii
     from tripflow.llm.secret_scan import op9_secret_scan
     from tripflow.llm.sharding import op2_jump_shards
     from tripflow.llm.token_files import op1_token_files
-    found = [op1_token_files, op2_jump_shards, op3_multi_index, op5_pii, op7_packing, op8_cap_filters, op9_secret_scan]
+    found = [op1_token_files, op2_jump_shards, op3_multi_index, op5_pii, op7_packing, op8_cap_filters, op9_secret_scan,
+             op10_dart_minhash]
     return {f.__name__: _prepared(f) for f in found}
 
 
