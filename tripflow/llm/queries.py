@@ -13,10 +13,11 @@ def queries() -> dict:
     from tripflow.llm.pii import op5_pii
     from tripflow.llm.quality import op6_kneser_ney
     from tripflow.llm.secret_scan import op9_secret_scan
+    from tripflow.llm.segmentation import op4_sampled_pieces
     from tripflow.llm.sharding import op2_jump_shards
     from tripflow.llm.token_files import op1_token_files
-    found = [op1_token_files, op2_jump_shards, op3_multi_index, op5_pii, op6_kneser_ney, op7_packing,
-             op8_cap_filters, op9_secret_scan, op10_dart_minhash]
+    found = [op1_token_files, op2_jump_shards, op3_multi_index, op4_sampled_pieces, op5_pii, op6_kneser_ney,
+             op7_packing, op8_cap_filters, op9_secret_scan, op10_dart_minhash]
     return {f.__name__: _prepared(f) for f in found}
 
 
