@@ -64,7 +64,7 @@ def _alnum() -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for base in (_BASE, pow(_BASE, -1, 1 << 64)):
         p = np.full(n, base, np.uint64)
@@ -81,7 +81,7 @@ def word_hashes(text: str) -> np.ndarray:
     inside = np.concatenate(([False], _alnum()[code], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edges[::2], edges[1::2]
-    power, inverse = _powers(1 << max(12, int(len(code)).bit_length()))
+    power, inverse = powers(1 << max(12, int(len(code)).bit_length()))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((code.astype(np.uint64) + np.uint64(1)) * power[:len(code)])))
     return mix((sums[end] - sums[start]) * inverse[start])
 

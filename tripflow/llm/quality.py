@@ -213,4 +213,5 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sla
 def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The perplexity of all ``documents`` and which are kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
-    return classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("text")
+    scored = classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("text")
+    return scored.withColumn("perplexity", F.exp("log_perplexity"))

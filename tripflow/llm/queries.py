@@ -16,9 +16,10 @@ def queries() -> dict:
     from tripflow.llm.segmentation import op4_sampled_pieces
     from tripflow.llm.sharding import op2_jump_shards
     from tripflow.llm.token_files import op1_token_files
+    import corpus_pipeline
     found = [op1_token_files, op2_jump_shards, op3_multi_index, op4_sampled_pieces, op5_pii, op6_kneser_ney,
              op7_packing, op8_cap_filters, op9_secret_scan, op10_dart_minhash]
-    return {f.__name__: _prepared(f) for f in found}
+    return {f.__name__: _prepared(f) for f in found} | {"pipeline": _prepared(corpus_pipeline.run)}
 
 
 def _prepared(fn):

@@ -31,14 +31,14 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from math import exp, inf, log, log1p
+from math import exp, inf, log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.minhash import mix
+from tripflow.llm.minhash import mix, powers
 
 MODEL = "piece_bpe_32k.model"
 K = 2
@@ -77,11 +77,23 @@ class Lattice:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 self.pieces[i] = piece.encode()
                 self.weight[piece] = i, -alpha * log(2 + min(-sp.get_score(i), size))
-        self.prefixes = {p[:n] for p in self.weight for n in range(1, len(p) + 1)}
-        self.inside = {p[n:n + 2] for p in self.weight for n in range(len(p) - 1)}
+        self.inside = np.unique([ord(p[n]) << 21 | ord(p[n + 1]) for p in self.weight for n in range(len(p) - 1)])
+        self.by_length = self._tables()
         self.most = most
         self._clear()
 
+    def _tables(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each length the hashes of the pieces' beginnings, the piece that such
+        a beginning is by itself (or -1) and its weight."""
+        out = []
+        for n in range(1, max(map(len, self.weight)) + 1):
+            some = sorted({p[:n] for p in self.weight if len(p) >= n})
+            own = [self.weight.get(p, (-1, 0.0)) for p in some]
+            h = _hashes(_points("".join(some)))[np.arange(len(some)) * n, n]
+            order = np.argsort(h)
+            out.append((h[order], np.array([x[0] for x in own], np.int32)[order], np.array([x[1] for x in own])[order]))
+        return out
+
     def _clear(self) -> None:
         self.chunks: dict[str, int] = {}
         self.units: dict[str, int] = {}
@@ -93,61 +105,105 @@ class Lattice:
         if len(self.piece) > self.most:
             self._clear()
 
-    def chunk(self, chunk: str) -> int:
-        """The number of a chunk, whose units become known."""
-        cuts = [i for i in range(1, len(chunk)) if chunk[i - 1:i + 1] not in self.inside]
-        for a, b in zip([0, *cuts], [*cuts, len(chunk)]):
-            if (root := self.units.get(unit := chunk[a:b])) is None:
-                root = self.units[unit] = self._unit(unit)
-            self.roots.append(root)
-        self.root_ends.append(len(self.roots))
-        self.chunks[chunk] = n = len(self.root_ends) - 2
-        return n
-
-    def _unit(self, unit: str) -> int:
-        """Build a unit's lattice from its end; returns its first node."""
-        n, weight, prefixes = len(unit), self.weight, self.prefixes
-        node, beta = [-1] * (n + 1), [0.0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            edges = []
-            for j in range(i + 1, n + 1):
-                part = unit[i:j]
-                if (w := weight.get(part)) is not None:
-                    edges.append((w[1] + beta[j], w[0], node[j]))
-                if part not in prefixes:
-                    break
-            if unit[i] not in weight:
-                spelled = unit[i].encode("utf-8", "surrogatepass")
-                to = node[i + 1]
-                for byte in reversed(spelled[1:]):
-                    to = self._node([(0.0, self.bytes[byte], to)], 0.0)
-                edges.append((self.byte_weight * len(spelled) + beta[i + 1], self.bytes[spelled[0]], to))
-            top = max(e[0] for e in edges)
-            beta[i] = top + log(sum(exp(e[0] - top) for e in edges))
-            node[i] = self._node(edges, beta[i])
-        return node[0]
-
-    def _node(self, edges: list[tuple[float, int, int]], beta: float) -> int:
-        if len(edges) > 1:
-            edges.sort(reverse=True)
-        upto = 0.0
-        for w, piece, to in edges:
-            upto += exp(w - beta)
-            self.piece.append(piece)
-            self.target.append(to)
-            self.upto.append(upto)
-            self.logp.append(w - beta)
-        self.upto[-1] = 2.0  # the last one takes what rounding leaves
-        self.starts.append(len(self.piece))
-        return len(self.starts) - 2
-
-    def units_of(self, text: str) -> list[int]:
-        """The chunks of a text, as numbers."""
-        if not text:
-            return []
-        known, own = self.chunks, SPACE + text.replace(" ", SPACE)
-        chunks = _WORDS.findall(own)
-        return [known[c] if c in known else self.chunk(c) for c in chunks]
+    def learn(self, chunks: list[str]) -> None:
+        """Give new chunks numbers: cut them into units wherever no piece has the two
+        characters side by side, and build the units that are new."""
+        if not chunks:
+            return
+        text, points = "".join(chunks), _points("".join(chunks))
+        last = np.cumsum([len(c) for c in chunks])
+        pair = points[:-1].astype(np.int64) << 21 | points[1:]
+        at = np.minimum(np.searchsorted(self.inside, pair), len(self.inside) - 1)
+        cut = np.append(self.inside[at] != pair, True)
+        cut[last - 1] = True
+        ends = np.flatnonzero(cut) + 1
+        parts = [text[a:b] for a, b in zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist())]
+        self._build(list(dict.fromkeys(p for p in parts if p not in self.units)))
+        base = len(self.roots)
+        self.roots.extend(map(self.units.__getitem__, parts))
+        self.root_ends.extend((base + np.searchsorted(ends, last, "right")).tolist())
+        n = len(self.chunks)
+        self.chunks.update(zip(chunks, range(n, n + len(chunks))))
+
+    def _build(self, units: list[str]) -> None:
+        """Nodes are the characters' places; a place's edges are the pieces that
+        start there, or the bytes of a character that is no piece."""
+        if not units:
+            return
+        points = _points("".join(units))
+        size = np.array([len(u) for u in units])
+        end = np.repeat(np.cumsum(size), size)
+        h, at, found = _hashes(points), np.arange(len(points)), []
+        bare = np.ones(len(points), bool)
+        for n, (known, piece, weight) in enumerate(self.by_length, 1):
+            at = at[at + n <= end[at]]
+            own = h[at, n]
+            i = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            hit = known[i] == own
+            at, i = at[hit], i[hit]
+            is_piece = piece[i] >= 0
+            found.append((at[is_piece], at[is_piece] + n, piece[i[is_piece]], weight[i[is_piece]]))
+            if n == 1:
+                bare[at[is_piece]] = False
+            if not len(at):
+                break
+        nodes, extra, chain = len(points), [], []
+        for i in np.flatnonzero(bare).tolist():
+            spelled = chr(points[i]).encode("utf-8", "surrogatepass")
+            extra.append((i, i + 1, self.bytes[spelled[0]], self.byte_weight * len(spelled), nodes + len(chain) if spelled[1:] else -2))
+            for k, byte in enumerate(spelled[1:], 2):  # -2: the edge goes where it ends
+                chain.append((self.bytes[byte], nodes + len(chain) + 1 if k < len(spelled) else i + 1, i))
+        source, to, piece, weight = (np.concatenate([f[k] for f in found] + [np.array([e[k] for e in extra], found[0][k].dtype)]) for k in range(4))
+        target = np.concatenate([np.full(len(source) - len(extra), -2), np.array([e[4] for e in extra], np.int64)])
+        target = np.where(target == -2, np.where(to == end[source], -1, to), target)
+        beta = np.zeros(nodes + 1)
+        order = np.lexsort((source, end[source] - source))
+        far = (end[source] - source)[order]
+        levels = np.concatenate((np.flatnonzero(np.r_[True, far[1:] != far[:-1]]), [len(order)]))
+        for a, b in zip(levels[:-1].tolist(), levels[1:].tolist()):  # from the units' ends on
+            e = order[a:b]
+            s = source[e]
+            first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
+            value = weight[e] + np.where(to[e] == end[s], 0.0, beta[to[e]])
+            beta[s[first]] = np.logaddexp.reduceat(value, first)
+        logp = weight + np.where(to == end[source], 0.0, beta[to]) - beta[source]
+        order = np.lexsort((-logp, source))
+        source, piece, target, logp = source[order], piece[order], target[order], logp[order]
+        p = np.exp(logp)
+        first = np.flatnonzero(np.r_[True, source[1:] != source[:-1]])
+        count = np.diff(np.r_[first, len(source)])
+        total = np.cumsum(p)
+        upto = total - np.repeat(total[first] - p[first], count)
+        upto[first + count - 1] = 2.0  # the last one takes what rounding leaves
+        base, ends = len(self.starts) - 1, len(self.piece)
+        move = lambda x: np.where(x >= 0, x + base, x)
+        tail = np.array([(c[0], -1 if c[1] == end[c[2]] else c[1]) for c in chain], np.int64).reshape(-1, 2)
+        for own, value, kind in ((self.piece, np.r_[piece, tail[:, 0]], "i4"), (self.target, move(np.r_[target, tail[:, 1]]), "i4"),
+                                 (self.upto, np.r_[upto, np.full(len(chain), 2.0)], "f4"), (self.logp, np.r_[logp, np.zeros(len(chain))], "f4"),
+                                 (self.starts, ends + np.cumsum(np.r_[count, np.ones(len(chain), np.int64)]), "i4")):
+            own.frombytes(value.astype(kind).tobytes())
+        self.units.update(zip(units, (base + np.cumsum(size) - size).tolist()))
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+class _hashes:
+    """Hashes of substrings: ``h[at, n]`` is that of the ``n`` characters from ``at`` on."""
+
+    def __init__(self, points: np.ndarray):
+        power, self.inverse = powers(1 << max(12, len(points).bit_length()))
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((points.astype(np.uint64) + np.uint64(1)) * power[:len(points)])))
+
+    def __getitem__(self, key: tuple[np.ndarray, int]) -> np.ndarray:
+        at, n = key
+        return (self.sums[at + n] - self.sums[at]) * self.inverse[at]
+
+
+def chunks_of(text: str | None) -> list[str]:
+    """A text's runs of spaces with the word behind, spaces as the vocabulary has them."""
+    return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
 @lru_cache(maxsize=2)
@@ -245,7 +301,9 @@ def sample_texts(texts: list[str | None], seeds: np.ndarray, own: Lattice, k: in
     """For each text its samples: ids, log-probability, perturbed value, log of the
     inclusion probability."""
     own.tidy()
-    numbers = [np.array(own.units_of(t or ""), np.int64) for t in texts]
+    chunks = [chunks_of(t) for t in texts]
+    own.learn(list(set().union(*chunks).difference(own.chunks)))
+    numbers = [np.fromiter(map(own.chunks.__getitem__, c), np.int64, len(c)) for c in chunks]
     view = lambda a, kind: np.frombuffer(a, kind) if len(a) else np.empty(0, kind)
     t = {"starts": view(own.starts, np.int32), "target": view(own.target, np.int32), "piece": view(own.piece, np.int32),
          "upto": view(own.upto, np.float32), "logp": view(own.logp, np.float32)}
