@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tripflow.llm.minhash import mix, powers
 
@@ -393,7 +394,7 @@ def decode(rows: DataFrame, model: str | None = None, ids: str = "ids", into: st
                 out.append(text if text is None else text.replace(SPACE, " ")[1:])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*b.schema.names, into])
 
-    return rows.mapInArrow(run, rows.schema.add(into, "string"))
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(into, StringType())]))
 
 
 def op4_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
