@@ -152,6 +152,7 @@ def links(classes: DataFrame, cosine: float, caps: int, slack: float, words: int
 def deduplicate(df: DataFrame, cosine: float = COSINE, caps: int = 12, slack: float = 0.1, chunk: int = CHUNK) -> DataFrame:
     """``df`` (``vec_id``, ``embedding``, ``label``) with ``n_links``,
     ``component_id`` and ``kept``."""
+    df = df.drop("n_links", "component_id", "kept", "_own", "_label", "_vector")
     ok = usable(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     found = doubles(df.filter(ok).select("vec_id", "label", "embedding"), "embedding")
     classes = staged(found.groupBy("label", "embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("size"))
@@ -185,8 +186,8 @@ OP8_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 pairs AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
     AND len(a.e) = len(b.e)

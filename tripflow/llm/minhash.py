@@ -203,6 +203,7 @@ def deduplicate(docs: DataFrame, similarity: float = SIMILARITY, chunk: int = CH
     """``docs`` (``doc_id``, ``text``) with ``class_id``, the smallest ``doc_id`` of
     the row's class, ``class_rows``, ``kept`` (of a class, the rows with that id)
     and ``class_key``, which tells classes apart (null: a class of its own)."""
+    docs = docs.drop("class_id", "class_rows", "kept", "class_key", "_key")
     some = F.length("text") > 0
     key = F.md5("text")
     # Copies come together by their text's hash; what moves is their signature.
@@ -232,10 +233,10 @@ def deduplicate(docs: DataFrame, similarity: float = SIMILARITY, chunk: int = CH
 
 def representatives(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row of each class, with the smallest ``doc_id``; the columns of ``docs``."""
-    kept = deduplicate(docs, similarity).filter("kept")
+    kept = deduplicate(docs.select("doc_id", "text", F.struct("*").alias("_docs")), similarity).filter("kept")
     alone = F.struct(F.col("class_key").isNull().alias("alone"), F.coalesce(
         "class_key", F.monotonically_increasing_id()).alias("key"))
-    return kept.withColumn("_class", alone).dropDuplicates(["_class"]).select(*docs.columns)
+    return kept.withColumn("_class", alone).dropDuplicates(["_class"]).select("_docs.*")
 
 
 def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

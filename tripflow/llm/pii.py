@@ -139,6 +139,7 @@ def detect(docs: DataFrame, alpha: float = ALPHA, min_texts: int = MIN_TEXTS) ->
 
 def find(docs: DataFrame, alpha: float = ALPHA, min_texts: int = MIN_TEXTS) -> DataFrame:
     """``docs`` plus ``found``, the spans of its text (none: an empty array)."""
+    docs = docs.drop("found", "_key", "_found")
     found = detect(docs, alpha, min_texts).withColumnsRenamed({"key": "_key", "found": "_found"})
     keyed = docs.withColumn("_key", F.md5(F.coalesce(F.col("text"), F.lit(""))))
     return (keyed.join(found, "_key", "left")
@@ -148,11 +149,12 @@ def find(docs: DataFrame, alpha: float = ALPHA, min_texts: int = MIN_TEXTS) -> D
 def sanitise(docs: DataFrame, alpha: float = ALPHA, min_texts: int = MIN_TEXTS) -> DataFrame:
     """``docs`` with entities generalised to their kind and disclosing terms
     generalised or removed. A text without spans, null too, stays as it is."""
-    found = find(docs, alpha, min_texts)
+    found = find(docs.select(F.struct("*").alias("_docs"), "text"), alpha, min_texts)
     label = lambda s: F.when(s["kind"] != "term", F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).when(
         s["value"] == GENERALISE, F.lit("[TERM]")).otherwise(F.lit(""))
     labelled = F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), label(s).alias("label")))
-    return found.withColumn("text", replaced(F.col("text"), labelled)).select(*docs.columns)
+    clean = F.col("_docs").withField("text", replaced(F.col("text"), labelled))
+    return found.select(clean.alias("_docs")).select("_docs.*")
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -190,6 +190,7 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE, slack: float = SLA
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
     """``docs`` (``doc_id``, ``text``, ``lang``) with ``n_symbols``, ``log_perplexity``,
     ``threshold`` and ``kept``; ``labels``: ``doc_id``, ``quality``, ``toxic``."""
+    docs = docs.drop("n_symbols", "log_perplexity", "threshold", "kept", "_lang", "_band", "_t0", "_t1", "_t2")
     good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
     model = train(docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
     if model is None:

@@ -10,7 +10,8 @@ so the candidates are a superset whatever the rule's case.
 
 Texts are known by the md5 of their content: rows with equal or null keys stay
 apart, and copies share their postings. Null texts count as empty and have no
-spans. Rows, ties and other columns of the input are left alone.
+spans. Rows, ties and other columns of the input are left alone, but
+that the result's column replaces one of its name.
 """
 
 from __future__ import annotations
@@ -120,6 +121,7 @@ def candidates(postings: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
     """``docs`` plus ``found``: spans (``start``, ``end``, ``kind``, ``value``) by
     start, then by the rules' order."""
+    docs = docs.drop("found", "_key", "_kinds")
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.withColumn("_key", F.md5(text))
     full = [r for r in rules if trigram_query(r.pattern) is None]
