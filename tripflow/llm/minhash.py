@@ -215,7 +215,7 @@ def deduplicate(docs: DataFrame, similarity: float = SIMILARITY, chunk: int = CH
     ties = rows.join(buckets.drop("n"), "band").filter("cid <> least").select(F.col("least").alias("a"), F.col("cid").alias("b"))
     candidates = components(ties.distinct()).withColumnsRenamed({"node": "cid", "component": "grp"})
     named = texts.select("key", "cid").join(candidates, "cid")
-    bodies = per_doc.join(named, "key").groupBy("key", "cid", "grp").agg(F.first("text").alias("text"))
+    bodies = per_doc.groupBy("key").agg(F.first("text").alias("text")).join(named, "key")
     tied = staged(links(bodies.select("grp", "cid", "text"), similarity, chunk), "near")
     near = components(tied).withColumnsRenamed({"node": "cid", "component": "near"})
     placed = texts.select("key", "cid").join(near, "cid", "left").select(
