@@ -105,39 +105,68 @@ def test_maintenance_compacts_and_purges(spark, batch):
     assert read_quarantine_table(spark, later).count() == 0
 
 
-def test_incremental_gold_refresh_touches_only_new_months(spark, scratch):
-    """Second stream run brings February trips: only February partials are
-    rebuilt, January's files stay as they were, marts equal a full rebuild."""
-    import datetime as dt
-    import glob
-    from tripflow.plans.pipeline import refresh_gold
-    from tripflow.sources.files import RAW_SCHEMAS
+def _landed(spark, scratch):
     landing = {t: os.path.join(scratch, "landing", t) for t in config.TAXI_TYPES}
     for t in config.TAXI_TYPES:
         write_landing(fixtures.raw_trips(spark, SF_SMALL, t), landing[t], files=1)
-    root = os.path.join(scratch, "tables")
-    zones = fixtures.raw_zones(spark, SF_SMALL)
-    paths = run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF, flow_confs={})
-    jan = sorted(glob.glob(f"{paths['gold._partials.daily_borough_metrics']}/pickup_year=2024/pickup_month=1/*.parquet"))
-    mtimes = {f: os.path.getmtime(f) for f in jan}
+    return landing
+
+
+def _land_february(spark, landing, extra=False):
+    import datetime as dt
+    from tripflow.sources.files import RAW_SCHEMAS
     feb = dt.datetime(2024, 2, 3, 9, 30)
     rows = [(feb + dt.timedelta(minutes=i), feb + dt.timedelta(minutes=i + 12), 10 + i, 20, 1, 1, 2.0, 9.0, 11.0, 1)
             for i in range(5)]
-    spark.createDataFrame(rows, RAW_SCHEMAS["yellow"]).coalesce(1).write.mode("append").parquet(landing["yellow"])
-    run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF, flow_confs={})
-    assert {f: os.path.getmtime(f) for f in jan} == mtimes           # January untouched
-    assert glob.glob(f"{paths['gold._partials.daily_borough_metrics']}/pickup_year=2024/pickup_month=2/*.parquet")
-    incremental = {m: _t(spark, paths, f"gold.{m}") for m in config.MART_DDL}
-    incremental = {m: df.collect() for m, df in incremental.items()}
-    refresh_gold(spark, paths)                                         # full rebuild for comparison
-    for m in config.MART_DDL:
-        full = _t(spark, paths, f"gold.{m}")
-        inc = spark.createDataFrame(incremental[m], full.schema)
-        assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0, m
+    df = spark.createDataFrame(rows, RAW_SCHEMAS["yellow"])
+    df = df.withColumn("airport_fee", F.lit(1.75)) if extra else df
+    df.coalesce(1).write.mode("append").parquet(landing["yellow"])
+
+
+def test_gold_is_whole_after_a_failed_refresh(spark, scratch, monkeypatch):
+    """February reaches silver, gold fails, March of nothing follows: the next
+    update's marts hold February all the same."""
+    from tripflow.plans import pipeline as P
+    landing, root, zones = _landed(spark, scratch), os.path.join(scratch, "tables"), fixtures.raw_zones(spark, SF_SMALL)
+    run = lambda: run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF, flow_confs={})
+    run()
+    _land_february(spark, landing)
+    with monkeypatch.context() as m:
+        m.setattr(P, "refresh_gold", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run()
+    paths = run()
     daily = _t(spark, paths, "gold.daily_borough_metrics")
     assert daily.filter("trip_date = DATE'2024-02-03' AND taxi_type = 'yellow'").agg(F.sum("trip_count")).first()[0] == 5
 
 
+def test_new_raw_columns_reach_bronze(spark, scratch):
+    landing, root, zones = _landed(spark, scratch), os.path.join(scratch, "tables"), fixtures.raw_zones(spark, SF_SMALL)
+    run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF, flow_confs={})
+    _land_february(spark, landing, extra=True)
+    paths = run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF, flow_confs={})
+    bronze = spark.read.option("mergeSchema", True).parquet(paths["bronze.yellow_trips_raw"])
+    assert bronze.filter("airport_fee = 1.75").count() == 5
+
+
+@pytest.mark.parametrize("stream", [False, True])
+def test_logged_row_counts_are_the_tables(spark, scratch, stream):
+    root, zones = os.path.join(scratch, "tables"), fixtures.raw_zones(spark, SF_SMALL)
+    if stream:
+        paths = run_stream_pipeline(spark, _landed(spark, scratch), zones, root, as_of=AS_OF, flow_confs={})
+    else:
+        paths = run_batch_pipeline(spark, SF_SMALL, root, as_of=AS_OF, flow_confs={})
+    ev = spark.read.parquet(paths["audit.event_log"])
+    d = F.from_json("details", "flow_name string, num_output_rows long")
+    logged = {r.n: r.k for r in ev.filter("event_type = 'flow_progress'").select(
+        d["flow_name"].alias("n"), d["num_output_rows"].alias("k")).collect()}
+    for name, n in logged.items():
+        path = os.path.join(paths["silver.quarantine_trips"], f"flow={name.removeprefix('silver.quarantine_')}") \
+            if name.startswith("silver.quarantine") else paths[name]
+        assert spark.read.parquet(path).count() == n, name
+    assert {"silver.zone_lookup", "bronze.zone_lookup_raw"} <= set(logged) and len(logged) == 20
+
+
 def test_silver_rows_are_conformed_bronze_rows(spark, batch):
     from tripflow.operators.conform import conform_trips
     for t in config.TAXI_TYPES:

@@ -18,7 +18,7 @@ def plan(df) -> str:
 
 # queries that write files first, and the one Arrow-batched reader (parquet rescue)
 EAGER = ("quarantine_all", "compaction_roundtrip", "schema_evolution_union", "stream_ingest", "dedup_stream",
-         "rescued_parquet", "update_dq_log", "gold_daily_incremental", "csv_trip_scan", "maintenance_counts")
+         "rescued_parquet", "update_dq_log", "pk_violations", "change_feed", "gold_daily_incremental", "csv_trip_scan", "maintenance_counts")
 LAZY = [k for k in C.queries() if k not in EAGER]
 
 
@@ -29,22 +29,19 @@ def test_no_python_in_plan(spark, name):
         assert marker not in p, (name, marker)
 
 
-def test_zone_join_is_broadcast_and_scan_is_pruned(spark):
-    p = plan(C.queries()["gold_daily_borough"](spark, SF_SMALL))
-    assert "BroadcastHashJoin" in p
-    assert "SortMergeJoin" not in p
+def test_scan_is_pruned(spark):
     # the events scan reads only the four columns the derivation needs
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string,value:double>" in \
         C.queries()["gold_daily_borough"](spark, SF_SMALL)._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
 
-def test_unprovable_dimension_uses_pre_aggregated_shuffle_join(spark):
+def test_zones_meet_pre_aggregated_trips(spark):
     s = C._silver_all(spark, SF_SMALL)
     z = C._zones(spark, SF_SMALL)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(marts.daily_borough_metrics(s, z, zones_small=False))
+        p = plan(marts.daily_borough_metrics(s, z))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in p
@@ -75,6 +72,23 @@ def test_filters_reach_the_silver_scan(spark, scratch):
     assert "ReadSchema: struct<pickup_datetime:timestamp_ntz,pickup_location_id:bigint,dropoff_location_id:bigint>" in fmt
 
 
+def test_drop_rules_reach_the_bronze_scan(spark, scratch):
+    from tripflow.functions.rules import RULES
+    from tripflow.operators.conform import conform_trips
+    from tripflow.operators.quality import apply_rules
+    path = os.path.join(scratch, "bronze_yellow")
+    C._bronze(spark, SF_SMALL, "yellow").write.parquet(path)
+    kept = apply_rules(conform_trips(spark.read.parquet(path), "yellow"), RULES["yellow"])
+    fmt = kept._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    pushed = fmt.split("PushedFilters:")[1].split("\n")[0]
+    assert "GreaterThanOrEqual(PULocationID,1)" in pushed and "LessThanOrEqual(PULocationID,265)" in pushed, pushed
+
+
+def test_pk_violations_scans_events_while_writing_silver_only(spark):
+    assert "events.parquet" not in plan(C.queries()["pk_violations"](spark, SF_SMALL))
+
+
 def test_parquet_rescue_is_arrow_batched_over_spark_listed_files(spark):
     p = plan(C.queries()["rescued_parquet"](spark, SF_SMALL))
     assert "MapInPandas" in p and "BatchEvalPython" not in p

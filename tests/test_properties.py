@@ -108,10 +108,10 @@ silver_vals = st.lists(st.tuples(st.sampled_from([1, 2, 3, 99]),
 
 
 @SETTINGS
-@given(silver_vals, st.booleans())
-def test_marts_match_brute_force(spark, vals, small):
+@given(silver_vals)
+def test_marts_match_brute_force(spark, vals):
     """daily_borough_metrics and zone_revenue on random silver rows with NULL
-    measures and unmatched locations, through both zone-join plans."""
+    measures and unmatched locations."""
     import datetime as dt
     from decimal import Decimal
     from tripflow import config
@@ -128,7 +128,7 @@ def test_marts_match_brute_force(spark, vals, small):
                                   "location_id INT, borough STRING, zone_name STRING")
     borough = {1: "A", 2: "A", 3: "B"}
 
-    daily = {(r.trip_date, r.borough): r for r in marts.daily_borough_metrics(silver, zones, small).collect()}
+    daily = {(r.trip_date, r.borough): r for r in marts.daily_borough_metrics(silver, zones).collect()}
     want = {}
     for pu, day, rev, dist in vals:
         if pu not in borough:
@@ -146,7 +146,7 @@ def test_marts_match_brute_force(spark, vals, small):
         assert r.total_revenue == (float(sum(revs_nn)) if revs_nn else None)
         assert r.avg_distance == (float(sum(dists_nn)) / len(dists_nn) if dists_nn else None)
 
-    zr = {r.pickup_location_id: r for r in marts.zone_revenue(silver, zones, small).collect()}
+    zr = {r.pickup_location_id: r for r in marts.zone_revenue(silver, zones).collect()}
     assert set(zr) == {pu for pu, *_ in vals}                       # unmatched location 99 kept
     for pu, r in zr.items():
         revs = [rev for p, _, rev, _ in vals if p == pu and rev is not None]

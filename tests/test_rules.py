@@ -155,12 +155,24 @@ def test_airport_trip_counts_once(spark):
 
 def test_zone_revenue_keeps_unmatched_location(spark):
     silver = _silver_from(spark, [yellow_row(PULocationID=264), yellow_row(PULocationID=10, total_amount=7.0)])
-    for small in (True, False):  # broadcast path and pre-aggregate path agree
-        out = {r.pickup_location_id: r for r in marts.zone_revenue(silver, _zones(spark), small).collect()}
-        assert out[264].borough is None and out[264].trip_count == 1
-        assert out[10].borough == "Manhattan" and out[10].total_revenue == 7.0
-        daily = marts.daily_borough_metrics(silver, _zones(spark), small).collect()
-        assert [(r.borough, r.trip_count) for r in daily] == [("Manhattan", 1)]
+    out = {r.pickup_location_id: r for r in marts.zone_revenue(silver, _zones(spark)).collect()}
+    assert out[264].borough is None and out[264].trip_count == 1
+    assert out[10].borough == "Manhattan" and out[10].total_revenue == 7.0
+    daily = marts.daily_borough_metrics(silver, _zones(spark)).collect()
+    assert [(r.borough, r.trip_count) for r in daily] == [("Manhattan", 1)]
+
+
+@pytest.mark.parametrize("odd, want", [(float("inf"), float("inf")), (1e20, (1e20 + 2) / 2), (None, 2.0), (float("nan"), None)])
+def test_average_takes_in_what_no_decimal_holds(spark, odd, want):
+    silver = _silver_from(spark, [yellow_row(PULocationID=10, trip_distance=2.0, VendorID=1),
+                                  yellow_row(PULocationID=10, trip_distance=odd, VendorID=2)])
+    got = [r.avg_distance for r in marts.daily_borough_metrics(silver, _zones(spark)).collect()]
+    assert len(got) == 1 and (got[0] != got[0] if want is None else got[0] == want)
+
+
+def test_marts_refuse_undeclared_columns(spark):
+    with pytest.raises(ValueError, match="extra"):
+        marts.conform_to_ddl(spark.range(1).withColumn("extra", marts.F.lit(1)), "id LONG")
 
 
 def test_day_of_week_sunday_is_one(spark):

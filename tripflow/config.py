@@ -187,4 +187,4 @@ EXACT_MEASURE = "DECIMAL(24,6)"
 EXACT_REAGG = "DECIMAL(38,10)"
 
 # Upper bound on rows of a dimension we agree to broadcast.
-BROADCAST_MAX_ROWS = 100_000
+

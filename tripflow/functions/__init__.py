@@ -1,7 +1,7 @@
 """Scalar expressions and declarative rule sets."""
 
 from tripflow.functions.expressions import (  # noqa: F401
-    duration_minutes, exact, exact_sum, layer_of, payment_label, processing_time,
+    exact, layer_of, payment_label, processing_time,
     reasons_vector, sla_threshold_hours, trip_type_desc,
 )
 from tripflow.functions.rules import REASONS, RULES, Rule, RuleSet, reasons_from_rules  # noqa: F401

@@ -12,14 +12,6 @@ def col_or_name(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def duration_minutes(dropoff: str | Column, pickup: str | Column) -> Column:
-    """Whole-second difference in minutes rounded to 2 places; may be
-    negative; NULL when either side is NULL."""
-    return F.round(
-        (F.unix_timestamp(col_or_name(dropoff)) - F.unix_timestamp(col_or_name(pickup))) / 60, 2
-    )
-
-
 def processing_time(as_of=None) -> Column:
     """Processing timestamp: ``current_timestamp()`` or an injected instant."""
     if as_of is None:
@@ -84,11 +76,6 @@ def exact(c: str | Column, decimal_type: str = config.EXACT_MEASURE) -> Column:
     return col_or_name(c).try_cast(decimal_type)
 
 
-def exact_sum(c: str | Column, decimal_type: str = config.EXACT_MEASURE) -> Column:
-    """Order-independent SUM of a double measure, returned as DOUBLE."""
-    return F.sum(exact(c, decimal_type)).cast("double")
-
-
 def reasons_vector(reasons: dict[str, str]) -> Column:
     """Ordered ', '-joined names of every reason whose condition is TRUE
     (a NULL condition adds nothing)."""

@@ -30,7 +30,7 @@ def conform_trips(df: DataFrame, taxi_type: str, as_of=None) -> DataFrame:
     raw = {v: k for k, v in names.items()}                      # conformed -> raw
     pickup, dropoff = f"`{raw['pickup_datetime']}`", f"`{raw['dropoff_datetime']}`"
     # one projection: renames and derived columns together (duration as in
-    # functions.expressions.duration_minutes)
+    # FN-1)
     out = df.selectExpr(
         *[f"`{c}` AS `{n}`" for c, n in names.items()],
         f"'{taxi_type}' AS taxi_type",
@@ -48,11 +48,3 @@ def conform_for_quarantine(df: DataFrame, taxi_type: str) -> DataFrame:
 
 def conform_zones(df: DataFrame, as_of=None) -> DataFrame:
     return rename(df, config.ZONE_RENAMES).withColumn("_created_at", processing_time(as_of))
-
-
-def revenue_view(silver: DataFrame, taxi_type: str) -> DataFrame:
-    """Harmonised measures across sources: ``revenue`` and ``trip_distance``
-    (fhvheavy calls them ``base_passenger_fare`` and ``trip_miles``)."""
-    if taxi_type == "fhvheavy":
-        return silver.withColumnsRenamed({"base_passenger_fare": "revenue", "trip_miles": "trip_distance"})
-    return silver.withColumnRenamed("total_amount", "revenue")

@@ -1,9 +1,8 @@
-"""Dimension joins with a checked broadcast.
+"""Dimension joins.
 
-A side is broadcast only after a bounded count proves it small (the count
-stops at ``max_rows + 1``, so the check is cheap even when the side turns
-out to be large). Beyond the bound the join is left to a shuffle join, which
-AQE may still convert or split when a key is skewed.
+The fact side comes pre-aggregated per location (``operators.marts``), so what meets
+the dimension is small whichever way it is joined. No side is hinted: Spark
+broadcasts by its byte threshold, at run time too (AQE), and shuffles beyond it.
 """
 
 from __future__ import annotations
@@ -11,24 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow import config
 
-
-def is_small(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def zone_side(zones: DataFrame, small: bool | None = None) -> DataFrame:
-    """The zone columns marts need, broadcast when proven small."""
-    z = zones.select("location_id", "borough", "zone_name")
-    if small is None:
-        small = is_small(z)
-    return F.broadcast(z) if small else z
+def zone_side(zones: DataFrame) -> DataFrame:
+    """The zone columns marts need."""
+    return zones.select("location_id", "borough", "zone_name")
 
 
 def attach_zones(df: DataFrame, zones: DataFrame, how: str = "left",
                  location_col: str = "pickup_location_id") -> DataFrame:
-    """``df`` ⟕ zones on ``location_col = location_id`` (zone columns added,
+    """``df`` joined to zones on ``location_col = location_id`` (zone columns added,
     ``location_id`` dropped). ``zones`` should come from ``zone_side``."""
     return (df.join(zones, F.col(location_col) == zones["location_id"], how)
             .drop(zones["location_id"]))

@@ -2,23 +2,14 @@
 
 Each mart is a ``MartSpec``: per-source projection, row filter, group keys,
 mergeable measures (count / exact sum / non-NULL count / min / max) and the
-finishing projection. One spec drives three plans:
-
-* ``build``: the full recompute. Zones are a small dimension: when a bounded
-  count proves it small, it is broadcast and the mart is one map-side join
-  + partial aggregate + one shuffle of partial rows + final aggregate. When
-  it is not provably small, trips are first aggregated per pickup location
-  (map-side combine) and only that pre-aggregate is shuffle-joined to zones,
-  so the trip volume never meets the join and a hot location can't skew it.
-* ``partials``: the same measures per (key without zone columns, pickup
-  location, pickup month), computed only for the given months of silver (a
-  partition-pruned scan) -> a small table refreshed month by month.
-* ``from_partials``: partials ⋈ zones -> merged measures -> the mart. Zone
-  edits are picked up here without touching trips.
-
-Measures are summed exactly (decimal) and returned as DOUBLE; averages are
-that exact sum divided by the count of non-NULL values, NULL when there is
-none. Each mart projects only its columns, so silver scans are pruned.
+finishing projection. Trips are first aggregated per pickup location (map-side
+combine); only these partial rows meet the zones, and the zone join merges them. So
+the trip volume never meets the join, whatever the dimension's size, and a hot location can't
+skew it.
+
+Measures are summed exactly (decimal) and returned as DOUBLE; what no decimal
+holds (NaN, infinities, 1e18 and more) is summed beside them as DOUBLE. Averages are
+the sum divided by the count of non-NULL values, NULL when there is none. Each mart projects only its columns, so silver scans are pruned.
 """
 
 from __future__ import annotations
@@ -32,10 +23,9 @@ from pyspark.sql import functions as F
 
 from tripflow import config
 from tripflow.functions.expressions import trip_type_desc
-from tripflow.operators.joins import attach_zones, is_small, zone_side
+from tripflow.operators.joins import attach_zones, zone_side
 
 PRICED = ("yellow", "green", "fhvheavy")
-MONTH = ["pickup_year", "pickup_month"]
 ZONE_COLS = ("borough", "zone_name")
 
 
@@ -56,13 +46,15 @@ def count_all() -> Measure:
     return Measure("_n", F.expr("count(1)"))
 
 
-def exact_total(c: str) -> Measure:
-    """Exact (decimal) sum; see functions.expressions.exact."""
-    return Measure(f"_sum_{c}", F.expr(f"sum(try_cast(`{c}` AS {config.EXACT_MEASURE}))"))
+def exact_total(c: str) -> list[Measure]:
+    """Exact (decimal) sum, and beside it the sum of what no decimal holds."""
+    cast = f"try_cast(`{c}` AS {config.EXACT_MEASURE})"
+    return [Measure(f"_sum_{c}", F.expr(f"sum({cast})")),
+            Measure(f"_odd_{c}", F.expr(f"sum(CASE WHEN {cast} IS NULL THEN CAST(`{c}` AS DOUBLE) END)"))]
 
 
 def nonnull(c: str) -> Measure:
-    return Measure(f"_cnt_{c}", F.expr(f"count(try_cast(`{c}` AS {config.EXACT_MEASURE}))"))
+    return Measure(f"_cnt_{c}", F.expr(f"count(`{c}`)"))
 
 
 def count_when(name: str, cond_sql: str) -> Measure:
@@ -73,12 +65,17 @@ def extreme(name: str, fn: str, c: str) -> Measure:
     return Measure(name, F.expr(f"{fn}(`{c}`)"), fn)
 
 
+def _total(c: str) -> str:
+    exact = f"CAST(`_sum_{c}` AS DOUBLE)"
+    return f"(CASE WHEN `_odd_{c}` IS NULL THEN {exact} ELSE coalesce({exact}, 0D) + `_odd_{c}` END)"
+
+
 def finish_sum(c: str) -> Column:
-    return F.expr(f"CAST(`_sum_{c}` AS DOUBLE)")
+    return F.expr(_total(c))
 
 
 def finish_avg(c: str) -> Column:
-    return F.expr(f"try_divide(CAST(`_sum_{c}` AS DOUBLE), `_cnt_{c}`)")
+    return F.expr(f"try_divide({_total(c)}, `_cnt_{c}`)")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -86,11 +83,11 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def conform_to_ddl(df: DataFrame, ddl: str) -> DataFrame:
-    """Select and cast to a declared schema; fail on a missing column."""
+    """Order and cast columns by a declared schema; fail on a missing or extra one."""
     fields = [f.strip().split(" ", 1) for f in ddl.split(",")]
-    missing = [n for n, _ in fields if n not in df.columns]
-    if missing:
-        raise ValueError(f"columns missing for declared schema: {missing}")
+    names = [n for n, _ in fields]
+    if odd := set(names) ^ set(df.columns):
+        raise ValueError(f"columns missing from the frame or from the declared schema: {sorted(odd)}")
     return df.selectExpr(*[f"CAST(`{n}` AS {t}) AS `{n}`" for n, t in fields])
 
 
@@ -114,14 +111,8 @@ class MartSpec:
             ks.append("pickup_location_id")
         return ks
 
-    def trips(self, silver: dict[str, DataFrame], months: list[tuple[int, int]] | None = None,
-              with_month: bool = False) -> DataFrame:
-        parts = []
-        for t in self.sources:
-            s = silver[t] if months is None else silver[t].filter(month_filter(months))
-            cols = self.project(t, s) + (MONTH if with_month else [])
-            parts.append(s.select(*cols))
-        out = union_all(parts)
+    def trips(self, silver: dict[str, DataFrame]) -> DataFrame:
+        out = union_all([silver[t].select(*self.project(t, silver[t])) for t in self.sources])
         return out.filter(self.where()) if self.where else out
 
     def _finish(self, grouped: DataFrame) -> DataFrame:
@@ -129,52 +120,17 @@ class MartSpec:
                               config.MART_DDL[self.name])
 
 
-def month_filter(months: list[tuple[int, int]]) -> Column:
-    """(pickup_year, pickup_month) in ``months``, as literals on the silver
-    partition columns: the scan prunes every other month's directory."""
-    if not months:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b, [(F.col("pickup_year") == y) & (F.col("pickup_month") == m)
-                                       for y, m in sorted(set(months))])
-
-
 def _zone_filter(df: DataFrame, spec: MartSpec) -> DataFrame:
     return df.filter(F.col("borough").isNotNull()) if spec.zones == "matched" else df
 
 
-def build(spec: MartSpec, silver: dict[str, DataFrame], zones: DataFrame | None = None,
-          zones_small: bool | None = None) -> DataFrame:
-    """Full recompute of one mart from silver."""
-    trips = spec.trips(silver)
+def build(spec: MartSpec, silver: dict[str, DataFrame], zones: DataFrame | None = None) -> DataFrame:
+    """One mart from silver."""
+    pre = spec.trips(silver).groupBy(*spec.pre_keys).agg(*[m.partial.alias(m.name) for m in spec.measures])
     if not spec.zones:
-        g = trips.groupBy(*spec.keys).agg(*[m.partial.alias(m.name) for m in spec.measures])
-        return spec._finish(g)
-    small = is_small(zones) if zones_small is None else zones_small
-    z = zone_side(zones, small)
-    if small:
-        joined = _zone_filter(attach_zones(trips, z, "left"), spec)
-        g = joined.groupBy(*spec.keys).agg(*[m.partial.alias(m.name) for m in spec.measures])
-        return spec._finish(g)
-    pre = trips.groupBy(*spec.pre_keys).agg(*[m.partial.alias(m.name) for m in spec.measures])
-    return from_partials(spec, pre, zones, small=False)
-
-
-def partials(spec: MartSpec, silver: dict[str, DataFrame],
-             months: list[tuple[int, int]] | None = None) -> DataFrame:
-    """Partial measures per (pre-keys, pickup month) for ``months`` (list of
-    (year, month); all months when None)."""
-    trips = spec.trips(silver, months, with_month=True)
-    return trips.groupBy(*spec.pre_keys, *MONTH).agg(*[m.partial.alias(m.name) for m in spec.measures])
-
-
-def from_partials(spec: MartSpec, parts: DataFrame, zones: DataFrame | None = None,
-                  small: bool | None = None) -> DataFrame:
-    """Merge partial measures (any grouping finer than the mart's) into the mart."""
-    if spec.zones:
-        z = zone_side(zones, small)
-        parts = _zone_filter(attach_zones(parts, z, "left"), spec)
-    g = parts.groupBy(*spec.keys).agg(*[m.merged() for m in spec.measures])
-    return spec._finish(g)
+        return spec._finish(pre)
+    parts = _zone_filter(attach_zones(pre, zone_side(zones), "left"), spec)
+    return spec._finish(parts.groupBy(*spec.keys).agg(*[m.merged() for m in spec.measures]))
 
 
 # --------------------------------------------------------------------------- the six marts
@@ -204,7 +160,7 @@ _SPECS = {
         lambda t, s: [_date(), "pickup_location_id", "taxi_type",
                       F.col(_rev(t)).alias("revenue"), F.col(_dist(t)).alias("trip_distance")],
         ["trip_date", "borough", "taxi_type"],
-        [count_all(), exact_total("revenue"), exact_total("trip_distance"), nonnull("trip_distance")],
+        [count_all(), *exact_total("revenue"), *exact_total("trip_distance"), nonnull("trip_distance")],
         [F.col("_n").alias("trip_count"), finish_sum("revenue").alias("total_revenue"),
          finish_avg("trip_distance").alias("avg_distance")],
         zones="matched"),
@@ -233,7 +189,7 @@ _SPECS = {
         "zone_revenue", PRICED,
         lambda t, s: ["pickup_location_id", "taxi_type", F.col(_rev(t)).alias("revenue")],
         ["pickup_location_id", "zone_name", "borough", "taxi_type"],
-        [count_all(), exact_total("revenue"), nonnull("revenue"),
+        [count_all(), *exact_total("revenue"), nonnull("revenue"),
          extreme("_min", "min", "revenue"), extreme("_max", "max", "revenue")],
         [F.col("_n").alias("trip_count"), finish_sum("revenue").alias("total_revenue"),
          finish_avg("revenue").alias("avg_revenue"), F.col("_min").alias("min_revenue"),
@@ -243,7 +199,7 @@ _SPECS = {
         "payment_trends", ("yellow", "green"),
         lambda t, s: [_date(), "payment_type", "taxi_type", "total_amount", "fare_amount"],
         ["trip_date", "payment_type", "taxi_type"],
-        [count_all(), exact_total("total_amount"), exact_total("fare_amount"), nonnull("fare_amount")],
+        [count_all(), *exact_total("total_amount"), *exact_total("fare_amount"), nonnull("fare_amount")],
         [F.col("_n").alias("trip_count"), finish_sum("total_amount").alias("total_revenue"),
          finish_avg("fare_amount").alias("avg_fare")],
         where=lambda: F.col("payment_type").isNotNull() & F.col("trip_date").isNotNull()),
@@ -267,28 +223,28 @@ def specs() -> dict[str, MartSpec]:
     return {n: b() for n, b in _SPECS.items()}
 
 
-def daily_borough_metrics(silver, zones, zones_small=None) -> DataFrame:
-    return build(spec("daily_borough_metrics"), silver, zones, zones_small)
+def daily_borough_metrics(silver, zones) -> DataFrame:
+    return build(spec("daily_borough_metrics"), silver, zones)
 
 
-def hourly_demand(silver, zones, zones_small=None) -> DataFrame:
-    return build(spec("hourly_demand"), silver, zones, zones_small)
+def hourly_demand(silver, zones) -> DataFrame:
+    return build(spec("hourly_demand"), silver, zones)
 
 
 def airport_metrics(silver) -> DataFrame:
     return build(spec("airport_metrics"), silver)
 
 
-def zone_revenue(silver, zones, zones_small=None) -> DataFrame:
-    return build(spec("zone_revenue"), silver, zones, zones_small)
+def zone_revenue(silver, zones) -> DataFrame:
+    return build(spec("zone_revenue"), silver, zones)
 
 
 def payment_trends(silver) -> DataFrame:
     return build(spec("payment_trends"), silver)
 
 
-def trip_type_summary(silver, zones, zones_small=None) -> DataFrame:
-    return build(spec("trip_type_summary"), silver, zones, zones_small)
+def trip_type_summary(silver, zones) -> DataFrame:
+    return build(spec("trip_type_summary"), silver, zones)
 
 
 MARTS = {
@@ -302,6 +258,4 @@ MARTS = {
 
 
 def all_marts(silver: dict[str, DataFrame], zones: DataFrame) -> dict[str, DataFrame]:
-    small = is_small(zones)
-    return {n: build(spec, silver, zones if spec.zones else None, small if spec.zones else None)
-            for n, spec in specs().items()}
+    return {n: build(spec, silver, zones if spec.zones else None) for n, spec in specs().items()}

@@ -19,7 +19,7 @@ METRIC_SCHEMA = "dataset STRING, rule_name STRING, action STRING, passed_records
 
 
 def all_pass(rules) -> Column:
-    """TRUE iff every rule is TRUE (one expression for the whole set)."""
+    """TRUE iff every rule is TRUE, never NULL (one expression for the whole set)."""
     rules = list(rules)
     return F.expr(" AND ".join(r.passed_sql for r in rules)) if rules else F.lit(True)
 
@@ -27,7 +27,9 @@ def all_pass(rules) -> Column:
 def apply_rules(df: DataFrame, rules: RuleSet) -> DataFrame:
     """Keep rows that satisfy every drop rule (warn rules keep everything)."""
     drops = rules.drop_rules
-    return df.filter(all_pass(drops)) if drops else df
+    # A plain conjunction: a filter drops NULL like FALSE, and bare predicates
+    # can be pushed into the scan, which coalesce() would prevent.
+    return df.filter(" AND ".join(f"({r.predicate})" for r in drops)) if drops else df
 
 
 def rule_count_exprs(rules: RuleSet) -> list[Column]:

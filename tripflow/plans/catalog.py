@@ -18,7 +18,6 @@ from tripflow import config
 from tripflow.operators import audit, serving, storage
 from tripflow.operators.conform import conform_trips
 from tripflow.operators.marts import MARTS, all_marts, build, spec, union_all
-from tripflow.operators.joins import is_small
 from tripflow.plans import medallion as M
 from tripflow.session import work_path
 from tripflow.sources import fixtures
@@ -182,23 +181,31 @@ def q_audit_sla(spark, sf):
 # --------------------------------------------------------------------------- storage
 
 
+def _silver_tables(spark, sf, types=config.TAXI_TYPES):
+    """Silver written once and read back, for queries that use it many times."""
+    base, out = work_path(spark, "silver"), {}
+    for t, df in _silver_all(spark, sf, types).items():
+        df.write.parquet(os.path.join(base, t))
+        out[t] = spark.read.parquet(os.path.join(base, t))
+    return out
+
+
 def q_pk_violations(spark, sf):
-    marts = all_marts(_silver_all(spark, sf), _zones(spark, sf))
+    marts = all_marts(_silver_tables(spark, sf), _zones(spark, sf))
     return union_all([storage.pk_summary(df, config.MART_PK[n], n) for n, df in marts.items()])
 
 
 def q_change_feed(spark, sf):
     """Daily mart: an earlier version (trips before CHANGE_OLD_BEFORE) vs a
     later one (trips from CHANGE_NEW_FROM on): inserts, deletes, updates."""
-    s = _silver_all(spark, sf)
+    s = _silver_tables(spark, sf, spec("daily_borough_metrics").sources)
     z = _zones(spark, sf)
-    small = is_small(z)
     old_s = {t: df.filter(F.col("pickup_datetime") < F.lit(CHANGE_OLD_BEFORE).cast("timestamp_ntz"))
              for t, df in s.items()}
     new_s = {t: df.filter(F.col("pickup_datetime") >= F.lit(CHANGE_NEW_FROM).cast("timestamp_ntz"))
              for t, df in s.items()}
     fn = MARTS["daily_borough_metrics"]
-    return storage.change_feed(fn(old_s, z, small), fn(new_s, z, small),
+    return storage.change_feed(fn(old_s, z), fn(new_s, z),
                                config.MART_PK["daily_borough_metrics"])
 
 
@@ -210,12 +217,12 @@ def q_retention_purge(spark, sf):
 
 
 def q_compaction_roundtrip(spark, sf):
-    """Silver yellow written partitioned in many small files, compacted at a
+    """Silver yellow written partitioned, a file per task and month, compacted at a
     new path (file size chosen by the data, not a fixed count), read back."""
     base = work_path(spark, "compaction")
     src, dst = os.path.join(base, "v0"), os.path.join(base, "v1")
     parts = config.SILVER_PARTITIONS["yellow"]
-    _silver(spark, sf, "yellow").repartition(16).write.mode("overwrite").partitionBy(*parts).parquet(src)
+    _silver(spark, sf, "yellow").write.mode("overwrite").partitionBy(*parts).parquet(src)
     return storage.compact(spark, src, dst, cluster_cols=["pickup_datetime"], partition_cols=parts)
 
 
@@ -272,8 +279,7 @@ def q_update_dq_log(spark, sf):
 
 def q_gold_daily_incremental(spark, sf):
     """Daily mart after two incremental stream updates: trips land in two
-    batches (before / from EVOLVED_FROM); the second update refreshes only
-    the months it touched through the monthly partials."""
+    batches (before / from EVOLVED_FROM)."""
     from tripflow.plans.pipeline import run_stream_pipeline, write_landing
     base = work_path(spark, "incremental")
     raw = fixtures.all_raw_trips(spark, sf)

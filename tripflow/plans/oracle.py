@@ -59,8 +59,8 @@ zones_raw AS (
   SELECT CAST(o_orderkey AS INTEGER) AS LocationID,
          CASE WHEN o_orderkey < 264 THEN r_name END AS Borough,
          CASE WHEN o_orderkey < 264 THEN n_name END AS Zone
-  FROM orders JOIN nation ON n_nationkey = o_orderkey % 25 JOIN region ON r_regionkey = n_regionkey
-  WHERE o_orderkey BETWEEN 1 AND 265),
+  FROM (SELECT DISTINCT o_orderkey % 265 + 1 AS o_orderkey FROM orders)
+  JOIN nation ON n_nationkey = o_orderkey % 25 JOIN region ON r_regionkey = n_regionkey),
 ev AS (
   SELECT CAST(event_id AS VARCHAR) AS id, ts AS "timestamp",
     CASE event_type WHEN 'signup' THEN 'update_progress' WHEN 'error' THEN 'flow_definition' ELSE 'flow_progress' END AS event_type,

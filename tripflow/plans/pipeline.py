@@ -36,16 +36,13 @@ from tripflow.functions.rules import RULES, bronze_rules
 from tripflow.operators import audit
 from tripflow.operators.conform import conform_trips, conform_zones
 from tripflow.operators.dedup import dedup_trips
-from tripflow.operators.joins import is_small
-from tripflow.operators.marts import from_partials
-from tripflow.operators.marts import partials as mart_partials
+from tripflow.operators.marts import build
 from tripflow.operators.marts import specs as mart_specs
-from tripflow.operators.quality import apply_rules, metrics_from_observed, rule_count_exprs
+from tripflow.operators.quality import apply_rules, metrics_from_observed, rule_count_exprs, rule_metrics
 from tripflow.operators.storage import write_clustered, write_rebalanced
 from tripflow.plans import medallion as M
 from tripflow.sources import fixtures
-from tripflow.sources.files import RAW_SCHEMAS, read_stream
-from tripflow.session import path_exists
+from tripflow.sources.files import RAW_SCHEMAS, evolve_stream_schema, merge_schema, read_stream
 from tripflow.streaming import ingest
 
 
@@ -59,7 +56,6 @@ def table_paths(root: str) -> dict[str, str]:
     p["silver.quarantine_trips"] = os.path.join(root, "silver", "quarantine_trips")
     for m in config.MART_DDL:
         p[f"gold.{m}"] = os.path.join(root, "gold", m)
-        p[f"gold._partials.{m}"] = os.path.join(root, "gold", "_partials", m)
     p["audit.event_log"] = os.path.join(root, "audit", "event_log")
     for v in ("pipeline_run_log", "data_quality_log", "row_count_log", "sla_monitoring", "error_log"):
         p[f"audit.{v}"] = os.path.join(root, "audit", v)
@@ -114,7 +110,7 @@ class EventRecorder:
             try:
                 return fn(item)
             except Exception as e:  # noqa: BLE001 - recorded, then re-raised
-                self.error(flow_pattern.format(item), f"{type(e).__name__}: {e}"[:2000])
+                self.error(flow_pattern.format(item), f"{type(e).__name__}: {e}")
                 raise
         return run
 
@@ -146,59 +142,30 @@ def _write_silver(df: DataFrame, taxi_type: str, path: str) -> None:
     write_rebalanced(df, path, config.SILVER_PARTITIONS[taxi_type], ["pickup_datetime"])
 
 
-def months_between(lo: dt.datetime | None, hi: dt.datetime | None) -> list[tuple[int, int]]:
-    """Every (year, month) from ``lo`` to ``hi`` inclusive (empty if unset)."""
-    if lo is None or hi is None:
-        return []
-    lo, hi = (dt.datetime.fromisoformat(str(v).replace("Z", "")) if not isinstance(v, dt.datetime) else v
-              for v in (lo, hi))
-    out, (y, m) = [], (lo.year, lo.month)
-    while (y, m) <= (hi.year, hi.month):
-        out.append((y, m))
-        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-    return out
-
-
-def refresh_gold(spark: SparkSession, paths: dict[str, str], rec: EventRecorder | None = None,
-                 months: list[tuple[int, int]] | None = None) -> None:
-    """Refresh the marts through per-month partial aggregates.
-
-    ``months=None`` rebuilds all partials; otherwise only the partial
-    partitions of ``months`` are recomputed (silver scans prune every other
-    month) and replaced (dynamic partition overwrite). The marts are then
-    re-aggregated from the partials, which are small (per day / hour x pickup
-    location x source), joined to the current zones.
-    """
+def written_rows(spark: SparkSession, path: str) -> int:
+    """Rows of a table, from its files' footers."""
+    return spark.read.parquet(path).count()
+
+
+def refresh_gold(spark: SparkSession, paths: dict[str, str], rec: EventRecorder | None = None) -> None:
+    """Recompute all marts from silver. A mart that failed or was never written is
+    whole again after the next update, whatever had reached silver before."""
     zones = spark.read.parquet(paths["silver.zone_lookup"])
-    small = is_small(zones)
+    silver_s = {t: spark.read.parquet(paths[f"silver.{t}_trips"]) for t in config.TAXI_TYPES}
     specs = mart_specs()
-    s = flow_session(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"} if months else None)
-    silver_s = {t: s.read.parquet(paths[f"silver.{t}_trips"]) for t in config.TAXI_TYPES}
 
     def one(name: str) -> None:
-        spec = specs[name]
-        t0 = time.time()
-        if months is None or months:
-            parts = mart_partials(spec, silver_s, months)
-            write_rebalanced(parts, paths[f"gold._partials.{name}"], ["pickup_year", "pickup_month"])
-        parts_all = spark.read.parquet(paths[f"gold._partials.{name}"])
-        obs = Observation(f"gold_{name}")
-        out = from_partials(spec, parts_all, zones if spec.zones else None, small).observe(
-            obs, F.count(F.lit(1)).alias("rows"))
-        write_clustered(out, paths[f"gold.{name}"], config.MART_CLUSTER[name])
+        spec, path = specs[name], paths[f"gold.{name}"]
+        secs = _timed_write(lambda: write_clustered(
+            build(spec, silver_s, zones if spec.zones else None), path, config.MART_CLUSTER[name]))
         if rec is not None:
-            rec.flow(f"gold.{name}", obs.get["rows"], time.time() - t0)
+            rec.flow(f"gold.{name}", written_rows(spark, path), secs)
 
-    _run_all(one, specs, concurrent=True)
+    _run_all(rec.guard(one, "gold.{}") if rec is not None else one, specs, concurrent=True)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)
-
-
-def _gold_and_audit(spark: SparkSession, paths: dict[str, str], rec: EventRecorder, as_of=None,
-                    months: list[tuple[int, int]] | None = None) -> None:
-    refresh_gold(spark, paths, rec, months)
+def _gold_and_audit(spark: SparkSession, paths: dict[str, str], rec: EventRecorder, as_of=None) -> None:
+    refresh_gold(spark, paths, rec)
     rec.update(config.STATUS_COMPLETED, rec.run_type)
     audit.events_from_records(spark, rec.records).write.mode("append").parquet(paths["audit.event_log"])
     # the shared event view: one scan serves the five audit views (the log
@@ -251,6 +218,20 @@ def _source_flows(s: SparkSession, t: str, raw_t: DataFrame, paths: dict[str, st
     rec.flow(f"silver.quarantine_{t}", qobs.get["rows"], secs)
 
 
+def _zone_flows(spark: SparkSession, raw_zones: DataFrame, paths: dict[str, str], as_of, rec: EventRecorder) -> None:
+    """bronze -> silver of the zone dimension, the same in both modes."""
+    def run(_: str) -> None:
+        bronze, silver = paths["bronze.zone_lookup_raw"], paths["silver.zone_lookup"]
+        secs = _timed_write(lambda: raw_zones.write.mode("overwrite").parquet(bronze))
+        rec.flow("bronze.zone_lookup_raw", written_rows(spark, bronze), secs)
+        zones = conform_zones(spark.read.parquet(bronze), as_of)
+        secs = _timed_write(lambda: apply_rules(zones, RULES["zone"]).write.mode("overwrite").parquet(silver))
+        rec.flow("silver.zone_lookup", written_rows(spark, silver), secs,
+                 [r.asDict() for r in rule_metrics(zones, RULES["zone"]).collect()])  # one row per rule
+
+    rec.guard(run, "silver.{}_lookup")("zone")
+
+
 def run_batch_pipeline(spark: SparkSession, sf_dir: str | None, root: str,
                        raw: dict[str, DataFrame] | None = None, raw_zones: DataFrame | None = None,
                        as_of=None, flow_confs: dict | None = None, concurrent: bool = True) -> dict[str, str]:
@@ -268,15 +249,6 @@ def run_batch_pipeline(spark: SparkSession, sf_dir: str | None, root: str,
     raw_zones = raw_zones if raw_zones is not None else fixtures.raw_zones(spark, sf_dir)
     confs = config.FLOW_CONF if flow_confs is None else flow_confs
 
-    # zones
-    secs = _timed_write(lambda: raw_zones.write.mode("overwrite").parquet(paths["bronze.zone_lookup_raw"]))
-    rec.flow("bronze.zone_lookup_raw", None, secs)
-    zobs = Observation("silver_zone")
-    zconf = conform_zones(spark.read.parquet(paths["bronze.zone_lookup_raw"]), as_of)
-    zout = apply_rules(zconf.observe(zobs, *rule_count_exprs(RULES["zone"])), RULES["zone"])
-    secs = _timed_write(lambda: zout.write.mode("overwrite").parquet(paths["silver.zone_lookup"]))
-    rec.flow("silver.zone_lookup", None, secs, metrics_from_observed(zobs.get, RULES["zone"]))
-
     def run(t: str) -> None:
         if raw is not None:  # caller's frames run under their own session
             with flow_conf(raw[t].sparkSession, confs.get(t)):
@@ -286,6 +258,7 @@ def run_batch_pipeline(spark: SparkSession, sf_dir: str | None, root: str,
             _source_flows(s, t, fixtures.raw_trips(s, sf_dir, t), paths, as_of, rec)
 
     with recorded_failure(spark, paths, rec):
+        _zone_flows(spark, raw_zones, paths, as_of, rec)
         _run_all(rec.guard(run, "silver.{}_trips"), config.TAXI_TYPES, concurrent and raw is None)
         _gold_and_audit(spark, paths, rec, as_of)
     return paths
@@ -330,37 +303,33 @@ def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw:
     ck = paths["_checkpoints"]
     rec = EventRecorder(uuid.uuid4().hex[:12])
     rec.run_type = "incremental"
+    schemas: dict = {}
     rec.update("RUNNING", rec.run_type)
-    zones_raw.write.mode("overwrite").parquet(paths["bronze.zone_lookup_raw"])
-    zconf = conform_zones(spark.read.parquet(paths["bronze.zone_lookup_raw"]), as_of)
-    apply_rules(zconf, RULES["zone"]).write.mode("overwrite").parquet(paths["silver.zone_lookup"])
-
     def run(t: str) -> None:
         s = flow_session(spark, confs.get(t))
-        raw = read_stream(s, landing[t], RAW_SCHEMAS[t], max_files_per_trigger=max_files_per_trigger)
+        raw = read_stream(s, landing[t], schemas[t], max_files_per_trigger=max_files_per_trigger)
         r = ingest.bronze_flow(raw, t, paths[f"bronze.{t}_trips_raw"], os.path.join(ck, f"bronze_{t}"))
         rec.flow(f"bronze.{t}_trips_raw", r.num_output_rows, r.seconds,
                  metrics_from_observed(r.observed, bronze_rules(t)))
         bronze_path = paths[f"bronze.{t}_trips_raw"]
-        bronze_stream = s.readStream.schema(s.read.parquet(bronze_path).schema).parquet(bronze_path)
+        bronze_stream = s.readStream.schema(merge_schema(
+            schemas[t], "_rescued_data STRING")).parquet(bronze_path)
         r = ingest.silver_flow(bronze_stream, t, paths[f"silver.{t}_trips"], os.path.join(ck, f"silver_{t}"), as_of)
         rec.flow(f"silver.{t}_trips", r.num_output_rows, r.seconds, r.observed.get("metrics"),
                  extra_metrics={"num_rows_dropped_by_watermark": r.dropped_by_watermark,
                                 "num_dropped_duplicate_rows": r.dropped_duplicates})
-        with lock:
-            touched.update(months_between(r.min_pickup, r.max_pickup))
 
-    touched: set[tuple[int, int]] = set()
-    lock = threading.Lock()
     with recorded_failure(spark, paths, rec):
+        _zone_flows(spark, zones_raw, paths, as_of, rec)
+        # all raw columns are kept, and columns that are new in the landing files are added
+        schemas.update({t: evolve_stream_schema(spark, landing[t], os.path.join(ck, f"schema_{t}"), RAW_SCHEMAS[t])
+                        for t in config.TAXI_TYPES})
         _run_all(rec.guard(run, "silver.{}_trips"), config.TAXI_TYPES, concurrent=True)
-        qraw = {t: read_stream(spark, landing[t], RAW_SCHEMAS[t], max_files_per_trigger=max_files_per_trigger)
+        qraw = {t: read_stream(spark, landing[t], schemas[t], max_files_per_trigger=max_files_per_trigger)
                 for t in config.TAXI_TYPES}
         for t, r in ingest.quarantine_flows(qraw, paths["silver.quarantine_trips"], ck, as_of).items():
             rec.flow(f"silver.quarantine_{t}", r.num_output_rows, r.seconds)
-        # first run: build every partial; later runs: only the months new rows fell in
-        first = not all(table_exists(spark, paths[f"gold._partials.{m}"]) for m in config.MART_DDL)
-        _gold_and_audit(spark, paths, rec, as_of, None if first else sorted(touched))
+        _gold_and_audit(spark, paths, rec, as_of)
     return paths
 
 

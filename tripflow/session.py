@@ -72,13 +72,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster this setting names storage every executor can reach and that
     survives executor loss. Only when it is unset (local runs, tests) do we
-    create a scratch folder and register it.
+    create a scratch folder and register it; on a cluster that would be a folder
+    no executor shares, so there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:  # set through SparkContext.setCheckpointDir
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tripflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)

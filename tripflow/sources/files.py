@@ -7,8 +7,6 @@ import datetime as dt
 import json
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,11 +38,6 @@ def schema_of(ddl: str | T.StructType) -> T.StructType:
     return ddl if isinstance(ddl, T.StructType) else T.StructType.fromDDL(ddl)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Batch scan of a parquet table (filters and projections push down)."""
-    return spark.read.parquet(path)
-
-
 def read_stream(spark: SparkSession, path: str, schema, glob: str | None = None,
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Incremental parquet file stream: each file is processed once; the
@@ -110,12 +103,11 @@ def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
     return log[-1][2] if log else None
 
 
-def evolve_stream_schema(spark: SparkSession, landing: str, location: str, initial=None,
-                         margin_minutes: int = 30) -> T.StructType:
+def evolve_stream_schema(spark: SparkSession, landing: str, location: str, initial=None) -> T.StructType:
     """Schema for the next start of a file stream over ``landing``.
 
-    Footers are merged (a distributed Spark job) only for files modified since
-    the previous check (minus a margin for clock skew), and the result is
+    All files' footers are merged (a distributed Spark job), whatever their
+    modification times, and the result is
     merged additively into the schema recorded at ``location`` (the stream's
     schema location, next to its checkpoint). Each check appends one line
     (version, time, schema); the version grows only with the schema. The
@@ -126,14 +118,9 @@ def evolve_stream_schema(spark: SparkSession, landing: str, location: str, initi
     known = log[-1][2] if log else (schema_of(initial) if initial is not None else None)
     version = log[-1][0] if log else 0
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    reader = spark.read.option("mergeSchema", True)
-    if log:
-        since = dt.datetime.fromisoformat(log[-1][1]) - dt.timedelta(minutes=margin_minutes)
-        reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
-    try:
-        seen = reader.parquet(landing).schema
-    except AnalysisException:  # no new files since the last check
-        seen = None
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    empty = files.load(landing).select("path").isEmpty()
+    seen = None if empty else spark.read.option("mergeSchema", True).parquet(landing).schema
     merged = known if seen is None else (merge_schema(known, seen) if known is not None else seen)
     if merged is None:
         raise ValueError(f"no schema known or inferable for {landing}")

@@ -126,9 +126,10 @@ def all_raw_trips(spark: SparkSession, sf_dir: str, types=config.TAXI_TYPES) ->
 
 
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """265 locations; the last two have no borough and no zone name."""
+    """265 locations, which all ``orders`` fall into; the last two have no
+    borough and no zone name."""
     orders = (spark.read.parquet(f"{sf_dir}/orders.parquet")
-              .select("o_orderkey").filter(F.col("o_orderkey").between(1, 265)))
+              .select((F.col("o_orderkey") % 265 + 1).alias("o_orderkey")).distinct())
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name", "n_regionkey")
     region = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey", "r_name")
     named = F.col("o_orderkey") < 264

@@ -27,6 +27,9 @@ from tripflow.operators.quarantine import quarantine_trips
 from tripflow.plans.medallion import bronze
 
 
+POLL_S = 0.25  # a batch takes longer than a hundredth of this
+
+
 @dataclass
 class FlowResult:
     name: str
@@ -38,8 +41,6 @@ class FlowResult:
     dropped_by_watermark: int = 0
     dropped_duplicates: int = 0
     progresses: list = field(default_factory=list, repr=False)
-    min_pickup: object = None
-    max_pickup: object = None
 
 
 def _sum_observed(progresses, name: str) -> dict:
@@ -69,13 +70,19 @@ def start_available_now(df: DataFrame, sink: str, checkpoint: str, name: str,
 def finish(q: StreamingQuery, sink: str, name: str, t0: float, observe_name: str | None = None,
            timeout_s: float | None = None) -> FlowResult:
     """Wait for a triggered query and total its progress reports."""
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish within {timeout_s}s")
+    reports: dict = {}
+    while True:
+        # Spark keeps the last hundred reports only: collect them as they come.
+        done = q.awaitTermination(POLL_S)
+        reports.update({p.batchId: p for p in q.recentProgress})
+        if done:
+            break
+        if timeout_s is not None and time.time() - t0 > timeout_s:
+            q.stop()
+            raise TimeoutError(f"stream {name} did not finish within {timeout_s}s")
     if q.exception() is not None:
         raise q.exception()
-    progresses = q.recentProgress
+    progresses = [reports[b] for b in sorted(reports)]
     res = FlowResult(name=name, sink=sink, seconds=time.time() - t0, batches=len(progresses),
                      progresses=progresses)
     res.num_output_rows = sum(int(p.numInputRows or 0) for p in progresses)
@@ -115,9 +122,7 @@ def silver_stream_frame(bronze_stream: DataFrame, taxi_type: str, as_of=None,
     deduped = dedup_stream(conf, config.DEDUP_KEYS[taxi_type], "pickup_datetime", delay)
     observed = observe_rules(deduped, rules, f"silver_{taxi_type}")
     kept = apply_rules(observed, rules)
-    return kept.observe(f"silver_{taxi_type}_out", F.count(F.lit(1)).alias("rows"),
-                        F.min("pickup_datetime").alias("min_pickup"),
-                        F.max("pickup_datetime").alias("max_pickup")), rules
+    return kept.observe(f"silver_{taxi_type}_out", F.count(F.lit(1)).alias("rows")), rules
 
 
 def silver_flow(bronze_stream: DataFrame, taxi_type: str, sink: str, checkpoint: str,
@@ -129,10 +134,6 @@ def silver_flow(bronze_stream: DataFrame, taxi_type: str, sink: str, checkpoint:
     res.observed["metrics"] = metrics_from_observed(res.observed, rules)
     out_name = f"silver_{taxi_type}_out"
     res.num_output_rows = int(_sum_observed(res.progresses, out_name).get("rows", 0))
-    rows = [p.observedMetrics[out_name] for p in res.progresses if out_name in (p.observedMetrics or {})]
-    lows = [r["min_pickup"] for r in rows if r["min_pickup"] is not None]
-    highs = [r["max_pickup"] for r in rows if r["max_pickup"] is not None]
-    res.min_pickup, res.max_pickup = (min(lows) if lows else None), (max(highs) if highs else None)
     return res
 
 
@@ -145,12 +146,15 @@ def quarantine_flows(raw_streams: dict[str, DataFrame], target: str, checkpoint_
     started = {}
     for t, raw in raw_streams.items():
         conf = conform_trips(raw, t) if complete else conform_for_quarantine(raw, t)
-        df = quarantine_trips(conf, t, as_of, complete)
+        df = quarantine_trips(conf, t, as_of, complete).observe(f"quarantine_{t}", F.count(F.lit(1)).alias("rows"))
         sink = os.path.join(target, f"flow={t}")
         started[t] = (start_available_now(df, sink, os.path.join(checkpoint_root, f"quarantine_{t}"),
                                           f"quarantine_{t}"), sink)
     # The flows run concurrently; wait for all of them.
-    return {t: finish(q, sink, f"quarantine_{t}", t0) for t, (q, sink) in started.items()}
+    results = {t: finish(q, sink, f"quarantine_{t}", t0, f"quarantine_{t}") for t, (q, sink) in started.items()}
+    for r in results.values():
+        r.num_output_rows = int(r.observed.get("rows", 0))
+    return results
 
 
 def read_quarantine(spark: SparkSession, target: str, flows=config.TAXI_TYPES) -> DataFrame:
