@@ -18,7 +18,8 @@ def plan(df) -> str:
 
 # queries that write files first, and the one Arrow-batched reader (parquet rescue)
 EAGER = ("quarantine_all", "compaction_roundtrip", "schema_evolution_union", "stream_ingest", "dedup_stream",
-         "rescued_parquet", "update_dq_log", "pk_violations", "change_feed", "gold_daily_incremental", "csv_trip_scan", "maintenance_counts")
+         "rescued_parquet", "update_dq_log", "pk_violations", "change_feed", "update_row_counts",
+         *(f"{k}_{t}" for k in ("stream_ingest", "dedup_stream") for t in config.TAXI_TYPES[1:]), "gold_daily_incremental", "csv_trip_scan", "maintenance_counts")
 LAZY = [k for k in C.queries() if k not in EAGER]
 
 

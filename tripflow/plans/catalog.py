@@ -337,21 +337,33 @@ def q_schema_evolution_union(spark, sf):
     return read_evolving(spark, base).drop("gen")
 
 
-def q_stream_ingest(spark, sf):
-    """Bronze yellow ingested by a triggered file stream."""
-    base = work_path(spark, "stream_ingest")
-    raw = fixtures.raw_trips_from_events(fixtures.stream_events(spark, sf), "yellow")
-    ingest.bronze_flow(raw, "yellow", os.path.join(base, "table"), os.path.join(base, "_checkpoint"))
-    return spark.read.parquet(os.path.join(base, "table"))
+def q_stream_ingest(t):
+    """Bronze of one source, ingested by a triggered file stream."""
+    def q(spark, sf):
+        base = work_path(spark, f"stream_ingest_{t}")
+        raw = fixtures.raw_trips_from_events(fixtures.stream_events(spark, sf), t)
+        ingest.bronze_flow(raw, t, os.path.join(base, "table"), os.path.join(base, "_checkpoint"))
+        return spark.read.parquet(os.path.join(base, "table"))
+    return q
 
 
-def q_dedup_stream(spark, sf):
-    """Silver yellow from a stream: watermark dedup + drop rules."""
-    base = work_path(spark, "dedup_stream")
-    raw = fixtures.raw_trips_from_events(fixtures.stream_events(spark, sf), "yellow")
-    ingest.silver_flow(M.bronze(raw), "yellow", os.path.join(base, "table"),
-                       os.path.join(base, "_checkpoint"), AS_OF)
-    return spark.read.parquet(os.path.join(base, "table"))
+def q_dedup_stream(t):
+    """Silver of one source from a stream: watermark dedup + drop rules."""
+    def q(spark, sf):
+        base = work_path(spark, f"dedup_stream_{t}")
+        raw = fixtures.raw_trips_from_events(fixtures.stream_events(spark, sf), t)
+        ingest.silver_flow(M.bronze(raw), t, os.path.join(base, "table"), os.path.join(base, "_checkpoint"), AS_OF)
+        return spark.read.parquet(os.path.join(base, "table"))
+    return q
+
+
+def q_update_row_counts(spark, sf):
+    """A full pipeline update; the row counts its flows logged."""
+    from tripflow.plans.pipeline import run_batch_pipeline
+    paths = run_batch_pipeline(spark, sf, work_path(spark, "row_counts"), as_of=AS_OF)
+    flow = F.from_json("details", "flow_name STRING, num_output_rows BIGINT")
+    return (spark.read.parquet(paths["audit.event_log"]).filter(F.col("event_type") == config.EVENT_FLOW)
+            .select(flow["flow_name"].alias("table_name"), flow["num_output_rows"].alias("row_count")))
 
 
 # --------------------------------------------------------------------------- registry
@@ -363,7 +375,10 @@ def queries() -> dict[str, Query]:
         q[f"silver_{t}"] = q_silver(t)
     q["silver_zone"] = q_silver_zone
     q["dedup_batch"] = q_dedup_batch
-    q["dedup_stream"] = q_dedup_stream
+    q["dedup_stream"] = q_dedup_stream("yellow")
+    for t in config.TAXI_TYPES[1:]:
+        q[f"dedup_stream_{t}"] = q_dedup_stream(t)
+        q[f"stream_ingest_{t}"] = q_stream_ingest(t)
     q["duration_minutes"] = q_duration_minutes
     q["rescued_data"] = q_rescued_data
     q["rescued_parquet"] = q_rescued_parquet
@@ -396,7 +411,8 @@ def queries() -> dict[str, Query]:
     q["change_feed"] = q_change_feed
     q["retention_purge"] = q_retention_purge
     q["compaction_roundtrip"] = q_compaction_roundtrip
-    q["stream_ingest"] = q_stream_ingest
+    q["stream_ingest"] = q_stream_ingest("yellow")
+    q["update_row_counts"] = q_update_row_counts
     q["update_dq_log"] = q_update_dq_log
     q["maintenance_counts"] = q_maintenance_counts
     q["gold_daily_incremental"] = q_gold_daily_incremental

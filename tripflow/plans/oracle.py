@@ -218,6 +218,9 @@ def _final_selects() -> dict[str, str]:
     q["silver_zone"] = "SELECT * FROM zones"
     q["dedup_batch"] = "SELECT * FROM yellow_dedup"
     q["dedup_stream"] = "SELECT * FROM yellow_silver"
+    for t in config.TAXI_TYPES[1:]:
+        q[f"dedup_stream_{t}"] = f"SELECT * FROM {t}_silver"
+        q[f"stream_ingest_{t}"] = f"SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM {t}_raw"
     q["duration_minutes"] = " UNION ALL ".join(
         f"SELECT taxi_type, pickup_datetime, dropoff_datetime, trip_duration_mins FROM {t}_conf" for t in config.TAXI_TYPES)
     # rescued data: text round trip of yellow raw with two unparsable tokens
@@ -362,6 +365,10 @@ def _final_selects() -> dict[str, str]:
                   + " UNION ALL ".join(_quarantine_select(t, REASONS[t], ts(C.AS_OF)) for t in config.TAXI_TYPES) + ")")
     counts += [f"SELECT 'gold.{m}', COUNT(*) FROM {cte}" for m, cte in mart_cte.items()]
     q["maintenance_counts"] = " UNION ALL ".join(counts)
+    logged = [c for c in counts if "quarantine" not in c]
+    logged += [f"SELECT 'silver.quarantine_{t}', COUNT(*) FROM ({_quarantine_select(t, REASONS[t], ts(C.AS_OF))})" for t in config.TAXI_TYPES]
+    logged += ["SELECT 'bronze.zone_lookup_raw', COUNT(*) FROM zones_raw", "SELECT 'silver.zone_lookup', COUNT(*) FROM zones"]
+    q["update_row_counts"] = " UNION ALL ".join(logged)
     q["stream_ingest"] = "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM yellow_raw"
     dq_parts = [_metrics_select(f"(SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM {t}_raw)",
                                 bronze_rules(t).rules, f"bronze.{t}_trips_raw") for t in config.TAXI_TYPES]
