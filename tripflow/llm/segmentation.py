@@ -46,6 +46,7 @@ K = 2
 SPACE = "▁"
 SAMPLES = ("doc_id long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, ids binary")
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_ALL = (1 << 64) - 1
 _GOLD, _STEP, _UNIT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
 
@@ -58,26 +59,37 @@ def _uniform(h: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(11)).astype(float) + 0.5) * 2.0 ** -53
 
 
+def vocabulary(path: str) -> tuple[list[bytes], dict[int, int], dict[str, tuple[int, float]]]:
+    """What each id spells, each byte's id, and the other pieces' ids and scores."""
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    pieces, of_byte, scores = [b""] * sp.get_piece_size(), {}, {}
+    for i in range(len(pieces)):
+        piece = sp.id_to_piece(i)
+        if sp.is_byte(i):
+            of_byte[int(piece[3:5], 16)] = i
+            pieces[i] = bytes([int(piece[3:5], 16)])
+        elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
+            pieces[i] = piece.encode()
+            scores[piece] = i, sp.get_score(i)
+    return pieces, of_byte, scores
+
+
+@lru_cache(maxsize=2)
+def spelled(path: str) -> np.ndarray:
+    """What each id spells, for this process."""
+    return np.array(vocabulary(path)[0], object)
+
+
 class Lattice:
     """The lattices of all units met so far: nodes, and edges by node, likeliest
     first. Emptied between batches when it has more than ``most`` edges."""
 
     def __init__(self, path: str, alpha: float = 1.0, most: int = 8_000_000):
-        import sentencepiece
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        size = sp.get_piece_size()
-        self.pieces = [b""] * size
-        self.weight: dict[str, tuple[int, float]] = {}
-        self.bytes: dict[int, int] = {}
+        self.pieces, self.bytes, scores = vocabulary(path)
+        size = len(self.pieces)
         self.byte_weight = -alpha * log(2 + size)
-        for i in range(size):
-            piece = sp.id_to_piece(i)
-            if sp.is_byte(i):
-                self.bytes[int(piece[3:5], 16)] = i
-                self.pieces[i] = bytes([int(piece[3:5], 16)])
-            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                self.pieces[i] = piece.encode()
-                self.weight[piece] = i, -alpha * log(2 + min(-sp.get_score(i), size))
+        self.weight = {p: (i, -alpha * log(2 + min(-score, size))) for p, (i, score) in scores.items()}
         self.inside = np.unique([ord(p[n]) << 21 | ord(p[n + 1]) for p in self.weight for n in range(len(p) - 1)])
         self.by_length = self._tables()
         self.most = most
@@ -254,7 +266,10 @@ class _Search:
 
     def uniform(self) -> float:
         self.draws += 1
-        return float(_uniform(mix(np.array([self.seed], np.uint64) + np.array([self.draws], np.uint64) * _GOLD))[0])
+        x = self.seed + self.draws * 0x9E3779B97F4A7C15 & _ALL
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _ALL
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & _ALL
+        return ((x ^ x >> 31) >> 11) * 2.0 ** -53 + 2.0 ** -54
 
     def add(self, top: float, edges: np.ndarray, units: np.ndarray, since: int) -> None:
         """A path with perturbed value ``top``; its branches from ``since`` on are new."""
@@ -318,8 +333,10 @@ def sample_texts(texts: list[str | None], seeds: np.ndarray, own: Lattice, k: in
     for round_ in range(1, k + 1):
         nodes = np.concatenate([x[5] for x in todo]) if todo else np.empty(0, np.int32)
         sizes = [len(x[5]) for x in todo]
-        keys = [mix(mix(np.array([x[0].seed + round_], np.uint64)) + np.arange(x[4], x[4] + len(x[5]), dtype=np.uint64) * _UNIT) for x in todo]
-        edges, n = _walk(t, nodes, np.concatenate(keys) if keys else np.empty(0, np.uint64))
+        sizes_, firsts = np.array(sizes, np.int64), np.array([x[4] for x in todo], np.int64)
+        unit = np.arange(len(nodes)) + np.repeat(firsts - np.cumsum(sizes_) + sizes_, sizes_)
+        own_seed = mix(np.array([x[0].seed for x in todo], np.uint64) + np.array([round_], np.uint64))
+        edges, n = _walk(t, nodes, mix(np.repeat(own_seed, sizes_) + unit.astype(np.uint64) * _UNIT))
         cut = np.concatenate(([0], np.cumsum(n)))
         done = 0
         for (s, top, from_, prefix, unit, _), size in zip(todo, sizes):
@@ -385,7 +402,7 @@ def decode(rows: DataFrame, model: str | None = None, ids: str = "ids", into: st
     model = model or model_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = np.array(lattice(model, 1.0).pieces, object)
+        pieces = spelled(model)
         for b in batches:
             out = []
             for x in b.column(b.schema.get_field_index(ids)):
