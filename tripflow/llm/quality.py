@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
@@ -137,14 +138,15 @@ def train(texts: DataFrame) -> np.ndarray | None:
         code, ctx, gamma, prob = (got.column(c).to_numpy() for c in ("code", "ctx", "gamma", "p"))
         weight = np.ones(SYMBOLS ** (k - 1))
         weight[ctx] = gamma
-        table = np.repeat(weight, SYMBOLS) * np.tile(table, SYMBOLS)
+        below, table = table, np.repeat(weight, SYMBOLS)
+        table.reshape(-1, len(below))[:] *= below  # without another array of that size
         table[code] = prob
-    return np.log(table).astype(np.float32)
+    return np.log(table, out=table).astype(np.float32)
 
 
-def score(docs: DataFrame, model: np.ndarray) -> DataFrame:
+def score(docs: DataFrame, model: np.ndarray | Broadcast) -> DataFrame:
     """``docs`` with ``n_symbols`` and ``log_perplexity``, by the column ``text``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = model if isinstance(model, Broadcast) else docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,6 +198,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sla
     if model is None:
         none = F.lit(None).cast("double")
         return docs.withColumns({"n_symbols": F.lit(None).cast("long"), "log_perplexity": none, "threshold": none, "kept": F.lit(True)})
+    model = docs.sparkSession.sparkContext.broadcast(model)  # once, for both scorings
     trusted = score(docs.select("doc_id", "lang", "text"), model).drop("text").join(good, "doc_id", "left_semi")
     limits = staged(thresholds(trusted, quantile, slack), "thresholds")
     level = lambda cols, name: limits.filter(
