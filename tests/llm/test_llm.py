@@ -1,6 +1,7 @@
 """Each operator against a plain version, and the awkward inputs: nulls, empty and
 long texts, ties, repeated rows, empty tables, extra columns of clashing names."""
 
+import hashlib
 import math
 import re
 import zlib
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from llm import brute
-from tripflow.llm import common, minhash, neighbours, packing, pii, quality, secret_scan, segmentation, sharding, token_files, tokens
+from tripflow.llm import common, language_model, minhash, neighbours, packing, pii, quality, secret_scan, segmentation, sharding, token_files, tokens
 from tripflow.llm.components import components
 from tripflow.llm.embedding_dedup import deduplicate
 from tripflow.session import work_path
@@ -481,6 +482,84 @@ def test_thresholds_are_quantiles(spark):
     assert set(got) == {("en", 6), ("en", None), (None, None)} and abs(got["en", 6] - 0.9) < 0.003
 
 
+def open_kneser_ney(texts):
+    """The probabilities of unfolded code points by dictionaries, of ``texts``."""
+    order = language_model.ORDER
+    counts = [Counter() for _ in range(order + 1)]
+    for t in texts:
+        s = [0] * (order - 1) + [ord(c) for c in t]
+        counts[order].update(tuple(s[i - order + 1:i + 1]) for i in range(order - 1, len(s)))
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    cut = [quality.discounts(Counter(c.values())) for c in counts]
+    context = [defaultdict(list) for _ in counts]
+    for k, c in enumerate(counts):
+        for g, n in c.items():
+            context[k][g[:-1]].append(n)
+
+    def p(g):
+        if not g:
+            return 1 / 0x110000
+        k, seen = len(g), context[len(g)].get(g[:-1])
+        if not seen:
+            return p(g[1:])
+        d, n = lambda n: cut[k][min(n, 3) - 1], counts[k].get(g, 0)
+        return (n - d(n) if n else 0) / sum(seen) + sum(map(d, seen)) / sum(seen) * p(g[1:])
+
+    def perplexity(t):
+        s = [0] * (order - 1) + [ord(c) for c in t]
+        return -sum(math.log(p(tuple(s[i - order + 1:i + 1]))) for i in range(order - 1, len(s))) / len(t)
+    return perplexity
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 700])
+def test_open_perplexity_against_plain(spark, texts, piece, monkeypatch):
+    monkeypatch.setattr(language_model, "PIECE", piece)
+    some = [*dict.fromkeys(t[:600] for t in list(texts.values())[:30] if t), "Ωμέγα και άλφα 日本語", "a"]
+    some += some[:3]  # copies are in one fold
+    keys = [hashlib.md5(t.encode()).hexdigest() for t in some]
+    rows = [(k, i % 2 == 0, t) for i, (k, t) in enumerate(zip(keys, some))]
+    got = {r.key: r.log_perplexity for r in language_model.scores(frame(spark, rows, "key string, trusted boolean, text string")).collect()}
+    plain = [open_kneser_ney([t for k, good, t in rows if good and int(k[0], 16) % 2 != fold]) for fold in (0, 1)]
+    assert set(got) == set(keys)
+    for k, _, t in rows:
+        assert abs(got[k] - plain[int(k[0], 16) % 2](t)) < 1e-5
+
+
+def test_letter_noise_in_other_scripts_is_rejected(spark):
+    draw, letters = np.random.default_rng(5), "абвгдежзиклмнопрст"
+    words = ["".join(draw.choice(list(letters), n)) for n in draw.integers(3, 8, 60)]
+    good = [" ".join(draw.choice(words, 80)) for _ in range(80)]
+    noise = [" ".join("".join(draw.choice(list(letters), len(w))) for w in t.split()) for t in good[:40]]  # equal word lengths
+    docs = frame(spark, [(i, t, "ru") for i, t in enumerate(good + noise)], "doc_id long, text string, lang string")
+    labels = frame(spark, [(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in quality.classify(docs, labels).collect()}
+    assert all(kept[i] for i in range(60)) and sum(kept[i] for i in range(60, 80)) >= 18
+    assert not any(kept[i] for i in range(80, 120))
+
+
+def test_one_rule_for_small_languages_and_classes(spark):
+    draw, rows = np.random.default_rng(3), []
+    for lang, m, middle in (("en", 3000, 1.5), ("fr", 60, 1.8)):
+        n = draw.integers(100, 4000, m)
+        rows += [(lang, int(k), float(middle + draw.normal() / math.sqrt(k))) for k in n]
+    rows += [("fr", 4, 3.0)]  # a very short text with a large perplexity moves no other length
+    got = {r.lang: r for r in quality.limits(frame(spark, rows, "lang string, n_symbols long, log_perplexity double")).collect()}
+    assert set(got) == {"en", "fr", None}
+    for lang, middle in (("en", 1.5), ("fr", 1.8)):
+        r = got[lang]
+        assert abs(r.middle - middle) < 0.02 and 2 < r.level * r.spread < 5
+
+
+def test_quality_rejects_bad_of_all_languages(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = query("op6_kneser_ney", spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    good = [r.kept for r in rows if r.quality == 1 and r.toxic == 0]
+    assert np.mean(good) >= 0.998
+    for langs in (["en"], ["de", "es", "fr"]):
+        assert np.mean([r.kept for r in rows if r.quality == 0 and r.lang in langs]) <= 0.11
+
+
 # ---------------------------------------------------------------- segmentation
 
 def all_paths(own, text):

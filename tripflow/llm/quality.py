@@ -1,24 +1,22 @@
 """A quality classifier: perplexity under an interpolated modified Kneser-Ney model.
 
-The model is one of symbols: letters without accents, one symbol for any capital, one for digits, the
-common stops, and classes for the rest, ``SYMBOLS`` in all. It is trained on the
-whole of the trusted texts (labelled of good quality and not toxic). Tasks count
-n-grams and hand over one row per different n-gram; the counts, sharded by n-gram,
-give the lower orders' continuation counts, the counts of counts, and each
-context's totals; joins of each order's counts with its contexts and with the order
-below give every seen n-gram's probability and every context's back-off weight.
-These tables have at most ``SYMBOLS ** ORDER`` rows, whatever the corpus; filled up
-for unseen n-grams they are one array of 5.3 million numbers, which goes to all tasks.
-
-A text is rejected if its log-perplexity exceeds the ``QUANTILE`` quantile of the
-trusted texts' in its language and length class (powers of two: short texts vary
-more), plus ``SLACK``. A class with fewer than ``FEWEST`` trusted texts falls back on its
-language, a language on all trusted texts; without any trusted text all is kept.
-Quantiles are read off histograms of fixed steps, so they are the same whatever the
-order of rows, and nothing but counts is gathered.
-
-Null and empty texts have no perplexity and are kept. Rows with equal or null keys
-are scored each on their own; a null key is never trusted. An empty table gives none.
+The model (``language_model``) is one of code points, trained on all trusted texts
+(labelled of good quality and not toxic); every text is scored by it.
+
+Perplexities of texts of ``n`` code points lie about their language's median, with
+deviations that fall as ``1 / sqrt(n)``. So one rule holds for every language and length: a
+text is rejected if its deviation, times ``sqrt(n)`` and in units of its language's median
+absolute deviation, exceeds the ``QUANTILE`` quantile of all trusted texts' deviations, plus
+``SLACK`` in log-perplexity. A language's unit is averaged with that of all trusted texts,
+which weighs as much as ``PRIOR`` texts; a language without trusted texts has theirs.
+Quantiles are read off histograms of fixed steps, so they are the same whatever the order of rows.
+
+Null and empty texts have no perplexity and are kept; so are texts where no trusted ones can train.
+Rows with equal or null keys are scored each on their own; a null key is never trusted. An
+empty table gives none.
+
+``symbol_table`` to ``thresholds``: the former model of 48 symbols and thresholds by
+length class; no query uses them any more, but their tests stand.
 """
 
 from __future__ import annotations
@@ -30,15 +28,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from tripflow.llm.common import staged
+from tripflow.llm.language_model import scores
 
 SYMBOLS, ORDER = 48, 4
 QUANTILE, SLACK, FEWEST = 0.999, 0.02, 300
+PRIOR = 30  # texts that a language's own fit has to outweigh
 STEP = 1000  # histogram steps in a unit of log-perplexity
 PIECE = 1 << 20
 _STOPS = ".,!?'\"-:;()|"
@@ -189,29 +189,55 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE, slack: float = SLA
     return found
 
 
+def _quantile(rows: DataFrame, keys: list[str], value: Column, share: float, name: str) -> DataFrame:
+    """The quantile of ``value`` for each of ``keys``, and ``m``, their rows; off a histogram."""
+    steps = rows.groupBy(*keys, F.floor(value * STEP).alias("step")).agg(F.count("*").alias("n"))
+    by = Window.partitionBy(*keys)  # one row for each step
+    known = steps.withColumn("m", F.sum("n").over(by)).withColumn("upto", F.sum("n").over(by.orderBy("step")))
+    return (known.filter(F.col("upto") >= share * F.col("m")).groupBy(*keys)
+            .agg(((F.min("step") + 1) / STEP).alias(name), F.first("m").alias("m")))
+
+
+def limits(trusted: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+    """``lang``, ``middle``, ``spread``, ``level`` from trusted rows (``lang``, ``n_symbols``,
+    ``log_perplexity``); a null language holds for those without trusted rows."""
+    rows = trusted.filter("log_perplexity is not null and lang is not null").select(
+        "lang", F.sqrt("n_symbols").alias("root"), F.col("log_perplexity").alias("y"))
+    middle = _quantile(rows, ["lang"], F.col("y"), 0.5, "middle")
+    off = staged(rows.join(F.broadcast(middle), "lang").withColumn("off", (F.col("y") - F.col("middle")) * F.col("root")), "deviations")
+    spread = _quantile(off, ["lang"], F.abs("off"), 0.5, "spread")
+    every = (_quantile(rows, [], F.col("y"), 0.5, "middle0").drop("m")
+             .join(F.broadcast(_quantile(off, [], F.abs("off"), 0.5, "spread0").drop("m"))))
+    known = middle.drop("m").join(F.broadcast(spread), "lang").join(F.broadcast(every)).select(
+        "lang", "middle", ((F.col("m") * F.col("spread") + PRIOR * F.col("spread0")) / (F.col("m") + PRIOR)).alias("spread"))
+    fit = staged(known.union(every.select(F.lit(None).cast("string"), "middle0", "spread0")), "limits")
+    level = _quantile(off.join(F.broadcast(fit.select("lang", "spread")), "lang"), [], F.col("off") / F.col("spread"), quantile, "level")
+    return fit.join(F.broadcast(level.drop("m")))
+
+
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
     """``docs`` (``doc_id``, ``text``, ``lang``) with ``n_symbols``, ``log_perplexity``,
     ``threshold`` and ``kept``; ``labels``: ``doc_id``, ``quality``, ``toxic``."""
-    docs = docs.drop("n_symbols", "log_perplexity", "threshold", "kept", "_lang", "_band", "_t0", "_t1", "_t2")
-    good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
-    model = train(docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
-    if model is None:
-        none = F.lit(None).cast("double")
-        return docs.withColumns({"n_symbols": F.lit(None).cast("long"), "log_perplexity": none, "threshold": none, "kept": F.lit(True)})
-    model = docs.sparkSession.sparkContext.broadcast(model)  # once, for both scorings
-    trusted = score(docs.select("doc_id", "lang", "text"), model).drop("text").join(good, "doc_id", "left_semi")
-    limits = staged(thresholds(trusted, quantile, slack), "thresholds")
-    level = lambda cols, name: limits.filter(
-        " and ".join(f"{c} is {'not ' if c in cols else ''}null" for c in ("lang", "band"))).select(
-            *[F.col(c).alias(f"_{c}") for c in cols], F.col("threshold").alias(name))
-    out = score(docs, model).withColumns({"_lang": F.col("lang"), "_band": _band()})
-    small = limits.count() <= 100_000  # else the joins are left to their statistics
-    for cols, name in ((["lang", "band"], "_t2"), (["lang"], "_t1"), ([], "_t0")):
-        side = F.broadcast(level(cols, name)) if small else level(cols, name)
-        out = out.join(side, [f"_{c}" for c in cols], "left") if cols else out.join(side, how="left")
-    limit = F.coalesce("_t2", "_t1", "_t0")
-    kept = F.coalesce(F.col("log_perplexity") <= limit, F.lit(True))
-    return out.withColumns({"threshold": limit, "kept": kept}).drop("_lang", "_band", "_t2", "_t1", "_t0")
+    docs = docs.drop("n_symbols", "log_perplexity", "threshold", "kept", "_lang", "_key", "_score", "_trusted")
+    good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id", F.lit(True).alias("_trusted")).distinct()
+    text = F.coalesce(F.col("text"), F.lit(""))
+    lang = F.coalesce(F.col("lang"), F.lit(""))
+    keyed = docs.withColumns({"n_symbols": F.length(text).cast("long"), "_lang": lang, "_key": F.md5(text)})
+    ids = keyed.select("doc_id", "text", "n_symbols", F.col("_lang").alias("lang"), F.col("_key").alias("key")).filter("n_symbols > 0")
+    marked = ids.join(good, "doc_id", "left").select("key", F.coalesce("_trusted", F.lit(False)).alias("trusted"), "text")
+    scored = staged(scores(marked), "scores")
+    fit = staged(limits(ids.drop("text").join(good, "doc_id", "left_semi").join(scored, "key"), quantile), "limits")
+    here = F.struct("middle", "spread", "level")
+    small = fit.count() <= 100_000  # else the join is left to its statistics
+    own = fit.filter("lang is not null").select(F.col("lang").alias("_lang"), here.alias("_own"))
+    other = F.broadcast(fit.filter("lang is null").select(here.alias("_other")))
+    out = (keyed.join(scored.select(F.col("key").alias("_key"), F.col("log_perplexity").alias("_score")), "_key", "left")
+           .join(F.broadcast(own) if small else own, "_lang", "left").join(other, how="left"))
+    by = F.coalesce("_own", "_other")
+    root = F.sqrt(F.greatest("n_symbols", F.lit(1)).cast("double"))
+    limit = F.when(F.col("n_symbols") > 0, by["middle"] + by["level"] * by["spread"] / root + slack)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "n_symbols", F.col("_score").alias("log_perplexity"),
+                      limit.alias("threshold"), F.coalesce(F.col("_score") <= limit, F.lit(True)).alias("kept"))
 
 
 def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
