@@ -277,9 +277,19 @@ class _Search:
         before = np.cumsum(logp) - logp
         self.paths.append((top, edges, units, before, float(logp.sum())))
         wanted = self.k + 1 - len(self.paths)
+        if wanted < 1:
+            return
         left = -np.expm1(logp[since:])
-        some = np.flatnonzero(left > 1e-6)  # float32 probabilities: less is one edge alone
-        if wanted < 1 or not len(some):
+        # Next to nothing left: nodes with a single edge, or others whose probabilities are added up.
+        low = np.flatnonzero(left <= 1e-6)
+        left[low] = 0.0
+        node = np.searchsorted(self.t["starts"], edges[since:][low], "right") - 1
+        first, last = self.t["starts"][node], self.t["starts"][node + 1]
+        for i in np.flatnonzero(last - first > 1).tolist():
+            own = np.arange(first[i], last[i])
+            left[low[i]] = np.exp(self.t["logp"][own[own != edges[since + low[i]]]].astype(float)).sum()
+        some = np.flatnonzero(left > 0)
+        if not len(some):
             return
         place = before[since:][some] + np.log(left[some])
         h = mix(np.uint64(self.seed) ^ mix(np.arange(since, since + len(left), dtype=np.uint64)[some] * _UNIT
@@ -306,7 +316,7 @@ class _Search:
             if u < 0:
                 edge = e
                 break
-        rest = sum(p) - exp(float(logp[edge]))
+        rest = sum(w for e, w in zip(open_, p) if e != edge)
         if len(open_) > 1 and rest > 0:
             place = float(before[at]) + log(rest)
             heapq.heappush(self.queue, (-float(_truncated(place, -value, -log(self.uniform()))), path, at, (*barred, edge)))
