@@ -235,6 +235,18 @@ def test_disclosing_terms(spark):
     assert clean[100] == text[100] and clean[500] == "copy of hapaxword [EMAIL]"
 
 
+@pytest.mark.parametrize("n", [2, 3, 4])
+def test_few_consistent_texts_disclose(spark, n):
+    """Two to four texts tell a rare name, chance pairs and words of one text nothing."""
+    rows = [(i, f"common zebrafish {'abcd'[i] * 4} boss@corp.com") for i in range(n)]
+    rows += [(10 + i, f"common lonely{'xyzw'[i]} rare solo{'xyzw'[i]}@corp.com") for i in range(2)]
+    rows += [(20, "sometimes " + "mixed@corp.com"), (21, "never mixed@corp.com")]
+    rows += [(100 + i, f"common words {'sometimes' if i % 9 == 0 else 'here'} {i}") for i in range(600)]
+    text, out = dict(rows), {r.doc_id: r.found for r in pii.find(frame(spark, rows)).collect()}
+    terms = {i: {text[i][s.start:s.end] for s in out[i] if s.kind == "term"} for i in out}
+    assert all(terms[i] == ({"zebrafish"} if i < n else set()) for i in out)
+
+
 def test_sanitise_overlaps_and_nulls(spark):
     rows = [(1, "é a@1.2.3.4.5.6 b +1 (658) 555-4270, 4111 1111 1111 1111"), (2, None), (3, "")]
     clean = {r.doc_id: r.text for r in pii.sanitise(clashing(frame(spark, rows))).collect()}
@@ -595,6 +607,16 @@ def test_samples_follow_the_model_without_replacement(text):
     assert all(abs(c / n - math.exp(want[a] + want[b]) / -math.expm1(want[a])) < 0.03 for (a, b), c in pair.items())
 
 
+def test_unlikely_segmentations_are_not_lost():
+    own = segmentation.Lattice(segmentation.model_path())
+    want = all_paths(own, "t")
+    out = segmentation.sample_texts(["t"] * 50, minhash.mix(np.arange(50, dtype=np.uint64)), own, 3)
+    assert len(want) == 2 and min(want.values()) < math.log(1e-6)
+    for o in out:
+        assert {tuple(r[0].tolist()) for r in o} == set(want)
+        assert all(abs(want[tuple(r[0].tolist())] - r[1]) < 1e-4 for r in o)
+
+
 def test_op4_round_trip(spark, texts):
     rows = query("op4_sampled_pieces", spark).collect()
     assert len(rows) == 2 * len(texts)

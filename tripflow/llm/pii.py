@@ -10,8 +10,11 @@ a term whose PMI reaches ``alpha`` times the entity's information content is a
 span of kind ``term`` in every document that holds the entity: once the entity is
 blanked, the term would still give it away. PMI equals IC where the term occurs
 only beside the entity: such terms are removed, others above the threshold are
-generalised to a placeholder. Both the entity and the pair must occur in
-``min_texts`` different texts, so that copies of one text prove nothing.
+generalised to a placeholder. A pair must also be no chance: the first text that
+holds it proves nothing, and the probability that the term stands in as many of the
+entity's other different texts, if it knew nothing of the entity, must stay below
+``risk`` for all the terms beside the entity together (Chernoff's bound of the binomial
+tail, at ``p(t)``). So two texts can do for a rare term; one text, however often copied, never does.
 
 All counts are sums over all documents, pre-aggregated per task. Only documents
 with base spans are paired with terms. Texts are known by their md5: rows with
@@ -27,7 +30,7 @@ from tripflow.llm.common import staged
 from tripflow.llm.spans import count_of, joined, masked, matches, replaced
 
 ALPHA = 0.8
-MIN_TEXTS = 5
+RISK = 0.05
 REMOVE, GENERALISE = "remove", "generalise"
 
 #: The kinds in their order.
@@ -86,26 +89,31 @@ def _entity(span: Column) -> Column:
 
 
 def disclosures(texts: DataFrame, entities: DataFrame, term_counts: DataFrame, documents: DataFrame,
-                alpha: float, min_texts: int) -> DataFrame:
+                alpha: float, risk: float) -> DataFrame:
     """``entity``, ``term``, ``pmi``, ``ic``, ``action`` of all pairs above the threshold.
 
-    ``texts``: key, copies, terms; ``entities``: key, copies, entity;
+    ``texts``: key, terms; ``entities``: key, copies, entity, n_entity, n_held (different texts);
     ``term_counts``: term, n_term; ``documents``: one row, n."""
     pairs = entities.join(texts.select("key", "terms"), "key").select(
-        "entity", "n_entity", "copies", F.explode("terms").alias("term"))
+        "entity", "n_entity", "n_held", "copies", F.explode("terms").alias("term"))
     joint = (pairs.groupBy("entity", "term").agg(
-        F.first("n_entity").alias("n_entity"), F.sum("copies").alias("n_pair"), F.count("*").alias("n_texts"))
-        .filter(F.col("n_texts") >= min_texts))
+        F.first("n_entity").alias("n_entity"), F.first("n_held").alias("n_held"), F.sum("copies").alias("n_pair"), F.count("*").alias("n_texts")))
+    tests = joint.groupBy("entity").agg(F.count("*").alias("n_tests"))
+    joint = joint.filter(F.col("n_texts") > 1).join(tests, "entity")
     n = F.col("n").cast("double")
+    share, p = (F.col("n_texts") - 1) / (F.col("n_held") - 1), F.col("n_term") / n
+    miss = F.when(share < 1, (1 - share) * (F.log(1 - share) - F.log(1 - p))).otherwise(0.0)
+    chance = F.when(share > p, -(F.col("n_held") - 1) * (share * F.log(share / p) + miss)).otherwise(0.0)
     return (joint.join(term_counts, "term").join(F.broadcast(documents))  # one row: the number of documents
             .withColumn("pmi", F.log(F.col("n_pair") * n / (F.col("n_entity") * F.col("n_term"))))
             .withColumn("ic", F.log(n / F.col("n_entity")))
             .filter((F.col("pmi") >= alpha * F.col("ic")) & (F.col("ic") > 0))
+            .filter(chance + F.log(F.col("n_tests").cast("double")) <= F.log(F.lit(risk)))
             .withColumn("action", F.when(F.col("n_pair") >= F.col("n_term"), REMOVE).otherwise(GENERALISE))
             .select("entity", "term", "pmi", "ic", "action"))
 
 
-def detect(docs: DataFrame, alpha: float = ALPHA, min_texts: int = MIN_TEXTS) -> DataFrame:
+def detect(docs: DataFrame, alpha: float = ALPHA, risk: float = RISK) -> DataFrame:
     """One row per text with spans: ``key`` (md5 of the text) and ``found``, its
     spans by kind, then start; a span of kind ``term`` has its action as value."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -119,12 +127,12 @@ def detect(docs: DataFrame, alpha: float = ALPHA, min_texts: int = MIN_TEXTS) ->
 
     known = held.select("key", "copies", F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity"))
     support = known.groupBy("entity").agg(F.count("*").alias("n_texts"), F.sum("copies").alias("n_entity"))
-    entities = known.join(support.filter(F.col("n_texts") >= min_texts), "entity").select(
-        "key", "copies", "entity", "n_entity")
+    entities = known.join(support.filter("n_texts > 1"), "entity").select(  # one text has no other to tell by
+        "key", "copies", "entity", "n_entity", F.col("n_texts").alias("n_held"))
     texts = held.select("key", F.array_distinct(F.transform("tokens", lambda t: t["term"])).alias("terms"))
     words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
     term_counts = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    told = staged(disclosures(texts, entities, term_counts, docs.agg(F.count("*").alias("n")), alpha, min_texts), "disclosures")
+    told = staged(disclosures(texts, entities, term_counts, docs.agg(F.count("*").alias("n")), alpha, risk), "disclosures")
 
     flagged = (entities.join(texts, "key").select("key", "entity", F.explode("terms").alias("term"))
                .join(told.select("entity", "term", "action"), ["entity", "term"])
@@ -137,19 +145,19 @@ def detect(docs: DataFrame, alpha: float = ALPHA, min_texts: int = MIN_TEXTS) ->
         "key", F.concat("spans", F.coalesce(term, F.array().cast(f"array<{SPAN}>"))).alias("found"))
 
 
-def find(docs: DataFrame, alpha: float = ALPHA, min_texts: int = MIN_TEXTS) -> DataFrame:
+def find(docs: DataFrame, alpha: float = ALPHA, risk: float = RISK) -> DataFrame:
     """``docs`` plus ``found``, the spans of its text (none: an empty array)."""
     docs = docs.drop("found", "_key", "_found")
-    found = detect(docs, alpha, min_texts).withColumnsRenamed({"key": "_key", "found": "_found"})
+    found = detect(docs, alpha, risk).withColumnsRenamed({"key": "_key", "found": "_found"})
     keyed = docs.withColumn("_key", F.md5(F.coalesce(F.col("text"), F.lit(""))))
     return (keyed.join(found, "_key", "left")
             .withColumn("found", F.coalesce("_found", F.array().cast(f"array<{SPAN}>"))).drop("_key", "_found"))
 
 
-def sanitise(docs: DataFrame, alpha: float = ALPHA, min_texts: int = MIN_TEXTS) -> DataFrame:
+def sanitise(docs: DataFrame, alpha: float = ALPHA, risk: float = RISK) -> DataFrame:
     """``docs`` with entities generalised to their kind and disclosing terms
     generalised or removed. A text without spans, null too, stays as it is."""
-    found = find(docs.select(F.struct("*").alias("_docs"), "text"), alpha, min_texts)
+    found = find(docs.select(F.struct("*").alias("_docs"), "text"), alpha, risk)
     label = lambda s: F.when(s["kind"] != "term", F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).when(
         s["value"] == GENERALISE, F.lit("[TERM]")).otherwise(F.lit(""))
     labelled = F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), label(s).alias("label")))
