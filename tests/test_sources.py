@@ -85,6 +85,22 @@ def test_parquet_rescue_keeps_drifted_values(spark, scratch):
     assert (out["c"].id, out["c"].amount, out["c"]._rescued_data) == (None, None, '{"id":"n/a"}')
 
 
+def test_parquet_rescue_loses_no_values(spark, scratch):
+    """Integers beyond 2^53 beside NULLs stay exact; a number for a timestamp and an
+    integer out of range are rescued."""
+    from tripflow.sources.files import read_parquet_rescued
+    spark.createDataFrame([(9007199254740993, 1700000000000000, 3000000000, 9007199254740993), (None, None, None, None), (-5, 0, 7, 4)],
+                          "big BIGINT, ts BIGINT, small BIGINT, d BIGINT").write.parquet(scratch)
+    out = read_parquet_rescued(spark, scratch, "big BIGINT, ts TIMESTAMP, small INT, d DOUBLE").collect()
+    by = {r.big: r for r in out}
+    assert set(by) == {9007199254740993, None, -5} and all(r.ts is None for r in out)
+    first = by[9007199254740993]
+    assert (first.small, first.d) == (None, None)
+    assert first._rescued_data == '{"ts":"1700000000000000","small":"3000000000","d":"9007199254740993"}'
+    assert (by[-5].small, by[-5].d, by[-5]._rescued_data) == (7, 4.0, '{"ts":"0"}')
+    assert by[None]._rescued_data is None
+
+
 def test_task_code_needs_no_package_on_executors(tmp_path):
     """Python run inside tasks (the parquet rescue reader) must not import
     tripflow on the workers: run from a directory where it isn't importable."""

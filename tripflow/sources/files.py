@@ -218,45 +218,76 @@ def read_parquet_rescued(spark: SparkSession, path: str, schema, batch_rows: int
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
 
-        def type_and_rescue(raw):
-            """pandas helper for one batch: cast each declared column (NULL where a
-            non-NULL value does not fit) and collect the misfits, plus columns not
+        def type_and_rescue(rb):
+            """One record batch as pandas: each declared column cast (NULL where a
+            non-NULL value does not fit exactly), and the misfits, plus columns not
             declared, as a JSON object per row."""
-            import pandas as pd
+            import math
+            import re
 
-            lower = {c.lower(): c for c in raw.columns}
+            import numpy as np
+            import pandas as pd
+            import pyarrow as pa
+
+            bits = {"bigint": 64, "int": 32, "smallint": 16, "tinyint": 8}
+
+            def whole(v, typ):
+                if isinstance(v, str):
+                    v = v.strip()
+                    v = int(v) if re.fullmatch(r"[+-]?[0-9]{1,30}", v) else float(v)
+                n = int(v)  # of NaN and infinity: an error, which is a misfit
+                return n if n == v and -(1 << bits[typ] - 1) <= n < 1 << bits[typ] - 1 else None
+
+            def fraction(v, typ):
+                text = isinstance(v, str)
+                x = float(v)
+                if typ == "float":
+                    small = float(np.float32(x))
+                    x = small if text or small == x or math.isnan(x) else None
+                # Digits that a whole number loses are a misfit.
+                return x if x is None or text or math.isnan(x) or x == v else None
+
+            def column(typ, arr):
+                """The typed column, and which of its values don't fit."""
+                known = np.asarray(arr.is_valid())
+                none = np.zeros(len(arr), bool)
+                if typ in bits and pa.types.is_signed_integer(arr.type) and arr.type.bit_width <= bits[typ]:
+                    return pd.Series(arr.cast(pa.int64()).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)), none
+                if typ == "double" and pa.types.is_floating(arr.type) or typ == "float" and arr.type == pa.float32():
+                    return pd.Series(arr.to_pylist(), dtype="object"), none
+                if typ.startswith("timestamp"):
+                    dated = pa.types.is_timestamp(arr.type) or pa.types.is_date(arr.type)
+                    readable = dated or pa.types.is_string(arr.type) or pa.types.is_large_string(arr.type)
+                    # Numbers have no stated unit: all misfits.
+                    typed = pd.to_datetime(arr.to_pandas() if readable else pd.Series([None] * len(arr)), errors="coerce")
+                    return typed, known & np.asarray(typed.isna())
+                values = arr.to_pylist()
+                if typ in bits or typ in ("double", "float"):
+                    out = []
+                    for v in values:
+                        try:
+                            out.append(None if v is None else (whole if typ in bits else fraction)(v, typ))
+                        except (ValueError, TypeError, OverflowError):
+                            out.append(None)
+                    return pd.Series(out, dtype="object"), known & np.array([v is None for v in out], bool)
+                return pd.Series([None if v is None else str(v) for v in values], dtype="object"), none
+
+            source = {c.lower(): i for i, c in enumerate(rb.schema.names)}
             declared = {n.lower() for n, _ in fields}
-            out = {}
-            bad_cols = []
+            out, bad_cols = {}, []
             for name, typ in fields:
-                src = lower.get(name.lower())
-                if src is None:
-                    out[name] = pd.Series([None] * len(raw), dtype="object")
+                at = source.get(name.lower())
+                if at is None:
+                    out[name] = pd.Series([None] * rb.num_rows, dtype="object")
                     continue
-                col = raw[src]
-                if typ in ("bigint", "int", "smallint", "tinyint"):
-                    num = pd.to_numeric(col, errors="coerce")
-                    fits = num.notna() & (num == num.round())
-                    typed = num.where(fits).astype("Int64")
-                elif typ in ("double", "float"):
-                    typed = pd.to_numeric(col, errors="coerce").astype("float64")
-                elif typ.startswith("timestamp"):
-                    typed = pd.to_datetime(col, errors="coerce")
-                else:
-                    typed = col.where(col.isna(), col.astype(str))
-                out[name] = typed
-                bad_cols.append((src, col.notna() & typed.isna()))
-            for c in raw.columns:
-                if c.lower() not in declared:
-                    bad_cols.append((c, raw[c].notna()))
+                out[name], bad = column(typ, rb.column(at))
+                bad_cols.append((at, bad))
+            bad_cols += [(i, np.asarray(rb.column(i).is_valid())) for i, c in enumerate(rb.schema.names) if c.lower() not in declared]
             frame = pd.DataFrame(out)
-            rescued = [None] * len(raw)
+            rescued = [None] * rb.num_rows
             if bad_cols:
-                any_bad = bad_cols[0][1].copy()
-                for _, m in bad_cols[1:]:
-                    any_bad |= m
-                for i in any_bad[any_bad].index:
-                    rescued[i] = json.dumps({c: str(raw.at[i, c]) for c, m in bad_cols if m.at[i]},
+                for i in np.flatnonzero(np.any([m for _, m in bad_cols], axis=0)).tolist():
+                    rescued[i] = json.dumps({rb.schema.names[c]: str(rb.column(c)[i].as_py()) for c, m in bad_cols if m[i]},
                                             separators=(",", ":"))
             frame["_rescued_data"] = rescued
             return frame
@@ -267,6 +298,6 @@ def read_parquet_rescued(spark: SparkSession, path: str, schema, batch_rows: int
                 for rb in pq.ParquetFile(local, filesystem=fs).iter_batches(batch_size=batch_rows,
                                                                             row_groups=[int(g)]):
                     if rb.num_rows:
-                        yield type_and_rescue(rb.to_pandas())
+                        yield type_and_rescue(rb)
 
     return units.mapInPandas(read, out_schema)
