@@ -8,6 +8,7 @@ from tripflow.llm import common
 def queries() -> dict:
     from tripflow.llm.embedding_dedup import op8_cap_filters
     from tripflow.llm.minhash import op10_dart_minhash
+    from tripflow.llm.mixing import op11_mixing
     from tripflow.llm.neighbours import op3_multi_index
     from tripflow.llm.packing import op7_packing
     from tripflow.llm.pii import op5_pii
@@ -18,7 +19,7 @@ def queries() -> dict:
     from tripflow.llm.token_files import op1_token_files
     import corpus_pipeline
     found = [op1_token_files, op2_jump_shards, op3_multi_index, op4_sampled_pieces, op5_pii, op6_kneser_ney,
-             op7_packing, op8_cap_filters, op9_secret_scan, op10_dart_minhash]
+             op7_packing, op8_cap_filters, op9_secret_scan, op10_dart_minhash, op11_mixing]
     return {f.__name__: _prepared(f) for f in found} | {"pipeline": _prepared(corpus_pipeline.run)}
 
 
@@ -32,4 +33,5 @@ def _prepared(fn):
 
 def oracle_sql() -> dict[str, str]:
     from tripflow.llm.embedding_dedup import OP8_SQL
-    return {"op8_cap_filters": OP8_SQL}
+    from tripflow.llm.mixing import OP11_SQL
+    return {"op8_cap_filters": OP8_SQL, "op11_mixing": OP11_SQL}
