@@ -6,6 +6,7 @@ from tripflow.llm import common
 
 
 def queries() -> dict:
+    from tripflow.llm.collocations import op13_collocations
     from tripflow.llm.embedding_dedup import op8_cap_filters
     from tripflow.llm.minhash import op10_dart_minhash
     from tripflow.llm.mixing import op11_mixing
@@ -19,7 +20,7 @@ def queries() -> dict:
     from tripflow.llm.token_files import op1_token_files
     import corpus_pipeline
     found = [op1_token_files, op2_jump_shards, op3_multi_index, op4_sampled_pieces, op5_pii, op6_kneser_ney,
-             op7_packing, op8_cap_filters, op9_secret_scan, op10_dart_minhash, op11_mixing]
+             op7_packing, op8_cap_filters, op9_secret_scan, op10_dart_minhash, op11_mixing, op13_collocations]
     return {f.__name__: _prepared(f) for f in found} | {"pipeline": _prepared(corpus_pipeline.run)}
 
 
@@ -32,6 +33,7 @@ def _prepared(fn):
 
 
 def oracle_sql() -> dict[str, str]:
+    from tripflow.llm.collocations import OP13_SQL
     from tripflow.llm.embedding_dedup import OP8_SQL
     from tripflow.llm.mixing import OP11_SQL
-    return {"op8_cap_filters": OP8_SQL, "op11_mixing": OP11_SQL}
+    return {"op8_cap_filters": OP8_SQL, "op11_mixing": OP11_SQL, "op13_collocations": OP13_SQL}
