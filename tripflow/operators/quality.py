@@ -52,6 +52,26 @@ def rule_metrics(df: DataFrame, rules: RuleSet, dataset: str | None = None) -> D
     return counts.select(F.inline(per_rule))
 
 
+KEPT = "_tripflow_kept"
+
+
+def flagged(df: DataFrame, rules: RuleSet) -> DataFrame:
+    """All rows, those that pass every drop rule flagged as ``KEPT``."""
+    return df.withColumn(KEPT, all_pass(rules.drop_rules))
+
+
+def committed_metrics(every: list[DataFrame], rules: RuleSet, dataset: str | None = None) -> list[dict]:
+    """Per-rule counts of rows as they were committed, the dropped ones included: a task
+    or stage that ran twice, whose output was committed once, counts once."""
+    total = {r.name: [0, 0] for r in rules}
+    for rows in every:
+        for m in rule_metrics(rows, rules).collect():  # a row per rule
+            total[m.rule_name][0] += m.passed_records
+            total[m.rule_name][1] += m.failed_records
+    return [{"dataset": dataset or rules.dataset, "rule_name": r.name, "action": r.action,
+             "passed_records": total[r.name][0], "failed_records": total[r.name][1]} for r in rules]
+
+
 def observe_rules(df: DataFrame, rules: RuleSet, name: str) -> DataFrame:
     """Attach per-rule pass counts as observed metrics (batch or stream).
 

@@ -72,7 +72,14 @@ def compact(spark: SparkSession, src: str, dst: str, files: int | None = None,
     count instead (small tables only: each file is one task's output).
     Invariant: the same multiset of rows.
     """
-    df = spark.read.parquet(src)
+    compact_frame(spark.read.parquet(src), dst, files, cluster_cols, partition_cols, target_file_mb)
+    return spark.read.parquet(dst)
+
+
+def compact_frame(df: DataFrame, dst: str, files: int | None = None, cluster_cols: list[str] | None = None,
+                  partition_cols: list[str] | None = None, target_file_mb: int = 256) -> None:
+    """``compact`` of a frame, e.g. all parts of a table."""
+    spark = df.sparkSession
     keys = list(partition_cols or []) + list(cluster_cols or [])
     if keys:
         out = clustered(df, keys, files)
@@ -91,7 +98,6 @@ def compact(spark: SparkSession, src: str, dst: str, files: int | None = None,
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return spark.read.parquet(dst)
 
 
 def purge(df: DataFrame, ts_col: str, as_of=None, days: int = 90) -> DataFrame:

@@ -313,13 +313,81 @@ def q_maintenance_counts(spark, sf):
     """A full update, then the maintenance job (compact the 15 tables into
     new directories, purge quarantine): row counts of every maintained table."""
     from tripflow.plans.maintenance import maintained_tables, run_maintenance
-    from tripflow.plans.pipeline import read_quarantine_table, run_batch_pipeline
+    from tripflow.plans.pipeline import read_table, run_batch_pipeline
     paths = run_batch_pipeline(spark, sf, work_path(spark, "maintenance"), as_of=AS_OF)
     new = run_maintenance(spark, paths, as_of=MAINTENANCE_AS_OF)
-    tables = {name: (read_quarantine_table(spark, new) if name == "silver.quarantine_trips"
-                     else spark.read.parquet(new[name]))
-              for name in maintained_tables()}
-    return serving.smoke_counts(tables)
+    return serving.smoke_counts({name: read_table(spark, new, name) for name in maintained_tables()})
+
+
+BACKFILL_UNTIL = "2024-01-10 00:00:00"   # history ends here; two updates follow, cut at EVOLVED_FROM
+# Trips that land again in the first and the second update: some within the watermark
+# delay of the newest trip (the dedup state knows them), some that are late by then.
+REPLAYS = (((BACKFILL_UNTIL, 12, 0),), ((EVOLVED_FROM, 12, 0), (BACKFILL_UNTIL, 36, 30)))
+
+
+def _between(t, since=None, until=None):
+    """Raw trips of a source picked up in a range; unknown times count as the earliest."""
+    pickup = F.col(config.BRONZE_CLUSTER[t])
+    at = lambda v: F.lit(v).cast("timestamp_ntz")
+    known = F.lit(True) if until is None else F.coalesce(pickup < at(until), F.lit(since is None))
+    return known if since is None else known & F.coalesce(pickup >= at(since), F.lit(False))
+
+
+def _replayed(t, replays):
+    hours = lambda n: F.expr(f"INTERVAL {n} HOURS")
+    pickup, hit = F.col(config.BRONZE_CLUSTER[t]), F.lit(False)
+    for until, first, last in replays:
+        end = F.lit(until).cast("timestamp_ntz")
+        hit = hit | F.coalesce((pickup >= end - hours(first)) & (pickup < end - hours(last)), F.lit(False))
+    return hit
+
+
+def q_backfill_then_stream(spark, sf):
+    """History loaded by a backfill, then two stream updates that also replay trips
+    loaded before: rows per day and source of silver, per reason and source of
+    quarantine, and the daily mart, as one batch over everything has them."""
+    from tripflow.plans.pipeline import read_table, run_batch_pipeline, run_stream_pipeline, write_landing
+    base = work_path(spark, "backfill_then_stream")
+    root, zones, raw = os.path.join(base, "tables"), fixtures.raw_zones(spark, sf), fixtures.all_raw_trips(spark, sf)
+    landing = {t: os.path.join(base, "landing", t) for t in config.TAXI_TYPES}
+    run_batch_pipeline(spark, None, root, raw={t: df.filter(_between(t, until=BACKFILL_UNTIL)) for t, df in raw.items()},
+                       raw_zones=zones, as_of=AS_OF, flow_confs=STREAM_FLOW_CONF)
+    for (since, until), replays in zip(((BACKFILL_UNTIL, EVOLVED_FROM), (EVOLVED_FROM, None)), REPLAYS):
+        for t, df in raw.items():
+            write_landing(df.filter(_between(t, since, until)).unionByName(df.filter(_replayed(t, replays))), landing[t])
+        paths = run_stream_pipeline(spark, landing, zones, root, as_of=AS_OF, flow_confs=STREAM_FLOW_CONF)
+    parts = []
+    for t in config.TAXI_TYPES:
+        parts.append(read_table(spark, paths, f"silver.{t}_trips").groupBy(
+            F.lit("silver").alias("layer"), "taxi_type", F.col("pickup_datetime").cast("date").cast("string").alias("bucket"))
+            .agg(F.count("*").alias("row_count")))
+    parts.append(read_table(spark, paths, "silver.quarantine_trips").groupBy(
+        F.lit("quarantine").alias("layer"), "taxi_type", F.col("quarantine_reason").alias("bucket")).agg(F.count("*").alias("row_count")))
+    parts.append(read_table(spark, paths, "gold.daily_borough_metrics").select(
+        F.lit("gold").alias("layer"), "taxi_type", F.concat_ws("|", F.col("trip_date").cast("string"), "borough").alias("bucket"),
+        F.col("trip_count").alias("row_count")))
+    return union_all(parts)
+
+
+PURGE_BETWEEN = "2025-06-01 00:00:00"   # maintenance between two updates: the first one's quarantine is old
+SECOND_AS_OF = "2025-06-15 00:00:00"
+
+
+def q_update_after_maintenance(spark, sf):
+    """A stream update, the maintenance job, a second update: rows of every maintained
+    table. Purged quarantine rows stay gone, all others are there once."""
+    from tripflow.plans.maintenance import maintained_tables, run_maintenance
+    from tripflow.plans.pipeline import read_table, run_stream_pipeline, write_landing
+    base = work_path(spark, "update_after_maintenance")
+    root, zones, raw = os.path.join(base, "tables"), fixtures.raw_zones(spark, sf), fixtures.all_raw_trips(spark, sf)
+    landing = {t: os.path.join(base, "landing", t) for t in config.TAXI_TYPES}
+    for since, until, as_of in ((None, EVOLVED_FROM, AS_OF), (EVOLVED_FROM, None, SECOND_AS_OF)):
+        for t, df in raw.items():
+            write_landing(df.filter(_between(t, since, until)), landing[t])
+        paths = run_stream_pipeline(spark, landing, zones, root, as_of=as_of, flow_confs=STREAM_FLOW_CONF)
+        if since is None:
+            run_maintenance(spark, paths, as_of=PURGE_BETWEEN)
+    return serving.smoke_counts({name: read_table(spark, paths, name) for name in maintained_tables()})
 
 
 def q_schema_evolution_union(spark, sf):
@@ -416,4 +484,6 @@ def queries() -> dict[str, Query]:
     q["update_dq_log"] = q_update_dq_log
     q["maintenance_counts"] = q_maintenance_counts
     q["gold_daily_incremental"] = q_gold_daily_incremental
+    q["backfill_then_stream"] = q_backfill_then_stream
+    q["update_after_maintenance"] = q_update_after_maintenance
     return q

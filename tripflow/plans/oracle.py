@@ -365,6 +365,21 @@ def _final_selects() -> dict[str, str]:
                   + " UNION ALL ".join(_quarantine_select(t, REASONS[t], ts(C.AS_OF)) for t in config.TAXI_TYPES) + ")")
     counts += [f"SELECT 'gold.{m}', COUNT(*) FROM {cte}" for m, cte in mart_cte.items()]
     q["maintenance_counts"] = " UNION ALL ".join(counts)
+    pickup_of = {t: dict(RAW_CONFORM[t])["pickup_datetime"] for t in config.TAXI_TYPES}
+    later = [_quarantine_select(t, REASONS[t], ts(C.AS_OF)).replace(f"FROM {t}_raw)", f"FROM {t}_raw WHERE {pickup_of[t]} >= {ts(C.EVOLVED_FROM)})")
+             for t in config.TAXI_TYPES]
+    q["update_after_maintenance"] = " UNION ALL ".join(
+        [c for c in counts if "quarantine" not in c]
+        + ["SELECT 'silver.quarantine_trips', COUNT(*) FROM (" + " UNION ALL ".join(later) + ")"])
+    again = " OR ".join(f"(pickup_datetime >= {ts(end)} - INTERVAL {first} HOURS AND pickup_datetime < {ts(end)} - INTERVAL {last} HOURS)"
+                        for replays in C.REPLAYS for end, first, last in replays)
+    whole = " UNION ALL ".join(_quarantine_select(t, REASONS[t], ts(C.AS_OF)) for t in config.TAXI_TYPES)
+    q["backfill_then_stream"] = (
+        f"WITH q AS ({whole}), landed AS (SELECT * FROM q UNION ALL SELECT * FROM q WHERE {again}) "
+        + " UNION ALL ".join(f"SELECT 'silver' AS layer, taxi_type, CAST(CAST(pickup_datetime AS DATE) AS VARCHAR) AS bucket, "
+                             f"CAST(count(*) AS BIGINT) AS row_count FROM {t}_silver GROUP BY ALL" for t in config.TAXI_TYPES)
+        + " UNION ALL SELECT 'quarantine', taxi_type, quarantine_reason, count(*) FROM landed GROUP BY ALL"
+        " UNION ALL SELECT 'gold', taxi_type, CAST(trip_date AS VARCHAR) || '|' || borough, trip_count FROM daily")
     logged = [c for c in counts if "quarantine" not in c]
     logged += [f"SELECT 'silver.quarantine_{t}', COUNT(*) FROM ({_quarantine_select(t, REASONS[t], ts(C.AS_OF))})" for t in config.TAXI_TYPES]
     logged += ["SELECT 'bronze.zone_lookup_raw', COUNT(*) FROM zones_raw", "SELECT 'silver.zone_lookup', COUNT(*) FROM zones"]

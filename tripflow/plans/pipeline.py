@@ -14,8 +14,9 @@ Layout choices for scale: bronze files are sorted by pickup time within each
 task (no ingest shuffle; full clustering is the compaction job's work);
 silver is hive-partitioned and rebalanced on its partition columns before the
 write (AQE splits a hot month, coalesces small ones); gold tables are small and range-clustered on their filter
-columns. Rule metrics are collected with ``observe`` on the write itself,
-so quality accounting never costs a second scan.
+columns. Tables are published versions (``operators.tables``): readers see a table whole
+or as it was. A stream that follows a backfill first gets the backfill's recent keys into
+its dedup state. Rules are counted over committed files, so a repeated task counts once.
 """
 
 from __future__ import annotations
@@ -27,19 +28,20 @@ import time
 import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tripflow import config
 from tripflow.functions.rules import RULES, bronze_rules
 from tripflow.operators import audit
 from tripflow.operators.conform import conform_trips, conform_zones
 from tripflow.operators.dedup import dedup_trips
-from tripflow.operators.marts import build
+from tripflow.operators.marts import build, union_all
 from tripflow.operators.marts import specs as mart_specs
-from tripflow.operators.quality import apply_rules, metrics_from_observed, rule_count_exprs, rule_metrics
+from tripflow.operators.quality import KEPT, apply_rules, committed_metrics, flagged, rule_metrics
 from tripflow.operators.storage import write_clustered, write_rebalanced
+from tripflow.operators.tables import Table, Version, Written, resolved
 from tripflow.plans import medallion as M
 from tripflow.sources import fixtures
 from tripflow.sources.files import RAW_SCHEMAS, evolve_stream_schema, merge_schema, read_stream
@@ -60,9 +62,33 @@ def table_paths(root: str) -> dict[str, str]:
     for v in ("pipeline_run_log", "data_quality_log", "row_count_log", "sla_monitoring", "error_log"):
         p[f"audit.{v}"] = os.path.join(root, "audit", v)
     p["_checkpoints"] = os.path.join(root, "_checkpoints")
+    p["_root"] = root
     return p
 
 
+def table(spark: SparkSession, paths: dict[str, str], name: str) -> Table:
+    """The published table of this name, whichever version ``paths`` points at."""
+    return Table(spark, table_paths(paths["_root"])[name])
+
+
+def quarantine_tables(spark: SparkSession, folder: str) -> dict[str, Table]:
+    """The four sources' tables in a version of the quarantine table."""
+    return {t: Table(spark, os.path.join(folder, f"flow={t}")) for t in config.TAXI_TYPES}
+
+
+def quarantine_flow_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, Table]:
+    """Those of the current version, which is made if there is none yet."""
+    whole = table(spark, paths, "silver.quarantine_trips")
+    if whole.version() is None:
+        whole.replace(lambda folder: None)  # the flows fill it
+    return quarantine_tables(spark, whole.data_folder())
+
+
+def current_paths(spark: SparkSession, root: str) -> dict[str, str]:
+    """Where each table's current data lies: a snapshot that stays readable."""
+    return resolved(spark, table_paths(root))
+
+
 @contextlib.contextmanager
 def flow_conf(spark: SparkSession, conf: dict[str, str] | None):
     """Per-flow Spark confs, restored afterwards."""
@@ -139,7 +165,7 @@ def _timed_write(fn) -> float:
 
 
 def _write_silver(df: DataFrame, taxi_type: str, path: str) -> None:
-    write_rebalanced(df, path, config.SILVER_PARTITIONS[taxi_type], ["pickup_datetime"])
+    write_rebalanced(df, path, [KEPT, *config.SILVER_PARTITIONS[taxi_type]], ["pickup_datetime"])
 
 
 def written_rows(spark: SparkSession, path: str) -> int:
@@ -150,16 +176,16 @@ def written_rows(spark: SparkSession, path: str) -> int:
 def refresh_gold(spark: SparkSession, paths: dict[str, str], rec: EventRecorder | None = None) -> None:
     """Recompute all marts from silver. A mart that failed or was never written is
     whole again after the next update, whatever had reached silver before."""
-    zones = spark.read.parquet(paths["silver.zone_lookup"])
-    silver_s = {t: spark.read.parquet(paths[f"silver.{t}_trips"]) for t in config.TAXI_TYPES}
+    zones = table(spark, paths, "silver.zone_lookup").read()
+    silver_s = {t: table(spark, paths, f"silver.{t}_trips").read() for t in config.TAXI_TYPES}
     specs = mart_specs()
 
     def one(name: str) -> None:
-        spec, path = specs[name], paths[f"gold.{name}"]
-        secs = _timed_write(lambda: write_clustered(
-            build(spec, silver_s, zones if spec.zones else None), path, config.MART_CLUSTER[name]))
+        spec, mart = specs[name], table(spark, paths, f"gold.{name}")
+        secs = _timed_write(lambda: mart.replace(lambda folder: write_clustered(
+            build(spec, silver_s, zones if spec.zones else None), folder, config.MART_CLUSTER[name])))
         if rec is not None:
-            rec.flow(f"gold.{name}", written_rows(spark, path), secs)
+            rec.flow(f"gold.{name}", written_rows(spark, mart.data_folder()), secs)
 
     _run_all(rec.guard(one, "gold.{}") if rec is not None else one, specs, concurrent=True)
 
@@ -174,7 +200,7 @@ def _gold_and_audit(spark: SparkSession, paths: dict[str, str], rec: EventRecord
     views = dict(audit.AUDIT_VIEWS)
     views["sla_monitoring"] = lambda e: audit.sla_monitoring(e, as_of)
     try:
-        _run_all(lambda name: views[name](ev).write.mode("overwrite").parquet(paths[f"audit.{name}"]),
+        _run_all(lambda name: table(spark, paths, f"audit.{name}").replace(views[name](ev).write.parquet),
                  views, concurrent=True)
     finally:
         ev.unpersist()
@@ -197,36 +223,33 @@ def _source_flows(s: SparkSession, t: str, raw_t: DataFrame, paths: dict[str, st
                   rec: EventRecorder) -> None:
     """bronze -> silver and the quarantine flow of one source."""
     # bronze: raw + rescued column, locally sorted by pickup time (no ingest shuffle)
-    bobs = Observation(f"bronze_{t}")
-    b = M.bronze(raw_t).observe(bobs, *rule_count_exprs(bronze_rules(t)))
-    secs = _timed_write(lambda: b.sortWithinPartitions(config.BRONZE_CLUSTER[t])
-                        .write.mode("overwrite").parquet(paths[f"bronze.{t}_trips_raw"]))
-    rec.flow(f"bronze.{t}_trips_raw", bobs.get.get("n"), secs, metrics_from_observed(bobs.get, bronze_rules(t)))
-    bronze_t = s.read.parquet(paths[f"bronze.{t}_trips_raw"])
-    # silver: conform -> dedup -> (observe rules) -> drop -> rebalanced partitioned write
-    sobs, oobs = Observation(f"silver_{t}"), Observation(f"silver_{t}_out")
-    deduped = dedup_trips(conform_trips(bronze_t, t, as_of), t)
-    kept = apply_rules(deduped.observe(sobs, *rule_count_exprs(RULES[t])), RULES[t])
-    kept = kept.observe(oobs, F.count(F.lit(1)).alias("rows"))
-    secs = _timed_write(lambda: _write_silver(kept, t, paths[f"silver.{t}_trips"]))
-    rec.flow(f"silver.{t}_trips", oobs.get["rows"], secs, metrics_from_observed(sobs.get, RULES[t]))
+    bronze, silver = (table(s, paths, n) for n in (f"bronze.{t}_trips_raw", f"silver.{t}_trips"))
+    quarantined = quarantine_flow_tables(s, paths)[t]
+    done: list[Written] = []
+    secs = _timed_write(lambda: done.append(bronze.refill(M.bronze(raw_t), lambda df, path: df.sortWithinPartitions(
+        config.BRONZE_CLUSTER[t]).write.parquet(path))))
+    rec.flow(f"bronze.{t}_trips_raw", done[-1].rows, secs, committed_metrics([done[-1].every], bronze_rules(t)))
+    bronze_t = bronze.read(s)
+    # silver: conform -> dedup -> flag by the drop rules -> rebalanced partitioned write. Dropped
+    # rows lie beside the table, so that rules are counted over what was committed.
+    deduped = flagged(dedup_trips(conform_trips(bronze_t, t, as_of), t), RULES[t])
+    secs = _timed_write(lambda: done.append(silver.refill(deduped, lambda df, path: _write_silver(df, t, path), KEPT, restart=True)))
+    rec.flow(f"silver.{t}_trips", done[-1].rows, secs, committed_metrics([done[-1].every], RULES[t]))
     # quarantine flow, from the same raw rows as bronze
-    qobs = Observation(f"quarantine_{t}")
-    q = M.quarantine(bronze_t, t, as_of).observe(qobs, F.count(F.lit(1)).alias("rows"))
-    qpath = os.path.join(paths["silver.quarantine_trips"], f"flow={t}")
-    secs = _timed_write(lambda: q.write.mode("overwrite").parquet(qpath))
-    rec.flow(f"silver.quarantine_{t}", qobs.get["rows"], secs)
+    q = M.quarantine(bronze_t, t, as_of)
+    secs = _timed_write(lambda: done.append(quarantined.refill(q, lambda df, path: df.write.parquet(path))))
+    rec.flow(f"silver.quarantine_{t}", done[-1].rows, secs)
 
 
 def _zone_flows(spark: SparkSession, raw_zones: DataFrame, paths: dict[str, str], as_of, rec: EventRecorder) -> None:
     """bronze -> silver of the zone dimension, the same in both modes."""
     def run(_: str) -> None:
-        bronze, silver = paths["bronze.zone_lookup_raw"], paths["silver.zone_lookup"]
-        secs = _timed_write(lambda: raw_zones.write.mode("overwrite").parquet(bronze))
-        rec.flow("bronze.zone_lookup_raw", written_rows(spark, bronze), secs)
-        zones = conform_zones(spark.read.parquet(bronze), as_of)
-        secs = _timed_write(lambda: apply_rules(zones, RULES["zone"]).write.mode("overwrite").parquet(silver))
-        rec.flow("silver.zone_lookup", written_rows(spark, silver), secs,
+        bronze, silver = (table(spark, paths, n) for n in ("bronze.zone_lookup_raw", "silver.zone_lookup"))
+        secs = _timed_write(lambda: bronze.replace(raw_zones.write.parquet))
+        rec.flow("bronze.zone_lookup_raw", written_rows(spark, bronze.data_folder()), secs)
+        zones = conform_zones(bronze.read(), as_of)
+        secs = _timed_write(lambda: silver.replace(apply_rules(zones, RULES["zone"]).write.parquet))
+        rec.flow("silver.zone_lookup", written_rows(spark, silver.data_folder()), secs,
                  [r.asDict() for r in rule_metrics(zones, RULES["zone"]).collect()])  # one row per rule
 
     rec.guard(run, "silver.{}_lookup")("zone")
@@ -259,9 +282,10 @@ def run_batch_pipeline(spark: SparkSession, sf_dir: str | None, root: str,
 
     with recorded_failure(spark, paths, rec):
         _zone_flows(spark, raw_zones, paths, as_of, rec)
+        quarantine_flow_tables(spark, paths)
         _run_all(rec.guard(run, "silver.{}_trips"), config.TAXI_TYPES, concurrent and raw is None)
         _gold_and_audit(spark, paths, rec, as_of)
-    return paths
+    return current_paths(spark, root)
 
 
 def _run_all(fn, items, concurrent: bool) -> None:
@@ -305,16 +329,25 @@ def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw:
     rec.run_type = "incremental"
     schemas: dict = {}
     rec.update("RUNNING", rec.run_type)
+
     def run(t: str) -> None:
         s = flow_session(spark, confs.get(t))
+        bronze, silver = table(s, paths, f"bronze.{t}_trips_raw"), table(s, paths, f"silver.{t}_trips")
+        have, kept = bronze.version() or Version(), silver.version() or Version()
+        if have.epoch != kept.epoch:
+            raise RuntimeError(f"the backfill of {t} trips stopped between bronze and silver: run it again first")
+        schema = merge_schema(schemas[t], "_rescued_data STRING")
+        silver_checkpoint = os.path.join(ck, f"silver_{t}_e{have.epoch}")
+        if not kept.seeded:  # the first update after a backfill: its keys enter the dedup state
+            ingest.write_seed(s, bronze, t)
+            ingest.silver_into(s, schema, t, bronze, silver, silver_checkpoint, as_of)
+            silver.publish(replace(silver.version(), seeded=True))
         raw = read_stream(s, landing[t], schemas[t], max_files_per_trigger=max_files_per_trigger)
-        r = ingest.bronze_flow(raw, t, paths[f"bronze.{t}_trips_raw"], os.path.join(ck, f"bronze_{t}"))
-        rec.flow(f"bronze.{t}_trips_raw", r.num_output_rows, r.seconds,
-                 metrics_from_observed(r.observed, bronze_rules(t)))
-        bronze_path = paths[f"bronze.{t}_trips_raw"]
-        bronze_stream = s.readStream.schema(merge_schema(
-            schemas[t], "_rescued_data STRING")).parquet(bronze_path)
-        r = ingest.silver_flow(bronze_stream, t, paths[f"silver.{t}_trips"], os.path.join(ck, f"silver_{t}"), as_of)
+        r = ingest.bronze_into(raw, t, bronze, os.path.join(ck, f"bronze_{t}"))
+        rec.flow(f"bronze.{t}_trips_raw", r.num_output_rows, r.seconds, r.observed["metrics"])
+        if bronze.version() is None:  # nothing has ever landed
+            return
+        r = ingest.silver_into(s, schema, t, bronze, silver, silver_checkpoint, as_of)
         rec.flow(f"silver.{t}_trips", r.num_output_rows, r.seconds, r.observed.get("metrics"),
                  extra_metrics={"num_rows_dropped_by_watermark": r.dropped_by_watermark,
                                 "num_dropped_duplicate_rows": r.dropped_duplicates})
@@ -327,11 +360,23 @@ def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw:
         _run_all(rec.guard(run, "silver.{}_trips"), config.TAXI_TYPES, concurrent=True)
         qraw = {t: read_stream(spark, landing[t], schemas[t], max_files_per_trigger=max_files_per_trigger)
                 for t in config.TAXI_TYPES}
-        for t, r in ingest.quarantine_flows(qraw, paths["silver.quarantine_trips"], ck, as_of).items():
+        for t, r in ingest.quarantine_into(qraw, quarantine_flow_tables(spark, paths), ck, as_of).items():
             rec.flow(f"silver.quarantine_{t}", r.num_output_rows, r.seconds)
         _gold_and_audit(spark, paths, rec, as_of)
-    return paths
+    return current_paths(spark, root)
+
+
+def read_table(spark: SparkSession, paths: dict[str, str], name: str) -> DataFrame:
+    """The current rows of a table, all its parts; of the quarantine table, all its flows."""
+    if name == "silver.quarantine_trips":
+        return read_quarantine_table(spark, table_paths(paths["_root"]))
+    return table(spark, paths, name).read()
 
 
 def read_quarantine_table(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    return ingest.read_quarantine(spark, paths["silver.quarantine_trips"])
+    """All quarantine flows, in the version that ``paths`` points at (the current one, for
+    ``table_paths``); a flow that never wrote is skipped."""
+    whole = table(spark, paths, "silver.quarantine_trips")
+    folder = paths["silver.quarantine_trips"] if paths["silver.quarantine_trips"] != whole.root else whole.data_folder()
+    frames = [flow.read() for flow in quarantine_tables(spark, folder).values() if flow.version() is not None]
+    return union_all(frames) if frames else spark.createDataFrame([], config.QUARANTINE_DDL)

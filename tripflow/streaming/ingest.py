@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +23,13 @@ from tripflow import config
 from tripflow.functions.rules import RULES, RuleSet, bronze_rules
 from tripflow.operators.conform import conform_for_quarantine, conform_trips
 from tripflow.operators.dedup import dedup_stream
-from tripflow.operators.quality import apply_rules, metrics_from_observed, observe_rules
+from tripflow.operators.quality import KEPT, apply_rules, committed_metrics, flagged, metrics_from_observed, observe_rules
 from tripflow.operators.quarantine import quarantine_trips
+from tripflow.operators.tables import Table, Written
 from tripflow.plans.medallion import bronze
 
+Write = Callable[[DataFrame, str], None]
+_SEED = "_tripflow_seed"
 
 POLL_S = 0.25  # a batch takes longer than a hundredth of this
 
@@ -103,6 +107,78 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str, name: str,
     return finish(q, sink, name, t0, observe_name, timeout_s)
 
 
+def start_into(df: DataFrame, table: Table, write: Write, checkpoint: str, name: str,
+               kept: str | None = None) -> tuple[StreamingQuery, list[Written]]:
+    """Start appending ``df`` to a published table, a part per micro-batch (a batch that is
+    run again is written once); the list fills with what each has committed."""
+    done: list[Written] = []
+    q = (df.writeStream.foreachBatch(lambda batch, i: done.append(table.append(batch, i, write, kept)))
+         .option("checkpointLocation", checkpoint).queryName(name).trigger(availableNow=True).start())
+    return q, done
+
+
+def finish_into(q: StreamingQuery, done: list[Written], table: Table, name: str, t0: float, rules: RuleSet | None = None) -> FlowResult:
+    """Wait for the query; rows and rule counts are those of the committed files."""
+    res = finish(q, table.root, name, t0)
+    res.num_output_rows = sum(w.rows for w in done)
+    if rules is not None:
+        res.observed["metrics"] = committed_metrics([w.every for w in done if w.every is not None], rules)
+    return res
+
+
+def bronze_into(raw_stream: DataFrame, taxi_type: str, table: Table, checkpoint: str) -> FlowResult:
+    """Raw file stream -> published bronze table, each micro-batch sorted by pickup time."""
+    t0, name = time.time(), f"bronze_{taxi_type}"
+    q, done = start_into(bronze(raw_stream), table, lambda b, path: b.sortWithinPartitions(config.BRONZE_CLUSTER[taxi_type])
+                         .write.mode("overwrite").parquet(path), checkpoint, name)
+    return finish_into(q, done, table, name, t0, bronze_rules(taxi_type))
+
+
+def write_seed(spark: SparkSession, bronze_table: Table, taxi_type: str, delay: str = config.WATERMARK_DELAY) -> None:
+    """Backfilled rows that a later replay could still meet in the dedup state: those
+    within the watermark delay of the newest. Older replays are late and dropped as such."""
+    rows, pickup = bronze_table.read(spark), config.BRONZE_CLUSTER[taxi_type]
+    newest = rows.agg(F.max(pickup)).first()[0]
+    since = F.lit(None if newest is None else str(newest)).cast(rows.schema[pickup].dataType) - F.expr(f"INTERVAL {delay}")
+    rows.filter(F.col(pickup) >= since).write.mode("overwrite").parquet(bronze_table.seed_folder())
+
+
+def _write_batch(batch: DataFrame, path: str, folders: list[str], salts: int = 16) -> None:
+    """A micro-batch, a few files a folder: streams run without AQE, so that a hot folder
+    (a month) is spread by a hash of the pickup time instead of a rebalance."""
+    salt = F.pmod(F.hash("pickup_datetime"), F.lit(salts))
+    (batch.repartition(*folders, salt).sortWithinPartitions(*folders, "pickup_datetime")
+     .write.mode("overwrite").partitionBy(*folders).parquet(path))
+
+
+def silver_into(spark: SparkSession, schema, taxi_type: str, bronze_table: Table, table: Table, checkpoint: str,
+                as_of=None) -> FlowResult:
+    """What the bronze table's stream added -> published silver table. Seed rows pass
+    through the dedup state and the watermark, and end there."""
+    feed = spark.readStream.schema(schema).parquet(bronze_table.feed())
+    feed = feed.withColumn(_SEED, F.col("_metadata.file_path").contains("/seed-e"))
+    deduped = dedup_stream(conform_trips(feed, taxi_type, as_of), config.DEDUP_KEYS[taxi_type], "pickup_datetime")
+    checked = flagged(deduped.filter(~F.col(_SEED)).drop(_SEED), RULES[taxi_type])
+    t0, name = time.time(), f"silver_{taxi_type}"
+    q, done = start_into(checked, table, lambda b, path: _write_batch(b, path, [KEPT, *config.SILVER_PARTITIONS[taxi_type]]),
+                         checkpoint, name, KEPT)
+    return finish_into(q, done, table, name, t0, RULES[taxi_type])
+
+
+def quarantine_into(raw_streams: dict[str, DataFrame], tables: dict[str, Table], checkpoint_root: str,
+                    as_of=None) -> dict[str, FlowResult]:
+    """The four quarantine flows, each into its published table, concurrently."""
+    t0, started = time.time(), {}
+    for t, raw in raw_streams.items():
+        df = quarantine_trips(conform_for_quarantine(raw, t), t, as_of)
+        started[t] = start_into(df, tables[t], lambda b, path: b.write.mode("overwrite").parquet(path),
+                                os.path.join(checkpoint_root, f"quarantine_{t}"), f"quarantine_{t}")
+    results = {}
+    for t, (q, done) in started.items():
+        results[t] = finish_into(q, done, tables[t], f"quarantine_{t}", t0)
+    return results
+
+
 def bronze_flow(raw_stream: DataFrame, taxi_type: str, sink: str, checkpoint: str) -> FlowResult:
     """Raw file stream -> bronze table (+ ``_rescued_data``), counting the
     rescued-data expectation."""
