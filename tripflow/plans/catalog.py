@@ -415,6 +415,36 @@ def q_stream_ingest(t):
     return q
 
 
+# Landing waves of the late-row query: each is a micro-batch (or more) of its own, and all
+# its trips are newer than the wave before, but for those that arrive 400 days late.
+WAVES = ("2024-01-07 00:00:00", "2024-01-13 00:00:00", "2024-01-19 00:00:00", "2024-01-25 00:00:00")
+LATE_BEFORE, LATE_DAYS = "2023-06-01 00:00:00", 400
+
+
+def q_late_rows(t):
+    """What the watermark and the dedup state drop of one source, wave by wave: rows
+    read, rows too late, duplicates, rows that reach silver. Unknown times land in the
+    first wave, late rows from the second on (no watermark stands before)."""
+    def q(spark, sf):
+        from tripflow.plans.pipeline import write_landing
+        from tripflow.sources.files import read_stream
+        base, pickup = work_path(spark, f"late_rows_{t}"), F.col(config.BRONZE_CLUSTER[t])
+        raw, landing = fixtures.raw_trips(spark, sf, t), os.path.join(base, "landing")
+        at = lambda v: F.lit(v).cast("timestamp_ntz")
+        late = F.coalesce(pickup < at(LATE_BEFORE), F.lit(False))
+        arrival = F.when(late, pickup + F.expr(f"INTERVAL {LATE_DAYS} DAYS")).otherwise(pickup)
+        wave = sum((F.coalesce(arrival >= at(w), F.lit(False)).cast("int") for w in WAVES), F.lit(0))
+        wave = F.greatest(wave, late.cast("int"))
+        facts = []
+        for i in range(len(WAVES) + 1):
+            write_landing(raw.filter(wave == i), landing)
+            r = ingest.silver_flow(M.bronze(read_stream(spark, landing, RAW_SCHEMAS[t])), t, os.path.join(base, "silver"),
+                                   os.path.join(base, "_checkpoint"), AS_OF)
+            facts.append((i, sum(int(p.numInputRows) for p in r.progresses), r.dropped_by_watermark, r.dropped_duplicates, r.num_output_rows))
+        return spark.createDataFrame(facts, "wave INT, rows_read BIGINT, late_rows BIGINT, duplicate_rows BIGINT, silver_rows BIGINT")
+    return q
+
+
 def q_dedup_stream(t):
     """Silver of one source from a stream: watermark dedup + drop rules."""
     def q(spark, sf):
@@ -484,6 +514,8 @@ def queries() -> dict[str, Query]:
     q["update_dq_log"] = q_update_dq_log
     q["maintenance_counts"] = q_maintenance_counts
     q["gold_daily_incremental"] = q_gold_daily_incremental
+    q["late_rows_yellow"] = q_late_rows("yellow")
+    q["late_rows_fhvheavy"] = q_late_rows("fhvheavy")
     q["backfill_then_stream"] = q_backfill_then_stream
     q["update_after_maintenance"] = q_update_after_maintenance
     return q

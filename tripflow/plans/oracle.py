@@ -380,6 +380,18 @@ def _final_selects() -> dict[str, str]:
                              f"CAST(count(*) AS BIGINT) AS row_count FROM {t}_silver GROUP BY ALL" for t in config.TAXI_TYPES)
         + " UNION ALL SELECT 'quarantine', taxi_type, quarantine_reason, count(*) FROM landed GROUP BY ALL"
         " UNION ALL SELECT 'gold', taxi_type, CAST(trip_date AS VARCHAR) || '|' || borough, trip_count FROM daily")
+    for t in ("yellow", "fhvheavy"):
+        late = f"coalesce(pickup_datetime < {ts(C.LATE_BEFORE)}, false)"
+        arrival = f"CASE WHEN {late} THEN pickup_datetime + INTERVAL {C.LATE_DAYS} DAYS ELSE pickup_datetime END"
+        wave = " + ".join(f"CAST(coalesce({arrival} >= {ts(w)}, false) AS INTEGER)" for w in C.WAVES)
+        wave = f"greatest({wave}, CAST({late} AS INTEGER))"
+        keys = ", ".join(config.DEDUP_KEYS[t])
+        q[f"late_rows_{t}"] = (
+            f"WITH r AS (SELECT *, {late} AS late, {wave} AS wave FROM {t}_conf), "
+            f"s AS (SELECT {wave} AS wave, count(*) AS n FROM {t}_silver GROUP BY 1) "
+            f"SELECT r.wave, CAST(count(*) AS BIGINT) AS rows_read, CAST(count_if(late) AS BIGINT) AS late_rows, "
+            f"CAST(count_if(NOT late) - count(DISTINCT CASE WHEN NOT late THEN row({keys}) END) AS BIGINT) AS duplicate_rows, "
+            f"CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS silver_rows FROM r LEFT JOIN s ON s.wave = r.wave GROUP BY r.wave")
     logged = [c for c in counts if "quarantine" not in c]
     logged += [f"SELECT 'silver.quarantine_{t}', COUNT(*) FROM ({_quarantine_select(t, REASONS[t], ts(C.AS_OF))})" for t in config.TAXI_TYPES]
     logged += ["SELECT 'bronze.zone_lookup_raw', COUNT(*) FROM zones_raw", "SELECT 'silver.zone_lookup', COUNT(*) FROM zones"]

@@ -11,13 +11,14 @@ checkpoint with exactly-once file sinks. Rule counts are collected through
 from __future__ import annotations
 
 import os
+import threading
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tripflow import config
 from tripflow.functions.rules import RULES, RuleSet, bronze_rules
@@ -31,7 +32,42 @@ from tripflow.plans.medallion import bronze
 Write = Callable[[DataFrame, str], None]
 _SEED = "_tripflow_seed"
 
-POLL_S = 0.25  # a batch takes longer than a hundredth of this
+REPORTS_S = 60.0  # the last reports follow a query's end within this
+
+
+class Reports(StreamingQueryListener):
+    """Every progress report of one query, however many there are: the query itself keeps
+    the last hundred only. Reports arrive in order, the query's end after them."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._by_run, self._ended = spark, {}, {}
+        self._lock = threading.Lock()
+        spark.streams.addListener(self)
+
+    def _end(self, run: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        with self._lock:
+            self._by_run.setdefault(str(event.progress.runId), {})[event.progress.batchId] = event.progress
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def of(self, q: StreamingQuery) -> list:
+        """The reports of a query that has ended, by batch."""
+        if not self._end(str(q.runId)).wait(REPORTS_S):
+            raise TimeoutError(f"the reports of stream {q.name} did not arrive")
+        self._spark.streams.removeListener(self)
+        found = self._by_run.get(str(q.runId), {})
+        return [found[b] for b in sorted(found)]
 
 
 @dataclass
@@ -68,25 +104,27 @@ def start_available_now(df: DataFrame, sink: str, checkpoint: str, name: str,
          .trigger(availableNow=True))
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    return w.start(sink)
+    return _started(df.sparkSession, lambda: w.start(sink))
+
+
+def _started(spark: SparkSession, start: Callable[[], StreamingQuery]) -> StreamingQuery:
+    """A query whose reports are all heard."""
+    reports = Reports(spark)
+    q = start()
+    q.tripflow_reports = reports
+    return q
 
 
 def finish(q: StreamingQuery, sink: str, name: str, t0: float, observe_name: str | None = None,
            timeout_s: float | None = None) -> FlowResult:
     """Wait for a triggered query and total its progress reports."""
-    reports: dict = {}
-    while True:
-        # Spark keeps the last hundred reports only: collect them as they come.
-        done = q.awaitTermination(POLL_S)
-        reports.update({p.batchId: p for p in q.recentProgress})
-        if done:
-            break
-        if timeout_s is not None and time.time() - t0 > timeout_s:
+    if not q.awaitTermination(timeout_s):
+        if timeout_s is not None:
             q.stop()
             raise TimeoutError(f"stream {name} did not finish within {timeout_s}s")
     if q.exception() is not None:
         raise q.exception()
-    progresses = [reports[b] for b in sorted(reports)]
+    progresses = q.tripflow_reports.of(q)
     res = FlowResult(name=name, sink=sink, seconds=time.time() - t0, batches=len(progresses),
                      progresses=progresses)
     res.num_output_rows = sum(int(p.numInputRows or 0) for p in progresses)
@@ -112,9 +150,9 @@ def start_into(df: DataFrame, table: Table, write: Write, checkpoint: str, name:
     """Start appending ``df`` to a published table, a part per micro-batch (a batch that is
     run again is written once); the list fills with what each has committed."""
     done: list[Written] = []
-    q = (df.writeStream.foreachBatch(lambda batch, i: done.append(table.append(batch, i, write, kept)))
-         .option("checkpointLocation", checkpoint).queryName(name).trigger(availableNow=True).start())
-    return q, done
+    w = (df.writeStream.foreachBatch(lambda batch, i: done.append(table.append(batch, i, write, kept)))
+         .option("checkpointLocation", checkpoint).queryName(name).trigger(availableNow=True))
+    return _started(df.sparkSession, w.start), done
 
 
 def finish_into(q: StreamingQuery, done: list[Written], table: Table, name: str, t0: float, rules: RuleSet | None = None) -> FlowResult:
