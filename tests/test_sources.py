@@ -10,6 +10,9 @@ from tripflow.sources.files import (RAW_SCHEMAS, SAMPLE_CSV_SCHEMA, align, merge
                                     read_trip_csv, rescue, schema_of, union_evolving)
 
 
+SPLITS: dict = {}  # settings to put back
+
+
 def test_csv_sample_roundtrip(spark, scratch):
     raw = fixtures.raw_trips(spark, SF_SMALL, "yellow").drop("payment_type")
     path = os.path.join(scratch, "csv")
@@ -119,7 +122,7 @@ def test_task_code_needs_no_package_on_executors(tmp_path):
     assert "ROWS 214" in out.stdout, out.stderr[-3000:]
 
 
-def test_parquet_rescue_reads_row_groups_in_parallel(spark, scratch):
+def test_parquet_rescue_reads_row_groups_in_parallel(spark, scratch, monkeypatch):
     """One file with many row groups is read by several tasks, every row once."""
     import pyarrow as pa
     import pyarrow.parquet as pq
@@ -128,9 +131,14 @@ def test_parquet_rescue_reads_row_groups_in_parallel(spark, scratch):
     os.makedirs(scratch, exist_ok=True)
     table = pa.table({"id": pa.array(range(20_000), pa.int64()), "s": pa.array([str(i) for i in range(20_000)])})
     pq.write_table(table, os.path.join(scratch, "big.parquet"), row_group_size=1_000)
-    out = read_parquet_rescued(spark, scratch, "id BIGINT, s STRING", tasks=8)
+    out = read_parquet_rescued(spark, scratch, "id BIGINT, s STRING")
+    for k, v in {"spark.sql.files.maxPartitionBytes": "32k", "spark.sql.files.openCostInBytes": "0"}.items():
+        monkeypatch.setitem(SPLITS, k, spark.conf.get(k))
+        spark.conf.set(k, v)
     assert out.count() == 20_000 and out.select("id").distinct().count() == 20_000
     per_task = out.groupBy(F.spark_partition_id()).count().collect()
+    for k, v in SPLITS.items():
+        spark.conf.set(k, v)
     assert len(per_task) >= 4
 
 
@@ -144,3 +152,25 @@ def test_schema_check_without_new_files_keeps_version(spark, scratch):
     assert again == first == load_schema(spark, loc)
     versions = sorted(int(r.value.split("\t")[0]) for r in spark.read.text(loc).collect())
     assert versions == [0, 0]
+
+
+def test_rescue_of_numbers_keeps_what_does_not_fit(spark):
+    rows = [(1.5, 2.0, 9007199254740993, 300, 0.1), (2.0, float("nan"), 4, 5, 1e300), (None, float("inf"), None, None, None)]
+    df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, c BIGINT, d INT, e DOUBLE")
+    out = rescue(df, "a BIGINT, b DOUBLE, c DOUBLE, d TINYINT, e BIGINT").collect()
+    assert [(r.a, r.c, r.d, r.e, r._rescued_data) for r in out] == [
+        (None, None, None, None, '{"a":"1.5","c":"9007199254740993","d":"300","e":"0.1"}'),
+        (2, 4.0, 5, None, '{"e":"1.0E300"}'), (None, None, None, None, None)]
+
+
+def test_groups_of_files_by_types(spark, scratch):
+    from tripflow.sources.files import landed_files, read_landed, schema_groups
+    for i, ddl in enumerate(["a BIGINT", "a STRING", "a BIGINT, x INT", "a STRING, y INT", "a BIGINT"]):
+        cols = [F.lit(str(i) if "STRING" in ddl else i).cast("string" if "STRING" in ddl else "bigint").alias("a")]
+        cols += [F.lit(i).alias(n) for n in ("x", "y") if f" {n} INT" in ddl]
+        spark.range(1).select(*cols).coalesce(1).write.parquet(os.path.join(scratch, f"f{i}"))
+    files = landed_files(spark, scratch)
+    assert sorted(len(f) for _, f in schema_groups(spark, files)) == [2, 3] and schema_groups(spark, []) == []
+    got = read_landed(spark, files, "a BIGINT")
+    assert set(got.columns) == {"a", "x", "y", "_rescued_data"} and sorted(r.a for r in got.collect()) == [0, 1, 2, 3, 4]
+    assert read_landed(spark, [], "a BIGINT").isEmpty()

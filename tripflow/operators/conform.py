@@ -26,7 +26,8 @@ def conform_trips(df: DataFrame, taxi_type: str, as_of=None) -> DataFrame:
     through under its conformed name.
     """
     lower = {k.lower(): v for k, v in config.RENAMES[taxi_type].items()}
-    names = {c: lower.get(c.lower(), c) for c in df.columns}   # raw -> conformed
+    derived = {"taxi_type", "pickup_year", "pickup_month", "trip_duration_mins", "_created_at"}  # these replace raw ones
+    names = {c: lower.get(c.lower(), c) for c in df.columns if c.lower() not in derived}   # raw -> conformed
     raw = {v: k for k, v in names.items()}                      # conformed -> raw
     pickup, dropoff = f"`{raw['pickup_datetime']}`", f"`{raw['dropoff_datetime']}`"
     # one projection: renames and derived columns together (duration as in

@@ -249,11 +249,9 @@ def q_rescued_data(spark, sf):
     return rescue(text, RAW_SCHEMAS["yellow"])
 
 
-def q_rescued_parquet(spark, sf):
-    """Yellow landing files in two generations; in the later one
-    ``passenger_count`` arrives as text with unparsable tokens. Read with
-    per-file typing and rescue."""
-    base = work_path(spark, "rescued_parquet")
+def _drifted_yellow(spark, sf, path):
+    """Yellow landing files in two generations; in the later one ``passenger_count``
+    arrives as text, with tokens that don't parse."""
     b = fixtures.trip_base(fixtures.read_events(spark, sf)).filter(F.col("taxi_type") == "yellow")
     late = F.coalesce(F.col("pickup") >= F.lit(EVOLVED_FROM).cast("timestamp_ntz"), F.lit(False))
     cols = [F.col("pickup").alias("tpep_pickup_datetime"), F.col("dropoff").alias("tpep_dropoff_datetime"),
@@ -261,13 +259,44 @@ def q_rescued_parquet(spark, sf):
     rest = [F.col("dist").alias("trip_distance"), F.col("fare").alias("fare_amount"),
             F.col("total").alias("total_amount"), "payment_type"]
     b.filter(~late).select(*cols, F.col("passengers").alias("passenger_count"), *rest) \
-        .write.parquet(os.path.join(base, "gen=1"))
+        .write.parquet(os.path.join(path, "gen=1"))
     text_count = F.when(F.col("event_id") % 37 == 0, F.lit("n/a")).otherwise(F.col("passengers").cast("string"))
     b.filter(late).select(*cols, text_count.alias("passenger_count"), *rest) \
-        .write.parquet(os.path.join(base, "gen=2"))
+        .write.parquet(os.path.join(path, "gen=2"))
+
+
+def q_rescued_parquet(spark, sf):
+    """Drifted yellow landing files read as the declared schema, with what does not fit rescued."""
+    base = work_path(spark, "rescued_parquet")
+    _drifted_yellow(spark, sf, base)
     return read_parquet_rescued(spark, base, RAW_SCHEMAS["yellow"])
 
 
+def _drifted_update(spark, sf):
+    from tripflow.plans.pipeline import run_stream_pipeline, write_landing
+    base = work_path(spark, "drifted")
+    landing = {t: os.path.join(base, "landing", t) for t in config.TAXI_TYPES}
+    _drifted_yellow(spark, sf, landing["yellow"])
+    for t in config.TAXI_TYPES[1:]:
+        write_landing(fixtures.raw_trips(spark, sf, t), landing[t])
+    return run_stream_pipeline(spark, landing, fixtures.raw_zones(spark, sf), os.path.join(base, "tables"), as_of=AS_OF,
+                               flow_confs=STREAM_FLOW_CONF)
+
+
+def q_rescued_bronze(spark, sf):
+    """Bronze of drifted yellow files after a stream update."""
+    from tripflow.plans.pipeline import read_table
+    return read_table(spark, _drifted_update(spark, sf), "bronze.yellow_trips_raw")
+
+
+def q_dq_metrics_drifted(spark, sf):
+    """Rules of bronze and silver that a stream update over drifted files logged: rescued
+    values fail the bronze expectation, and silver's passenger rule."""
+    paths = _drifted_update(spark, sf)
+    return spark.read.parquet(paths["audit.data_quality_log"]).select(
+        "dataset_name", "expectation_name", "passed_records", "failed_records")
+
+
 def q_update_dq_log(spark, sf):
     """A full pipeline update; its event log's expectation results (AUD-2
     over the events the run emitted itself)."""
@@ -514,6 +543,8 @@ def queries() -> dict[str, Query]:
     q["update_dq_log"] = q_update_dq_log
     q["maintenance_counts"] = q_maintenance_counts
     q["gold_daily_incremental"] = q_gold_daily_incremental
+    q["rescued_bronze"] = q_rescued_bronze
+    q["dq_metrics_drifted"] = q_dq_metrics_drifted
     q["late_rows_yellow"] = q_late_rows("yellow")
     q["late_rows_fhvheavy"] = q_late_rows("fhvheavy")
     q["backfill_then_stream"] = q_backfill_then_stream

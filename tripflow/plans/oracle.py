@@ -401,6 +401,22 @@ def _final_selects() -> dict[str, str]:
                                 bronze_rules(t).rules, f"bronze.{t}_trips_raw") for t in config.TAXI_TYPES]
     dq_parts.append(_metrics_select("zones_conf", RULES["zone"].rules, "silver.zone_lookup"))
     dq_parts += [_metrics_select(f"{t}_dedup", RULES[t].rules, f"silver.{t}_trips") for t in config.TAXI_TYPES]
+    q["rescued_bronze"] = q["rescued_parquet"]
+    drifted = ("(SELECT * REPLACE (CASE WHEN coalesce(pickup >= " + ts(C.EVOLVED_FROM) + ", false) AND event_id % 37 = 0 "
+               "THEN NULL ELSE passengers END AS passengers) FROM base WHERE taxi_type = 'yellow')")
+    keys = "pickup, pu, dol, k"
+    order = "dropoff, passengers, dist, fare, total, payment_type"
+    tested = (f"(SELECT pickup AS pickup_datetime, dropoff AS dropoff_datetime, pu AS pickup_location_id, dol AS dropoff_location_id, "
+              f"k AS VendorID, passengers AS passenger_count, dist AS trip_distance, fare AS fare_amount, total AS total_amount, "
+              f"round((floor(epoch(dropoff)) - floor(epoch(pickup))) / 60, 2) AS trip_duration_mins FROM (SELECT * FROM {drifted} "
+              f"QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1))")
+    rescued = (f"(SELECT *, CASE WHEN late AND event_id % 37 = 0 THEN 'x' END AS _rescued_data FROM (SELECT *, "
+               f"coalesce(pickup >= {ts(C.EVOLVED_FROM)}, false) AS late FROM base WHERE taxi_type = 'yellow'))")
+    drift_parts = [_metrics_select(rescued, bronze_rules("yellow").rules, "bronze.yellow_trips_raw"),
+                   _metrics_select(tested, RULES["yellow"].rules, "silver.yellow_trips"),
+                   *(p for p in dq_parts if "yellow" not in p)]
+    q["dq_metrics_drifted"] = ("SELECT dataset AS dataset_name, rule_name AS expectation_name, passed_records, failed_records FROM ("
+                               + " UNION ALL ".join(drift_parts) + ")")
     q["update_dq_log"] = (
         "SELECT dataset AS dataset_name, rule_name AS expectation_name, passed_records, failed_records, "
         + sround("CAST(passed_records AS DOUBLE) / NULLIF(passed_records + failed_records, 0) * 100")

@@ -44,7 +44,7 @@ from tripflow.operators.storage import write_clustered, write_rebalanced
 from tripflow.operators.tables import Table, Version, Written, resolved
 from tripflow.plans import medallion as M
 from tripflow.sources import fixtures
-from tripflow.sources.files import RAW_SCHEMAS, evolve_stream_schema, merge_schema, read_stream
+from tripflow.sources.files import RAW_SCHEMAS, merge_schema
 from tripflow.streaming import ingest
 
 
@@ -327,7 +327,6 @@ def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw:
     ck = paths["_checkpoints"]
     rec = EventRecorder(uuid.uuid4().hex[:12])
     rec.run_type = "incremental"
-    schemas: dict = {}
     rec.update("RUNNING", rec.run_type)
 
     def run(t: str) -> None:
@@ -336,31 +335,28 @@ def run_stream_pipeline(spark: SparkSession, landing: dict[str, str], zones_raw:
         have, kept = bronze.version() or Version(), silver.version() or Version()
         if have.epoch != kept.epoch:
             raise RuntimeError(f"the backfill of {t} trips stopped between bronze and silver: run it again first")
-        schema = merge_schema(schemas[t], "_rescued_data STRING")
+        def silver_schema():  # the bronze table's, as it is by then
+            return merge_schema(ingest.bronze_schema(bronze, RAW_SCHEMAS[t]), "_rescued_data STRING")
+
         silver_checkpoint = os.path.join(ck, f"silver_{t}_e{have.epoch}")
         if not kept.seeded:  # the first update after a backfill: its keys enter the dedup state
             ingest.write_seed(s, bronze, t)
-            ingest.silver_into(s, schema, t, bronze, silver, silver_checkpoint, as_of)
+            ingest.silver_into(s, silver_schema(), t, bronze, silver, silver_checkpoint, as_of)
             silver.publish(replace(silver.version(), seeded=True))
-        raw = read_stream(s, landing[t], schemas[t], max_files_per_trigger=max_files_per_trigger)
-        r = ingest.bronze_into(raw, t, bronze, os.path.join(ck, f"bronze_{t}"))
+        r = ingest.bronze_into(s, landing[t], t, bronze, os.path.join(ck, f"bronze_{t}"), RAW_SCHEMAS[t], max_files_per_trigger)
         rec.flow(f"bronze.{t}_trips_raw", r.num_output_rows, r.seconds, r.observed["metrics"])
         if bronze.version() is None:  # nothing has ever landed
             return
-        r = ingest.silver_into(s, schema, t, bronze, silver, silver_checkpoint, as_of)
+        r = ingest.silver_into(s, silver_schema(), t, bronze, silver, silver_checkpoint, as_of)
         rec.flow(f"silver.{t}_trips", r.num_output_rows, r.seconds, r.observed.get("metrics"),
                  extra_metrics={"num_rows_dropped_by_watermark": r.dropped_by_watermark,
                                 "num_dropped_duplicate_rows": r.dropped_duplicates})
 
     with recorded_failure(spark, paths, rec):
         _zone_flows(spark, zones_raw, paths, as_of, rec)
-        # all raw columns are kept, and columns that are new in the landing files are added
-        schemas.update({t: evolve_stream_schema(spark, landing[t], os.path.join(ck, f"schema_{t}"), RAW_SCHEMAS[t])
-                        for t in config.TAXI_TYPES})
         _run_all(rec.guard(run, "silver.{}_trips"), config.TAXI_TYPES, concurrent=True)
-        qraw = {t: read_stream(spark, landing[t], schemas[t], max_files_per_trigger=max_files_per_trigger)
-                for t in config.TAXI_TYPES}
-        for t, r in ingest.quarantine_into(qraw, quarantine_flow_tables(spark, paths), ck, as_of).items():
+        for t, r in ingest.quarantine_into(spark, landing, RAW_SCHEMAS, quarantine_flow_tables(spark, paths), ck, as_of,
+                                           max_files_per_trigger).items():
             rec.flow(f"silver.quarantine_{t}", r.num_output_rows, r.seconds)
         _gold_and_audit(spark, paths, rec, as_of)
     return current_paths(spark, root)

@@ -139,165 +139,111 @@ def union_evolving(frames: list[DataFrame]) -> DataFrame:
 # --------------------------------------------------------------------------- rescued data
 
 
-def rescue(df_text: DataFrame, schema) -> DataFrame:
-    """Type a text frame against ``schema`` without losing values.
-
-    Each declared column is ``try_cast``; a non-NULL raw value whose cast is
-    NULL, and every column not in the schema, is kept in ``_rescued_data``
-    as a JSON object ``{column: raw text}`` (NULL when nothing was rescued).
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_NUMBERS = (*_WHOLE, T.FloatType, T.DoubleType, T.DecimalType)
+_TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
+
+
+def _fitted(raw: Column, source: T.DataType, target: T.DataType) -> tuple[Column, Column]:
+    """A raw value as ``target``, and whether it does not fit: then the first is NULL.
+    Text fits if it parses, a number if nothing of it is lost; a number is no time."""
+    if source == target or isinstance(target, T.StringType):
+        return raw.cast(target), F.lit(False)
+    known = isinstance(source, T.StringType) or any(isinstance(source, k) and isinstance(target, k) for k in (_NUMBERS, _TIMES))
+    if not known:
+        return F.lit(None).cast(target), raw.isNotNull()
+    cast = raw.try_cast(target)
+    if isinstance(source, _NUMBERS):
+        # Back again through the wider of both sides: 1.5 is no BIGINT, 2^53 + 1 no DOUBLE.
+        wide = "decimal(38,9)" if isinstance(source, _WHOLE) or isinstance(target, _WHOLE) else "double"
+        odd = F.isnan(raw.cast("double")) | (F.abs(raw.cast("double")) == float("inf"))
+        same = cast.try_cast(wide) == raw.try_cast(wide)
+        if isinstance(target, (T.FloatType, T.DoubleType)) and not isinstance(source, _WHOLE):
+            same = same | odd  # NaN and infinity are floating-point values like others
+        cast = F.when(F.coalesce(same, F.lit(False)), cast)
+    return cast, raw.isNotNull() & cast.isNull()
+
+
+def rescue(df: DataFrame, schema) -> DataFrame:
+    """Type a frame (text, or of types that drifted) against ``schema`` without losing values.
+
+    A non-NULL raw value that its declared type cannot hold becomes NULL there and, like
+    every column not in the schema, is kept in ``_rescued_data`` as a JSON object
+    ``{column: raw text}`` (NULL when nothing was rescued).
     """
     schema = schema_of(schema)
     declared = {f.name.lower(): f for f in schema.fields}
-    lower = {c.lower(): c for c in df_text.columns}
+    source = {f.name.lower(): f for f in df.schema.fields}
     typed: list[Column] = []
     bad: list[tuple[str, Column]] = []
     for f in schema.fields:
-        src = lower.get(f.name.lower())
+        src = source.get(f.name.lower())
         if src is None:
             typed.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
-        raw = F.col(src).cast("string")
-        cast = F.col(src).try_cast(f.dataType)
-        typed.append(cast.alias(f.name))
-        bad.append((src, raw.isNotNull() & cast.isNull()))
-    for c in df_text.columns:
-        if c.lower() not in declared:
-            bad.append((c, F.col(c).isNotNull()))
+        value, misfit = _fitted(F.col(f"`{src.name}`"), src.dataType, f.dataType)
+        typed.append(value.alias(f.name))
+        if src.dataType != f.dataType:
+            bad.append((src.name, misfit))
+    bad += [(f.name, F.col(f"`{f.name}`").isNotNull()) for f in df.schema.fields if f.name.lower() not in declared]
     if not bad:
-        return df_text.select(*typed, F.lit(None).cast("string").alias("_rescued_data"))
+        return df.select(*typed, F.lit(None).cast("string").alias("_rescued_data"))
     any_bad = reduce(lambda a, b: a | b, [b for _, b in bad])
-    payload = F.to_json(F.struct(*[F.when(b, F.col(c).cast("string")).alias(c) for c, b in bad]))
-    return df_text.select(*typed, F.when(any_bad, payload).alias("_rescued_data"))
-
-
-def read_parquet_rescued(spark: SparkSession, path: str, schema, batch_rows: int = 65536,
-                         tasks: int | None = None) -> DataFrame:
-    """Read parquet files whose column types drifted from ``schema`` without
-    failing and without losing values (``_rescued_data``).
-
-    Spark's vectorized reader rejects a file whose footer type differs from
-    the declared one, so the files are read with pyarrow inside tasks, in two
-    stages: (1) files listed by Spark's ``binaryFile`` source (no content
-    read) are expanded into their row groups from the footers; (2) row groups
-    are spread over ``tasks`` partitions (default: twice the default
-    parallelism; explicit because AQE would coalesce this tiny shuffle into
-    one partition) and each task reads, casts and rescues its row groups
-    batch by batch. A single huge file is thus read by many tasks. Use it for
-    landing zones that need rescue; typed, conforming tables go through
-    ``spark.read.parquet``.
-    """
-    schema = schema_of(schema)
-    fields = [(f.name, f.dataType.simpleString()) for f in schema.fields]
-    out_schema = T.StructType(list(schema.fields) + [T.StructField("_rescued_data", T.StringType())])
+    payload = F.to_json(F.struct(*[F.when(b, F.col(f"`{c}`").cast("string")).alias(c) for c, b in bad]))
+    return df.select(*typed, F.when(any_bad, payload).alias("_rescued_data"))
+
+
+def schema_groups(spark: SparkSession, files: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files that can be read together, with their merged schema: all of them where their
+    types agree (one Spark job over the footers), else each half's groups, and so on."""
+    if not files:
+        return []
+    try:
+        return [(spark.read.option("mergeSchema", True).parquet(*files).schema, files)]
+    except Exception as e:  # noqa: BLE001 - only the merge's own failure means two groups
+        if len(files) == 1 or not any(x in str(e) for x in ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE", "Failed merging schema")):
+            raise
+    half = len(files) // 2
+    merged: list[tuple[T.StructType, list[str]]] = []
+    for schema, some in schema_groups(spark, files[:half]) + schema_groups(spark, files[half:]):
+        kinds = {f.name.lower(): f.dataType for f in schema.fields}
+        for i, (known, others) in enumerate(merged):
+            if all(kinds.get(f.name.lower(), f.dataType) == f.dataType for f in known.fields):
+                merged[i] = (merge_schema(known, schema), others + some)
+                break
+        else:
+            merged.append((schema, some))
+    return merged
+
+
+def landed_files(spark: SparkSession, path: str) -> list[str]:
+    """The parquet files below a folder (their names alone are read)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", "*.parquet").load(path).select("path"))
+    return sorted(r.path for r in files.collect())
+
+
+def read_landed(spark: SparkSession, files: list[str], schema) -> DataFrame:
+    """Landing files whose columns may have drifted, as ``schema``, the columns that some of
+    them have beyond it, and ``_rescued_data``. Each group of files of agreeing types is a
+    scan of its own types, so that no value is lost to a wrong reading."""
+    groups = schema_groups(spark, files)
+    known = reduce(merge_schema, [g for g, _ in groups], schema_of(schema))
+    frames = [rescue(spark.read.schema(g).parquet(*some), known) for g, some in groups]
+    return union_evolving(frames) if frames else spark.createDataFrame([], merge_schema(known, "_rescued_data STRING"))
+
+
+def stream_landed(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The names of landing files, each once, as a stream: what a micro-batch is to read."""
+    r = (spark.readStream.format("binaryFile").schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
+         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet"))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.load(path).select("path")
+
 
-    def row_groups(batches):
-        import pandas as pd
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-        for pdf in batches:
-            paths, groups = [], []
-            for p in pdf["path"]:
-                fs, local = pafs.FileSystem.from_uri(p)
-                n = pq.ParquetFile(local, filesystem=fs).metadata.num_row_groups
-                paths += [p] * n
-                groups += list(range(n))
-            if paths:  # an empty object column would not convert to Arrow
-                yield pd.DataFrame({"path": pd.Series(paths, dtype="object"),
-                                    "row_group": pd.Series(groups, dtype="int32")})
-
-    n_tasks = tasks or 2 * spark.sparkContext.defaultParallelism
-    units = files.mapInPandas(row_groups, "path STRING, row_group INT").repartition(n_tasks, "path", "row_group")
-
-    # Everything the tasks run is nested here, so it is shipped by value:
-    # executors need pandas and pyarrow, not this package.
-    def read(batches):
-        import json
-
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-
-        def type_and_rescue(rb):
-            """One record batch as pandas: each declared column cast (NULL where a
-            non-NULL value does not fit exactly), and the misfits, plus columns not
-            declared, as a JSON object per row."""
-            import math
-            import re
-
-            import numpy as np
-            import pandas as pd
-            import pyarrow as pa
-
-            bits = {"bigint": 64, "int": 32, "smallint": 16, "tinyint": 8}
-
-            def whole(v, typ):
-                if isinstance(v, str):
-                    v = v.strip()
-                    v = int(v) if re.fullmatch(r"[+-]?[0-9]{1,30}", v) else float(v)
-                n = int(v)  # of NaN and infinity: an error, which is a misfit
-                return n if n == v and -(1 << bits[typ] - 1) <= n < 1 << bits[typ] - 1 else None
-
-            def fraction(v, typ):
-                text = isinstance(v, str)
-                x = float(v)
-                if typ == "float":
-                    small = float(np.float32(x))
-                    x = small if text or small == x or math.isnan(x) else None
-                # Digits that a whole number loses are a misfit.
-                return x if x is None or text or math.isnan(x) or x == v else None
-
-            def column(typ, arr):
-                """The typed column, and which of its values don't fit."""
-                known = np.asarray(arr.is_valid())
-                none = np.zeros(len(arr), bool)
-                if typ in bits and pa.types.is_signed_integer(arr.type) and arr.type.bit_width <= bits[typ]:
-                    return pd.Series(arr.cast(pa.int64()).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)), none
-                if typ == "double" and pa.types.is_floating(arr.type) or typ == "float" and arr.type == pa.float32():
-                    return pd.Series(arr.to_pylist(), dtype="object"), none
-                if typ.startswith("timestamp"):
-                    dated = pa.types.is_timestamp(arr.type) or pa.types.is_date(arr.type)
-                    readable = dated or pa.types.is_string(arr.type) or pa.types.is_large_string(arr.type)
-                    # Numbers have no stated unit: all misfits.
-                    typed = pd.to_datetime(arr.to_pandas() if readable else pd.Series([None] * len(arr)), errors="coerce")
-                    return typed, known & np.asarray(typed.isna())
-                values = arr.to_pylist()
-                if typ in bits or typ in ("double", "float"):
-                    out = []
-                    for v in values:
-                        try:
-                            out.append(None if v is None else (whole if typ in bits else fraction)(v, typ))
-                        except (ValueError, TypeError, OverflowError):
-                            out.append(None)
-                    return pd.Series(out, dtype="object"), known & np.array([v is None for v in out], bool)
-                return pd.Series([None if v is None else str(v) for v in values], dtype="object"), none
-
-            source = {c.lower(): i for i, c in enumerate(rb.schema.names)}
-            declared = {n.lower() for n, _ in fields}
-            out, bad_cols = {}, []
-            for name, typ in fields:
-                at = source.get(name.lower())
-                if at is None:
-                    out[name] = pd.Series([None] * rb.num_rows, dtype="object")
-                    continue
-                out[name], bad = column(typ, rb.column(at))
-                bad_cols.append((at, bad))
-            bad_cols += [(i, np.asarray(rb.column(i).is_valid())) for i, c in enumerate(rb.schema.names) if c.lower() not in declared]
-            frame = pd.DataFrame(out)
-            rescued = [None] * rb.num_rows
-            if bad_cols:
-                for i in np.flatnonzero(np.any([m for _, m in bad_cols], axis=0)).tolist():
-                    rescued[i] = json.dumps({rb.schema.names[c]: str(rb.column(c)[i].as_py()) for c, m in bad_cols if m[i]},
-                                            separators=(",", ":"))
-            frame["_rescued_data"] = rescued
-            return frame
-
-        for pdf in batches:
-            for p, g in zip(pdf["path"], pdf["row_group"]):
-                fs, local = pafs.FileSystem.from_uri(p)
-                for rb in pq.ParquetFile(local, filesystem=fs).iter_batches(batch_size=batch_rows,
-                                                                            row_groups=[int(g)]):
-                    if rb.num_rows:
-                        yield type_and_rescue(rb)
-
-    return units.mapInPandas(read, out_schema)
+def read_parquet_rescued(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Parquet files whose column types drifted from ``schema``, without failing and without
+    losing values; columns beyond ``schema`` go to ``_rescued_data`` too."""
+    frames = [rescue(spark.read.schema(g).parquet(*some), schema) for g, some in schema_groups(spark, landed_files(spark, path))]
+    return union_evolving(frames) if frames else spark.createDataFrame([], merge_schema(schema, "_rescued_data STRING"))

@@ -10,6 +10,7 @@ checkpoint with exactly-once file sinks. Rule counts are collected through
 
 from __future__ import annotations
 
+import json
 import os
 import threading
 import time
@@ -18,6 +19,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tripflow import config
@@ -28,6 +30,7 @@ from tripflow.operators.quality import KEPT, apply_rules, committed_metrics, fla
 from tripflow.operators.quarantine import quarantine_trips
 from tripflow.operators.tables import Table, Written
 from tripflow.plans.medallion import bronze
+from tripflow.sources.files import read_landed, schema_of, stream_landed
 
 Write = Callable[[DataFrame, str], None]
 _SEED = "_tripflow_seed"
@@ -145,12 +148,13 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str, name: str,
     return finish(q, sink, name, t0, observe_name, timeout_s)
 
 
-def start_into(df: DataFrame, table: Table, write: Write, checkpoint: str, name: str,
-               kept: str | None = None) -> tuple[StreamingQuery, list[Written]]:
-    """Start appending ``df`` to a published table, a part per micro-batch (a batch that is
-    run again is written once); the list fills with what each has committed."""
+def start_into(df: DataFrame, table: Table, write: Write, checkpoint: str, name: str, kept: str | None = None,
+               made: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> tuple[StreamingQuery, list[Written]]:
+    """Start appending ``df`` (what ``made`` makes of a micro-batch) to a published table, a
+    part per micro-batch (a batch that is run again is written once); the list fills with
+    what each has committed."""
     done: list[Written] = []
-    w = (df.writeStream.foreachBatch(lambda batch, i: done.append(table.append(batch, i, write, kept)))
+    w = (df.writeStream.foreachBatch(lambda batch, i: done.append(table.append(made(batch), i, write, kept)))
          .option("checkpointLocation", checkpoint).queryName(name).trigger(availableNow=True))
     return _started(df.sparkSession, w.start), done
 
@@ -164,11 +168,27 @@ def finish_into(q: StreamingQuery, done: list[Written], table: Table, name: str,
     return res
 
 
-def bronze_into(raw_stream: DataFrame, taxi_type: str, table: Table, checkpoint: str) -> FlowResult:
-    """Raw file stream -> published bronze table, each micro-batch sorted by pickup time."""
+def _landed(spark: SparkSession, schema) -> Callable[[DataFrame], DataFrame]:
+    """The rows of a micro-batch of file names, with what drifted rescued."""
+    return lambda batch: read_landed(spark, [r.path for r in batch.collect()], schema)  # names of new files only
+
+
+def bronze_schema(table: Table, initial) -> T.StructType:
+    """The raw columns that a bronze table has so far."""
+    v = table.version()
+    known = T.StructType.fromJson(json.loads(v.schema)) if v and v.schema else schema_of(initial)
+    return T.StructType([f for f in known.fields if f.name != "_rescued_data"])
+
+
+def bronze_into(spark: SparkSession, landing: str, taxi_type: str, table: Table, checkpoint: str, schema,
+                max_files_per_trigger: int | None = None) -> FlowResult:
+    """New landing files -> published bronze table, each micro-batch sorted by pickup time.
+    Only new files' footers are read: columns that they add are added, values that don't
+    fit their declared types are rescued."""
     t0, name = time.time(), f"bronze_{taxi_type}"
-    q, done = start_into(bronze(raw_stream), table, lambda b, path: b.sortWithinPartitions(config.BRONZE_CLUSTER[taxi_type])
-                         .write.mode("overwrite").parquet(path), checkpoint, name)
+    write = lambda b, path: b.sortWithinPartitions(config.BRONZE_CLUSTER[taxi_type]).write.mode("overwrite").parquet(path)
+    made = lambda batch: _landed(spark, bronze_schema(table, schema))(batch)  # noqa: E731 - the schema of that moment
+    q, done = start_into(stream_landed(spark, landing, max_files_per_trigger), table, write, checkpoint, name, made=made)
     return finish_into(q, done, table, name, t0, bronze_rules(taxi_type))
 
 
@@ -203,14 +223,17 @@ def silver_into(spark: SparkSession, schema, taxi_type: str, bronze_table: Table
     return finish_into(q, done, table, name, t0, RULES[taxi_type])
 
 
-def quarantine_into(raw_streams: dict[str, DataFrame], tables: dict[str, Table], checkpoint_root: str,
-                    as_of=None) -> dict[str, FlowResult]:
-    """The four quarantine flows, each into its published table, concurrently."""
+def quarantine_into(spark: SparkSession, landing: dict[str, str], schemas: dict, tables: dict[str, Table], checkpoint_root: str,
+                    as_of=None, max_files_per_trigger: int | None = None) -> dict[str, FlowResult]:
+    """The four quarantine flows, each from its raw files into its published table, concurrently."""
     t0, started = time.time(), {}
-    for t, raw in raw_streams.items():
-        df = quarantine_trips(conform_for_quarantine(raw, t), t, as_of)
-        started[t] = start_into(df, tables[t], lambda b, path: b.write.mode("overwrite").parquet(path),
-                                os.path.join(checkpoint_root, f"quarantine_{t}"), f"quarantine_{t}")
+    for t, path in landing.items():
+        def made(batch: DataFrame, t: str = t) -> DataFrame:
+            return quarantine_trips(conform_for_quarantine(_landed(spark, schemas[t])(batch), t), t, as_of)
+
+        started[t] = start_into(stream_landed(spark, path, max_files_per_trigger), tables[t],
+                                lambda b, path: b.write.mode("overwrite").parquet(path),
+                                os.path.join(checkpoint_root, f"quarantine_{t}"), f"quarantine_{t}", made=made)
     results = {}
     for t, (q, done) in started.items():
         results[t] = finish_into(q, done, tables[t], f"quarantine_{t}", t0)
