@@ -1,13 +1,15 @@
 """Token ids of whole texts, by the ``tokenizers`` library.
 
-The vocabulary's pre-tokenizer never joins anything across a space or a line
-break, so a text's ids are the ids of its space-separated chunks, one after the
-other. Chunks repeat far more often than texts: each worker keeps the ids of
-the chunks it has met, in a memo that is emptied when it is full.
+Where a tokenizer's file says that it lower-cases, drops white space and marks the
+ends of words (``_by_chunk``), a text's ids are the ids of its space-separated chunks, one
+after the other. Chunks repeat far more often than texts: each worker keeps the ids of
+the chunks it has met, in a memo that is emptied when it is full, and learns new words many
+at a time. Of any other tokenizer whole texts are encoded, one by one.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 
@@ -16,6 +18,9 @@ import numpy as np
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 _STOPS = frozenset(".,!?;:")
+#: Letters up to here, whose lower case is letters too, are one word wherever they stand.
+_LATIN_END = "ɐ"
+_JOINED = 64
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -23,6 +28,20 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _by_chunk(path: str) -> bool:
+    """Whether nothing is joined across a space, case is dropped, a run of letters is one
+    word, a stop after it none of its letters, and ids tell where words end."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+    splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    first = splits[0] if splits else {}
+    pattern = (first.get("pattern") or {}).get("Regex", "")
+    by_words = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and \
+        r"|[\p{L}]+|" in pattern and pattern.endswith(r"[^\s\p{L}\p{N}]+")
+    return bool(steps == ["NFC", "Replace", "Lowercase"] and by_words and spec["model"].get("end_of_word_suffix") == "</w>")
+
+
 class Encoder:
     """Texts to arrays of ids, the end id last. Null is the empty text."""
 
@@ -35,36 +54,75 @@ class Encoder:
         size = self._tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")  # the narrowest that holds every id
         self._end = np.array([end_id], self.dtype).tobytes()
+        self._chunks = _by_chunk(path)
+        if self._chunks:
+            self._ends = np.zeros(size, bool)
+            self._ends[[i for token, i in self._tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self._memo: dict[str, bytes] = {}
         self._chars, self._most = 0, memo_chars
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned integers of ``dtype``."""
+        if not self._chunks:
+            return [np.array(e.ids, self.dtype).tobytes() + self._end
+                    for e in self._tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = {chunk: _parts(chunk) for chunk in set().union(*split).difference(self._memo)}
-        self._learn(list({part for parts in new.values() for part in parts}.difference(self._memo)))
-        for chunk, (stem, tail) in new.items():
-            self._memo[chunk] = self._memo[stem] + self._memo[tail]
+        memo = self._memo
+        new = set().union(*split).difference(memo)
+        parts = list(map(_parts, new))
+        self._learn({part for pair in parts for part in pair if part not in memo})
+        for chunk, (stem, tail) in zip(new, parts):
+            memo[chunk] = memo[stem] + memo[tail]
         self._chars += sum(map(len, new))
-        ids = [b"".join(map(self._memo.__getitem__, chunks)) + self._end for chunks in split]
+        ids = [b"".join(map(memo.__getitem__, chunks)) + self._end for chunks in split]
         if self._chars > self._most:
-            self._memo.clear()
+            memo.clear()
             self._chars = 0
         return ids
 
-    def _learn(self, chunks: list[str]) -> None:
-        for at in range(0, len(chunks), 4096):
-            some = chunks[at:at + 4096]
-            for chunk, e in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self._memo[chunk] = np.array(e.ids, self.dtype).tobytes()
-        self._chars += sum(map(len, chunks))
+    def _learn(self, parts: set[str]) -> None:
+        words, others = [], []
+        for p in parts:
+            (words if p.isalpha() and p.isascii() else others).append(p)
+        for at in range(0, len(words), 64 * _JOINED):
+            self._learn_words(words[at:at + 64 * _JOINED])
+        self._learn_each(others)
+        self._chars += sum(map(len, parts))
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words of lower-case letters, joined by spaces: each ends with the one id that ends a word."""
+        width = self.dtype.itemsize
+        groups = [words[i:i + _JOINED] for i in range(0, len(words), _JOINED)]
+        for group, e in zip(groups, self._tokenizer.encode_batch_fast(list(map(" ".join, groups)), add_special_tokens=False)):
+            ids = np.array(e.ids, self.dtype)
+            ends = (np.flatnonzero(self._ends[ids]) + 1) * width
+            if len(ends) != len(group):
+                self._learn_each(group)
+                continue
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(group, ends.tolist()):
+                self._memo[word] = raw[start:end]
+                start = end
+
+    def _learn_each(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), 4096):
+            some = parts[at:at + 4096]
+            for part, e in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self._memo[part] = np.array(e.ids, self.dtype).tobytes()
 
 
 def _parts(chunk: str) -> tuple[str, str]:
-    """A chunk as two with the same ids: a stop after a word is a token of its
-    own, and the vocabulary is lower case."""
-    stem, tail = (chunk[:-1], chunk[-1]) if chunk[-1:] in _STOPS and chunk[:-1].isalpha() else (chunk, "")
-    return (stem.lower() if stem.isascii() and stem.isalpha() else stem), tail
+    """A chunk as two with the same ids: a stop after a word is a token of its own, and
+    the vocabulary is lower case. Not where lower-casing leaves more than letters (a
+    capital I with a dot becomes a letter and a mark, which would join the stop)."""
+    if chunk[-1:] in _STOPS:
+        stem = chunk[:-1]
+        if stem.isalpha() and (stem.isascii() or max(stem) < _LATIN_END):
+            low = stem.lower()
+            if low.isalpha():
+                return low, chunk[-1]
+        return chunk, ""
+    return (chunk.lower() if chunk.isascii() and chunk.isalpha() else chunk), ""
 
 
 @lru_cache(maxsize=1)
