@@ -51,9 +51,10 @@ def encode(docs: DataFrame, tokenizer: str | None = None, end_id: int = tokens.E
     return staged(rows, "packing")
 
 
-def cut(encoded: DataFrame, size: int = SIZE, width: int = 2) -> DataFrame:
+def cut(encoded: DataFrame, size: int = SIZE, width: int = 2, ids_too: bool = True) -> DataFrame:
     """The second pass: boundary records. ``pad`` is what the piece's sequence
-    lacks to ``size`` (none where its length is a power of two)."""
+    lacks to ``size`` (none where its length is a power of two). Without ``ids_too`` the
+    records have null ids: who only wants the records spares the ids' way out of Python."""
     totals = encoded.groupBy("part").agg(F.sum("n").alias("total"))
     # One row per task of the first pass: bounded by the number of its tasks.
     bases = prefix_sums(totals, "part", "total", "base").select("part", "base")
@@ -79,15 +80,16 @@ def cut(encoded: DataFrame, size: int = SIZE, width: int = 2) -> DataFrame:
                 "doc_id": b.column(0).take(pa.array(row)), "start": start - at[row], "length": end - start,
                 "ids_crc32": pa.array(crc, pa.int64()), "doc_tokens": n[row], "sequence_id": seq,
                 "offset": start - seq * size, "pad": np.where(held & (held - 1), size - held, 0),
-                "ids": pa.array([bytes(x) for x in raw], pa.binary())})
+                "ids": pa.array([bytes(x) for x in raw], pa.binary()) if ids_too else pa.nulls(len(raw), pa.binary())})
 
     return placed.mapInArrow(run, PIECES)
 
 
-def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, end_id: int = tokens.END_ID) -> DataFrame:
+def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, end_id: int = tokens.END_ID,
+         ids_too: bool = True) -> DataFrame:
     """Boundary records of ``docs`` with the ids of each piece."""
     tokenizer = tokenizer or tokens.tokenizer_path()
-    return cut(encode(docs, tokenizer, end_id), size, tokens.encoder(tokenizer, end_id).dtype.itemsize)
+    return cut(encode(docs, tokenizer, end_id), size, tokens.encoder(tokenizer, end_id).dtype.itemsize, ids_too)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
@@ -101,4 +103,4 @@ def sequences(pieces: DataFrame) -> DataFrame:
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` packed into sequences of 2048 ids."""
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("ids")
+    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), ids_too=False).drop("ids")
