@@ -45,7 +45,7 @@ def _by_chunk(path: str) -> bool:
 class Encoder:
     """Texts to arrays of ids, the end id last. Null is the empty text."""
 
-    def __init__(self, path: str, end_id: int = END_ID, memo_chars: int = 12_000_000):
+    def __init__(self, path: str, end_id: int = END_ID, memo_chars: int = 16_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
