@@ -113,6 +113,7 @@ class Lattice:
         self.roots, self.root_ends = array("i"), array("i", [0])
         self.starts = array("i", [0])
         self.piece, self.target, self.upto, self.logp = array("i"), array("i"), array("f"), array("f")
+        self.others = array("f")  # log of the mass of the node's other edges
 
     def tidy(self) -> None:
         if len(self.piece) > self.most:
@@ -185,6 +186,12 @@ class Lattice:
         p = np.exp(logp)
         first = np.flatnonzero(np.r_[True, source[1:] != source[:-1]])
         count = np.diff(np.r_[first, len(source)])
+        others = 1.0 - p  # exact enough but for the likeliest, whose others are added up
+        beside = p.copy()
+        beside[first] = 0.0
+        others[first] = np.add.reduceat(beside, first)
+        with np.errstate(divide="ignore"):
+            others = np.log(others)
         total = np.cumsum(p)
         upto = total - np.repeat(total[first] - p[first], count)
         upto[first + count - 1] = 2.0  # the last one takes what rounding leaves
@@ -193,6 +200,7 @@ class Lattice:
         tail = np.array([(c[0], -1 if c[1] == end[c[2]] else c[1]) for c in chain], np.int64).reshape(-1, 2)
         for own, value, kind in ((self.piece, np.r_[piece, tail[:, 0]], "i4"), (self.target, move(np.r_[target, tail[:, 1]]), "i4"),
                                  (self.upto, np.r_[upto, np.full(len(chain), 2.0)], "f4"), (self.logp, np.r_[logp, np.zeros(len(chain))], "f4"),
+                                 (self.others, np.r_[others, np.full(len(chain), -inf)], "f4"),
                                  (self.starts, ends + np.cumsum(np.r_[count, np.ones(len(chain), np.int64)]), "i4")):
             own.frombytes(value.astype(kind).tobytes())
         self.units.update(zip(units, (base + np.cumsum(size) - size).tolist()))
@@ -279,19 +287,11 @@ class _Search:
         wanted = self.k + 1 - len(self.paths)
         if wanted < 1:
             return
-        left = -np.expm1(logp[since:])
-        # Next to nothing left: nodes with a single edge, or others whose probabilities are added up.
-        low = np.flatnonzero(left <= 1e-6)
-        left[low] = 0.0
-        node = np.searchsorted(self.t["starts"], edges[since:][low], "right") - 1
-        first, last = self.t["starts"][node], self.t["starts"][node + 1]
-        for i in np.flatnonzero(last - first > 1).tolist():
-            own = np.arange(first[i], last[i])
-            left[low[i]] = np.exp(self.t["logp"][own[own != edges[since + low[i]]]].astype(float)).sum()
-        some = np.flatnonzero(left > 0)
+        left = self.t["others"][edges[since:]]
+        some = np.flatnonzero(left > -inf)
         if not len(some):
             return
-        place = before[since:][some] + np.log(left[some])
+        place = before[since:][some] + left[some]
         h = mix(np.uint64(self.seed) ^ mix(np.arange(since, since + len(left), dtype=np.uint64)[some] * _UNIT
                                            + np.array([len(self.paths)], np.uint64)))
         value = _truncated(place, top, -np.log(_uniform(h)))
@@ -332,7 +332,8 @@ def sample_texts(texts: list[str | None], seeds: np.ndarray, own: Lattice, k: in
     numbers = [np.fromiter(map(own.chunks.__getitem__, c), np.int64, len(c)) for c in chunks]
     view = lambda a, kind: np.frombuffer(a, kind) if len(a) else np.empty(0, kind)
     t = {"starts": view(own.starts, np.int32), "target": view(own.target, np.int32), "piece": view(own.piece, np.int32),
-         "upto": view(own.upto, np.float32), "logp": view(own.logp, np.float32)}
+         "upto": view(own.upto, np.float32), "logp": view(own.logp, np.float32),
+         "others": view(own.others, np.float32)}
     ends, all_roots = view(own.root_ends, np.int32).astype(np.int64), view(own.roots, np.int32)
     searches = []
     for n, seed in zip(numbers, seeds):
