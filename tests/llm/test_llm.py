@@ -17,7 +17,7 @@ import corpus_pipeline
 from llm import brute
 from tripflow.llm import common, language_model, minhash, neighbours, packing, pii, quality, secret_scan, segmentation, sharding, token_files, tokens
 from tripflow.llm.components import components
-from tripflow.llm.embedding_dedup import deduplicate
+from tripflow.llm.embedding_dedup import codewords, decode, deduplicate
 from tripflow.session import work_path
 
 SF = "/root/testdata/sf0.001"
@@ -49,7 +49,7 @@ def frame(spark, rows, schema="doc_id long, text string"):
 
 def clashing(df):
     """Columns of the names that the operators use for results and inside."""
-    names = "key found kept class_id threshold shard slot _key _row _class n_links part ids cid n_symbols label source".split()
+    names = "row id vector first component others _own _label _vector key found kept class_id threshold shard slot _key _row _class n_links part ids cid n_symbols label source".split()
     return df.select("*", *[F.lit(i).alias(n) for i, n in enumerate(names) if n not in df.columns])
 
 
@@ -313,6 +313,20 @@ def test_op8_against_brute_force(spark, chunk):
         assert (r.n_links, r.component_id, r.kept) == (n[r.vec_id], want[r.vec_id], r.vec_id == want[r.vec_id])
 
 
+def test_caps_of_vectors_at_the_threshold_meet():
+    rng, codes = np.random.default_rng(1), codewords(64, 895)
+    x, g = rng.standard_normal((2, 5000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    g -= (g * x).sum(1, keepdims=True) * x
+    g /= np.linalg.norm(g, axis=1, keepdims=True)
+    own, other = decode(x, codes, 24), decode(0.98 * x + math.sqrt(1 - 0.98 ** 2) * g, codes, 24)
+    assert all(len(set(a.tolist()) & set(b.tolist())) for a, b in zip(own, other))
+    assert 23 < np.mean([len(c) for c in own]) < 28
+    n, plain = len(codes[1]), (x[:50, :32] @ codes[0].T)[:, :, None] + (x[:50, 32:] @ codes[1].T)[:, None, :]
+    for c, sums in zip(own, plain.reshape(50, -1)):  # all directions down to the height, and no other
+        assert set(np.argsort(-sums)[:len(c)].tolist()) == set(c.tolist()) and n ** 2 == sums.size
+
+
 def test_op8_on_the_table_and_empty(spark):
     from oracle_compare import compare, duck
     sql = entry.oracle_sql()["op8_cap_filters"]

@@ -2,24 +2,30 @@
 
 Filter directions form a structured random product code: a vector is cut into two
 halves, each half has its own random unit codewords, and every pair of codewords is
-a direction. List decoding sorts the halves' inner products and walks only the
-pairs whose sum reaches the cap's height, so a vector finds all its caps among
-``words ** 2`` directions without looking at the rest. A vector's height is
-``alpha`` (about ``caps`` directions exceed it), or ``slack`` below its best
-direction where that is lower, so that no vector is without caps. Vectors of a
-label that share a cap meet and are verified by cosine in double precision.
+a direction. List decoding walks only the pairs of codewords whose sum of inner
+products reaches the cap's height, so a vector finds all its caps among
+``words ** 2`` directions without looking at the rest. The height is ``alpha``, which
+random vectors exceed for ``DENSE`` directions on average; a vector that exceeds it for
+fewer than ``caps`` has its own height lowered to its ``caps``-th best direction. So all
+directions beyond a vector's height are its caps, and there are at least ``caps``. Of 20,000 random
+pairs at a cosine of exactly 0.98 in 64 dimensions, with codewords for 50,000 classes, all share a cap
+at 24 caps, all but 2 at 16 and all but 14 at 12; with codewords for a million classes all of 5,000 at 24.
+Vectors of a label that share a cap meet and are verified by cosine in double precision.
 
 Equal vectors of a label are one class: classes meet, and their sizes count. A
-pair that shares several caps is counted in the first of them. Buckets beyond
+pair that shares several caps is counted in the first of them. Only (bucket, class) is
+shuffled to find the buckets that hold several classes; vectors follow into these alone.
+Directions are ``SPREAD`` times the classes, so that unlike vectors rarely meet (up to
+``MOST`` codewords a half, 67 million classes; beyond, buckets grow, none is lost). Buckets beyond
 ``CHUNK`` classes are cut into chunks, and each pair of chunks meets in a task of
 its own. A bucket yields one row per linked class (its partners' number, and a
-root to which it is tied), not its pairs. Code words grow with the square
-root of the number of classes, which keeps the buckets as small as they are.
+root to which it is tied), not its pairs.
 
 Vectors that are null, zero or hold null or non-finite components, vectors without
 label or ``vec_id``, and vectors of different lengths link with nothing; rows of
 the first kinds are returned with no links, as their own component. Repeated rows
-count as vectors of their own.
+count as vectors of their own. An empty table gives none. Rows travel inside a struct, so
+further columns of any name pass; ``n_links``, ``component_id`` and ``kept`` are replaced.
 """
 
 from __future__ import annotations
@@ -31,14 +37,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField, StructType
 
-from tripflow.llm.common import groups, shuffle_partitions, staged
+from tripflow.llm.common import shuffle_partitions, staged
 from tripflow.llm.components import components
-from tripflow.llm.vectors import doubles, matrix, usable
+from tripflow.llm.vectors import usable
 
 COSINE = 0.98
 CHUNK = 2000
 SEED = 20
+DENSE, SPREAD, MOST = 4, 16, 1 << 15
 
 
 def codewords(dims: int, words: int, seed: int = SEED) -> list[np.ndarray]:
@@ -51,26 +59,32 @@ def codewords(dims: int, words: int, seed: int = SEED) -> list[np.ndarray]:
     return out
 
 
-def decode(vectors: np.ndarray, codes: list[np.ndarray], caps: int, slack: float) -> list[np.ndarray]:
+def decode(vectors: np.ndarray, codes: list[np.ndarray], caps: int) -> list[np.ndarray]:
     """The directions whose caps hold each unit vector, as numbers of codeword pairs."""
     first, second = codes
     n, dims = len(second), vectors.shape[1]
-    share = min(0.5, caps / (len(first) * n))
-    alpha = NormalDist().inv_cdf(1 - share) / np.sqrt(dims)
+    least = min(caps, len(first) * n)
+    alpha = NormalDist().inv_cdf(1 - min(0.5, DENSE / (len(first) * n))) / np.sqrt(dims)
     a, b = vectors[:, :first.shape[1]] @ first.T, vectors[:, first.shape[1]:] @ second.T
-    by_a, by_b = np.argsort(-a, 1), np.argsort(-b, 1)
+    best = [-np.sort(np.partition(-x, min(least, x.shape[1]) - 1, 1)[:, :least], 1) for x in (a, b)]
+    # The c best sums are among those of the i-th and the j-th best with i * j <= c.
+    i, j = np.array([(i, j) for i in range(best[0].shape[1]) for j in range(best[1].shape[1]) if (i + 1) * (j + 1) <= least]).T
+    low = -np.partition(-(best[0][:, i] + best[1][:, j]), least - 1, 1)[:, least - 1]
     out = []
-    for i in range(len(vectors)):
-        x, y = a[i, by_a[i]], b[i, by_b[i]]
-        height = min(alpha, x[0] + y[0] - slack)
-        reach = np.searchsorted(x[0] - x, x[0] + y[0] - height, "right")  # beyond it no partner suffices
-        ends = np.searchsorted(-y, x[:reach] - height, "right")
-        row = np.repeat(np.arange(reach), ends)
-        nth = np.arange(len(row)) - np.repeat(np.cumsum(ends) - ends, ends)
-        out.append(np.sort(by_a[i][row] * n + by_b[i][nth]))
+    for x, y, height, top_x, top_y in zip(a, b, np.minimum(alpha, low), best[0][:, 0], best[1][:, 0]):
+        own, other = np.flatnonzero(x + top_y >= height), np.flatnonzero(top_x + y >= height)
+        p, q = np.nonzero(x[own][:, None] + y[other][None, :] >= height)
+        out.append(own[p] * n + other[q])
     return out
 
 
+def _rows(column: pa.ListArray, dims: int) -> np.ndarray:
+    """Unit vectors in double precision from an Arrow column of lists of ``dims`` numbers."""
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dims)
+    x = x / np.abs(x).max(1, keepdims=True)  # lest squares overflow or vanish
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _linked(block: dict, cosine: float) -> dict | None:
     """A bucket's (or two chunks') linked classes: partners' number and a root."""
     v = block["vector"]
@@ -78,102 +92,118 @@ def _linked(block: dict, cosine: float) -> dict | None:
     np.fill_diagonal(near, False)
     left, right = block["left"], block["right"]
     near &= (left[:, None] & right[None, :]) | (right[:, None] & left[None, :])
-    if not near.any():
+    some = np.flatnonzero(near.any(1))
+    if not len(some):
         return None
-    own = [c[c < code] for c, code in zip(block["caps"], block["code"])]  # caps in which a pair has met before
+    near = near[np.ix_(some, some)]
+    own = [c[c < block["code"]] for c in (block["caps"][i] for i in some)]  # caps in which a pair has met before
     known, at = np.unique(np.concatenate(own), return_inverse=True)
-    if len(known):
-        row = np.repeat(np.arange(len(v)), [len(c) for c in own])
-        for low in range(0, len(known), 4096):
-            some = (at >= low) & (at < low + 4096)
-            held = np.zeros((len(v), min(4096, len(known) - low)), np.float32)
-            held[row[some], at[some] - low] = 1
-            near &= held @ held.T == 0
-    root = np.arange(len(v))
+    row = np.repeat(np.arange(len(some)), [len(c) for c in own])
+    for low in range(0, len(known), 4096):
+        here = (at >= low) & (at < low + 4096)
+        held = np.zeros((len(some), min(4096, len(known) - low)), np.float32)
+        held[row[here], at[here] - low] = 1
+        near &= held @ held.T == 0
+    root = np.arange(len(some))
     while True:
-        least = np.minimum(root, np.where(near, root[None, :], len(v)).min(1, initial=len(v)))
+        least = np.minimum(root, np.where(near, root[None, :], len(some)).min(1, initial=len(some)))
         if (least == root).all():
             break
         root = least
-    some = near.any(1)
-    return {"cid": block["cid"][some], "n_links": (near @ block["size"])[some], "root": block["cid"][root][some]}
+    cid, left = block["cid"][some], near.any(1)
+    return {"cid": cid[left], "n_links": (near @ block["size"][some])[left], "root": cid[root][left]}
 
 
-def links(classes: DataFrame, cosine: float, caps: int, slack: float, words: int, chunk: int) -> DataFrame:
+def links(classes: DataFrame, cosine: float, caps: int, words: int, chunk: int) -> DataFrame:
     """``cid``, ``n_links``, ``root``: one row per class and bucket in which it links.
 
-    ``classes``: ``cid``, ``label``, ``vector`` (doubles), ``size``."""
+    ``classes``: ``cid``, ``label``, ``vector``, ``size``."""
     spark = classes.sparkSession
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = {}
+        codes: dict[int, list[np.ndarray]] = {}
         for b in batches:
-            rows = b.column(1).to_pylist()
-            decoded: list = [None] * len(rows)
-            for dims in {len(r) for r in rows}:
-                at = [i for i, r in enumerate(rows) if len(r) == dims]
-                x = np.array([rows[i] for i in at], float)
-                x /= np.abs(x).max(1, keepdims=True)  # lest squares overflow or vanish
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
+            lengths = b.column(2).value_lengths().to_numpy()
+            for dims in np.unique(lengths).tolist():
+                part = b.take(pa.array(np.flatnonzero(lengths == dims)))
                 codes.setdefault(dims, codewords(dims, words))
-                for i, c in zip(at, decode(x, codes[dims], caps, slack)):
-                    decoded[i] = c
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(decoded, pa.list_(pa.int64()))], names=["cid", "caps"])
-
-    decoded = staged(classes.select("cid", "vector").mapInArrow(found, "cid long, caps array<long>")
-                     .join(classes.select("cid", "label", F.size("vector").alias("dims")), "cid"), "caps")
+                own = decode(_rows(part.column(2), dims), codes[dims], caps)
+                cuts = np.cumsum([0, *map(len, own)]).astype(np.int32)
+                held = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(own).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.full(len(part), dims, np.int32)), held],
+                                                 names=["cid", "label", "dims", "caps"])
+
+    decoded = staged(classes.select("cid", "label", "vector").mapInArrow(found, StructType([
+        classes.schema["cid"], classes.schema["label"], StructField("dims", IntegerType()),
+        StructField("caps", ArrayType(IntegerType()))])), "caps")
     rows = decoded.select("cid", "label", "dims", F.explode("caps").alias("code"))
     key = ["label", "dims", "code"]
     buckets = rows.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
     chunks = F.ceil(F.col("n") / chunk).cast("int")
-    met = (rows.join(buckets, key).withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("cid"), "chunks").cast("int"))
-           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-           .select("cid", *key, "chunk", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2")))
+    met = staged(rows.join(buckets, key).withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("cid"), "chunks").cast("int"))
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+                 .select("cid", *key, "chunk", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2")), "met")
     group = [*key, "c1", "c2"]
-    full = (met.join(classes.select("cid", "vector", "size"), "cid").join(decoded.select("cid", "caps"), "cid")
-            .repartition(shuffle_partitions(spark), *group).sortWithinPartitions(*group, "cid")
+    several = met.select("cid").distinct()  # classes without company stay where they are
+    sides = classes.select("cid", "vector", "size").join(several, "cid").join(decoded.select("cid", "caps"), "cid")
+    full = (met.join(sides, "cid").repartition(shuffle_partitions(spark), *group).sortWithinPartitions(*group, "cid")
             .select(*group, "chunk", "cid", "size", "vector", "caps"))
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in groups(batches, len(group)):
-            v = matrix(t.column("vector").combine_chunks())
-            v = v / np.abs(v).max(1, keepdims=True)
-            c1, c2, chunk_ = (t.column(c).to_numpy() for c in ("c1", "c2", "chunk"))
-            hit = _linked({
-                "vector": v / np.linalg.norm(v, axis=1, keepdims=True), "left": chunk_ == c1, "right": chunk_ == c2,
-                "cid": t.column("cid").to_numpy(), "size": t.column("size").to_numpy(), "code": t.column("code").to_numpy(),
-                "caps": [np.array(c) for c in t.column("caps").to_pylist()]}, cosine)
-            if hit:
-                yield pa.RecordBatch.from_pydict({k: pa.array(x, pa.int64()) for k, x in hit.items()})
+        def check(t: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            dims, code, c1, c2, chunk_, cid, size = (t.column(c).to_numpy() for c in ("dims", "code", "c1", "c2", "chunk", "cid", "size"))
+            vectors, held = t.column("vector").combine_chunks(), t.column("caps").combine_chunks()
+            ends, values = np.cumsum([0, *held.value_lengths().to_numpy()]), held.flatten().to_numpy()
+            hits = []
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                hit = _linked({"vector": _rows(vectors.slice(a, b - a), int(dims[a])), "left": chunk_[a:b] == c1[a], "right": chunk_[a:b] == c2[a],
+                               "cid": cid[a:b], "size": size[a:b], "code": code[a],
+                               "caps": [values[ends[i]:ends[i + 1]] for i in range(a, b)]}, cosine) if b - a > 1 else None
+                if hit:
+                    hits.append(hit)
+            if hits:
+                yield pa.RecordBatch.from_pydict({k: pa.array(np.concatenate([h[k] for h in hits]), pa.int64()) for k in hits[0]})
+
+        rest = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if rest is None else pa.concat_tables([rest, t])
+            new = np.ones(len(t), bool)
+            new[1:] = np.any([x[1:] != x[:-1] for x in (t.column(i).to_numpy() for i in range(len(group)))], 0)
+            cuts = np.flatnonzero(new)  # the last group may go on
+            if len(cuts) > 1:
+                yield from check(t, cuts)
+            rest = t.slice(int(cuts[-1])) if len(t) else t
+        if rest is not None and len(rest):
+            yield from check(rest, np.array([0, len(rest)]))
 
     return full.mapInArrow(verified, "cid long, n_links long, root long")
 
 
-def deduplicate(df: DataFrame, cosine: float = COSINE, caps: int = 12, slack: float = 0.1, chunk: int = CHUNK) -> DataFrame:
+def deduplicate(df: DataFrame, cosine: float = COSINE, caps: int = 24, chunk: int = CHUNK) -> DataFrame:
     """``df`` (``vec_id``, ``embedding``, ``label``) with ``n_links``,
     ``component_id`` and ``kept``."""
-    df = df.drop("n_links", "component_id", "kept", "_own", "_label", "_vector")
+    df = df.drop("n_links", "component_id", "kept")
     ok = usable(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
-    found = doubles(df.filter(ok).select("vec_id", "label", "embedding"), "embedding")
-    classes = staged(found.groupBy("label", "embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("size"))
-                     .withColumnRenamed("embedding", "vector").withColumn("cid", F.monotonically_increasing_id()), "classes")
-    words = int(max(64, min(4096, np.ceil(np.sqrt(4 * classes.count())))))
-    pairs = staged(links(classes, cosine, caps, slack, words, chunk), "links")
+    kind = df.schema["embedding"].dataType.elementType
+    kind = kind if isinstance(kind, (FloatType, DoubleType)) else DoubleType()
+    own = F.when(ok, F.col("embedding").cast(ArrayType(kind)))
+    rows = df.select(F.struct("*").alias("row"), F.col("vec_id").alias("id"), F.when(ok, F.col("label")).alias("label"), own.alias("vector"))
+    classes = staged(rows.filter("vector is not null").groupBy("label", "vector").agg(F.min("id").alias("first"), F.count("*").alias("size"))
+                     .withColumn("cid", F.monotonically_increasing_id()), "classes")
+    words = int(max(64, min(MOST, np.ceil(np.sqrt(SPREAD * classes.count())))))
+    pairs = staged(links(classes, cosine, caps, words, chunk), "links")
     numbers = pairs.groupBy("cid").agg(F.sum("n_links").alias("others"))
     member = components(pairs.select(F.col("cid").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "cid")
     placed = (classes.join(member, "cid", "left").join(numbers, "cid", "left")
               .withColumn("component", F.coalesce("component", "cid")))
     least = placed.groupBy("component").agg(F.min("first").alias("component_id"))
     result = placed.join(least, "component").select(
-        F.col("label").alias("_label"), F.col("vector").alias("_vector"), "component_id",
-        (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    vector = F.when(ok, F.col("embedding").cast("array<double>"))
-    joined = df.withColumn("_own", vector).join(
-        result, (F.col("_own") == F.col("_vector")) & (F.col("label") == F.col("_label")), "left")
-    return (joined.withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))
-            .withColumn("component_id", F.coalesce("component_id", F.col("vec_id").cast("long")))
-            .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
-            .drop("_own", "_label", "_vector"))
+        "label", "vector", "component_id", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    component = F.coalesce(F.col("component_id").cast("long"), F.col("id").cast("long"))
+    return rows.join(result, ["label", "vector"], "left").select(
+        "row.*", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
+        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
 def op8_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
