@@ -49,7 +49,7 @@ def frame(spark, rows, schema="doc_id long, text string"):
 
 def clashing(df):
     """Columns of the names that the operators use for results and inside."""
-    names = "row id vector first component others _own _label _vector key found kept class_id threshold shard slot _key _row _class n_links part ids cid n_symbols label source".split()
+    names = "_part _at _spread _shard _n _first _base part_ at n base spread body own other score trusted decoded row id vector first component others _own _label _vector key found kept class_id threshold shard slot _key _row _class n_links part ids cid n_symbols label source".split()
     return df.select("*", *[F.lit(i).alias(n) for i, n in enumerate(names) if n not in df.columns])
 
 
@@ -156,7 +156,7 @@ def test_op2_against_plain(spark, texts):
 
 
 def test_shards_of_awkward_rows(spark):
-    df = clashing(frame(spark, AWKWARD + [(3, "one")] * 50)).drop("shard", "slot")
+    df = clashing(frame(spark, AWKWARD + [(3, "one")] * 50)).drop("shard")
     out = sharding.slots(sharding.assign(df, "doc_id", 5), ["doc_id", "text"]).collect()
     assert len(out) == len(AWKWARD) + 50 and {r.shard for r in out if r.doc_id is None} == {jump(0, 5)}
     for s in {r.shard for r in out}:
@@ -436,52 +436,11 @@ def test_representatives(spark):
 
 # ---------------------------------------------------------------- quality
 
-def kneser_ney(texts):
-    """The model's probabilities by dictionaries."""
-    table, order = quality.symbol_table(), quality.ORDER
-    counts = [Counter() for _ in range(order + 1)]
-    for t in texts:
-        s = [0] * (order - 1) + [int(table[ord(c)]) for c in t]
-        counts[order].update(tuple(s[i - order + 1:i + 1]) for i in range(order - 1, len(s)))
-    for k in range(order - 1, 0, -1):
-        counts[k] = Counter(g[1:] for g in counts[k + 1])
-    cut = [quality.discounts(Counter(c.values())) for c in counts]
-    context = [defaultdict(list) for _ in counts]
-    for k, c in enumerate(counts):
-        for g, n in c.items():
-            context[k][g[:-1]].append(n)
-
-    def p(g):
-        if not g:
-            return 1 / quality.SYMBOLS
-        k = len(g)
-        seen = context[k].get(g[:-1])
-        if not seen:
-            return p(g[1:])
-        d = lambda n: cut[k][min(n, 3) - 1]
-        n = counts[k].get(g, 0)
-        return (n - d(n) if n else 0) / sum(seen) + sum(map(d, seen)) / sum(seen) * p(g[1:])
-
-    def perplexity(t):
-        s = [0] * (order - 1) + [int(table[ord(c)]) for c in t]
-        logs = [math.log(p(tuple(s[i - order + 1:i + 1]))) for i in range(order - 1, len(s))]
-        return -sum(logs) / len(logs)
-    return perplexity
-
-
-def test_perplexity_against_plain(spark, texts):
-    some = [t[:600] for t in list(texts.values())[:40]]
-    model = quality.train(frame(spark, list(enumerate(some[:20]))))
-    assert abs(np.exp(model.reshape(-1, quality.SYMBOLS).astype(float)).sum(1) - 1).max() < 1e-4
-    plain = kneser_ney(some[:20])
-    for r in quality.score(frame(spark, list(enumerate(some))), model).collect():
-        assert abs(r.log_perplexity - plain(some[r.doc_id])) < 1e-4
-
-
-def test_pieces_of_long_texts_join(monkeypatch):
-    whole = np.concatenate(list(quality.grams("Some text, cut.")))
-    monkeypatch.setattr(quality, "PIECE", 4)
-    assert np.concatenate(list(quality.grams("Some text, cut."))).tolist() == whole.tolist()
+def discounts(n):
+    """Chen and Goodman's discounts from the number of n-grams seen once to four times."""
+    y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
+    raw = [i - (i + 1) * y * n[i + 1] / n[i] if n[i] else y * i for i in (1, 2, 3)]
+    return [min(max(d, 0.0), float(i)) for i, d in enumerate(raw, 1)]
 
 
 def test_quality_on_labels(spark):
@@ -501,11 +460,22 @@ def test_quality_of_awkward_rows(spark):
     assert quality.classify(docs.limit(0), labels).count() == 0
 
 
-def test_thresholds_are_quantiles(spark):
-    rows = [("en", 100, i / 1000) for i in range(1, 1001)] + [("fr", 100, 5.0)] * 10
-    got = {(r.lang, r.band): r.threshold for r in quality.thresholds(
-        frame(spark, rows, "lang string, n_symbols long, log_perplexity double"), 0.9, 0.0, 100).collect()}
-    assert set(got) == {("en", 6), ("en", None), (None, None)} and abs(got["en", 6] - 0.9) < 0.003
+def test_levels_differ_by_language(spark):
+    """A quantile for each language, drawn to that of all by the weight of 1 / (1 - quantile) texts."""
+    draw, rows = np.random.default_rng(8), []
+    for lang, m, tail in (("en", 4000, 0.0), ("fr", 4000, 2.0)):  # fr: some trusted texts lie far off
+        off = draw.normal(size=m) + tail * (draw.random(m) < 0.05) * 3
+        rows += [(lang, 400, float(2.0 + x / 20)) for x in off]
+    got = {r.lang: r for r in quality.limits(frame(spark, rows, "lang string, n_symbols long, log_perplexity double"), 0.99).collect()}
+    units = {}
+    for lang in ("en", "fr"):
+        y = np.array([r[2] for r in rows if r[0] == lang])
+        units[lang] = (y - np.median(y)) * 20 / np.median(abs(y - np.median(y)) * 20)
+    whole = np.quantile(np.concatenate(list(units.values())), 0.99)
+    for lang, u in units.items():
+        want = (4000 * np.quantile(u, 0.99) + 100 * whole) / 4100
+        assert abs(got[lang].level - want) < 0.25, lang
+    assert abs(got[None].level - whole) < 0.25 and got["fr"].level - got["en"].level > 2
 
 
 def open_kneser_ney(texts):
@@ -517,7 +487,7 @@ def open_kneser_ney(texts):
         counts[order].update(tuple(s[i - order + 1:i + 1]) for i in range(order - 1, len(s)))
     for k in range(order - 1, 0, -1):
         counts[k] = Counter(g[1:] for g in counts[k + 1])
-    cut = [quality.discounts(Counter(c.values())) for c in counts]
+    cut = [discounts(Counter(c.values())) for c in counts]
     context = [defaultdict(list) for _ in counts]
     for k, c in enumerate(counts):
         for g, n in c.items():

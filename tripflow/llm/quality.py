@@ -6,187 +6,33 @@ The model (``language_model``) is one of code points, trained on all trusted tex
 Perplexities of texts of ``n`` code points lie about their language's median, with
 deviations that fall as ``1 / sqrt(n)``. So one rule holds for every language and length: a
 text is rejected if its deviation, times ``sqrt(n)`` and in units of its language's median
-absolute deviation, exceeds the ``QUANTILE`` quantile of all trusted texts' deviations, plus
-``SLACK`` in log-perplexity. A language's unit is averaged with that of all trusted texts,
-which weighs as much as ``PRIOR`` texts; a language without trusted texts has theirs.
+absolute deviation, exceeds its language's level, plus ``SLACK`` in log-perplexity. The level is the
+``QUANTILE`` quantile of the language's trusted texts' deviations, averaged with that of all trusted
+texts, which weighs as much as ``1 / (1 - QUANTILE)`` texts: so many hold one beyond the quantile. A
+language's unit is averaged alike, at a weight of ``PRIOR`` texts; a language without trusted texts has
+the middle, unit and level of all.
 Quantiles are read off histograms of fixed steps, so they are the same whatever the order of rows.
 
 Null and empty texts have no perplexity and are kept; so are texts where no trusted ones can train.
 Rows with equal or null keys are scored each on their own; a null key is never trusted. An
 empty table gives none.
 
-``symbol_table`` to ``thresholds``: the former model of 48 symbols and thresholds by
-length class; no query uses them any more, but their tests stand.
+Rows travel inside a struct, so further columns of any name pass; the four columns that
+``classify`` adds are replaced. Very long texts are cut into n-grams a piece at a time.
 """
 
 from __future__ import annotations
 
-import unicodedata
-from collections.abc import Iterator
-from functools import lru_cache
-
-import numpy as np
-import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from tripflow.llm.common import staged
 from tripflow.llm.language_model import scores
 
-SYMBOLS, ORDER = 48, 4
-QUANTILE, SLACK, FEWEST = 0.999, 0.02, 300
+QUANTILE, SLACK = 0.999, 0.02
 PRIOR = 30  # texts that a language's own fit has to outweigh
 STEP = 1000  # histogram steps in a unit of log-perplexity
-PIECE = 1 << 20
-_STOPS = ".,!?'\"-:;()|"
-
-
-@lru_cache(maxsize=1)
-def symbol_table() -> np.ndarray:
-    """The symbol of every code point; 0 is the start of a text."""
-    table = np.empty(0x110000, np.int64)
-    for i in range(0x110000):
-        c = chr(i)
-        if c.isalpha():
-            base = unicodedata.normalize("NFD", c)[0] if i < 0x3000 else c
-            table[i] = 27 if c.isupper() else ord(base) - 96 if "a" <= base <= "z" else 28
-        else:
-            table[i] = 29 if c.isdigit() else 30 if c == " " else 31 if c.isspace() else 45
-    for i in range(33, 127):
-        if not chr(i).isalnum():
-            table[i] = 44
-    for k, c in enumerate(_STOPS):
-        table[ord(c)] = 32 + k
-    return table
-
-
-def grams(text: str) -> Iterator[np.ndarray]:
-    """The text's n-grams as numbers, one per symbol, in pieces."""
-    table, before = symbol_table(), np.zeros(ORDER - 1, np.int64)
-    for at in range(0, len(text), PIECE):
-        s = np.concatenate((before, table[np.frombuffer(text[at:at + PIECE].encode("utf-32-le", "surrogatepass"), "<u4")]))
-        before = s[-(ORDER - 1):]
-        n = len(s) - ORDER + 1
-        code = s[:n]
-        for k in range(1, ORDER):
-            code = code * SYMBOLS + s[k:k + n]
-        yield code
-
-
-def count_grams(texts: DataFrame) -> DataFrame:
-    """``code``, ``c``: the n-grams of ``texts`` (``text``) and their counts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS ** ORDER, np.int64)
-        held: list[np.ndarray] = []
-
-        def add() -> None:
-            code, n = np.unique(np.concatenate(held), return_counts=True)
-            total[code] += n
-            held.clear()
-
-        for b in batches:
-            for text in b.column(0):
-                for code in grams(text.as_py() or ""):
-                    held.append(code)
-                    if sum(map(len, held)) >= PIECE:
-                        add()
-            if held:
-                add()
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"code": some, "c": total[some]})
-
-    return texts.select("text").mapInArrow(run, "code long, c long").groupBy("code").agg(F.sum("c").alias("c"))
-
-
-def discounts(n: dict[int, int]) -> tuple[float, float, float]:
-    """Chen and Goodman's discounts for counts of 1, 2 and more, from the number of
-    n-grams seen once, twice, three and four times."""
-    n1, n2, n3, n4 = (n.get(i, 0) for i in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2) if n1 else 0.0
-    raw = [i - (i + 1) * y * up / own if own else y * i for i, (own, up) in enumerate(((n1, n2), (n2, n3), (n3, n4)), 1)]
-    return tuple(min(max(d, 0.0), float(i)) for i, d in enumerate(raw, 1))
-
-
-def train(texts: DataFrame) -> np.ndarray | None:
-    """The log-probability of each symbol after any ``ORDER - 1`` others; None
-    without text."""
-    counts = {ORDER: staged(count_grams(texts), "grams")}
-    for k in range(ORDER - 1, 0, -1):  # how many different symbols stand before it
-        counts[k] = staged(counts[k + 1].groupBy((F.col("code") % SYMBOLS ** k).alias("code")).agg(F.count("*").alias("c")), "grams")
-    if counts[1].isEmpty():
-        return None
-    lower = None
-    table = np.full(1, 1 / SYMBOLS)
-    for k in range(1, ORDER + 1):
-        of = {r["c"]: r["n"] for r in counts[k].filter("c <= 4").groupBy("c").agg(F.count("*").alias("n")).collect()}
-        d = discounts(of)
-        own = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-        before = F.floor(F.col("code") / F.lit(SYMBOLS)).cast("long").alias("ctx")
-        seen = counts[k].select("code", before, "c", own.alias("d"))
-        contexts = seen.groupBy("ctx").agg(F.sum("c").alias("total"), F.sum("d").alias("left")).select(
-            "ctx", "total", (F.col("left") / F.col("total")).alias("gamma"))
-        rows = seen.join(contexts, "ctx").withColumn("tail", F.col("code") % SYMBOLS ** (k - 1))
-        rows = rows.join(lower, "tail") if lower is not None else rows.withColumn("below", F.lit(1 / SYMBOLS))
-        p = staged(rows.select("code", "ctx", "gamma", (
-            (F.col("c") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("below")).alias("p")), "probabilities")
-        lower = p.select(F.col("code").alias("tail"), F.col("p").alias("below"))
-        # At most SYMBOLS ** k rows, whatever the corpus.
-        got = p.toArrow()
-        code, ctx, gamma, prob = (got.column(c).to_numpy() for c in ("code", "ctx", "gamma", "p"))
-        weight = np.ones(SYMBOLS ** (k - 1))
-        weight[ctx] = gamma
-        below, table = table, np.repeat(weight, SYMBOLS)
-        table.reshape(-1, len(below))[:] *= below  # without another array of that size
-        table[code] = prob
-    return np.log(table, out=table).astype(np.float32)
-
-
-def score(docs: DataFrame, model: np.ndarray | Broadcast) -> DataFrame:
-    """``docs`` with ``n_symbols`` and ``log_perplexity``, by the column ``text``."""
-    shared = model if isinstance(model, Broadcast) else docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for b in batches:
-            n, total = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
-            for i, text in enumerate(b.column(at)):
-                for code in grams(text.as_py() or ""):
-                    n[i] += len(code)
-                    total[i] += table[code].sum(dtype=float)
-            value = pa.array(-total / np.maximum(n, 1), pa.float64(), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n), value], names=[*b.schema.names, "n_symbols", "log_perplexity"])
-
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("n_symbols", LongType()),
-                                            StructField("log_perplexity", DoubleType())]))
-
-
-def _band():
-    return F.floor(F.log2(F.greatest(F.col("n_symbols"), F.lit(1)).cast("double"))).cast("int")
-
-
-def thresholds(scored: DataFrame, quantile: float = QUANTILE, slack: float = SLACK, fewest: int = FEWEST) -> DataFrame:
-    """``lang``, ``band``, ``threshold`` from trusted rows (``lang``, ``n_symbols``,
-    ``log_perplexity``); a null band holds for the language, a null language for all."""
-    steps = (scored.filter("log_perplexity is not null and lang is not null")
-             .groupBy("lang", _band().alias("band"), F.floor(F.col("log_perplexity") * STEP).alias("step"))
-             .agg(F.count("*").alias("n")))
-    found = None
-    for keys in (["lang", "band"], ["lang"], []):
-        per = steps.groupBy(*keys, "step").agg(F.sum("n").alias("n"))
-        rows = Window.partitionBy(*keys)
-        known = (per.withColumn("all", F.sum("n").over(rows)).withColumn("upto", F.sum("n").over(rows.orderBy("step")))
-                 .filter(F.col("upto") >= quantile * F.col("all")).groupBy(*keys)
-                 .agg(F.min("step").alias("step"), F.first("all").alias("all")))
-        level = known.filter(F.col("all") >= (fewest if keys else 1)).select(
-            F.col("lang") if "lang" in keys else F.lit(None).cast("string").alias("lang"),
-            F.col("band") if "band" in keys else F.lit(None).cast("int").alias("band"),
-            ((F.col("step") + 1) / STEP + slack).alias("threshold"))
-        found = level if found is None else found.union(level)
-    return found
 
 
 def _quantile(rows: DataFrame, keys: list[str], value: Column, share: float, name: str) -> DataFrame:
@@ -211,33 +57,38 @@ def limits(trusted: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     known = middle.drop("m").join(F.broadcast(spread), "lang").join(F.broadcast(every)).select(
         "lang", "middle", ((F.col("m") * F.col("spread") + PRIOR * F.col("spread0")) / (F.col("m") + PRIOR)).alias("spread"))
     fit = staged(known.union(every.select(F.lit(None).cast("string"), "middle0", "spread0")), "limits")
-    level = _quantile(off.join(F.broadcast(fit.select("lang", "spread")), "lang"), [], F.col("off") / F.col("spread"), quantile, "level")
-    return fit.join(F.broadcast(level.drop("m")))
+    units = off.join(F.broadcast(fit.select("lang", "spread")), "lang").withColumn("units", F.col("off") / F.col("spread"))
+    own = _quantile(units, ["lang"], F.col("units"), quantile, "own")
+    level = _quantile(units, [], F.col("units"), quantile, "level0").drop("m")
+    weight = 1 / (1 - quantile)
+    both = (F.col("m") * F.col("own") + weight * F.col("level0")) / (F.col("m") + weight)
+    return fit.join(F.broadcast(own), "lang", "left").join(F.broadcast(level)).select(
+        "lang", "middle", "spread", F.coalesce(both, "level0").alias("level"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
     """``docs`` (``doc_id``, ``text``, ``lang``) with ``n_symbols``, ``log_perplexity``,
     ``threshold`` and ``kept``; ``labels``: ``doc_id``, ``quality``, ``toxic``."""
-    docs = docs.drop("n_symbols", "log_perplexity", "threshold", "kept", "_lang", "_key", "_score", "_trusted")
-    good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id", F.lit(True).alias("_trusted")).distinct()
+    docs = docs.drop("n_symbols", "log_perplexity", "threshold", "kept")
+    good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id", F.lit(True).alias("trusted")).distinct()
     text = F.coalesce(F.col("text"), F.lit(""))
-    lang = F.coalesce(F.col("lang"), F.lit(""))
-    keyed = docs.withColumns({"n_symbols": F.length(text).cast("long"), "_lang": lang, "_key": F.md5(text)})
-    ids = keyed.select("doc_id", "text", "n_symbols", F.col("_lang").alias("lang"), F.col("_key").alias("key")).filter("n_symbols > 0")
-    marked = ids.join(good, "doc_id", "left").select("key", F.coalesce("_trusted", F.lit(False)).alias("trusted"), "text")
+    keyed = docs.select(F.struct("*").alias("row"), "doc_id", text.alias("body"), F.length(text).cast("long").alias("n_symbols"),
+                        F.coalesce(F.col("lang"), F.lit("")).alias("lang"), F.md5(text).alias("key"))
+    ids = keyed.filter("n_symbols > 0").select("doc_id", F.col("body").alias("text"), "n_symbols", "lang", "key")
+    marked = ids.join(good, "doc_id", "left").select("key", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text")
     scored = staged(scores(marked), "scores")
     fit = staged(limits(ids.drop("text").join(good, "doc_id", "left_semi").join(scored, "key"), quantile), "limits")
     here = F.struct("middle", "spread", "level")
     small = fit.count() <= 100_000  # else the join is left to its statistics
-    own = fit.filter("lang is not null").select(F.col("lang").alias("_lang"), here.alias("_own"))
-    other = F.broadcast(fit.filter("lang is null").select(here.alias("_other")))
-    out = (keyed.join(scored.select(F.col("key").alias("_key"), F.col("log_perplexity").alias("_score")), "_key", "left")
-           .join(F.broadcast(own) if small else own, "_lang", "left").join(other, how="left"))
-    by = F.coalesce("_own", "_other")
+    own = fit.filter("lang is not null").select("lang", here.alias("own"))
+    other = F.broadcast(fit.filter("lang is null").select(here.alias("other")))
+    out = (keyed.select("row", "n_symbols", "lang", "key").join(scored, "key", "left")
+           .join(F.broadcast(own) if small else own, "lang", "left").join(other, how="left"))
+    by = F.coalesce("own", "other")
     root = F.sqrt(F.greatest("n_symbols", F.lit(1)).cast("double"))
     limit = F.when(F.col("n_symbols") > 0, by["middle"] + by["level"] * by["spread"] / root + slack)
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "n_symbols", F.col("_score").alias("log_perplexity"),
-                      limit.alias("threshold"), F.coalesce(F.col("_score") <= limit, F.lit(True)).alias("kept"))
+    return out.select("row.*", "n_symbols", "log_perplexity", limit.alias("threshold"),
+                      F.coalesce(F.col("log_perplexity") <= limit, F.lit(True)).alias("kept"))
 
 
 def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
