@@ -21,7 +21,8 @@ A piece's weight is ``(2 + rank) ** -alpha``: a BPE vocabulary's scores are rank
 frequencies fall as a power of the rank. Characters without piece are spelled in
 bytes. Null texts count as empty; an empty text has one segmentation, without
 pieces. A null key counts as 0; rows with equal keys and texts get equal samples.
-Texts with fewer than ``k`` segmentations give them all.
+Texts with fewer than ``k`` segmentations give them all. An empty table gives no rows.
+``sample`` returns its own columns alone; ``decode`` replaces a column of its result's name.
 """
 
 from __future__ import annotations
@@ -411,6 +412,7 @@ def decode(rows: DataFrame, model: str | None = None, ids: str = "ids", into: st
     """``rows`` with the text that their ``ids`` spell; null ids give null. A text's own
     U+2581 comes back as a space, and bytes that are no text as U+FFFD."""
     model = model or model_path()
+    rows = rows.drop(into) if into != ids else rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = spelled(model)

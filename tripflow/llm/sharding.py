@@ -9,7 +9,8 @@ numbered by many tasks.
 
 A null key counts as key 0. Null texts have no bytes. Rows alike in everything
 share a key, so which of them gets which slot makes no difference. An empty
-table gives no rows.
+table gives no rows. Rows travel inside a struct, so further columns of any name pass;
+the column that a function adds is replaced. Texts of any length are read once, whole.
 """
 
 from __future__ import annotations
@@ -66,21 +67,18 @@ def write_shards(df: DataFrame, key: str, shards: int, path: str) -> None:
 
 def slots(df: DataFrame, order: list[str], shard: str = "shard", into: str = "slot") -> DataFrame:
     """``df`` with each row's number within its shard, by ``order``."""
-    spread = F.monotonically_increasing_id() % 1024  # rows alike in all else can still be split
-    keys = [F.col(shard), *(F.col(c).asc_nulls_first() for c in order)]
-    held = staged(df.withColumn("_spread", spread)
-                  .repartitionByRange(shuffle_partitions(df.sparkSession), *keys, F.col("_spread"))
-                  .sortWithinPartitions(*keys).drop("_spread")
-                  .withColumn("_at", F.monotonically_increasing_id()), "slots")
-    part = F.shiftright("_at", 33)
-    counts = held.groupBy(F.col(shard).alias("_shard"), part.alias("_part")).agg(
-        F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    row = F.col("row")
+    keys = [row[shard], *(row[c].asc_nulls_first() for c in order)]
+    held = staged(df.select(F.struct("*").alias("row"), (F.monotonically_increasing_id() % 1024).alias("spread"))  # splits rows alike in all else
+                  .repartitionByRange(shuffle_partitions(df.sparkSession), *keys, F.col("spread"))
+                  .sortWithinPartitions(*keys).select("row", row[shard].alias("shard"), F.monotonically_increasing_id().alias("at")), "slots")
+    held = held.withColumn("part", F.shiftright("at", 33))
+    counts = held.groupBy("shard", "part").agg(F.count("*").alias("n"), F.min("at").alias("first"))
     # Ranges follow each other, so there are fewer rows here than tasks and shards together.
-    before = Window.partitionBy("_shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("_shard", "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    joined = held.join(F.broadcast(bases), (F.col(shard) == F.col("_shard")) & (part == F.col("_part")))
-    return joined.withColumn(into, (F.col("_at") - F.col("_first") + F.col("_base")).cast("long")).drop(
-        "_shard", "_part", "_first", "_base", "_at")
+    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("shard", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("base"))
+    return held.join(F.broadcast(bases), ["shard", "part"]).select(
+        *[row[c].alias(c) for c in df.columns if c != into], (F.col("at") + F.col("base")).cast("long").alias(into))
 
 
 def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
