@@ -22,6 +22,16 @@ def test_kpis_and_unweighted_mean_of_means(spark):
     assert by_type == {"yellow": 100, "green": 5}
 
 
+def test_values_that_no_decimal_holds_count(spark):
+    nan, inf = float("nan"), float("inf")
+    daily = _daily(spark, [(D1, "A", "yellow", 1, 1.0, nan), (D1, "B", "yellow", 1, inf, 2.0), (D2, "A", "green", 1, 2.0, 4.0)])
+    assert str(serving.avg_distance(daily).first().avg_distance) == "nan"
+    assert serving.total_revenue(daily).first().total_revenue == inf
+    by_type = {r.taxi_type: r.total_revenue for r in serving.daily_revenue_by_type(daily).collect()}
+    assert by_type == {"yellow": inf, "green": 2.0}
+    assert serving.avg_distance(daily.limit(0)).first().avg_distance is None
+
+
 def test_top_days_order_is_total(spark):
     daily = _daily(spark, [(D2, "B", "yellow", 5, 1.0, 1.0), (D2, "A", "yellow", 5, 1.0, 1.0),
                            (D2, "A", "green", 5, 1.0, 1.0), (D1, "Z", "fhvheavy", 50, 1.0, 1.0)])

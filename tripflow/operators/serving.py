@@ -17,11 +17,14 @@ from tripflow.functions.expressions import exact, payment_label
 
 
 def _resum(c: str):
-    return F.sum(exact(c, config.EXACT_REAGG)).cast("double")
+    """Exact sum; what no decimal holds (NaN, infinity) is added to it as DOUBLE."""
+    held = exact(c, config.EXACT_REAGG)
+    whole, odd = F.sum(held).cast("double"), F.sum(F.when(held.isNull(), F.col(c)))
+    return F.coalesce(whole + odd, whole, odd)
 
 
 def _reavg(c: str):
-    return F.try_divide(_resum(c), F.count(exact(c, config.EXACT_REAGG)))
+    return F.try_divide(_resum(c), F.count(c))
 
 
 def total_trips(daily: DataFrame) -> DataFrame:
