@@ -38,6 +38,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def plain_scan(df: DataFrame) -> bool:
+    """Whether ``df`` gives its rows in the same order each time: nothing is exchanged on the way."""
+    return "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

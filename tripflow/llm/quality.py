@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripflow.llm.common import staged
+from tripflow.llm.common import plain_scan, staged
 from tripflow.llm.language_model import scores
 
 QUANTILE, SLACK = 0.999, 0.02
@@ -75,8 +75,10 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sla
     keyed = docs.select(F.struct("*").alias("row"), "doc_id", text.alias("body"), F.length(text).cast("long").alias("n_symbols"),
                         F.coalesce(F.col("lang"), F.lit("")).alias("lang"), F.md5(text).alias("key"))
     ids = keyed.filter("n_symbols > 0").select("doc_id", F.col("body").alias("text"), "n_symbols", "lang", "key")
-    marked = ids.join(good, "doc_id", "left").select("key", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text")
-    scored = staged(scores(marked), "scores")
+    if plain_scan(docs):  # else the texts are written first
+        scored = scores(ids.select("key", "text"), ids.join(good, "doc_id").select("key", "text"))
+    else:
+        scored = scores(ids.join(good, "doc_id", "left").select("key", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text"))
     fit = staged(limits(ids.drop("text").join(good, "doc_id", "left_semi").join(scored, "key"), quantile), "limits")
     here = F.struct("middle", "spread", "level")
     small = fit.count() <= 100_000  # else the join is left to its statistics
