@@ -71,7 +71,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sla
     ``threshold`` and ``kept``; ``labels``: ``doc_id``, ``quality``, ``toxic``."""
     docs = docs.drop("n_symbols", "log_perplexity", "threshold", "kept")
     good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
-    good = staged(good, "trusted").withColumn("trusted", F.lit(True))  # its size is known before texts are shuffled for it
+    good = good.hint("merge").withColumn("trusted", F.lit(True))  # one plan at every size: texts meet the ids by a shuffle
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(F.struct("*").alias("row"), "doc_id", text.alias("body"), F.length(text).cast("long").alias("n_symbols"),
                         F.coalesce(F.col("lang"), F.lit("")).alias("lang"), F.md5(text).alias("key"))
