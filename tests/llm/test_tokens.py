@@ -5,6 +5,7 @@ import sys
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripflow.llm import tokens
@@ -49,3 +50,29 @@ def test_memo_that_is_emptied(both):
     small = (tokens.Encoder(path, memo_chars=50), Tokenizer.from_file(path))
     for i in range(20):
         same(small, [f"some words{i} again, and Again {i}", "again word" + "s" * i])
+
+
+def test_a_word_is_learnt_once_whatever_its_case_and_marks():
+    ours = tokens.Encoder(tokens.tokenizer_path())
+    ours.encode(["Häuser häuser, HÄUSER!! (häuser\nhäuser###", "häuser. häuser%%% İ!"])
+    assert set(ours._memo) == {"häuser", "", ",", "!!", "(häuser", "###", ".", "%%%", "İ!"}
+
+
+def test_memo_stays_within_its_bound():
+    ours = tokens.Encoder(tokens.tokenizer_path(), memo_chars=20_000)
+    held = []
+    for i in range(40):
+        ours.encode([" ".join(f"{a}{b}{c}{'xyzw'[i % 4]}{'k' * (i // 4)}" for a in "abcdefgh" for b in "abcdefgh" for c in "abcd")])
+        held.append(sum(map(len, ours._memo)) + sum(map(len, ours._older)))
+    assert max(held) <= 20_000 + 2 * 256 * 14
+
+
+def test_gathered_batches_have_the_same_rows(monkeypatch):
+    monkeypatch.setattr(tokens, "_BYTES", 1000)
+    rows = [None if i % 7 == 0 else "x" * (i % 50) for i in range(500)]
+    batches = [pa.RecordBatch.from_pydict({"n": range(i, i + 10), "text": pa.array(rows[i:i + 10], pa.string())}) for i in range(0, 500, 10)]
+    found = list(tokens.gathered(iter(batches)))
+    assert len(found) < 20
+    assert [x for b in found for x in b.column(1).to_pylist()] == rows and [x for b in found for x in b.column(0).to_pylist()] == list(range(500))
+    ours = tokens.Encoder(tokens.tokenizer_path())
+    assert [x for b in found for x in ours.encode(b.column(1))] == ours.encode(rows)  # slices, too: texts beyond _BYTES at once

@@ -39,8 +39,8 @@ def encode(docs: DataFrame, tokenizer: str | None = None, end_id: int = tokens.E
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encoder, at = TaskContext.get().partitionId(), tokens.encoder(tokenizer, end_id), 0
-        for b in batches:
-            ids = encoder.encode(b.column(1).to_pylist())
+        for b in tokens.gathered(batches):
+            ids = encoder.encode(b.column(1))
             n = np.array([len(x) for x in ids], "i8") // encoder.dtype.itemsize
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array([part] * len(ids), pa.int32()), "local_start": at + np.cumsum(n) - n, "n": n,

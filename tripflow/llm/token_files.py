@@ -83,8 +83,8 @@ def write(docs: DataFrame, root: str, tokenizer: str | None = None, end_id: int
         keys, lengths = [], []
 
         def ids(out) -> None:
-            for b in batches:
-                for x in encoder.encode(b.column(1).to_pylist()):
+            for b in tokens.gathered(batches):
+                for x in encoder.encode(b.column(1)):
                     out.write(x)
                     lengths.append(len(x) // encoder.dtype.itemsize)
                 keys.extend(NULL_KEY if k is None else k for k in b.column(0).to_pylist())
