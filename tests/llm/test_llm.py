@@ -653,3 +653,32 @@ def test_pipeline_keeps_clean_documents(spark, plain):
     pieces = corpus_pipeline.STAGES[3][1](spark, docs, sf).collect()
     packed_right(pieces, kept["pii"].items(), plain, 2048)
     assert query("pipeline", spark, sf).count() == len(pieces)
+
+
+def test_segmentation_branch_does_not_copy_the_lattice():
+    import tracemalloc
+    n = 2_000_000
+    t = {"starts": np.arange(0, 2 * n, 2, dtype=np.int32), "logp": np.full(2 * n, -0.7, np.float32), "others": np.full(2 * n, -0.7, np.float32)}
+    search = segmentation._Search(2, 7, t, np.zeros(3, np.int32))
+    search.add(0.0, np.array([6, 2 * n - 10, 78], np.int32), np.arange(3), 0)
+    tracemalloc.start()
+    found = search.branch()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[3] in (7, 2 * n - 9, 79) and peak < 1_000_000
+
+
+def test_segmentation_decodes_in_the_same_task(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["one two", "a  b", "", None, "é日本 ▁ x"])], "doc_id long, text string")
+    both = segmentation.sample(docs, into="decoded")
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    apart = segmentation.decode(segmentation.sample(docs))
+    assert both.columns == apart.columns and sorted(both.collect()) == sorted(apart.collect())
+
+
+def test_segmentation_chunks_are_those_of_the_words():
+    texts = ["", None, " ", "a", " a b", "a  b ", "one two\nthree", "▁x y", "x ▁ y", "  ", "tail  ", "é日本 ok", "one two", "a\tb c"] * 3
+    own = segmentation.Lattice(segmentation.model_path())
+    found = segmentation._numbers(texts, own)
+    name = {n: c for c, n in own.chunks.items()}
+    assert [[name[n] for n in x.tolist()] for x in found] == [segmentation.chunks_of(t) for t in texts]

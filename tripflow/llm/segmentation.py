@@ -30,23 +30,27 @@ from __future__ import annotations
 import heapq
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import exp, inf, log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tripflow.llm.minhash import mix, powers
+from tripflow.llm.tokens import gathered
 
 MODEL = "piece_bpe_32k.model"
 K = 2
 SPACE = "▁"
 SAMPLES = ("doc_id long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, ids binary")
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_ODD = f"^$|^ |  | $|{SPACE}"  # in texts whose chunks aren't just a space and a word each
+_CHARS = 500_000  # of texts that are sampled at once
 _ALL = (1 << 64) - 1
 _GOLD, _STEP, _UNIT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
@@ -120,6 +124,15 @@ class Lattice:
         if len(self.piece) > self.most:
             self._clear()
 
+    def numbers(self, chunks: list[str]) -> np.ndarray:
+        """The chunks' numbers; new ones are learnt."""
+        found = list(map(self.chunks.get, chunks))
+        new = [c for c, n in zip(chunks, found) if n is None]
+        if new:
+            self.learn(list(dict.fromkeys(new)))
+            found = [self.chunks[c] if n is None else n for c, n in zip(chunks, found)]
+        return np.array(found, np.int64)
+
     def learn(self, chunks: list[str]) -> None:
         """Give new chunks numbers: cut them into units wherever no piece has the two
         characters side by side, and build the units that are new."""
@@ -172,8 +185,9 @@ class Lattice:
         target = np.concatenate([np.full(len(source) - len(extra), -2), np.array([e[4] for e in extra], np.int64)])
         target = np.where(target == -2, np.where(to == end[source], -1, to), target)
         beta = np.zeros(nodes + 1)
-        order = np.lexsort((source, end[source] - source))
-        far = (end[source] - source)[order]
+        far = end[source] - source
+        order = np.argsort(far * (nodes + 1) + source, kind="stable")
+        far = far[order]
         levels = np.concatenate((np.flatnonzero(np.r_[True, far[1:] != far[:-1]]), [len(order)]))
         for a, b in zip(levels[:-1].tolist(), levels[1:].tolist()):  # from the units' ends on
             e = order[a:b]
@@ -228,6 +242,19 @@ def chunks_of(text: str | None) -> list[str]:
     return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+def _numbers(texts: list[str | None], own: Lattice) -> list[np.ndarray]:
+    """The numbers of each text's chunks, which are learnt where they are new."""
+    column = pa.array([t or "" for t in texts], pa.string())
+    odd = pc.match_substring_regex(column, _ODD)
+    chunks = {i: chunks_of(texts[i]) for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()}
+    split = pc.split_pattern(column.filter(pc.invert(odd)), " ")
+    words = split.flatten().dictionary_encode()
+    names = pc.binary_join_element_wise(SPACE, words.dictionary, "").to_pylist()
+    ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64)
+    plain = iter(np.split(own.numbers(names)[words.indices.to_numpy(zero_copy_only=False)], ends[:-1]))
+    return [own.numbers(chunks[i]) if i in chunks else next(plain) for i in range(len(texts))]
+
+
 @lru_cache(maxsize=2)
 def lattice(path: str, alpha: float) -> Lattice:
     """This process's lattices; a worker keeps them from task to task."""
@@ -308,7 +335,7 @@ class _Search:
         value, path, at, barred = heapq.heappop(self.queue)
         _, edges, _, before, _ = self.paths[path]
         starts, logp = self.t["starts"], self.t["logp"]
-        node = int(np.searchsorted(starts, int(edges[at]), "right")) - 1
+        node = int(np.searchsorted(starts, edges[at], "right")) - 1  # of one type, or all starts are copied for it
         open_ = [e for e in range(int(starts[node]), int(starts[node + 1])) if e not in barred]
         p = [exp(float(logp[e])) for e in open_]
         u, edge = self.uniform() * sum(p), open_[-1]
@@ -328,9 +355,7 @@ def sample_texts(texts: list[str | None], seeds: np.ndarray, own: Lattice, k: in
     """For each text its samples: ids, log-probability, perturbed value, log of the
     inclusion probability."""
     own.tidy()
-    chunks = [chunks_of(t) for t in texts]
-    own.learn(list(set().union(*chunks).difference(own.chunks)))
-    numbers = [np.fromiter(map(own.chunks.__getitem__, c), np.int64, len(c)) for c in chunks]
+    numbers = _numbers(texts, own)
     view = lambda a, kind: np.frombuffer(a, kind) if len(a) else np.empty(0, kind)
     t = {"starts": view(own.starts, np.int32), "target": view(own.target, np.int32), "piece": view(own.piece, np.int32),
          "upto": view(own.upto, np.float32), "logp": view(own.logp, np.float32),
@@ -378,20 +403,19 @@ def sample_texts(texts: list[str | None], seeds: np.ndarray, own: Lattice, k: in
     return out
 
 
-def sample(docs: DataFrame, k: int = K, seed: int = 7, alpha: float = 1.0, model: str | None = None) -> DataFrame:
-    """Up to ``k`` different segmentations of each text of ``docs`` (``doc_id``,
-    ``text``), the largest perturbed first: ``ids`` (little-endian, 32 bits each),
-    ``log_prob``, ``perturbed``, ``log_inclusion``."""
-    model = model or model_path()
+Batches = Iterator[pa.RecordBatch]
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sampled(k: int, seed: int, alpha: float, model: str) -> Callable[[Batches], Batches]:
+    """What ``sample`` does to a task's rows."""
+    def run(batches: Batches) -> Batches:
         own = lattice(model, alpha)
-        for b in batches:
+        for b in gathered(batches):
             keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             at = 0
-            while at < len(keys):  # some 500,000 characters at once
+            while at < len(keys):
                 end, chars = at, 0
-                while end < len(keys) and (end == at or chars + len(texts[end] or "") <= 500_000):
+                while end < len(keys) and (end == at or chars + len(texts[end] or "") <= _CHARS):
                     chars += len(texts[end] or "")
                     end += 1
                 of = mix(np.array([x or 0 for x in keys[at:end]], np.int64).view(np.uint64) * _GOLD + np.array([seed], np.uint64))
@@ -405,16 +429,12 @@ def sample(docs: DataFrame, k: int = K, seed: int = 7, alpha: float = 1.0, model
                     "ids": pa.array([r[2].astype("<i4").tobytes() for r in rows], pa.binary())})
                 at = end
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SAMPLES)
-
+    return run
 
-def decode(rows: DataFrame, model: str | None = None, ids: str = "ids", into: str = "decoded") -> DataFrame:
-    """``rows`` with the text that their ``ids`` spell; null ids give null. A text's own
-    U+2581 comes back as a space, and bytes that are no text as U+FFFD."""
-    model = model or model_path()
-    rows = rows.drop(into) if into != ids else rows
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decoded(model: str, ids: str, into: str) -> Callable[[Batches], Batches]:
+    """What ``decode`` does to a task's rows."""
+    def run(batches: Batches) -> Batches:
         pieces = spelled(model)
         for b in batches:
             out = []
@@ -424,10 +444,33 @@ def decode(rows: DataFrame, model: str | None = None, ids: str = "ids", into: st
                 out.append(text if text is None else text.replace(SPACE, " ")[1:])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*b.schema.names, into])
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(into, StringType())]))
+    return run
+
+
+def sample(docs: DataFrame, k: int = K, seed: int = 7, alpha: float = 1.0, model: str | None = None,
+           into: str | None = None) -> DataFrame:
+    """Up to ``k`` different segmentations of each text of ``docs`` (``doc_id``,
+    ``text``), the largest perturbed first: ``ids`` (little-endian, 32 bits each),
+    ``log_prob``, ``perturbed``, ``log_inclusion``. With ``into`` they are decoded, as by
+    ``decode``, in the same task: its worker alone holds lattices, and ids go out once."""
+    model = model or model_path()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sampled = _sampled(k, seed, alpha, model)
+    if into is None:
+        return rows.mapInArrow(sampled, SAMPLES)
+    decoded = _decoded(model, "ids", into)
+    return rows.mapInArrow(lambda batches: decoded(sampled(batches)), f"{SAMPLES}, `{into}` string")
+
+
+def decode(rows: DataFrame, model: str | None = None, ids: str = "ids", into: str = "decoded") -> DataFrame:
+    """``rows`` with the text that their ``ids`` spell; null ids give null. A text's own
+    U+2581 comes back as a space, and bytes that are no text as U+FFFD."""
+    model = model or model_path()
+    rows = rows.drop(into) if into != ids else rows
+    return rows.mapInArrow(_decoded(model, ids, into), StructType([*rows.schema.fields, StructField(into, StringType())]))
 
 
 def op4_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled segmentations of all ``documents``, and what their ids decode to."""
-    rows = decode(sample(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
+    rows = sample(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), into="decoded")
     return rows.withColumns({"ids_crc32": F.crc32("ids"), "decoded_crc32": F.crc32(F.col("decoded").cast("binary"))}).drop("ids", "decoded")
