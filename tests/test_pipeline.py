@@ -203,3 +203,14 @@ def test_flow_sessions_isolate_per_flow_confs(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == parent
     assert heavy.conf.get("spark.sql.session.timeZone") == "UTC"      # parent's SQL confs carried over
     assert heavy.sparkContext is spark.sparkContext                   # same executors
+
+
+def test_silver_update_has_no_batch_without_rows(spark, scratch, monkeypatch):
+    from tripflow.streaming import ingest
+    done, real = [], ingest.silver_into
+    monkeypatch.setattr(ingest, "silver_into", lambda *a: done.append(real(*a)) or done[-1])
+    before = spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
+    zones = fixtures.raw_zones(spark, SF_SMALL)
+    run_stream_pipeline(spark, _landed(spark, scratch), zones, os.path.join(scratch, "tables"), as_of=AS_OF, flow_confs={})
+    assert len(done) == 4 and all(r.num_output_rows and r.batches == 1 for r in done)
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == before

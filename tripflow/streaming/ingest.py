@@ -218,8 +218,17 @@ def silver_into(spark: SparkSession, schema, taxi_type: str, bronze_table: Table
     deduped = dedup_stream(conform_trips(feed, taxi_type, as_of), config.DEDUP_KEYS[taxi_type], "pickup_datetime")
     checked = flagged(deduped.filter(~F.col(_SEED)).drop(_SEED), RULES[taxi_type])
     t0, name = time.time(), f"silver_{taxi_type}"
-    q, done = start_into(checked, table, lambda b, path: _write_batch(b, path, [KEPT, *config.SILVER_PARTITIONS[taxi_type]]),
-                         checkpoint, name, KEPT)
+    # No batch without rows, just to drop old keys from all state partitions: the next rows' batch
+    # starts at the same watermark and drops them then. A key holds its pickup time, so that
+    # what an old key would have met is late by then.
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")  # read as the query starts
+    try:
+        q, done = start_into(checked, table, lambda b, path: _write_batch(b, path, [KEPT, *config.SILVER_PARTITIONS[taxi_type]]),
+                             checkpoint, name, KEPT)
+    finally:
+        spark.conf.set(setting, before)
     return finish_into(q, done, table, name, t0, RULES[taxi_type])
 
 
