@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -682,3 +683,59 @@ def test_segmentation_chunks_are_those_of_the_words():
     found = segmentation._numbers(texts, own)
     name = {n: c for c, n in own.chunks.items()}
     assert [[name[n] for n in x.tolist()] for x in found] == [segmentation.chunks_of(t) for t in texts]
+
+
+def test_segmentation_searches_texts_together(monkeypatch):
+    own, calls, mix = segmentation.Lattice(segmentation.model_path()), [], segmentation.mix
+    monkeypatch.setattr(segmentation, "mix", lambda x: calls.append(1) or mix(x))
+    counts, found = [], []
+    for n in (5, 200):
+        calls.clear()
+        found.append(segmentation.sample_texts(["one two, three"] * n, mix(np.arange(n, dtype=np.uint64)), own, 2))
+        counts.append(len(calls))
+    assert counts[1] < counts[0] + 20  # steps of the longest path, not texts
+    plain = lambda rows: [(ids.tolist(), *x) for ids, *x in rows]
+    assert [plain(x) for x in found[0]] == [plain(x) for x in found[1][:5]]
+    alone = [segmentation.sample_texts(["one two, three"], mix(np.array([i], np.uint64)), own, 2)[0] for i in range(5)]
+    assert [plain(x) for x in alone] == [plain(x) for x in found[0]]
+
+
+def test_segmentation_looks_up_a_task_s_words_once(monkeypatch):
+    asked, numbers = [], segmentation.Lattice.numbers
+    monkeypatch.setattr(segmentation, "_CHARS", 100)
+    monkeypatch.setattr(segmentation.Lattice, "numbers", lambda self, chunks: asked.extend(chunks) or numbers(self, chunks))
+    texts = ["some words that repeat"] * 50
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(50), pa.int64()), "text": texts})
+    rows = pa.Table.from_batches(segmentation._sampled(2, 7, 1.0, segmentation.model_path())(iter([batch])))
+    assert rows.num_rows == 100 and sorted(asked) == sorted(segmentation.chunks_of(texts[0]))
+
+
+def test_segmentation_units_built_apart_are_the_same(monkeypatch):
+    texts, seeds = ["one two, thrée 日本 ▁ 😀x", "STTHRE  queenoioiré\n", ""] * 3, minhash.mix(np.arange(9, dtype=np.uint64))
+    plain = lambda out: [[(ids.tolist(), *x) for ids, *x in rows] for rows in out]
+    whole = segmentation.sample_texts(texts, seeds, segmentation.Lattice(segmentation.model_path()), 3)
+    monkeypatch.setattr(segmentation, "_NODES", 3)
+    apart = segmentation.sample_texts(texts, seeds, segmentation.Lattice(segmentation.model_path()), 3)
+    assert plain(whole) == plain(apart)
+
+
+def test_segmentation_edges_by_source_and_likelihood():
+    rng = np.random.default_rng(5)
+    for logp in (-rng.random(5000) * 40, -rng.integers(0, 3, 5000).astype(float), -rng.random(5000) * 1e-12, -rng.random(5000) * 4000, np.empty(0)):
+        source = rng.integers(0, 900, len(logp))
+        assert segmentation._by_source(source, logp).tolist() == np.lexsort((-logp, source)).tolist()
+
+
+def test_segmentation_decodes_any_bytes():
+    pieces, rng = segmentation.vocabulary(segmentation.model_path())[0], np.random.default_rng(6)
+    for most in (300, len(pieces)):  # mostly single bytes, mostly pieces
+        ids = [None if i % 9 == 0 else rng.integers(0, most, rng.integers(0, 7)).tolist() for i in range(300)]
+        raw = pa.array([x if x is None else np.array(x, "<i4").tobytes() for x in ids], pa.binary())
+        want = [x if x is None else b"".join(pieces[i] for i in x).decode("utf-8", "replace").replace("▁", " ")[1:] for x in ids]
+        for a, n in ((0, 300), (0, 0), (0, 1), (17, 200)):
+            batch = pa.RecordBatch.from_arrays([raw.slice(a, n)], names=["ids"])
+            out, = segmentation._decoded(segmentation.model_path(), "ids", "text")(iter([batch]))
+            assert out.column(1).to_pylist() == want[a:a + n]
+    torn = pa.RecordBatch.from_arrays([pa.array([b"abc", b"defgh"], pa.binary())], names=["ids"])
+    with pytest.raises(ValueError):
+        next(segmentation._decoded(segmentation.model_path(), "ids", "text")(iter([torn])))

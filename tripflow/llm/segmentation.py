@@ -32,6 +32,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import repeat
 from math import exp, inf, log
 
 import numpy as np
@@ -51,6 +52,7 @@ SAMPLES = ("doc_id long, sample int, n_pieces long, log_prob double, perturbed d
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _ODD = f"^$|^ |  | $|{SPACE}"  # in texts whose chunks aren't just a space and a word each
 _CHARS = 500_000  # of texts that are sampled at once
+_NODES = 100_000  # of units that are built at once
 _ALL = (1 << 64) - 1
 _GOLD, _STEP, _UNIT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
@@ -81,9 +83,9 @@ def vocabulary(path: str) -> tuple[list[bytes], dict[int, int], dict[str, tuple[
 
 
 @lru_cache(maxsize=2)
-def spelled(path: str) -> np.ndarray:
+def spelled(path: str) -> pa.Array:
     """What each id spells, for this process."""
-    return np.array(vocabulary(path)[0], object)
+    return pa.array(vocabulary(path)[0], pa.large_binary())
 
 
 class Lattice:
@@ -95,11 +97,21 @@ class Lattice:
         size = len(self.pieces)
         self.byte_weight = -alpha * log(2 + size)
         self.weight = {p: (i, -alpha * log(2 + min(-score, size))) for p, (i, score) in scores.items()}
-        self.inside = np.unique([ord(p[n]) << 21 | ord(p[n + 1]) for p in self.weight for n in range(len(p) - 1)])
+        self.kinds, self.inside = self._pairs()
         self.by_length = self._tables()
         self.most = most
         self._clear()
 
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each character's kind, and which kinds some piece has side by side."""
+        pairs = {p[n:n + 2] for p in self.weight for n in range(len(p) - 1)}
+        kind = {c: n for n, c in enumerate(sorted(set("".join(pairs))), 1)}  # 0: all other characters
+        kinds, inside = np.zeros(0x110000, np.uint16), np.zeros((len(kind) + 1,) * 2, bool)
+        kinds[[ord(c) for c in kind]] = list(kind.values())
+        for a, b in pairs:
+            inside[kind[a], kind[b]] = True
+        return kinds, inside
+
     def _tables(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For each length the hashes of the pieces' beginnings, the piece that such
         a beginning is by itself (or -1) and its weight."""
@@ -126,33 +138,47 @@ class Lattice:
 
     def numbers(self, chunks: list[str]) -> np.ndarray:
         """The chunks' numbers; new ones are learnt."""
-        found = list(map(self.chunks.get, chunks))
-        new = [c for c, n in zip(chunks, found) if n is None]
+        found = np.fromiter(map(self.chunks.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(found < 0).tolist()
         if new:
-            self.learn(list(dict.fromkeys(new)))
-            found = [self.chunks[c] if n is None else n for c, n in zip(chunks, found)]
-        return np.array(found, np.int64)
+            new_ = [chunks[i] for i in new]
+            self.learn(list(dict.fromkeys(new_)))
+            found[new] = list(map(self.chunks.__getitem__, new_))
+        return found
 
     def learn(self, chunks: list[str]) -> None:
         """Give new chunks numbers: cut them into units wherever no piece has the two
         characters side by side, and build the units that are new."""
         if not chunks:
             return
-        text, points = "".join(chunks), _points("".join(chunks))
-        last = np.cumsum([len(c) for c in chunks])
-        pair = points[:-1].astype(np.int64) << 21 | points[1:]
-        at = np.minimum(np.searchsorted(self.inside, pair), len(self.inside) - 1)
-        cut = np.append(self.inside[at] != pair, True)
+        text = "".join(chunks)
+        points = _points(text)
+        last = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        kinds = self.kinds[points]
+        cut = np.append(~self.inside[kinds[:-1], kinds[1:]], True)
         cut[last - 1] = True
         ends = np.flatnonzero(cut) + 1
-        parts = [text[a:b] for a, b in zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist())]
-        self._build(list(dict.fromkeys(p for p in parts if p not in self.units)))
+        places = _places(points)[np.r_[0, ends]].astype(np.int32)
+        parts = pa.StringArray.from_buffers(len(ends), pa.py_buffer(places), pa.py_buffer(text.encode())).dictionary_encode()
+        names = _strings(parts.dictionary)
+        self._build_all([u for u in names if u not in self.units])
         base = len(self.roots)
-        self.roots.extend(map(self.units.__getitem__, parts))
-        self.root_ends.extend((base + np.searchsorted(ends, last, "right")).tolist())
+        own = np.fromiter(map(self.units.__getitem__, names), np.int32, len(names))
+        self.roots.frombytes(own[parts.indices.to_numpy(zero_copy_only=False)].tobytes())
+        self.root_ends.frombytes((base + np.searchsorted(ends, last, "right")).astype(np.int32).tobytes())
         n = len(self.chunks)
         self.chunks.update(zip(chunks, range(n, n + len(chunks))))
 
+    def _build_all(self, units: list[str]) -> None:
+        """Build units some at a time, as each node needs many numbers while it is built."""
+        at, nodes = 0, 0
+        for i, unit in enumerate(units):
+            if nodes and nodes + len(unit) > _NODES:
+                self._build(units[at:i])
+                at, nodes = i, 0
+            nodes += len(unit)
+        self._build(units[at:])
+
     def _build(self, units: list[str]) -> None:
         """Nodes are the characters' places; a place's edges are the pieces that
         start there, or the bytes of a character that is no piece."""
@@ -196,7 +222,7 @@ class Lattice:
             value = weight[e] + np.where(to[e] == end[s], 0.0, beta[to[e]])
             beta[s[first]] = np.logaddexp.reduceat(value, first)
         logp = weight + np.where(to == end[source], 0.0, beta[to]) - beta[source]
-        order = np.lexsort((-logp, source))
+        order = _by_source(source, logp)
         source, piece, target, logp = source[order], piece[order], target[order], logp[order]
         p = np.exp(logp)
         first = np.flatnonzero(np.r_[True, source[1:] != source[:-1]])
@@ -225,6 +251,29 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
+def _places(points: np.ndarray) -> np.ndarray:
+    """Where each character starts in UTF-8, and where the last one ends."""
+    size = np.ones(len(points) + 1, np.int64)
+    size[0] = 0
+    for most in (0x7F, 0x7FF, 0xFFFF):
+        size[1:] += points > most
+    return np.cumsum(size)
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _by_source(source: np.ndarray, logp: np.ndarray) -> np.ndarray:
+    """The order by ``source``, likeliest first; equal ones stay as they are."""
+    if len(source) and source.max() < 1 << 20 and logp.min() > -1023:
+        key = (source.astype(np.int64) << 43) + (logp * -(2.0 ** 33)).astype(np.int64)
+        order = np.argsort(key)  # not stable: good if all keys differ
+        if np.all(np.diff(key[order]) > 0):
+            return order
+    return np.lexsort((-logp, source))
+
+
 class _hashes:
     """Hashes of substrings: ``h[at, n]`` is that of the ``n`` characters from ``at`` on."""
 
@@ -242,17 +291,22 @@ def chunks_of(text: str | None) -> list[str]:
     return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
-def _numbers(texts: list[str | None], own: Lattice) -> list[np.ndarray]:
+def _numbers(texts: list[str | None] | pa.Array, own: Lattice) -> list[np.ndarray]:
     """The numbers of each text's chunks, which are learnt where they are new."""
-    column = pa.array([t or "" for t in texts], pa.string())
+    column = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
     odd = pc.match_substring_regex(column, _ODD)
-    chunks = {i: chunks_of(texts[i]) for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()}
-    split = pc.split_pattern(column.filter(pc.invert(odd)), " ")
+    out: list[np.ndarray] = [np.empty(0, np.int64)] * len(column)
+    which = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
+    for i, text in zip(which, _strings(column.filter(odd))):
+        out[i] = own.numbers(chunks_of(text))
+    odd = pc.invert(odd)
+    split = pc.split_pattern(column.filter(odd), " ")
     words = split.flatten().dictionary_encode()
-    names = pc.binary_join_element_wise(SPACE, words.dictionary, "").to_pylist()
-    ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64)
-    plain = iter(np.split(own.numbers(names)[words.indices.to_numpy(zero_copy_only=False)], ends[:-1]))
-    return [own.numbers(chunks[i]) if i in chunks else next(plain) for i in range(len(texts))]
+    found = own.numbers(_strings(pc.binary_join_element_wise(SPACE, words.dictionary, "")))[words.indices.to_numpy(zero_copy_only=False)]
+    ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64).tolist()
+    for i, a, b in zip(np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist(), [0, *ends], ends):
+        out[i] = found[a:b]
+    return out
 
 
 @lru_cache(maxsize=2)
@@ -309,24 +363,7 @@ class _Search:
 
     def add(self, top: float, edges: np.ndarray, units: np.ndarray, since: int) -> None:
         """A path with perturbed value ``top``; its branches from ``since`` on are new."""
-        logp = self.t["logp"][edges].astype(float)
-        before = np.cumsum(logp) - logp
-        self.paths.append((top, edges, units, before, float(logp.sum())))
-        wanted = self.k + 1 - len(self.paths)
-        if wanted < 1:
-            return
-        left = self.t["others"][edges[since:]]
-        some = np.flatnonzero(left > -inf)
-        if not len(some):
-            return
-        place = before[since:][some] + left[some]
-        h = mix(np.uint64(self.seed) ^ mix(np.arange(since, since + len(left), dtype=np.uint64)[some] * _UNIT
-                                           + np.array([len(self.paths)], np.uint64)))
-        value = _truncated(place, top, -np.log(_uniform(h)))
-        best = np.argpartition(-value, wanted - 1)[:wanted] if len(value) > wanted else np.arange(len(value))
-        for i in best.tolist():
-            at = since + int(some[i])
-            heapq.heappush(self.queue, (-float(value[i]), len(self.paths) - 1, at, (int(edges[at]),)))
+        _add(self.t, [(self, top, edges, units, since)])
 
     def branch(self) -> tuple[float, int, int, int] | None:
         """The best branch: its value, path, place and first edge."""
@@ -351,47 +388,85 @@ class _Search:
         return -value, path, at, edge
 
 
+def _add(t: dict, new: list[tuple[_Search, float, np.ndarray, np.ndarray, int]]) -> None:
+    """Add a path each to some texts' searches; all their new branches are valued at once."""
+    edges = np.concatenate([x[2] for x in new])
+    size, since = np.array([len(x[2]) for x in new]), np.array([x[4] for x in new])
+    end = np.cumsum(size)
+    logp, before = t["logp"][edges].astype(float), np.empty(len(edges))
+    for (s, top, own, units, _), b, n in zip(new, end.tolist(), size.tolist()):
+        mine, place = logp[b - n:b], before[b - n:b]
+        np.subtract(np.cumsum(mine), mine, out=place)
+        s.paths.append((top, own, units, place, float(mine.sum())))
+    count = size - since
+    at = np.arange(count.sum()) + np.repeat(end - np.cumsum(count), count)
+    left = t["others"][edges[at]]
+    some = np.flatnonzero(left > -inf)
+    at, left, of = at[some], left[some], np.repeat(np.arange(len(new)), count)[some]
+    bounds = np.searchsorted(of, np.arange(len(new) + 1)).tolist()
+    first = end - size
+    h = mix(np.array([x[0].seed for x in new], np.uint64)[of] ^ mix((at - first[of]).astype(np.uint64) * _UNIT
+                                                                    + np.array([len(x[0].paths) for x in new], np.uint64)[of]))
+    value = _truncated(before[at] + left, np.array([x[1] for x in new])[of], -np.log(_uniform(h)))
+    for (s, _, own, _, _), a, b, start in zip(new, bounds, bounds[1:], first.tolist()):
+        wanted = s.k + 1 - len(s.paths)
+        if wanted < 1 or a == b:
+            continue
+        best = np.argpartition(-value[a:b], wanted - 1)[:wanted] if b - a > wanted else np.arange(b - a)
+        for i in (a + best).tolist():
+            place = int(at[i]) - start
+            heapq.heappush(s.queue, (-float(value[i]), len(s.paths) - 1, place, (int(own[place]),)))
+
+
 def sample_texts(texts: list[str | None], seeds: np.ndarray, own: Lattice, k: int) -> list[list[tuple]]:
     """For each text its samples: ids, log-probability, perturbed value, log of the
     inclusion probability."""
     own.tidy()
-    numbers = _numbers(texts, own)
+    return _samples(_numbers(texts, own), seeds, own, k)
+
+
+def _samples(numbers: list[np.ndarray], seeds: np.ndarray, own: Lattice, k: int) -> list[list[tuple]]:
+    """``sample_texts`` of texts whose chunks have these numbers."""
+    if not numbers:
+        return []
     view = lambda a, kind: np.frombuffer(a, kind) if len(a) else np.empty(0, kind)
     t = {"starts": view(own.starts, np.int32), "target": view(own.target, np.int32), "piece": view(own.piece, np.int32),
          "upto": view(own.upto, np.float32), "logp": view(own.logp, np.float32),
          "others": view(own.others, np.float32)}
-    ends, all_roots = view(own.root_ends, np.int32).astype(np.int64), view(own.roots, np.int32)
-    searches = []
-    for n, seed in zip(numbers, seeds):
-        first, size = ends[n], ends[n + 1] - ends[n]
-        at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
-        searches.append(_Search(k, int(seed), t, all_roots[at]))
+    chunks, ends = np.concatenate(numbers), view(own.root_ends, np.int32)
+    first = ends[chunks].astype(np.int64)
+    size = ends[chunks + 1] - first
+    stop = np.r_[0, np.cumsum(size)]
+    roots = view(own.roots, np.int32)[np.arange(stop[-1]) + np.repeat(first - stop[:-1], size)]
+    cuts = stop[np.cumsum([0, *map(len, numbers)])].tolist()
+    searches = [_Search(k, seed, t, roots[a:b]) for seed, a, b in zip(seeds.tolist(), cuts, cuts[1:])]
     todo = [(s, -log(-log(s.uniform())), None, np.empty(0, np.int32), 0, s.roots) for s in searches]
     for round_ in range(1, k + 1):
-        nodes = np.concatenate([x[5] for x in todo]) if todo else np.empty(0, np.int32)
-        sizes = [len(x[5]) for x in todo]
-        sizes_, firsts = np.array(sizes, np.int64), np.array([x[4] for x in todo], np.int64)
-        unit = np.arange(len(nodes)) + np.repeat(firsts - np.cumsum(sizes_) + sizes_, sizes_)
+        if not todo:
+            break
+        nodes = np.concatenate([x[5] for x in todo])
+        sizes, firsts = np.array([len(x[5]) for x in todo]), np.array([x[4] for x in todo], np.int64)
+        unit = np.arange(len(nodes)) + np.repeat(firsts - np.cumsum(sizes) + sizes, sizes)
         own_seed = mix(np.array([x[0].seed for x in todo], np.uint64) + np.array([round_], np.uint64))
-        edges, n = _walk(t, nodes, mix(np.repeat(own_seed, sizes_) + unit.astype(np.uint64) * _UNIT))
-        cut = np.concatenate(([0], np.cumsum(n)))
-        done = 0
-        for (s, top, from_, prefix, unit, _), size in zip(todo, sizes):
-            mine = edges[cut[done]:cut[done + size]]
-            units = np.repeat(np.arange(unit, unit + size), n[done:done + size])
+        edges, n = _walk(t, nodes, mix(np.repeat(own_seed, sizes) + unit.astype(np.uint64) * _UNIT))
+        units = np.repeat(unit, n)
+        cut = np.r_[0, np.cumsum(n)][np.r_[0, np.cumsum(sizes)]].tolist()
+        new = []
+        for (s, top, from_, prefix, _, _), a, b in zip(todo, cut, cut[1:]):
+            mine, of = edges[a:b], units[a:b]
             if from_ is not None:
-                units = np.concatenate((from_, units))
-            s.add(top, np.concatenate((prefix, mine)), units, len(prefix))
-            done += size
+                mine, of = np.concatenate((prefix, mine)), np.concatenate((from_, of))
+            new.append((s, top, mine, of, len(prefix)))
+        _add(t, new)
         todo = []
         if round_ < k:
             for s in searches:
                 if len(s.paths) == round_ and (b := s.branch()):
                     top, path, at, edge = b
-                    _, old, units, _, _ = s.paths[path]
-                    unit = int(units[at])
+                    _, old, of, _, _ = s.paths[path]
+                    unit = int(of[at])
                     rest = np.concatenate((t["target"][edge:edge + 1], s.roots[unit + 1:]))
-                    todo.append((s, top, units[:at + 1], np.concatenate((old[:at], np.array([edge], np.int32))), unit, rest))
+                    todo.append((s, top, of[:at + 1], np.concatenate((old[:at], np.array([edge], np.int32))), unit, rest))
     out = []
     for s in searches:
         kappa = -s.queue[0][0] if s.queue else -inf
@@ -411,15 +486,18 @@ def _sampled(k: int, seed: int, alpha: float, model: str) -> Callable[[Batches],
     def run(batches: Batches) -> Batches:
         own = lattice(model, alpha)
         for b in gathered(batches):
-            keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            keys, texts = b.column(0).to_pylist(), b.column(1).cast(pa.string())
+            chars = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+            own.tidy()
+            numbers = _numbers(texts, own)
             at = 0
             while at < len(keys):
-                end, chars = at, 0
-                while end < len(keys) and (end == at or chars + len(texts[end] or "") <= _CHARS):
-                    chars += len(texts[end] or "")
+                end, total = at + 1, chars[at]
+                while end < len(keys) and total + chars[end] <= _CHARS:
+                    total += chars[end]
                     end += 1
                 of = mix(np.array([x or 0 for x in keys[at:end]], np.int64).view(np.uint64) * _GOLD + np.array([seed], np.uint64))
-                rows = [(key, i, ids, *x) for key, found in zip(keys[at:end], sample_texts(texts[at:end], of, own, k))
+                rows = [(key, i, ids, *x) for key, found in zip(keys[at:end], _samples(numbers[at:end], of, own, k))
                         for i, (ids, *x) in enumerate(found, 1)]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array([r[0] for r in rows], pa.int64()), "sample": pa.array([r[1] for r in rows], pa.int32()),
@@ -432,17 +510,36 @@ def _sampled(k: int, seed: int, alpha: float, model: str) -> Callable[[Batches],
     return run
 
 
+def _spelled(rows: pa.Array, pieces: pa.Array) -> pa.Array:
+    """The text that each row's ids spell: the pieces of all rows are taken at once, one after the other."""
+    raw = pc.fill_null(rows.cast(pa.large_binary()), b"")
+    size = pc.binary_length(raw).to_numpy(zero_copy_only=False)
+    if (size % 4).any():
+        raise ValueError("ids take 4 bytes each")
+    ends = np.r_[0, np.cumsum(size, dtype=np.int64)]
+    ids = np.empty(0, "<i4")
+    if ends[-1]:
+        first = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset]
+        ids = np.frombuffer(raw.buffers()[2].slice(first, ends[-1]), "<i4")
+    found = pieces.take(pa.array(ids))
+    places = np.frombuffer(found.buffers()[1], np.int64)[ends // 4] if len(ids) else ends
+    buffers = [None, pa.py_buffer(places), found.buffers()[2] or pa.py_buffer(b"")]
+    bytes_ = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(rows), buffers)
+    try:
+        texts = bytes_.cast(pa.large_string())
+    except pa.ArrowInvalid:  # some row's bytes are no text
+        texts = pa.array([x.decode("utf-8", "replace") for x in bytes_.to_pylist()], pa.large_string())
+    texts = pc.utf8_slice_codeunits(pc.replace_substring(texts, SPACE, " "), 1)
+    return pc.if_else(rows.is_valid(), texts, pa.scalar(None, pa.large_string())).cast(pa.string())
+
+
 def _decoded(model: str, ids: str, into: str) -> Callable[[Batches], Batches]:
     """What ``decode`` does to a task's rows."""
     def run(batches: Batches) -> Batches:
         pieces = spelled(model)
         for b in batches:
-            out = []
-            for x in b.column(b.schema.get_field_index(ids)):
-                raw = x.as_py()
-                text = None if raw is None else b"".join(pieces[np.frombuffer(raw, "<i4")]).decode("utf-8", "replace")
-                out.append(text if text is None else text.replace(SPACE, " ")[1:])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*b.schema.names, into])
+            texts = _spelled(b.column(b.schema.get_field_index(ids)), pieces)
+            yield pa.RecordBatch.from_arrays([*b.columns, texts], names=[*b.schema.names, into])
 
     return run
 
